@@ -16,6 +16,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T  # noqa: E402
 
 from ebbline import schemas  # noqa: E402
+from ebbline.functions import cells  # noqa: E402
 from ebbline.operators import blocks, budget, features, metrics, overrides, series, split  # noqa: E402
 from ebbline.operators.scaling import RobustScale  # noqa: E402
 from ebbline.options import ModelOptions, SeriesOptions, SplitOptions  # noqa: E402
@@ -32,16 +33,16 @@ SMALL_MODEL = ModelOptions(max_iter=3, max_depths=(4,))
 
 def _doubles(df: DataFrame) -> DataFrame:
     """Decimals as doubles, for comparison with the SQL results."""
-    return df.select(
-        [
-            F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else f.name
+    return df.selectExpr(
+        *[
+            f"CAST({f.name} AS DOUBLE) AS {f.name}" if isinstance(f.dataType, T.DecimalType) else f.name
             for f in df.schema
         ]
     )
 
 
 def _rounded(df: DataFrame, names: list[str]) -> DataFrame:
-    return df.withColumns({n: F.round(n, 6) for n in names})
+    return df.selectExpr(*[f"round({c}, 6) AS {c}" if c in names else c for c in df.columns])
 
 
 def _options(spark: SparkSession, sf_dir: str) -> SeriesOptions:
@@ -53,6 +54,10 @@ def _request(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.profiles(spark, sf_dir).where("CategoryTypeCode = 'MACHINERY'").select("CustomerID")
 
 
+def _new_folder(spark: SparkSession, label: str) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
 def transactions_scan(spark, sf_dir):
     return _doubles(star.transactions(spark, sf_dir))
 
@@ -148,6 +153,22 @@ def features_for_customers(spark, sf_dir):
     return requests.for_customers(_features(spark, sf_dir), _request(spark, sf_dir))
 
 
+def feature_table_scan(spark, sf_dir):
+    """A stored feature table of text columns, one name ending in a blank, read back as numbers."""
+    path = _new_folder(spark, "features")
+    named = {"Monthly_Count_Median_Debit": "Monthly_Count_Median_Debit "}
+    as_text = [F.col(c).cast("string").alias(named.get(c, c)) for c in schemas.FEATURE_COLUMNS]
+    _features(spark, sf_dir).select(as_text).write.parquet(path)
+    return readers.scan_features(spark, readers.Source(path=path))
+
+
+def sentinel_filled_features(spark, sf_dir):
+    """Flow features before any default, -1 where a customer has none."""
+    raw = features.flow_features(star.transactions(spark, sf_dir))
+    names = raw.columns[1:]
+    return raw.selectExpr("CustomerID", *[f"round({cells.filled(c)}, 6) AS {c}" for c in names])
+
+
 def training_set(spark, sf_dir):
     tx = star.transactions(spark, sf_dir)
     return datasets.training_set(tx, _features(spark, sf_dir), _options(spark, sf_dir))
@@ -185,6 +206,12 @@ def stratified_split_counts(spark, sf_dir):
     return split.split_counts(split.assign_split(labelled_series(spark, sf_dir)))
 
 
+def stratified_split(spark, sf_dir):
+    """Exact shares per label, row by row."""
+    rows = stage(labelled_series(spark, sf_dir), "labelled")
+    return split.assign_stratified_split(rows).select(*schemas.IDENTIFIERS, schemas.TARGET, "split")
+
+
 def fold_counts(spark, sf_dir):
     folded = split.assign_fold(labelled_series(spark, sf_dir))
     return folded.groupBy("fold", schemas.TARGET).agg(F.count(F.lit(1)).alias("rows"))
@@ -233,10 +260,6 @@ def prediction_records(spark, sf_dir):
     return sinks.response_fields(predictions_with_overrides(spark, sf_dir))
 
 
-def _new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
 def predictions_sink_roundtrip(spark, sf_dir):
     path = _new_folder(spark, "predictions")
     sinks.append_predictions(predictions_with_overrides(spark, sf_dir), path)
@@ -303,12 +326,15 @@ REGISTERED: list[Query] = [
     latest_per_series,
     customer_features,
     features_for_customers,
+    feature_table_scan,
+    sentinel_filled_features,
     training_set,
     inference_set,
     inference_set_for_customers,
     scaler_stats,
     scaled_features,
     stratified_split_counts,
+    stratified_split,
     fold_counts,
     confusion_counts,
     rule_scorer_metrics,

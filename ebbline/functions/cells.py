@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-INFINITY = float("inf")
-
 
 def non_negative_flag(balance: Column) -> Column:
     """1 unless the balance is below zero; a null balance counts as 1."""
@@ -22,14 +20,19 @@ def struggle_flag(balance: Column, previous_mean: Column, drop_ratio: float) ->
     ).otherwise(0)
 
 
-def is_missing(value: Column) -> Column:
-    """Null, NaN or infinite."""
-    value = value.cast("double")
-    return value.isNull() | F.isnan(value) | (F.abs(value) == F.lit(INFINITY))
+def double_literal(value: float) -> str:
+    """SQL for exactly this double, infinities included."""
+    return f"CAST('{value!r}' AS DOUBLE)"
+
+
+def missing(value: str) -> str:
+    """SQL test of a double for null, NaN or infinity."""
+    return f"({value} IS NULL OR isnan({value}) OR abs({value}) = CAST('Infinity' AS DOUBLE))"
 
 
-def sentinel_fill(value: Column, sentinel: float = -1.0) -> Column:
-    return F.when(is_missing(value), F.lit(sentinel)).otherwise(value.cast("double"))
+def filled(value: str, sentinel: float = -1.0) -> str:
+    """SQL for ``value`` with missing values replaced."""
+    return f"CASE WHEN {missing(value)} THEN {double_literal(sentinel)} ELSE {value} END"
 
 
 def epoch_millis(date: Column) -> Column:

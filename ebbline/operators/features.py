@@ -6,7 +6,7 @@ Their definitions are read off the column names; where a real feature table exis
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ebbline import schemas
 from ebbline.operators.blocks import CUSTOMER, customer_keys
@@ -16,72 +16,81 @@ DEFAULTS = SeriesOptions()
 SIDES = ("Credit", "Debit")
 
 
-def period_flows(tx: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame:
-    """Total and count of credits and debits per customer and period, in one pass and one shuffle.
+def daily_flows(tx: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame:
+    """Total and count of credits and debits per customer and day.
 
-    Periods are the four weeks of the month (Slot), calendar weeks from Monday (Week) and months
-    (Month); each row has one of the three set. Their number per customer is bounded by the calendar.
+    This is the one shuffle that sees transactions. Every coarser period is summed from it.
     """
     kinds = {"Credit": options.credit_type, "Debit": options.debit_type}
     amounts = {side: F.when(F.col("TransType") == kind, F.col("TransAmount")) for side, kind in kinds.items()}
-    day = F.to_date("TransDate")
-    dated = tx.where(
-        F.col("TransDate").isNotNull() & F.col("TransType").isin(*kinds.values())
-    ).select(
-        CUSTOMER,
-        F.least(F.lit(4), F.floor((F.dayofmonth(day) - 1) / 7) + 1).cast("int").alias("Slot"),
-        F.date_trunc("week", day).cast("date").alias("Week"),
-        F.trunc(day, "month").alias("Month"),
-        *[amount.alias(side) for side, amount in amounts.items()],
+    return (
+        tx.where(F.col("TransDate").isNotNull() & F.col("TransType").isin(*kinds.values()))
+        .groupBy(CUSTOMER, F.to_date("TransDate").alias("Day"))
+        .agg(
+            *[F.sum(amount).alias(f"{side}Sum") for side, amount in amounts.items()],
+            *[F.count(amount).alias(f"{side}Count") for side, amount in amounts.items()],
+        )
     )
+
+
+def period_flows(daily: DataFrame) -> DataFrame:
+    """Daily flows summed to periods: the four weeks of the month (Slot), calendar weeks from Monday
+    (Week) and months (Month); each row has one of the three set.
+
+    The number of periods per customer is bounded by the calendar.
+    """
     keys = ["Slot", "Week", "Month"]
+    dated = daily.selectExpr(
+        "*",
+        "CAST(least(4, floor((day(Day) - 1) / 7) + 1) AS INT) AS Slot",
+        "CAST(date_trunc('WEEK', Day) AS DATE) AS Week",
+        "trunc(Day, 'MONTH') AS Month",
+    )
     return dated.groupingSets([[CUSTOMER, key] for key in keys], CUSTOMER, *keys).agg(
-        *[F.sum(side).cast("double").alias(f"{side}Sum") for side in SIDES],
-        *[F.count(side).alias(f"{side}Count") for side in SIDES],
+        *[F.expr(f"CAST(sum({side}Sum) AS DOUBLE)").alias(f"{side}Sum") for side in SIDES],
+        *[F.expr(f"sum({side}Count)").alias(f"{side}Count") for side in SIDES],
     )
 
 
-def _change(side: str) -> Column:
-    """Relative change of the last month's total against the one before; 0 without a base."""
-    last, base = (F.get("LastMonths", F.lit(i))[side] for i in (0, 1))
-    return F.coalesce(F.when(base != 0, (last - base) / base), F.lit(0.0))
-
-
 def flow_features(tx: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame:
-    """Weekly, monthly and week-of-month statistics per customer."""
-    periods = period_flows(tx, options)
-    aggregates = []
+    """Weekly, monthly and week-of-month statistics per customer.
+
+    Written as SQL expressions, which spare the driver a call per column operation.
+    """
+    cells = {}
     for side in SIDES:
-        total, count = F.coalesce(f"{side}Sum", F.lit(0.0)), F.col(f"{side}Count")
+        total, count = f"coalesce({side}Sum, 0D)", f"{side}Count"
         for slot in range(1, 5):
-            here = F.when(F.col("Slot") == slot, F.col(f"{side}Sum") / F.nullif(count, F.lit(0)))
-            aggregates.append(F.max(here).alias(f"Week_{slot}_Avg_{side}"))
+            cells[f"Week_{slot}_Avg_{side}"] = f"max({side}Sum / nullif({count}, 0)) FILTER (WHERE Slot = {slot})"
         for grain, key in (("Weekly", "Week"), ("Monthly", "Month")):
-            totals = F.when(F.col(key).isNotNull(), total)
-            counts = F.when(F.col(key).isNotNull(), count)
-            aggregates += [
-                F.min(totals).alias(f"{grain}_Min_{side}"),
-                F.max(totals).alias(f"{grain}_Max_{side}"),
-                F.percentile(totals, 0.5).alias(f"{grain}_Median_{side}"),
-                F.percentile(counts, 0.5).alias(f"{grain}_Count_Median_{side}"),
-                F.var_samp(counts).alias(f"{grain}_Count_Variance_{side}"),
-            ]
-    month = F.struct("Month", *[F.coalesce(f"{s}Sum", F.lit(0.0)).alias(s) for s in SIDES])
-    months = F.sort_array(F.collect_list(F.when(F.col("Month").isNotNull(), month)), asc=False)
-    per_customer = periods.groupBy(CUSTOMER).agg(*aggregates, F.slice(months, 1, 2).alias("LastMonths"))
-    return per_customer.withColumns({f"Last_Month_PCT_CH_{s}": _change(s) for s in SIDES}).drop("LastMonths")
+            here = f"FILTER (WHERE {key} IS NOT NULL)"
+            cells[f"{grain}_Min_{side}"] = f"min({total}) {here}"
+            cells[f"{grain}_Max_{side}"] = f"max({total}) {here}"
+            cells[f"{grain}_Median_{side}"] = f"percentile({total}, 0.5D) {here}"
+            cells[f"{grain}_Count_Median_{side}"] = f"percentile({count}, 0.5D) {here}"
+            cells[f"{grain}_Count_Variance_{side}"] = f"var_samp({count}) {here}"
+    # A customer's months, newest first; the last two give the change.
+    month = "struct(Month, coalesce(CreditSum, 0D) AS Credit, coalesce(DebitSum, 0D) AS Debit)"
+    months = f"slice(sort_array(collect_list({month}) FILTER (WHERE Month IS NOT NULL), false), 1, 2)"
+    changes = {
+        f"Last_Month_PCT_CH_{side}": f"(Months[0].{side} - get(Months, 1).{side})"
+        f" / nullif(get(Months, 1).{side}, 0D)"
+        for side in SIDES
+    }
+    return (
+        period_flows(daily_flows(tx, options))
+        .groupBy(CUSTOMER)
+        .agg(*[F.expr(f"{cell} AS {name}") for name, cell in cells.items()], F.expr(f"{months} AS Months"))
+        .selectExpr(CUSTOMER, *cells, *[f"{cell} AS {name}" for name, cell in changes.items()])
+    )
 
 
 def customer_features(profiles: DataFrame, tx: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame:
     """The 33-column feature table: profile columns plus flow features, 0 where there is none."""
     joined = profiles.join(flow_features(tx, options), CUSTOMER, "left")
     from_flows = schemas.FEATURE_COLUMNS[2:-1]
-    return joined.select(
-        CUSTOMER,
-        "Age",
-        *[F.coalesce(F.col(name).cast("double"), F.lit(0.0)).alias(name) for name in from_flows],
-        "SegmentID",
-    )
+    filled = [f"coalesce(CAST({name} AS DOUBLE), 0D) AS {name}" for name in from_flows]
+    return joined.selectExpr(CUSTOMER, "Age", *filled, "SegmentID")
 
 
 def require_unique(df: DataFrame, key: str = CUSTOMER) -> DataFrame:

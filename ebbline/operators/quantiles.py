@@ -8,19 +8,54 @@ holds a few ten-thousandths of the rows, and equal values count as one.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
-from ebbline.functions.cells import is_missing
+from ebbline.functions.cells import double_literal, missing
 
 ACCURACY = 10_000
 # Half-widths of the brackets as shares of the rows, narrow first; the last takes in everything.
 HALF_WIDTHS = (2 / ACCURACY, 0.02, 1.0)
 
 
-def _present(column: str) -> Column:
-    return F.when(~is_missing(F.col(column)), F.col(column).cast("double"))
+def _present(column: str) -> str:
+    value = f"CAST({column} AS DOUBLE)"
+    return f"CASE WHEN NOT {missing(value)} THEN {value} END"
+
+
+def _between(column: str, low: float, high: float) -> str:
+    return f"{_present(column)} BETWEEN {double_literal(low)} AND {double_literal(high)}"
+
+
+@dataclass
+class _Wanted:
+    """One quantile being looked for, with its bracket once that is proven."""
+
+    column: str
+    probability: float
+    rows: int
+    edges: dict[float, float]
+    below: int = 0
+    bracket: tuple[float, float] | None = None
+
+    @property
+    def rank(self) -> float:
+        return self.probability * (self.rows - 1)
+
+    def candidate(self, half_width: float) -> tuple[float, float]:
+        return tuple(self.edges[edge] for edge in _edges(self.probability, half_width))
+
+    def accept(self, below: int, inside: int, bracket: tuple[float, float]) -> bool:
+        """Take the bracket if it holds both neighbours of the rank."""
+        if below <= math.floor(self.rank) and math.ceil(self.rank) < below + inside:
+            self.below, self.bracket = below, bracket
+        return self.bracket is not None
+
+
+def _edges(probability: float, half_width: float) -> tuple[float, float]:
+    return max(probability - half_width, 0.0), min(probability + half_width, 1.0)
 
 
 def exact_quantiles(
@@ -29,84 +64,85 @@ def exact_quantiles(
     """Quantiles with linear interpolation between neighbours; missing values are ignored.
 
     ``df`` is read three times, so stage it if it is costly to compute. A handful of numbers per
-    column reach the driver.
+    column reach the driver. Expressions are SQL text, one call each.
     """
-    edges = sorted(
-        {min(max(p + side * w, 0.0), 1.0) for p in probabilities for w in HALF_WIDTHS for side in (-1, 1)}
-    )
+    edges = sorted({edge for p in probabilities for w in HALF_WIDTHS for edge in _edges(p, w)})
+    edge_list = ", ".join(double_literal(edge) for edge in edges)
     probes = []
     for i, column in enumerate(columns):
         value = _present(column)
-        probes += [F.count(value).alias(f"n{i}"), F.percentile_approx(value, edges, ACCURACY).alias(f"e{i}")]
-    probe = df.agg(*probes).first()
-
-    result: dict[tuple[str, float], float | None] = {}
-    wanted = []
-    for i, column in enumerate(columns):
-        for p in probabilities:
-            n = probe[f"n{i}"]
-            if n == 0:
-                result[column, p] = None
-                continue
-            rank = p * (n - 1)
-            wanted.append({"column": column, "p": p, "rank": rank, "n": n, "edges": probe[f"e{i}"]})
-
-    def bracket(want: dict, level: int) -> tuple[float, float]:
-        low, high = (min(max(want["p"] + side * HALF_WIDTHS[level], 0.0), 1.0) for side in (-1, 1))
-        return want["edges"][edges.index(low)], want["edges"][edges.index(high)]
-
-    open_wants = list(wanted)
-    for level in range(len(HALF_WIDTHS)):
-        # A bracket narrower than a few rows need not hold both neighbours of the rank.
-        ready = [w for w in open_wants if level == len(HALF_WIDTHS) - 1 or w["n"] * HALF_WIDTHS[level] >= 4]
-        counts = []
-        for j, want in enumerate(ready):
-            value, (low, high) = _present(want["column"]), bracket(want, level)
-            counts += [
-                F.count_if(value < low).alias(f"b{j}"),
-                F.count_if(value.between(low, high)).alias(f"i{j}"),
-            ]
-        row = df.agg(*counts).first() if ready else None
-        for j, want in enumerate(ready):
-            below, inside = row[f"b{j}"], row[f"i{j}"]
-            if below <= math.floor(want["rank"]) and math.ceil(want["rank"]) < below + inside:
-                want.update(below=below, bracket=bracket(want, level))
-                open_wants.remove(want)
-        if not open_wants:
-            break
-
-    for want, (low, high) in _neighbours(df, wanted):
-        share = want["rank"] - math.floor(want["rank"])
-        result[want["column"], want["p"]] = low * (1 - share) + high * share
+        probes.append(f"count({value}) AS n{i}")
+        probes.append(f"percentile_approx({value}, array({edge_list}), {ACCURACY}) AS e{i}")
+    probe = df.agg(*map(F.expr, probes)).first()
+
+    result: dict[tuple[str, float], float | None] = {(c, p): None for c in columns for p in probabilities}
+    wanted = [
+        _Wanted(column, p, probe[f"n{i}"], dict(zip(edges, probe[f"e{i}"], strict=True)))
+        for i, column in enumerate(columns)
+        for p in probabilities
+        if probe[f"n{i}"]
+    ]
+    _prove_brackets(df, wanted)
+    for want, low, high in _neighbours(df, wanted):
+        share = want.rank - math.floor(want.rank)
+        result[want.column, want.probability] = low * (1 - share) + high * share
     return result
 
 
-def _neighbours(df: DataFrame, wanted: list[dict]) -> list[tuple[dict, tuple[float, float]]]:
-    """Values at the ranks just below and above each wanted one."""
+def _prove_brackets(df: DataFrame, wanted: list[_Wanted]) -> None:
+    """Count below and inside the narrowest bracket; widen only those that miss."""
+    unproven = list(wanted)
+    for half_width in HALF_WIDTHS:
+        # A bracket a few rows wide need not hold both neighbours, so it is not worth a pass.
+        tried = [w for w in unproven if half_width == HALF_WIDTHS[-1] or w.rows * half_width >= 4]
+        if not tried:
+            continue
+        counts = []
+        for i, want in enumerate(tried):
+            low, high = want.candidate(half_width)
+            counts.append(f"count_if({_present(want.column)} < {double_literal(low)}) AS b{i}")
+            counts.append(f"count_if({_between(want.column, low, high)}) AS i{i}")
+        row = df.agg(*map(F.expr, counts)).first()
+        missed = [
+            want
+            for i, want in enumerate(tried)
+            if not want.accept(row[f"b{i}"], row[f"i{i}"], want.candidate(half_width))
+        ]
+        unproven = [w for w in unproven if w in missed or w not in tried]
+        if not unproven:
+            return
+
+
+def _neighbours(df: DataFrame, wanted: list[_Wanted]) -> Iterator[tuple[_Wanted, float, float]]:
+    """Values at the ranks just below and just above each wanted one."""
     if not wanted:
-        return []
-    entries = []
-    for slot, want in enumerate(wanted):
-        value = _present(want["column"])
-        entry = F.struct(F.lit(slot).alias("slot"), value.alias("value"))
-        entries.append(F.when(value.between(*want["bracket"]), entry))
+        return
+    entries = ", ".join(
+        f"CASE WHEN {_between(want.column, *want.bracket)}"
+        f" THEN struct({slot} AS slot, {_present(want.column)} AS value) END"
+        for slot, want in enumerate(wanted)
+    )
     inside = (
-        df.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
-        .groupBy("e.slot", "e.value")
+        df.select(F.expr(f"explode(array_compact(array({entries}))) AS entry"))
+        .groupBy("entry.slot", "entry.value")
         .agg(F.count(F.lit(1)).alias("copies"))
     )
     ranks = df.sparkSession.createDataFrame(
-        [(s, w["below"], math.floor(w["rank"]), math.ceil(w["rank"])) for s, w in enumerate(wanted)],
+        [(slot, w.below, math.floor(w.rank), math.ceil(w.rank)) for slot, w in enumerate(wanted)],
         "slot int, below bigint, low bigint, high bigint",
     )
-    upto = W.partitionBy("slot").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
-    # One row per wanted quantile, so the side broadcast here has a known, small size.
-    ended = inside.withColumn("end", F.sum("copies").over(upto)).join(F.broadcast(ranks), "slot")
-    end = F.col("below") + F.col("end")
-    start = end - F.col("copies")
-
-    def value_at(rank: str) -> Column:
-        return F.max(F.when((start <= F.col(rank)) & (F.col(rank) < end), F.col("value"))).alias(rank)
-
-    found = ended.groupBy("slot").agg(value_at("low"), value_at("high")).collect()
-    return [(wanted[row["slot"]], (row["low"], row["high"])) for row in found]
+    so_far = W.partitionBy("slot").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
+    placed = (
+        inside.withColumn("taken", F.sum("copies").over(so_far))
+        # One row per wanted quantile: the size of the side broadcast here is fixed.
+        .join(F.broadcast(ranks), "slot")
+        .selectExpr("slot", "value", "low", "high", "below + taken AS stop", "below + taken - copies AS start")
+    )
+    found = placed.groupBy("slot").agg(
+        *[
+            F.expr(f"max(value) FILTER (WHERE start <= {rank} AND {rank} < stop) AS {rank}_value")
+            for rank in ("low", "high")
+        ]
+    )
+    for row in found.collect():
+        yield wanted[row["slot"]], row["low_value"], row["high_value"]

@@ -6,9 +6,9 @@ import sys
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from ebbline.functions.cells import sentinel_fill
+from ebbline.functions.cells import double_literal, filled
 from ebbline.operators.quantiles import exact_quantiles
 
 STATS_SCHEMA = "feature string, median double, iqr double"
@@ -43,17 +43,19 @@ class RobustScale:
         tiny = 10 * sys.float_info.epsilon
         return {name: 1.0 if iqr < tiny else iqr for name, _, iqr in self.stats}
 
-    def columns(self, sentinel: float | None = -1.0) -> dict[str, Column]:
-        """Scaled feature expressions; missing and infinite results become ``sentinel``."""
+    def expressions(self, sentinel: float | None = -1.0) -> dict[str, str]:
+        """SQL for each scaled feature; missing and infinite results become ``sentinel``.
+
+        The fitted numbers are written out in full, so a text stored with them scales the same way.
+        """
         divisors = self.divisors()
-        scaled = {
-            name: (F.col(name).cast("double") - F.lit(median)) / F.lit(divisors[name])
-            for name, median, _ in self.stats
-        }
-        if sentinel is None:
-            return scaled
-        return {name: sentinel_fill(value, sentinel) for name, value in scaled.items()}
+        cells = {}
+        for name, median, _ in self.stats:
+            value = f"((CAST({name} AS DOUBLE) - {double_literal(median)}) / {double_literal(divisors[name])})"
+            cells[name] = value if sentinel is None else filled(value, sentinel)
+        return cells
 
     def transform(self, df: DataFrame, sentinel: float | None = -1.0) -> DataFrame:
         """Scale in place, keeping the other columns of each row."""
-        return df.withColumns(self.columns(sentinel))
+        scaled = self.expressions(sentinel)
+        return df.selectExpr(*[f"{scaled[c]} AS {c}" if c in scaled else f"`{c}`" for c in df.columns])

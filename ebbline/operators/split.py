@@ -1,8 +1,10 @@
-"""Deterministic train/test split and folds from key hashes: no shuffle, same answer on every run."""
+"""Deterministic train/test split and folds from key hashes, the same on every run."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 from ebbline.functions.cells import hash_bucket
 from ebbline.options import SplitOptions
@@ -12,7 +14,7 @@ DEFAULTS = SplitOptions()
 
 
 def assign_split(df: DataFrame, options: SplitOptions = DEFAULTS) -> DataFrame:
-    """Add split: 'test' for ``test_percent`` of the keys, 'train' for the rest.
+    """Add split: 'test' for ``test_percent`` of the keys, 'train' for the rest; no shuffle, no pass.
 
     The hash does not depend on the label, so each label keeps its share up to sampling error.
     """
@@ -20,6 +22,63 @@ def assign_split(df: DataFrame, options: SplitOptions = DEFAULTS) -> DataFrame:
     return df.withColumn("split", F.when(bucket < options.test_percent, "test").otherwise("train"))
 
 
+def train_quota(counts: Mapping[object, int], test_percent: int) -> dict[object, int]:
+    """Train rows per label so that all labels together leave ceil(test share) rows for the test.
+
+    Shares are rounded down and the missing rows go to the largest remainders.
+    """
+    total = sum(counts.values())
+    wanted = total - -(-total * test_percent // 100)
+    quota = {label: n * wanted // total for label, n in counts.items()}
+    by_remainder = sorted(counts, key=lambda label: (-(counts[label] * wanted % total), str(label)))
+    for label in by_remainder[: wanted - sum(quota.values())]:
+        quota[label] += 1
+    return quota
+
+
+def assign_stratified_split(df: DataFrame, label: str = TARGET, options: SplitOptions = DEFAULTS) -> DataFrame:
+    """Add split with exact shares: every label gives its quota, the rows of the smallest key hashes
+    being the test.
+
+    Hashes are counted by their first three digits, which places the quota in one of 4,096 parts of
+    a label; only that part is ranked. The rows themselves are not moved: each compares its hash with
+    the label's last test hash. ``df`` is read three times, so stage it.
+    """
+    spark = df.sparkSession
+    digest = F.md5(F.concat_ws("|", F.lit(str(options.seed)), *IDENTIFIERS))
+    hashed = df.select(F.col(label).alias("Label"), digest.alias("Digest"))
+    part = F.substring("Digest", 1, 3)
+    parts = hashed.groupBy("Label", part.alias("Part")).agg(F.count(F.lit(1)).alias("Rows"))
+    by_label: dict[object, list] = {}
+    for row in parts.collect():  # at most 4,096 rows per label
+        by_label.setdefault(row["Label"], []).append((row["Part"], row["Rows"]))
+
+    quota = train_quota({k: sum(n for _, n in v) for k, v in by_label.items()}, options.test_percent)
+    wanted = []
+    for value, found in by_label.items():
+        left = sum(n for _, n in found) - quota[value]
+        for name, rows in sorted(found):
+            if left <= rows:
+                wanted.append((value, name, left))
+                break
+            left -= rows
+    places = spark.createDataFrame(
+        wanted, T.StructType([hashed.schema["Label"], T.StructField("Part", T.StringType()),
+                              T.StructField("Place", T.IntegerType())])
+    )
+    # One row per label on the broadcast side.
+    in_part = hashed.withColumn("Part", part).join(F.broadcast(places), ["Label", "Part"])
+    rank = F.row_number().over(W.partitionBy("Label").orderBy("Digest"))
+    last = (
+        in_part.withColumn("Rank", rank)
+        .where(F.col("Rank") == F.col("Place"))
+        .select(F.col("Label").alias(label), F.col("Digest").alias("LastTest"))
+    )
+    marked = df.join(F.broadcast(last), label, "left")
+    is_test = F.coalesce(digest <= F.col("LastTest"), F.lit(False))
+    return marked.withColumn("split", F.when(is_test, "test").otherwise("train")).select(*df.columns, "split")
+
+
 def assign_fold(df: DataFrame, options: SplitOptions = DEFAULTS) -> DataFrame:
     """Add fold: 0 to folds - 1, hashed independently of the split."""
     return df.withColumn("fold", hash_bucket(options.folds, F.lit(f"{options.seed}-fold"), *IDENTIFIERS))

@@ -32,6 +32,8 @@ class SplitOptions:
 
     seed: int = 42
     test_percent: int = 20
+    # True: every label gives exactly its share to the test. False: hash alone, no extra pass.
+    exact: bool = True
     folds: int = 5
 
 

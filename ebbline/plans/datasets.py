@@ -16,7 +16,7 @@ AMOUNTS = ["Credit", "Debit", "Balance"]
 
 def _numeric(df: DataFrame, *extra: str) -> DataFrame:
     names = [*schemas.IDENTIFIERS, *AMOUNTS, "Prev_Mean_Bal", *extra, *schemas.FEATURE_COLUMNS[1:]]
-    return df.select([df[c].cast("double").alias(c) if c in AMOUNTS else df[c] for c in names])
+    return df.selectExpr(*[f"CAST({c} AS DOUBLE) AS {c}" if c in AMOUNTS else c for c in names])
 
 
 def training_set(tx: DataFrame, features: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame:

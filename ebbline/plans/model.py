@@ -12,6 +12,7 @@ from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 
+from ebbline.functions.cells import filled
 from ebbline.operators.scaling import RobustScale
 from ebbline.options import ModelOptions, SplitOptions
 from ebbline.schemas import MODEL_FEATURES, TARGET
@@ -30,25 +31,15 @@ class FittedModel:
     auc_by_depth: tuple[tuple[int, float], ...]
 
 
-def _number(value: float) -> str:
-    return f"CAST('{value!r}' AS DOUBLE)"
-
-
 def prepare_stage(scale: RobustScale | None, features: Sequence[str] = MODEL_FEATURES) -> SQLTransformer:
     """Scaled features as new columns, missing and infinite values as -1, in one SQL stage.
 
     The fitted numbers sit in the stage itself, so that saving the pipeline saves them too.
+    Without a scale the raw values are taken.
     """
-    medians = {name: median for name, median, _ in scale.stats} if scale else {}
-    divisors = scale.divisors() if scale else {}
-    cells = []
-    for name in features:
-        value = f"CAST(`{name}` AS DOUBLE)"
-        if scale:
-            value = f"(({value} - {_number(medians[name])}) / {_number(divisors[name])})"
-        missing = f"{value} IS NULL OR isnan({value}) OR abs({value}) = CAST('Infinity' AS DOUBLE)"
-        cells.append(f"CASE WHEN {missing} THEN CAST(-1 AS DOUBLE) ELSE {value} END AS `x_{name}`")
-    return SQLTransformer(statement=f"SELECT *, {', '.join(cells)} FROM __THIS__")
+    cells = scale.expressions() if scale else {f: filled(f"CAST({f} AS DOUBLE)") for f in features}
+    columns = ", ".join(f"{cells[name]} AS x_{name}" for name in features)
+    return SQLTransformer(statement=f"SELECT *, {columns} FROM __THIS__")
 
 
 def assembler(features: Sequence[str] = MODEL_FEATURES) -> VectorAssembler:

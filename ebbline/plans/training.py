@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 
 from ebbline.operators.metrics import classification_metrics
 from ebbline.operators.scaling import RobustScale
-from ebbline.operators.split import assign_fold, assign_split
+from ebbline.operators.split import assign_fold, assign_split, assign_stratified_split
 from ebbline.options import ModelOptions, SeriesOptions, SplitOptions
 from ebbline.plans.datasets import training_set
-from ebbline.plans.model import FittedModel, fit_model, save_model
+from ebbline.plans.model import FittedModel, assembler, fit_model, prepare_stage, save_model
 from ebbline.schemas import MODEL_FEATURES, TARGET
 from ebbline.session import stage
 from ebbline.sources.sinks import append_training_log
@@ -19,7 +19,8 @@ from ebbline.sources.sinks import append_training_log
 
 def prepare_rows(tx: DataFrame, features: DataFrame, series: SeriesOptions, split: SplitOptions) -> DataFrame:
     """Training set with its split and fold, written once: fitting reads it many times."""
-    return stage(assign_fold(assign_split(training_set(tx, features, series), split), split), "training")
+    rows = stage(assign_fold(training_set(tx, features, series), split), "training")
+    return assign_stratified_split(rows, options=split) if split.exact else assign_split(rows, split)
 
 
 def train_on(rows: DataFrame, model: ModelOptions, split: SplitOptions) -> FittedModel:
@@ -40,8 +41,6 @@ def evaluate(model: FittedModel, rows: DataFrame, compat: bool = False) -> DataF
     """
     test = rows.where("split = 'test'")
     if compat:
-        from ebbline.plans.model import assembler, prepare_stage
-
         raw = assembler().transform(prepare_stage(None).transform(test))
         scored = model.pipeline.stages[-1].transform(raw)
     else:

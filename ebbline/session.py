@@ -31,13 +31,15 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session without the setting gets a folder of its own, since there the driver and
     the executors are one process.
     """
-    named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by the whole cluster")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ebbline-"))
-    return spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    named = spark.conf.get(CHECKPOINT_DIR, None)
+    if not named and context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by the whole cluster")
+        named = tempfile.mkdtemp(prefix="ebbline-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(named)
+    return named or context.getCheckpointDir()
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -85,7 +85,7 @@ def _stats(grain: str, name: str) -> str:
             f"max({side}) AS {grain}_Max_{side}",
             f"quantile_cont({side}, 0.5) AS {grain}_Median_{side}",
             f"quantile_cont(CAST(n{side} AS DOUBLE), 0.5) AS {grain}_Count_Median_{side}",
-            f"coalesce(var_samp(CAST(n{side} AS DOUBLE)), 0) AS {grain}_Count_Variance_{side}",
+            f"var_samp(CAST(n{side} AS DOUBLE)) AS {grain}_Count_Variance_{side}",
         ]
     return f"{name}_stats AS (SELECT CustomerID, {', '.join(cells)} FROM {name}_rows GROUP BY 1)"
 
@@ -142,6 +142,11 @@ features AS (
 )"""
 
 
+def _sentinels() -> str:
+    names = [n for n in FEATURE_COLUMNS if n not in ("CustomerID", "Age", "SegmentID")]
+    return ", ".join(f"round(coalesce({n}, -1), 6) AS {n}" for n in names)
+
+
 FEATURES = TX + "," + _features()
 TRAINING = LABELLED + "," + _features()
 
@@ -243,6 +248,12 @@ SELECT CustomerID, ProductCode, Date, {_AMOUNTS}, Prev_Mean_Bal FROM flagged""",
 SELECT CustomerID, ProductCode, Date, {_AMOUNTS}, Prev_Mean_Bal FROM latest""",
     "customer_features": f"WITH {FEATURES} SELECT * FROM features",
     "features_for_customers": f"WITH {FEATURES} SELECT * FROM features WHERE CustomerID IN {_MACHINERY}",
+    "feature_table_scan": f"WITH {FEATURES} SELECT * FROM features",
+    "sentinel_filled_features": f"""WITH {FEATURES}
+SELECT CustomerID, {_sentinels()}
+FROM (SELECT DISTINCT CustomerID FROM tx) LEFT JOIN week_stats USING (CustomerID)
+     LEFT JOIN month_stats USING (CustomerID) LEFT JOIN slots USING (CustomerID)
+     LEFT JOIN change USING (CustomerID)""",
     "training_set": f"WITH {TRAIN_ROWS} SELECT * FROM train",
     "inference_set": f"""WITH {TRAINING}
 SELECT CustomerID, ProductCode, Date, {_AMOUNTS}, Prev_Mean_Bal, {_FEATURE_LIST}
@@ -258,6 +269,25 @@ SELECT CustomerID, ProductCode, Date, {_scaled()}, Struggle_shifted FROM train""
 SELECT CASE WHEN {_bucket(100, '42')} < 20 THEN 'test' ELSE 'train' END AS split,
        Struggle_shifted, count(*) AS rows
 FROM labelled GROUP BY 1, 2""",
+    "stratified_split": f"""WITH {LABELLED},
+sizes AS (SELECT Struggle_shifted AS y, count(*) AS n FROM labelled GROUP BY 1),
+total AS (SELECT sum(n) AS n, sum(n) - CAST(ceil(sum(n) * 20 / CAST(100 AS DOUBLE)) AS BIGINT) AS train FROM sizes),
+shares AS (
+  SELECT y, sizes.n, sizes.n * train // total.n AS whole, sizes.n * train % total.n AS part, train
+  FROM sizes, total
+),
+quota AS (
+  SELECT y, n, whole + CASE WHEN row_number() OVER (ORDER BY part DESC, y) <= train - sum(whole) OVER ()
+                            THEN 1 ELSE 0 END AS keep
+  FROM shares
+),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY Struggle_shifted ORDER BY md5({_KEY.format('42')})) AS place
+  FROM labelled
+)
+SELECT CustomerID, ProductCode, Date, Struggle_shifted,
+       CASE WHEN place <= n - keep THEN 'test' ELSE 'train' END AS split
+FROM ordered JOIN quota ON y = Struggle_shifted""",
     "fold_counts": f"""WITH {LABELLED}
 SELECT CAST({_bucket(5, '42-fold')} AS INTEGER) AS fold, Struggle_shifted, count(*) AS rows
 FROM labelled GROUP BY 1, 2""",

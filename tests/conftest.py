@@ -1,0 +1,57 @@
+import datetime as dt
+import sys
+from decimal import Decimal
+from pathlib import Path
+
+import pytest
+
+ROOT = Path(__file__).resolve().parents[1]
+sys.path.insert(0, str(ROOT))
+sys.path.insert(0, str(ROOT / "tests"))
+
+from ebbline import schemas  # noqa: E402
+from ebbline.session import build_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = build_session(
+        "tests",
+        "local[8]",
+        **{
+            "spark.sql.shuffle.partitions": "8",
+            "spark.driver.memory": "8g",
+            "spark.ui.showConsoleProgress": "false",
+            # Away from UTC on purpose: no result may depend on the session time zone.
+            "spark.sql.session.timeZone": "America/New_York",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+        },
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def transactions(spark):
+    """Build a transactions frame from (customer, product, amount, date text, type) rows."""
+
+    def build(rows):
+        typed = [
+            (
+                c,
+                p,
+                None if a is None else Decimal(str(a)),
+                None if d is None else dt.datetime.fromisoformat(d),
+                t,
+            )
+            for c, p, a, d, t in rows
+        ]
+        return spark.createDataFrame(typed, schemas.TRANSACTIONS)
+
+    return build
