@@ -1,0 +1,167 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from ebbline import schemas
+from ebbline.operators.features import latest_per_key, require_unique
+from ebbline.operators.series import labelled_series
+from ebbline.options import SeriesOptions
+from ebbline.sources import readers, requests, sinks
+
+
+def test_null_ids_become_a_group_of_their_own(spark):
+    raw = spark.createDataFrame(
+        [(None, None, 1.5, "2023-01-10", "C")],
+        "CustomerID int, ProductCode string, TransAmount double, TransDate string, TransType string",
+    )
+    row = readers.coerce_transactions(raw).first()
+    assert row == ("None", "None", Decimal("1.50"), dt.datetime(2023, 1, 10), "C")
+    assert readers.coerce_transactions(raw, null_id_as_text=False).first()["CustomerID"] is None
+
+
+def test_nan_amounts_are_missing(spark):
+    raw = spark.createDataFrame(
+        [("1", "A", float("nan"), "2023-01-10", "C")],
+        "CustomerID string, ProductCode string, TransAmount double, TransDate string, TransType string",
+    )
+    assert readers.coerce_transactions(raw).first()["TransAmount"] is None
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("amount, date", [("x", "2023-01-10"), ("1", "soon")])
+def test_bad_values_raise(spark, ansi, amount, date):
+    raw = spark.createDataFrame([("1", "A", amount, date, "C")], schemas.TRANSACTIONS.names)
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(PySparkException, match="cannot read"):
+            readers.coerce_transactions(raw).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_feature_names_are_trimmed_and_values_numbers(spark):
+    names = [n + " " if n == "Monthly_Count_Median_Debit" else n for n in schemas.FEATURE_COLUMNS]
+    raw = spark.createDataFrame([tuple(["7"] + ["1.25"] * 31 + ["3"])], names)
+    found = readers.coerce_features(raw)
+    assert found.columns == schemas.FEATURE_COLUMNS
+    assert found.first()["Monthly_Count_Median_Debit"] == 1.25 and found.first()["SegmentID"] == 3
+
+
+def test_jdbc_source_reads_in_ranges():
+    source = readers.jdbc_source("jdbc:x", "tx", "TransDate", "2020-01-01", "2024-01-01", 64, user="u")
+    assert source.format == "jdbc" and source.path is None
+    assert source.options["numPartitions"] == "64" and source.options["partitionColumn"] == "TransDate"
+    assert source.options["fetchsize"] == "10000" and source.options["user"] == "u"
+
+
+def test_trailing_months_keep_the_time_of_day(spark):
+    moments = ["2023-02-28 11:59:59", "2023-02-28 12:00:00", "2023-05-31 12:00:00"]
+    df = spark.createDataFrame([(m,) for m in moments], "t string").select(F.to_timestamp_ntz("t").alias("TransDate"))
+    assert [str(r[0]) for r in readers.trailing_months(df).orderBy("TransDate").collect()] == moments[1:]
+
+
+def test_active_budgets(spark):
+    budgets = spark.createDataFrame([("1",), ("2",), ("3",)], "BudgetID string")
+    rows = [("1", "2023-05-01"), ("2", "2022-01-01"), ("1", "2023-05-02")]
+    tx = spark.createDataFrame(rows, "BudgetID string, t string").select("BudgetID", F.to_timestamp_ntz("t").alias("TransDate"))
+    assert [r[0] for r in readers.active_budgets(budgets, tx).collect()] == ["1"]
+
+
+@pytest.fixture
+def customers(spark):
+    return spark.createDataFrame([("1",), ("2",), ("None",)], "CustomerID string")
+
+
+@pytest.mark.parametrize(
+    "request_ids, kept",
+    [(None, 3), ([], 3), (["2"], 1), ([2, "9"], 1), (["2", "2"], 1), ([None], 1), ([str(i) for i in range(2000)], 2)],
+)
+def test_requests(customers, request_ids, kept):
+    assert requests.for_customers(customers, request_ids).count() == kept
+
+
+def test_request_frames(spark, customers):
+    def asked(values):
+        return spark.createDataFrame([(v,) for v in values], "id bigint")
+
+    assert requests.for_customers(customers, asked([])).count() == 3
+    assert requests.for_customers(customers, asked([2, 2, 7, None])).count() == 2
+
+
+def test_a_request_above_the_bound_is_not_broadcast(spark):
+    ids = spark.range(100).selectExpr("CAST(id AS STRING) AS CustomerID")
+    assert "broadcast" in requests.broadcast_if_small(ids, 100)._jdf.queryExecution().logical().toString()
+    assert "broadcast" not in requests.broadcast_if_small(ids, 99)._jdf.queryExecution().logical().toString()
+
+
+def test_requested_series_equal_the_full_result_restricted(spark, sf_dir):
+    from ebbline.sources import star
+
+    tx = star.transactions(spark, sf_dir)
+    every = labelled_series(tx)
+    ids = [r[0] for r in every.select("CustomerID").distinct().limit(5).collect()]
+    asked = labelled_series(requests.for_customers(tx, ids))
+    wanted = every.where(F.col("CustomerID").isin(ids))
+    assert asked.exceptAll(wanted).isEmpty() and wanted.exceptAll(asked).isEmpty() and not asked.isEmpty()
+
+
+def test_duplicate_keys_raise_unless_resolved(spark):
+    df = spark.createDataFrame([("1", 1), ("1", 2), ("2", 3)], "CustomerID string, v int")
+    with pytest.raises(PySparkException, match="duplicate CustomerID: 1"):
+        require_unique(df).collect()
+    assert sorted(map(tuple, latest_per_key(df, "v").collect())) == [("1", 2), ("2", 3)]
+
+
+@pytest.fixture
+def predictions(spark):
+    rows = [("1", "A", dt.date(2023, 9, 30), 1, 3, 152), ("2", "B", dt.date(1969, 12, 31), 0, 0, None)]
+    return spark.createDataFrame(
+        rows, "CustomerID string, ProductCode string, Date date, Struggle int, StruggleWeek int, FundingAmount int"
+    )
+
+
+def test_predictions_append(spark, predictions, tmp_path):
+    path = str(tmp_path / "predictions")
+    for _ in range(2):
+        sinks.append_predictions(predictions, path)
+    found = sorted(map(tuple, sinks.read_predictions(spark, path).collect()))
+    assert found == sorted([("1", dt.date(2023, 9, 30), 1), ("2", dt.date(1969, 12, 31), 0)] * 2)
+
+
+def test_response_records(predictions):
+    records = [r["record"] for r in sinks.response_records(predictions.orderBy("CustomerID")).collect()]
+    assert records == [
+        '{"CustomerID":"1","Date":1696032000000,"Struggle":1,"StruggleWeek":3,"FundingAmount":152}',
+        '{"CustomerID":"2","Date":-86400000,"Struggle":0,"StruggleWeek":0,"FundingAmount":null}',
+    ]
+
+
+def test_response_files(spark, predictions, tmp_path):
+    path = str(tmp_path / "response")
+    sinks.write_response(predictions, path)
+    assert spark.read.json(path).columns == ["CustomerID", "Date", "FundingAmount", "Struggle", "StruggleWeek"]
+
+
+def test_training_log_appends(spark, tmp_path):
+    path = str(tmp_path / "log")
+    for score in (90, 91.5):
+        sinks.append_training_log(spark, path, "m", dt.date(2023, 1, 21), score)
+    assert sorted(r["ModelScore"] for r in spark.read.parquet(path).collect()) == [90.0, 91.5]
+
+
+def test_weekly_budget_reload_replaces(spark, tmp_path):
+    path = str(tmp_path / "weekly")
+    for customer in ("1", "2"):
+        rows = spark.createDataFrame([(customer, dt.date(2023, 1, 2), 1.0, "X", 2.0)], schemas.WEEKLY_BUDGET)
+        sinks.reload_weekly_budget(rows, path)
+    found = readers.scan_weekly_budget(spark, readers.Source(path=path)).collect()
+    assert [tuple(r) for r in found] == [("2", dt.date(2023, 1, 2), 1.0, "X", 2.0)]
+    with pytest.raises(PySparkException):
+        readers.scan_weekly_budget(spark, readers.Source(path=str(tmp_path / "none")))
+
+
+def test_options_are_plain_values():
+    assert SeriesOptions().positive_months == 8 and SeriesOptions().product_splits == ()
