@@ -31,14 +31,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 SMALL_MODEL = ModelOptions(max_iter=3, max_depths=(4,))
 
 
-def _doubles(df: DataFrame) -> DataFrame:
-    """Decimals as doubles, for comparison with the SQL results."""
-    return df.selectExpr(
-        *[
-            f"CAST({f.name} AS DOUBLE) AS {f.name}" if isinstance(f.dataType, T.DecimalType) else f.name
-            for f in df.schema
-        ]
-    )
+def comparable(df: DataFrame) -> DataFrame:
+    """Decimals as doubles and dates as ISO text, types that every client library returns alike."""
+    as_type = {T.DecimalType: "DOUBLE", T.DateType: "STRING"}
+    casts = {f.name: as_type.get(type(f.dataType)) for f in df.schema}
+    return df.selectExpr(*[f"CAST({c} AS {t}) AS {c}" if t else c for c, t in casts.items()])
 
 
 def _rounded(df: DataFrame, names: list[str]) -> DataFrame:
@@ -59,11 +56,11 @@ def _new_folder(spark: SparkSession, label: str) -> str:
 
 
 def transactions_scan(spark, sf_dir):
-    return _doubles(star.transactions(spark, sf_dir))
+    return star.transactions(spark, sf_dir)
 
 
 def transactions_for_customers(spark, sf_dir):
-    return _doubles(requests.for_customers(star.transactions(spark, sf_dir), _request(spark, sf_dir)))
+    return requests.for_customers(star.transactions(spark, sf_dir), _request(spark, sf_dir))
 
 
 def trailing_three_months(spark, sf_dir):
@@ -85,16 +82,16 @@ def monthly_flows(spark, sf_dir):
         "ProductCode",
         F.year("Date").alias("year"),
         F.month("Date").alias("Month"),
-        F.col("Credit").cast("double").alias("Credit"),
-        F.col("Debit").cast("double").alias("Debit"),
-        (F.col("Credit") - F.col("Debit")).cast("double").alias("NetFlow"),
+        "Credit",
+        "Debit",
+        (F.col("Credit") - F.col("Debit")).alias("NetFlow"),
     )
 
 
 def unexpected_types_quarantine(spark, sf_dir):
     """The raw return flags as types, of which A and R are the known ones."""
     tx = star.transactions(spark, sf_dir, F.col("l_returnflag"))
-    return _doubles(series.unexpected_types(tx, SeriesOptions(credit_type="A", debit_type="R")))
+    return series.unexpected_types(tx, SeriesOptions(credit_type="A", debit_type="R"))
 
 
 def _balances(spark, sf_dir):
@@ -103,7 +100,7 @@ def _balances(spark, sf_dir):
 
 
 def _plain(df: DataFrame) -> DataFrame:
-    return _doubles(df.drop(blocks.BLOCK))
+    return df.drop(blocks.BLOCK)
 
 
 def monthly_balance(spark, sf_dir):
@@ -233,7 +230,7 @@ def rule_scorer_metrics(spark, sf_dir):
 
 
 def rule_scorer_auc(spark, sf_dir):
-    scored = labelled_series(spark, sf_dir).withColumn("score", F.col("Prev_Mean_Bal") - F.col("Balance"))
+    scored = labelled_series(spark, sf_dir).withColumn("score", F.col("Prev_Mean_Bal") - F.col("Balance").cast("double"))
     area = metrics.roc_auc(scored, "score", schemas.TARGET)
     return spark.createDataFrame([(round(area, 9),)], "auc double")
 
@@ -357,7 +354,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {query.__name__: query for query in REGISTERED}
+    def registered(query: Query) -> Query:
+        return lambda spark, sf_dir: comparable(query(spark, sf_dir))
+
+    return {query.__name__: registered(query) for query in REGISTERED}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -17,7 +17,7 @@ def weekly_budget(
     """
     spending = (
         tx.where(F.col("TransDate").isNotNull() & (F.col("TransType") == options.debit_type))
-        .groupBy("CustomerID", F.date_trunc("week", F.to_date("TransDate")).cast("date").alias("Week"))
+        .groupBy("CustomerID", F.date_sub(F.next_day("TransDate", "MON"), 7).alias("Week"))
         .agg(F.coalesce(F.sum("TransAmount"), F.lit(0).cast("decimal(28,2)")).alias("Spending"))
     )
     before = W.partitionBy("CustomerID").orderBy("Week").rowsBetween(-look_back, -1)

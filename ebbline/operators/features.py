@@ -34,21 +34,26 @@ def daily_flows(tx: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame:
 
 
 def period_flows(daily: DataFrame) -> DataFrame:
-    """Daily flows summed to periods: the four weeks of the month (Slot), calendar weeks from Monday
-    (Week) and months (Month); each row has one of the three set.
+    """Daily flows summed to periods, numbered within their Grain: the four weeks of the month
+    ('slot'), calendar weeks from Monday ('week') and months ('month').
 
-    The number of periods per customer is bounded by the calendar.
+    Days are first brought together by customer, of which a customer has no more than the calendar
+    holds. Unlike grouping sets, exploding the periods keeps that grouping, so this sum and the one
+    per customer after it need no shuffle of their own.
     """
-    keys = ["Slot", "Week", "Month"]
-    dated = daily.selectExpr(
-        "*",
-        "CAST(least(4, floor((day(Day) - 1) / 7) + 1) AS INT) AS Slot",
-        "CAST(date_trunc('WEEK', Day) AS DATE) AS Week",
-        "trunc(Day, 'MONTH') AS Month",
-    )
-    return dated.groupingSets([[CUSTOMER, key] for key in keys], CUSTOMER, *keys).agg(
-        *[F.expr(f"CAST(sum({side}Sum) AS DOUBLE)").alias(f"{side}Sum") for side in SIDES],
-        *[F.expr(f"sum({side}Count)").alias(f"{side}Count") for side in SIDES],
+    periods = """inline(array(
+        struct('slot' AS Grain, CAST(least(4, floor((day(Day) - 1) / 7) + 1) AS INT) AS Period),
+        struct('week' AS Grain, unix_date(next_day(Day, 'MON')) AS Period),
+        struct('month' AS Grain, year(Day) * 12 + month(Day) AS Period)))"""
+    flows = [f"{side}{what}" for side in SIDES for what in ("Sum", "Count")]
+    return (
+        daily.repartition(CUSTOMER)
+        .selectExpr(CUSTOMER, *flows, periods)
+        .groupBy(CUSTOMER, "Grain", "Period")
+        .agg(
+            *[F.expr(f"CAST(sum({side}Sum) AS DOUBLE)").alias(f"{side}Sum") for side in SIDES],
+            *[F.expr(f"sum({side}Count)").alias(f"{side}Count") for side in SIDES],
+        )
     )
 
 
@@ -61,17 +66,18 @@ def flow_features(tx: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame
     for side in SIDES:
         total, count = f"coalesce({side}Sum, 0D)", f"{side}Count"
         for slot in range(1, 5):
-            cells[f"Week_{slot}_Avg_{side}"] = f"max({side}Sum / nullif({count}, 0)) FILTER (WHERE Slot = {slot})"
-        for grain, key in (("Weekly", "Week"), ("Monthly", "Month")):
-            here = f"FILTER (WHERE {key} IS NOT NULL)"
-            cells[f"{grain}_Min_{side}"] = f"min({total}) {here}"
-            cells[f"{grain}_Max_{side}"] = f"max({total}) {here}"
-            cells[f"{grain}_Median_{side}"] = f"percentile({total}, 0.5D) {here}"
-            cells[f"{grain}_Count_Median_{side}"] = f"percentile({count}, 0.5D) {here}"
-            cells[f"{grain}_Count_Variance_{side}"] = f"var_samp({count}) {here}"
+            here = f"FILTER (WHERE Grain = 'slot' AND Period = {slot})"
+            cells[f"Week_{slot}_Avg_{side}"] = f"max({side}Sum / nullif({count}, 0)) {here}"
+        for name, grain in (("Weekly", "week"), ("Monthly", "month")):
+            here = f"FILTER (WHERE Grain = '{grain}')"
+            cells[f"{name}_Min_{side}"] = f"min({total}) {here}"
+            cells[f"{name}_Max_{side}"] = f"max({total}) {here}"
+            cells[f"{name}_Median_{side}"] = f"percentile({total}, 0.5D) {here}"
+            cells[f"{name}_Count_Median_{side}"] = f"percentile({count}, 0.5D) {here}"
+            cells[f"{name}_Count_Variance_{side}"] = f"var_samp({count}) {here}"
     # A customer's months, newest first; the last two give the change.
-    month = "struct(Month, coalesce(CreditSum, 0D) AS Credit, coalesce(DebitSum, 0D) AS Debit)"
-    months = f"slice(sort_array(collect_list({month}) FILTER (WHERE Month IS NOT NULL), false), 1, 2)"
+    month = "struct(Period, coalesce(CreditSum, 0D) AS Credit, coalesce(DebitSum, 0D) AS Debit)"
+    months = f"slice(sort_array(collect_list({month}) FILTER (WHERE Grain = 'month'), false), 1, 2)"
     changes = {
         f"Last_Month_PCT_CH_{side}": f"(Months[0].{side} - get(Months, 1).{side})"
         f" / nullif(get(Months, 1).{side}, 0D)"

@@ -56,7 +56,6 @@ def boosted_trees(options: ModelOptions) -> GBTClassifier:
         featureSubsetStrategy=str(options.feature_fraction),
         minInfoGain=options.min_info_gain,
         seed=options.seed,
-        cacheNodeIds=True,
         checkpointInterval=10,
     )
 

@@ -150,6 +150,8 @@ def _sentinels() -> str:
 FEATURES = TX + "," + _features()
 TRAINING = LABELLED + "," + _features()
 
+_DATE = "CAST(Date AS VARCHAR) AS Date"
+_IDS = f"CustomerID, ProductCode, {_DATE}"
 _FEATURE_LIST = ", ".join(FEATURE_COLUMNS[1:])
 _AMOUNTS = "CAST(Credit AS DOUBLE) AS Credit, CAST(Debit AS DOUBLE) AS Debit, CAST(Balance AS DOUBLE) AS Balance"
 _MACHINERY = "(SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_mktsegment = 'MACHINERY')"
@@ -200,14 +202,14 @@ spent AS (
   SELECT CustomerID, CAST(date_trunc('week', TransDate) AS DATE) AS Week, sum(TransAmount) AS Spending
   FROM tx WHERE TransType = 'D' GROUP BY 1, 2
 )
-SELECT CustomerID, Week,
+SELECT CustomerID, CAST(Week AS VARCHAR) AS Week,
        coalesce(CAST(sum(Spending) OVER w AS DOUBLE) / nullif(count(*) OVER w, 0), 0) AS AllocatedAmount,
        c_mktsegment AS CategoryTypeCode, CAST(Spending AS DOUBLE) AS Spending
 FROM spent JOIN customer ON CustomerID = CAST(c_custkey AS VARCHAR)
 WINDOW w AS (PARTITION BY CustomerID ORDER BY Week ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)"""
 
 _LABELLED_SERIES = f"""WITH {LABELLED}
-SELECT CustomerID, ProductCode, Date, {_AMOUNTS}, Prev_Mean_Bal, Struggle, Struggle_shifted FROM labelled"""
+SELECT {_IDS}, {_AMOUNTS}, Prev_Mean_Bal, Struggle, Struggle_shifted FROM labelled"""
 
 _TX_COLUMNS = "CustomerID, ProductCode, CAST(TransAmount AS DOUBLE) AS TransAmount, TransDate, TransType"
 _WINDOW = """o_orderdate BETWEEN (SELECT max(o_orderdate) FROM orders) - INTERVAL 3 MONTH
@@ -237,15 +239,15 @@ FROM monthly""",
 SELECT CAST(o_custkey AS VARCHAR) AS CustomerID, l_linestatus AS ProductCode,
        l_extendedprice AS TransAmount, o_orderdate AS TransDate, l_returnflag AS TransType
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag NOT IN ('A', 'R')""",
-    "monthly_balance": f"WITH {BALANCE} SELECT CustomerID, ProductCode, Date, {_AMOUNTS} FROM balance",
+    "monthly_balance": f"WITH {BALANCE} SELECT {_IDS}, {_AMOUNTS} FROM balance",
     "positive_month_counts": f"WITH {ELIGIBLE} SELECT *, PositiveMonths = 8 AS Qualifies FROM positive",
-    "eligible_series": f"WITH {ELIGIBLE} SELECT CustomerID, ProductCode, Date, {_AMOUNTS} FROM eligible",
+    "eligible_series": f"WITH {ELIGIBLE} SELECT {_IDS}, {_AMOUNTS} FROM eligible",
     "prev_mean_balance": f"""WITH {LABELLED}
-SELECT CustomerID, ProductCode, Date, {_AMOUNTS}, Prev_Mean_Bal FROM flagged""",
+SELECT {_IDS}, {_AMOUNTS}, Prev_Mean_Bal FROM flagged""",
     "labelled_series": _LABELLED_SERIES,
     "labelled_series_in_blocks": _LABELLED_SERIES,
     "latest_per_series": f"""WITH {LABELLED}
-SELECT CustomerID, ProductCode, Date, {_AMOUNTS}, Prev_Mean_Bal FROM latest""",
+SELECT {_IDS}, {_AMOUNTS}, Prev_Mean_Bal FROM latest""",
     "customer_features": f"WITH {FEATURES} SELECT * FROM features",
     "features_for_customers": f"WITH {FEATURES} SELECT * FROM features WHERE CustomerID IN {_MACHINERY}",
     "feature_table_scan": f"WITH {FEATURES} SELECT * FROM features",
@@ -254,17 +256,17 @@ SELECT CustomerID, {_sentinels()}
 FROM (SELECT DISTINCT CustomerID FROM tx) LEFT JOIN week_stats USING (CustomerID)
      LEFT JOIN month_stats USING (CustomerID) LEFT JOIN slots USING (CustomerID)
      LEFT JOIN change USING (CustomerID)""",
-    "training_set": f"WITH {TRAIN_ROWS} SELECT * FROM train",
+    "training_set": f"WITH {TRAIN_ROWS} SELECT * REPLACE ({_DATE}) FROM train",
     "inference_set": f"""WITH {TRAINING}
-SELECT CustomerID, ProductCode, Date, {_AMOUNTS}, Prev_Mean_Bal, {_FEATURE_LIST}
+SELECT {_IDS}, {_AMOUNTS}, Prev_Mean_Bal, {_FEATURE_LIST}
 FROM latest JOIN features USING (CustomerID)""",
     "inference_set_for_customers": f"""WITH {TRAINING}
-SELECT CustomerID, ProductCode, Date, {_AMOUNTS}, Prev_Mean_Bal, {_FEATURE_LIST}
+SELECT {_IDS}, {_AMOUNTS}, Prev_Mean_Bal, {_FEATURE_LIST}
 FROM latest JOIN features USING (CustomerID) WHERE CustomerID IN {_MACHINERY}""",
     "scaler_stats": f"""WITH {TRAIN_ROWS}, {_scaler_rows()}
 SELECT feature, round(median, 6) AS median, round(iqr, 6) AS iqr FROM scaler""",
     "scaled_features": f"""WITH {TRAIN_ROWS}, {_scaler_rows()}
-SELECT CustomerID, ProductCode, Date, {_scaled()}, Struggle_shifted FROM train""",
+SELECT {_IDS}, {_scaled()}, Struggle_shifted FROM train""",
     "stratified_split_counts": f"""WITH {LABELLED}
 SELECT CASE WHEN {_bucket(100, '42')} < 20 THEN 'test' ELSE 'train' END AS split,
        Struggle_shifted, count(*) AS rows
@@ -285,7 +287,7 @@ ordered AS (
   SELECT *, row_number() OVER (PARTITION BY Struggle_shifted ORDER BY md5({_KEY.format('42')})) AS place
   FROM labelled
 )
-SELECT CustomerID, ProductCode, Date, Struggle_shifted,
+SELECT {_IDS}, Struggle_shifted,
        CASE WHEN place <= n - keep THEN 'test' ELSE 'train' END AS split
 FROM ordered JOIN quota ON y = Struggle_shifted""",
     "fold_counts": f"""WITH {LABELLED}
@@ -313,10 +315,10 @@ ranked AS (
 ),
 n AS (SELECT count(*) FILTER (y = 1) AS p, count(*) FILTER (y = 0) AS q, sum(r) FILTER (y = 1) AS r FROM ranked)
 SELECT round((r - p * (p + 1) / CAST(2 AS DOUBLE)) / (CAST(p AS DOUBLE) * q), 9) AS auc FROM n""",
-    "predictions_with_overrides": f"WITH {LABELLED}, {_RULED} SELECT * FROM ruled",
+    "predictions_with_overrides": f"WITH {LABELLED}, {_RULED} SELECT * REPLACE ({_DATE}) FROM ruled",
     "prediction_records": f"""WITH {LABELLED}, {_RULED}
 SELECT CustomerID, epoch_ms(CAST(Date AS TIMESTAMP)) AS Date, Struggle, StruggleWeek, FundingAmount FROM ruled""",
-    "predictions_sink_roundtrip": f"WITH {LABELLED}, {_RULED} SELECT CustomerID, Date, Struggle FROM ruled",
+    "predictions_sink_roundtrip": f"WITH {LABELLED}, {_RULED} SELECT CustomerID, {_DATE}, Struggle FROM ruled",
     "weekly_budget": f"WITH {_WEEKLY_BUDGET}",
     "weekly_budget_reload": f"WITH {_WEEKLY_BUDGET}",
 }
