@@ -42,6 +42,18 @@ def monthly_flows(tx: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame
     )
 
 
+def detect_types(tx: DataFrame) -> tuple[str, str]:
+    """Credit and debit types taken by position: the only two types of the data, in order.
+
+    For sources whose spelling is not known beforehand. Any other number of types is an error.
+    """
+    # Three rows at most reach the driver, enough to tell two from more.
+    found = sorted(row[0] for row in tx.select("TransType").distinct().limit(3).collect())
+    if len(found) != 2:
+        raise ValueError(f"expected two transaction types, found {found}")
+    return found[0], found[1]
+
+
 def unexpected_types(tx: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame:
     """Transactions whose type is neither credit nor debit; the series leaves them out."""
     return tx.where(~F.col("TransType").isin(options.credit_type, options.debit_type))

@@ -155,6 +155,17 @@ def test_unexpected_types_are_set_aside(transactions):
     assert float(series.monthly_flows(df).first()["Credit"]) == 1
 
 
+def test_types_by_position(transactions):
+    rows = [("1", "A", 1, "2023-01-10", "in"), ("1", "A", 2, "2023-01-10", "out"), ("1", "A", 2, "2023-01-11", "in")]
+    assert series.detect_types(transactions(rows)) == ("in", "out")
+    credit, debit = series.detect_types(transactions(rows))
+    flows = series.monthly_flows(transactions(rows), SeriesOptions(credit_type=credit, debit_type=debit)).first()
+    assert (float(flows["Credit"]), float(flows["Debit"])) == (3, 2)
+    for wrong in (rows[:1], [*rows, ("1", "A", 2, "2023-01-10", "x")]):
+        with pytest.raises(ValueError, match="two transaction types"):
+            series.detect_types(transactions(wrong))
+
+
 def test_products_sort_as_text(transactions):
     """Product 10 comes before product 9, so 9 opens at the balance of 10."""
     rows = [("1", "9", 1, "2023-01-10", "C"), ("1", "10", 100, "2023-01-10", "C")]
