@@ -276,9 +276,9 @@ def weekly_budget_reload(spark, sf_dir):
 
 
 def _trained(spark, sf_dir, options: ModelOptions = SMALL_MODEL):
-    tx, table = star.transactions(spark, sf_dir), features.customer_features(
-        star.profiles(spark, sf_dir), star.transactions(spark, sf_dir)
-    )
+    """Transactions, a stored feature table, the folder of the trained model, the model, its metrics."""
+    tx = star.transactions(spark, sf_dir)
+    table = stage(features.customer_features(star.profiles(spark, sf_dir), tx), "features")
     path = _new_folder(spark, "model")
     fitted, scores = training.train(tx, table, _options(spark, sf_dir), model=options, path=path)
     return tx, table, path, fitted, scores

@@ -31,10 +31,13 @@ def choose_splits(
     The splits are the codes with the smallest hashes, an even spread over the catalogue. Only they
     reach the driver, fewer than ``max_blocks`` strings.
     """
-    codes = products.select(F.coalesce(F.col(PRODUCT).cast("string"), F.lit("None")).alias(PRODUCT)).distinct()
-    blocks = min(math.ceil(codes.count() / per_block), max_blocks)
+    codes = products.select(F.coalesce(F.col(PRODUCT).cast("string"), F.lit("None")).alias(PRODUCT))
+    # The size of a block is no exact figure, so an estimate of the catalogue will do.
+    found = codes.agg(F.approx_count_distinct(PRODUCT)).first()[0]
+    blocks = min(math.ceil(found / per_block), max_blocks)
     if blocks <= 1:
         return ()
+    codes = codes.distinct()
     picked = codes.orderBy(F.xxhash64(PRODUCT), PRODUCT).limit(blocks - 1).collect()
     return tuple(sorted((row[0] for row in picked), key=lambda code: code.encode()))
 

@@ -1,8 +1,9 @@
 """Exact quantiles of many columns without sorting any of them.
 
-An approximate sketch brackets each wanted rank; one pass counts the values below and inside every
-bracket, which proves that the rank lies inside; only the values inside are then ordered. A bracket
-holds a few ten-thousandths of the rows, and equal values count as one.
+Each wanted quantile has a range of values known to hold it, at first the whole column. While a range
+is too big to order, an approximate sketch of its values proposes a narrow part around the wanted
+rank, and a pass of counts proves that the rank lies there. What is left is ordered, equal values
+counting as one.
 """
 
 from __future__ import annotations
@@ -15,9 +16,11 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ebbline.functions.cells import double_literal, missing
 
+# Ranges up to this many rows are ordered, each in one task.
+ORDERED_ROWS = 250_000
 ACCURACY = 10_000
-# Half-widths of the brackets as shares of the rows, narrow first; the last takes in everything.
-HALF_WIDTHS = (2 / ACCURACY, 0.02, 1.0)
+# A sketch's rank is off by at most 1/ACCURACY; its proposals reach twice as far to either side.
+HALF_WIDTH = 2 / ACCURACY
 
 
 def _present(column: str) -> str:
@@ -25,37 +28,50 @@ def _present(column: str) -> str:
     return f"CASE WHEN NOT {missing(value)} THEN {value} END"
 
 
-def _between(column: str, low: float, high: float) -> str:
-    return f"{_present(column)} BETWEEN {double_literal(low)} AND {double_literal(high)}"
-
-
 @dataclass
 class _Wanted:
-    """One quantile being looked for, with its bracket once that is proven."""
+    """One quantile, and the range of values that holds its neighbours."""
 
     column: str
     probability: float
-    rows: int
-    edges: dict[float, float]
+    total: int
+    low: float = -math.inf
+    high: float = math.inf
     below: int = 0
-    bracket: tuple[float, float] | None = None
+    rows: int = 0
+    half_width: float = HALF_WIDTH
+
+    def __post_init__(self) -> None:
+        self.rows = self.total
 
     @property
     def rank(self) -> float:
-        return self.probability * (self.rows - 1)
+        return self.probability * (self.total - 1)
+
+    @property
+    def range(self) -> tuple[str, float, float]:
+        return self.column, self.low, self.high
 
-    def candidate(self, half_width: float) -> tuple[float, float]:
-        return tuple(self.edges[edge] for edge in _edges(self.probability, half_width))
+    @property
+    def orderable(self) -> bool:
+        """Few enough rows, a single value, or nothing narrower to be found."""
+        return self.rows <= ORDERED_ROWS or self.low == self.high or self.half_width >= 1
 
-    def accept(self, below: int, inside: int, bracket: tuple[float, float]) -> bool:
-        """Take the bracket if it holds both neighbours of the rank."""
-        if below <= math.floor(self.rank) and math.ceil(self.rank) < below + inside:
-            self.below, self.bracket = below, bracket
-        return self.bracket is not None
+    def edges(self) -> tuple[float, float]:
+        """Shares of the range between which to look next."""
+        place = (self.rank - self.below) / (self.rows - 1)
+        return max(place - self.half_width, 0.0), min(place + self.half_width, 1.0)
 
+    def narrow(self, low: float, high: float, below: int, rows: int) -> None:
+        """Take the part from low to high if it holds both neighbours and is smaller; else look wider."""
+        if below <= math.floor(self.rank) and math.ceil(self.rank) < below + rows < below + self.rows:
+            self.low, self.high, self.below, self.rows = low, high, below, rows
+        else:
+            self.half_width *= 10
 
-def _edges(probability: float, half_width: float) -> tuple[float, float]:
-    return max(probability - half_width, 0.0), min(probability + half_width, 1.0)
+
+def _inside(column: str, low: float, high: float) -> str:
+    return f"{_present(column)} BETWEEN {double_literal(low)} AND {double_literal(high)}"
 
 
 def exact_quantiles(
@@ -63,86 +79,76 @@ def exact_quantiles(
 ) -> dict[tuple[str, float], float | None]:
     """Quantiles with linear interpolation between neighbours; missing values are ignored.
 
-    ``df`` is read three times, so stage it if it is costly to compute. A handful of numbers per
-    column reach the driver. Expressions are SQL text, one call each.
+    ``df`` is read twice, and twice more per round of narrowing, so stage it if it is costly to
+    compute. A handful of numbers per column reach the driver. Expressions are SQL text, one call each.
     """
-    edges = sorted({edge for p in probabilities for w in HALF_WIDTHS for edge in _edges(p, w)})
-    edge_list = ", ".join(double_literal(edge) for edge in edges)
-    probes = []
-    for i, column in enumerate(columns):
-        value = _present(column)
-        probes.append(f"count({value}) AS n{i}")
-        probes.append(f"percentile_approx({value}, array({edge_list}), {ACCURACY}) AS e{i}")
-    probe = df.agg(*map(F.expr, probes)).first()
+    totals = df.agg(*[F.expr(f"count({_present(c)}) AS n{i}") for i, c in enumerate(columns)]).first()
+    wanted = [_Wanted(c, p, totals[f"n{i}"]) for i, c in enumerate(columns) for p in probabilities if totals[f"n{i}"]]
+    while wide := [want for want in wanted if not want.orderable]:
+        _narrow(df, wide)
 
     result: dict[tuple[str, float], float | None] = {(c, p): None for c in columns for p in probabilities}
-    wanted = [
-        _Wanted(column, p, probe[f"n{i}"], dict(zip(edges, probe[f"e{i}"], strict=True)))
-        for i, column in enumerate(columns)
-        for p in probabilities
-        if probe[f"n{i}"]
-    ]
-    _prove_brackets(df, wanted)
     for want, low, high in _neighbours(df, wanted):
         share = want.rank - math.floor(want.rank)
         result[want.column, want.probability] = low * (1 - share) + high * share
     return result
 
 
-def _prove_brackets(df: DataFrame, wanted: list[_Wanted]) -> None:
-    """Count below and inside the narrowest bracket; widen only those that miss."""
-    unproven = list(wanted)
-    for half_width in HALF_WIDTHS:
-        # A bracket a few rows wide need not hold both neighbours, so it is not worth a pass.
-        tried = [w for w in unproven if half_width == HALF_WIDTHS[-1] or w.rows * half_width >= 4]
-        if not tried:
-            continue
-        counts = []
-        for i, want in enumerate(tried):
-            low, high = want.candidate(half_width)
-            counts.append(f"count_if({_present(want.column)} < {double_literal(low)}) AS b{i}")
-            counts.append(f"count_if({_between(want.column, low, high)}) AS i{i}")
-        row = df.agg(*map(F.expr, counts)).first()
-        missed = [
-            want
-            for i, want in enumerate(tried)
-            if not want.accept(row[f"b{i}"], row[f"i{i}"], want.candidate(half_width))
-        ]
-        unproven = [w for w in unproven if w in missed or w not in tried]
-        if not unproven:
-            return
+def _narrow(df: DataFrame, wanted: list[_Wanted]) -> None:
+    """One round: propose from sketches, then count."""
+    ranges = list(dict.fromkeys(want.range for want in wanted))
+    shares = {r: sorted({e for want in wanted if want.range == r for e in want.edges()}) for r in ranges}
+    sketches = []
+    for i, r in enumerate(ranges):
+        at = ", ".join(map(double_literal, shares[r]))
+        value = f"CASE WHEN {_inside(*r)} THEN {_present(r[0])} END"
+        sketches.append(f"percentile_approx({value}, array({at}), {ACCURACY}) AS s{i}")
+    found = df.agg(*map(F.expr, sketches)).first()
+    values = {r: dict(zip(shares[r], found[f"s{i}"], strict=True)) for i, r in enumerate(ranges)}
+
+    proposals = [tuple(values[want.range][edge] for edge in want.edges()) for want in wanted]
+    counts = []
+    for i, (want, (low, high)) in enumerate(zip(wanted, proposals, strict=True)):
+        counts.append(f"count_if({_present(want.column)} < {double_literal(low)}) AS b{i}")
+        counts.append(f"count_if({_inside(want.column, low, high)}) AS r{i}")
+    row = df.agg(*map(F.expr, counts)).first()
+    for i, (want, (low, high)) in enumerate(zip(wanted, proposals, strict=True)):
+        want.narrow(low, high, row[f"b{i}"], row[f"r{i}"])
 
 
 def _neighbours(df: DataFrame, wanted: list[_Wanted]) -> Iterator[tuple[_Wanted, float, float]]:
     """Values at the ranks just below and just above each wanted one."""
     if not wanted:
         return
+    ranges = list(dict.fromkeys(want.range for want in wanted))
     entries = ", ".join(
-        f"CASE WHEN {_between(want.column, *want.bracket)}"
-        f" THEN struct({slot} AS slot, {_present(want.column)} AS value) END"
-        for slot, want in enumerate(wanted)
+        f"CASE WHEN {_inside(*r)} THEN struct({i} AS place, {_present(r[0])} AS value) END"
+        for i, r in enumerate(ranges)
     )
-    inside = (
+    counted = (
         df.select(F.expr(f"explode(array_compact(array({entries}))) AS entry"))
-        .groupBy("entry.slot", "entry.value")
+        .groupBy("entry.place", "entry.value")
         .agg(F.count(F.lit(1)).alias("copies"))
     )
     ranks = df.sparkSession.createDataFrame(
-        [(slot, w.below, math.floor(w.rank), math.ceil(w.rank)) for slot, w in enumerate(wanted)],
-        "slot int, below bigint, low bigint, high bigint",
+        [
+            (ranges.index(w.range), i, w.below, math.floor(w.rank), math.ceil(w.rank))
+            for i, w in enumerate(wanted)
+        ],
+        "place int, id int, below bigint, low bigint, high bigint",
     )
-    so_far = W.partitionBy("slot").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
+    so_far = W.partitionBy("place").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
     placed = (
-        inside.withColumn("taken", F.sum("copies").over(so_far))
+        counted.withColumn("taken", F.sum("copies").over(so_far))
         # One row per wanted quantile: the size of the side broadcast here is fixed.
-        .join(F.broadcast(ranks), "slot")
-        .selectExpr("slot", "value", "low", "high", "below + taken AS stop", "below + taken - copies AS start")
+        .join(F.broadcast(ranks), "place")
+        .selectExpr("id", "value", "low", "high", "below + taken AS stop", "below + taken - copies AS start")
     )
-    found = placed.groupBy("slot").agg(
+    found = placed.groupBy("id").agg(
         *[
             F.expr(f"max(value) FILTER (WHERE start <= {rank} AND {rank} < stop) AS {rank}_value")
             for rank in ("low", "high")
         ]
     )
     for row in found.collect():
-        yield wanted[row["slot"]], row["low_value"], row["high_value"]
+        yield wanted[row["id"]], row["low_value"], row["high_value"]

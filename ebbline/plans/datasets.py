@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from ebbline import schemas
-from ebbline.operators.features import attach_features
+from ebbline.operators.features import attach_features, latest_per_key, require_unique
 from ebbline.operators.series import forecast_series, labelled_series
 from ebbline.options import SeriesOptions
 from ebbline.sources.requests import Request, for_customers
@@ -26,12 +28,19 @@ def training_set(tx: DataFrame, features: DataFrame, options: SeriesOptions = DE
 
 
 def inference_set(
-    tx: DataFrame, features: DataFrame, request: Request = None, options: SeriesOptions = DEFAULTS
+    tx: DataFrame,
+    features: DataFrame,
+    request: Request = None,
+    options: SeriesOptions = DEFAULTS,
+    newest_by: Sequence[str] = (),
 ) -> DataFrame:
     """The row to score of each eligible series, for all customers or the requested ones.
 
     The request restricts both scans before anything is computed. The last rows are picked before
-    the join, which then moves one row per series.
+    the join, which then moves one row per series. A series is scored once: a customer with several
+    feature rows is an error unless ``newest_by`` names the columns that pick one.
     """
     latest = forecast_series(for_customers(tx, request), options)
-    return _numeric(attach_features(latest, for_customers(features, request)))
+    asked = for_customers(features, request)
+    single = latest_per_key(asked, *newest_by) if newest_by else require_unique(asked)
+    return _numeric(attach_features(latest, single))

@@ -5,7 +5,7 @@ These definitions only make the test tables usable as input; they are no part of
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ebbline import schemas
 from ebbline.sources import readers
@@ -13,9 +13,17 @@ from ebbline.sources import readers
 # Market segments in alphabetical order; SegmentID is the place in this list.
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
+# Given so that a scan need not open files to find its columns.
+COLUMNS = {
+    "customer": "c_custkey bigint, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_extendedprice double, l_returnflag string, l_linestatus string",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return readers.Source(path=f"{sf_dir}/{name}.parquet").load(spark)
+    schema = T.StructType.fromDDL(COLUMNS[name])
+    return readers.Source(path=f"{sf_dir}/{name}.parquet", schema=schema).load(spark)
 
 
 def transactions(spark: SparkSession, sf_dir: str, trans_type: Column | None = None) -> DataFrame:

@@ -96,6 +96,15 @@ def test_duplicate_features_multiply_training_rows(inputs):
     assert datasets.training_set(tx, table.union(table), SERIES).count() == 2 * datasets.training_set(tx, table, SERIES).count()
 
 
+def test_duplicate_features_are_not_scored_twice(inputs):
+    tx, table = inputs
+    older = table.withColumn("Age", F.col("Age") - 1)
+    with pytest.raises(Exception, match="duplicate CustomerID"):
+        datasets.inference_set(tx, table.union(older), options=SERIES).collect()
+    newest = datasets.inference_set(tx, table.union(older), options=SERIES, newest_by=["Age"])
+    assert newest.exceptAll(datasets.inference_set(tx, table, options=SERIES)).isEmpty() and not newest.isEmpty()
+
+
 def test_missing_features_are_scored(inputs, trained):
     tx, table = inputs
     holed = table.withColumn("Age", F.lit(None).cast("double")).withColumn("Week_1_Avg_Credit", F.lit(float("nan")))

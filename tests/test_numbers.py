@@ -29,8 +29,11 @@ def columns_of(n, seed=0):
     }
 
 
-@pytest.mark.parametrize("n", [1, 2, 3, 10, 199, 201, 5000, 60000])
-def test_quantiles_are_exact(spark, n):
+@pytest.mark.parametrize("ordered_rows", [quantiles.ORDERED_ROWS, 2, 50])
+@pytest.mark.parametrize("n", [1, 2, 3, 10, 201, 30000])
+def test_quantiles_are_exact(spark, monkeypatch, n, ordered_rows):
+    """With small bounds the narrowing runs over several rounds."""
+    monkeypatch.setattr(quantiles, "ORDERED_ROWS", ordered_rows)
     data = columns_of(n, seed=n)
     df = spark.createDataFrame(list(zip(*data.values())), ", ".join(f"{c} double" for c in data)).repartition(5)
     found = quantiles.exact_quantiles(df, list(data), PROBABILITIES)
@@ -43,9 +46,10 @@ def test_quantiles_are_exact(spark, n):
                 assert found[column, p] is None
 
 
-def test_a_missed_bracket_is_widened(spark, monkeypatch):
-    """With a sketch this coarse the first brackets miss; the answer is exact all the same."""
-    monkeypatch.setattr(quantiles, "ACCURACY", 2)
+def test_a_missed_range_is_widened(spark, monkeypatch):
+    """With a sketch this coarse proposals miss; the answer is exact all the same."""
+    monkeypatch.setattr(quantiles, "ORDERED_ROWS", 100)
+    monkeypatch.setattr(quantiles, "ACCURACY", 3)
     values = columns_of(20000)["skewed"]
     df = spark.createDataFrame([(v,) for v in values], "skewed double").repartition(7)
     found = quantiles.exact_quantiles(df, ["skewed"], PROBABILITIES)
@@ -53,6 +57,17 @@ def test_a_missed_bracket_is_widened(spark, monkeypatch):
         assert found["skewed", p] == pytest.approx(np.percentile(values, p * 100), rel=1e-12)
 
 
+def test_narrowing_leaves_little_to_order(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "ORDERED_ROWS", 1000)
+    left = []
+    ordering = quantiles._neighbours
+    monkeypatch.setattr(quantiles, "_neighbours", lambda df, wanted: left.extend(wanted) or ordering(df, wanted))
+    df = spark.range(500_000).selectExpr("CAST(xxhash64(id) AS DOUBLE) AS x", "CAST(id % 3 AS DOUBLE) AS y")
+    quantiles.exact_quantiles(df, ["x", "y"], PROBABILITIES)
+    assert all(want.rows <= 1000 for want in left if want.column == "x")
+    assert all(want.low == want.high for want in left if want.column == "y")
+
+
 def test_scaling(spark):
     df = spark.createDataFrame([("a", float(i), 5.0, None if i else 1.0) for i in range(10)], "k string, x double, c double, m double")
     scale = RobustScale.fit(df, ["x", "c", "m"])
