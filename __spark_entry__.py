@@ -22,7 +22,7 @@ from ebbline.operators.scaling import RobustScale  # noqa: E402
 from ebbline.options import ModelOptions, SeriesOptions, SplitOptions  # noqa: E402
 from ebbline.plans import datasets, model, scoring, training  # noqa: E402
 from ebbline.session import shared_folder, stage  # noqa: E402
-from ebbline.sources import readers, requests, sinks, star  # noqa: E402
+from ebbline.sources import readers, sinks, star  # noqa: E402
 from oracle.sql import STATEMENTS  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,7 +60,7 @@ def transactions_scan(spark, sf_dir):
 
 
 def transactions_for_customers(spark, sf_dir):
-    return requests.for_customers(star.transactions(spark, sf_dir), _request(spark, sf_dir))
+    return star.transactions(spark, sf_dir, request=_request(spark, sf_dir))
 
 
 def trailing_three_months(spark, sf_dir):
@@ -135,11 +135,9 @@ def latest_per_series(spark, sf_dir):
     return _plain(series.forecast_series(star.transactions(spark, sf_dir), _options(spark, sf_dir)))
 
 
-def _features(spark, sf_dir):
-    tx = star.transactions(spark, sf_dir)
-    return _rounded(
-        features.customer_features(star.profiles(spark, sf_dir), tx), schemas.FEATURE_COLUMNS[2:-1]
-    )
+def _features(spark, sf_dir, request=None):
+    profiles, tx = star.profiles(spark, sf_dir, request), star.transactions(spark, sf_dir, request=request)
+    return _rounded(features.customer_features(profiles, tx), schemas.FEATURE_COLUMNS[2:-1])
 
 
 def customer_features(spark, sf_dir):
@@ -147,7 +145,7 @@ def customer_features(spark, sf_dir):
 
 
 def features_for_customers(spark, sf_dir):
-    return requests.for_customers(_features(spark, sf_dir), _request(spark, sf_dir))
+    return _features(spark, sf_dir, _request(spark, sf_dir))
 
 
 def feature_table_scan(spark, sf_dir):
@@ -177,8 +175,10 @@ def inference_set(spark, sf_dir):
 
 
 def inference_set_for_customers(spark, sf_dir):
-    tx, request = star.transactions(spark, sf_dir), _request(spark, sf_dir)
-    return datasets.inference_set(tx, _features(spark, sf_dir), request, _options(spark, sf_dir))
+    """The request applied to the tables as stored."""
+    request = _request(spark, sf_dir)
+    tx, table = star.transactions(spark, sf_dir, request=request), _features(spark, sf_dir, request)
+    return datasets.inference_set(tx, table, options=_options(spark, sf_dir))
 
 
 def _fitted_scale(spark, sf_dir):

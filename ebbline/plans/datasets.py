@@ -36,7 +36,8 @@ def inference_set(
 ) -> DataFrame:
     """The row to score of each eligible series, for all customers or the requested ones.
 
-    The request restricts both scans before anything is computed. The last rows are picked before
+    The request restricts both inputs before anything is computed; given to the scans already, it
+    need not be repeated here. The last rows are picked before
     the join, which then moves one row per series. A series is scored once: a customer with several
     feature rows is an error unless ``newest_by`` names the columns that pick one.
     """

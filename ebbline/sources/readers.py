@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ebbline import schemas
 from ebbline.functions.casts import strict_cast, text_id
+from ebbline.sources.requests import Request, for_customers
 
 
 @dataclass(frozen=True)
@@ -81,12 +82,13 @@ def coerce_features(df: DataFrame, null_id_as_text: bool = True) -> DataFrame:
     )
 
 
-def scan_transactions(spark: SparkSession, source: Source) -> DataFrame:
-    return coerce_transactions(source.load(spark))
+def scan_transactions(spark: SparkSession, source: Source, request: Request = None) -> DataFrame:
+    """Transactions of all customers, or of the requested ones by a filter on the table as stored."""
+    return coerce_transactions(for_customers(source.load(spark), request))
 
 
-def scan_features(spark: SparkSession, source: Source) -> DataFrame:
-    return coerce_features(source.load(spark))
+def scan_features(spark: SparkSession, source: Source, request: Request = None) -> DataFrame:
+    return coerce_features(for_customers(source.load(spark), request))
 
 
 def scan_budgets(spark: SparkSession, source: Source) -> DataFrame:

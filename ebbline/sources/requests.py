@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ebbline.functions.casts import NULL_ID
+from ebbline.functions.casts import NULL_ID, text_id
 
 # Up to this many ids go into the filter itself, where they reach the scan.
 INLINE_IDS = 1_000
@@ -21,23 +21,44 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_IDS) -> DataFram
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def _key_in(df: DataFrame, key: str, wanted: Sequence[str]) -> Column:
+    """Test of the bare key column, whatever its type, in a form that scans can take over."""
+    column = F.col(key)
+    dtype = df.schema[key].dataType
+    if isinstance(dtype, T.StringType):
+        found = column.isin(list(wanted))
+    elif isinstance(dtype, T.IntegralType):
+        numbers = {i: int(i) for i in wanted if i.removeprefix("-").isdecimal()}
+        found = column.isin([F.lit(n).cast(dtype) for i, n in numbers.items() if str(n) == i and _fits(n, dtype)])
+    else:
+        found = column.cast("string").isin(list(wanted))
+    return found | column.isNull() if NULL_ID in wanted else found
+
+
+def _fits(number: int, dtype: T.IntegralType) -> bool:
+    bits = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}[type(dtype)]
+    return -(1 << bits - 1) <= number < 1 << bits - 1
+
+
 def for_customers(df: DataFrame, request: Request, key: str = "CustomerID") -> DataFrame:
     """Rows of the requested customers. No request, or an empty one, means every customer.
 
     Only whole customers are removed, so a restricted scan gives the same series as filtering
-    the full result.
+    the full result. Apply it to a table as read, as the scans do: once null keys have been spelled
+    out, the filter no longer reaches the files.
     """
     if request is None:
         return df
     if isinstance(request, DataFrame):
         if request.isEmpty():
             return df
-        ids = request.select(F.coalesce(F.col(request.columns[0]).cast("string"), F.lit(NULL_ID)).alias(key))
-        return df.join(broadcast_if_small(ids.distinct()), key, "left_semi")
-    wanted = sorted({NULL_ID if i is None else str(i) for i in request})
-    if not wanted:
-        return df
-    if len(wanted) <= INLINE_IDS:
-        return df.where(F.col(key).isin(wanted))
-    ids = df.sparkSession.createDataFrame([(i,) for i in wanted], f"`{key}` string")
-    return df.join(F.broadcast(ids) if len(wanted) <= BROADCAST_IDS else ids, key, "left_semi")
+        ids = broadcast_if_small(request.select(text_id(request.columns[0]).alias("RequestedID")).distinct())
+    else:
+        wanted = sorted({NULL_ID if i is None else str(i) for i in request})
+        if not wanted:
+            return df
+        if len(wanted) <= INLINE_IDS:
+            return df.where(_key_in(df, key, wanted))
+        ids = df.sparkSession.createDataFrame([(i,) for i in wanted], "RequestedID string")
+        ids = F.broadcast(ids) if len(wanted) <= BROADCAST_IDS else ids
+    return df.join(ids, text_id(key) == F.col("RequestedID"), "left_semi")

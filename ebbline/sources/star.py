@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ebbline import schemas
 from ebbline.sources import readers
+from ebbline.sources.requests import Request, for_customers
 
 # Market segments in alphabetical order; SegmentID is the place in this list.
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
@@ -26,12 +27,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return readers.Source(path=f"{sf_dir}/{name}.parquet", schema=schema).load(spark)
 
 
-def transactions(spark: SparkSession, sf_dir: str, trans_type: Column | None = None) -> DataFrame:
+def transactions(
+    spark: SparkSession, sf_dir: str, trans_type: Column | None = None, request: Request = None
+) -> DataFrame:
     """One transaction per line item, dated by its order; returned items are debits."""
     if trans_type is None:
         trans_type = F.when(F.col("l_returnflag") == "R", "D").otherwise("C")
     lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders")
+    orders = for_customers(table(spark, sf_dir, "orders"), request, "o_custkey")
     joined = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).select(
         F.col("o_custkey").alias("CustomerID"),
         F.col("l_linestatus").alias("ProductCode"),
@@ -46,12 +49,12 @@ def product_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(F.col("l_linestatus").alias("ProductCode"))
 
 
-def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+def profiles(spark: SparkSession, sf_dir: str, request: Request = None) -> DataFrame:
     """CustomerID, Age, SegmentID and the segment name as CategoryTypeCode."""
     segment = F.coalesce(
         *[F.when(F.col("c_mktsegment") == name, i + 1) for i, name in enumerate(SEGMENTS)]
     )
-    return table(spark, sf_dir, "customer").select(
+    return for_customers(table(spark, sf_dir, "customer"), request, "c_custkey").select(
         F.col("c_custkey").cast("string").alias("CustomerID"),
         (F.col("c_custkey") % 60 + 18).cast("double").alias("Age"),
         segment.cast("int").alias("SegmentID"),

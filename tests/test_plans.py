@@ -77,11 +77,18 @@ def test_trailing_window_pushes_its_bound(spark, sf_dir):
     assert any(s == "o_orderdate:timestamp_ntz" for s in scans)
 
 
-def test_requested_ids_reach_the_parquet_scan(spark, tmp_path):
-    from ebbline import schemas
-    from ebbline.sources.requests import for_customers
-
+@pytest.mark.parametrize("key, pushed", [("string", "In(CustomerID, [1,2])"), ("bigint", "In(CustomerID, [1,2])")])
+def test_requested_ids_reach_the_parquet_scan(spark, tmp_path, key, pushed):
     path = str(tmp_path / "tx")
-    spark.createDataFrame([], schemas.TRANSACTIONS).write.parquet(path)
-    tx = for_customers(spark.read.schema(schemas.TRANSACTIONS).parquet(path), ["1", "2"])
-    assert "In(CustomerID, [1,2])" in plan(tx)
+    names = "ProductCode string, TransAmount double, TransDate string, TransType string"
+    spark.createDataFrame([], f"CustomerID {key}, {names}").write.parquet(path)
+    tx = readers.scan_transactions(spark, readers.Source(path=path), ["1", "2"])
+    assert pushed in plan(series.labelled_series(tx))
+
+
+def test_a_request_restricts_orders_before_the_join(spark, sf_dir):
+    """The join with the line items takes only the requested customers' orders."""
+    tx = star.transactions(spark, sf_dir, request=star.profiles(spark, sf_dir).where("SegmentID = 1").select("CustomerID"))
+    optimized = tx._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.index("Join Inner") < optimized.index("Join LeftSemi")
+    assert "LeftSemi, BuildRight" in plan(tx)

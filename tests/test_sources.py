@@ -1,5 +1,6 @@
 import datetime as dt
 from decimal import Decimal
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import PySparkException
@@ -9,6 +10,7 @@ from ebbline import schemas
 from ebbline.operators.features import latest_per_key, require_unique
 from ebbline.operators.series import labelled_series
 from ebbline.options import SeriesOptions
+from ebbline.session import shared_folder
 from ebbline.sources import readers, requests, sinks
 
 
@@ -83,6 +85,18 @@ def test_requests(customers, request_ids, kept):
     assert requests.for_customers(customers, request_ids).count() == kept
 
 
+@pytest.mark.parametrize("ids, kept", [(["1"], [1]), ([2, "x", "03", "99999999999"], [2]), (["-3", None], [-3, None]), (["x"], [])])
+def test_requests_on_number_columns(spark, ids, kept):
+    df = spark.createDataFrame([(1,), (2,), (3,), (-3,), (None,)], "CustomerID int")
+    assert [r[0] for r in requests.for_customers(df, ids).collect()] == kept
+
+
+def test_big_requests_match_number_columns_and_nulls(spark):
+    df = spark.createDataFrame([(1,), (-5,), (None,)], "CustomerID bigint")
+    ids = [None, *range(2000)]
+    assert sorted(str(r[0]) for r in requests.for_customers(df, ids).collect()) == ["1", "None"]
+
+
 def test_request_frames(spark, customers):
     def asked(values):
         return spark.createDataFrame([(v,) for v in values], "id bigint")
@@ -163,5 +177,20 @@ def test_weekly_budget_reload_replaces(spark, tmp_path):
         readers.scan_weekly_budget(spark, readers.Source(path=str(tmp_path / "none")))
 
 
+def test_a_cluster_without_a_shared_folder_is_refused():
+    def session(master, named=None, current=None):
+        folders = [current]
+        context = SimpleNamespace(
+            master=master, getCheckpointDir=lambda: folders[-1], setCheckpointDir=lambda d: folders.append(f"{d}/sub")
+        )
+        return SimpleNamespace(conf={"spark.checkpoint.dir": named} if named else {}, sparkContext=context)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session("spark://host:7077"))
+    assert shared_folder(session("spark://host:7077", named="hdfs:///x")) == "hdfs:///x"
+    assert shared_folder(session("spark://host:7077", current="hdfs:///y")) == "hdfs:///y"
+    assert "ebbline-" in shared_folder(session("local[2]"))
+
+
 def test_options_are_plain_values():
     assert SeriesOptions().positive_months == 8 and SeriesOptions().product_splits == ()
