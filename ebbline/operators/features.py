@@ -57,37 +57,49 @@ def period_flows(daily: DataFrame) -> DataFrame:
     )
 
 
+def _median(array: str) -> str:
+    """SQL for the median of a sorted array: the mean of its two middle values, or twice the same one."""
+    return f"(get({array}, (size({array}) - 1) div 2) + get({array}, size({array}) div 2)) / 2"
+
+
 def flow_features(tx: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame:
     """Weekly, monthly and week-of-month statistics per customer.
 
-    Written as SQL expressions, which spare the driver a call per column operation.
+    A customer's totals and counts are gathered in sorted arrays, a value per week or month, which the
+    calendar keeps short; smallest, greatest and median are read off by position. Written as SQL
+    expressions, which spare the driver a call per column operation.
     """
-    cells = {}
+    gathered, cells = {}, {}
     for side in SIDES:
         total, count = f"coalesce({side}Sum, 0D)", f"{side}Count"
         for slot in range(1, 5):
+            name = f"Week_{slot}_Avg_{side}"
             here = f"FILTER (WHERE Grain = 'slot' AND Period = {slot})"
-            cells[f"Week_{slot}_Avg_{side}"] = f"max({side}Sum / nullif({count}, 0)) {here}"
+            gathered[name] = f"max({side}Sum / nullif({count}, 0)) {here}"
+            cells[name] = name
         for name, grain in (("Weekly", "week"), ("Monthly", "month")):
             here = f"FILTER (WHERE Grain = '{grain}')"
-            cells[f"{name}_Min_{side}"] = f"min({total}) {here}"
-            cells[f"{name}_Max_{side}"] = f"max({total}) {here}"
-            cells[f"{name}_Median_{side}"] = f"percentile({total}, 0.5D) {here}"
-            cells[f"{name}_Count_Median_{side}"] = f"percentile({count}, 0.5D) {here}"
-            cells[f"{name}_Count_Variance_{side}"] = f"var_samp({count}) {here}"
-    # A customer's months, newest first; the last two give the change.
+            totals, counts, variance = f"{name}_{side}", f"{name}_Count_{side}", f"{name}_Count_Variance_{side}"
+            gathered[totals] = f"sort_array(collect_list({total}) {here})"
+            gathered[counts] = f"sort_array(collect_list({count}) {here})"
+            gathered[variance] = f"var_samp({count}) {here}"
+            cells[f"{name}_Min_{side}"] = f"get({totals}, 0)"
+            cells[f"{name}_Max_{side}"] = f"get({totals}, size({totals}) - 1)"
+            cells[f"{name}_Median_{side}"] = _median(totals)
+            cells[f"{name}_Count_Median_{side}"] = _median(counts)
+            cells[variance] = variance
+    # The last two months, newest first, give the change.
     month = "struct(Period, coalesce(CreditSum, 0D) AS Credit, coalesce(DebitSum, 0D) AS Debit)"
-    months = f"slice(sort_array(collect_list({month}) FILTER (WHERE Grain = 'month'), false), 1, 2)"
-    changes = {
-        f"Last_Month_PCT_CH_{side}": f"(Months[0].{side} - get(Months, 1).{side})"
-        f" / nullif(get(Months, 1).{side}, 0D)"
-        for side in SIDES
-    }
+    months = f"collect_list({month}) FILTER (WHERE Grain = 'month')"
+    gathered["Months"] = f"slice(sort_array({months}, false), 1, 2)"
+    for side in SIDES:
+        last, base = f"get(Months, 0).{side}", f"get(Months, 1).{side}"
+        cells[f"Last_Month_PCT_CH_{side}"] = f"({last} - {base}) / nullif({base}, 0D)"
     return (
         period_flows(daily_flows(tx, options))
         .groupBy(CUSTOMER)
-        .agg(*[F.expr(f"{cell} AS {name}") for name, cell in cells.items()], F.expr(f"{months} AS Months"))
-        .selectExpr(CUSTOMER, *cells, *[f"{cell} AS {name}" for name, cell in changes.items()])
+        .agg(*[F.expr(f"{cell} AS {name}") for name, cell in gathered.items()])
+        .selectExpr(CUSTOMER, *[f"{cell} AS {name}" for name, cell in cells.items()])
     )
 
 
