@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T  # n
 
 from ebbline import schemas  # noqa: E402
 from ebbline.functions import cells  # noqa: E402
-from ebbline.operators import blocks, budget, features, metrics, overrides, series, split  # noqa: E402
+from ebbline.operators import blocks, budget, features, flows, metrics, overrides, series, split  # noqa: E402
 from ebbline.operators.scaling import RobustScale  # noqa: E402
 from ebbline.options import ModelOptions, SeriesOptions, SplitOptions  # noqa: E402
 from ebbline.plans import datasets, model, scoring, training  # noqa: E402
@@ -77,7 +77,7 @@ def category_dimension(spark, sf_dir):
 
 
 def monthly_flows(spark, sf_dir):
-    return series.monthly_flows(star.transactions(spark, sf_dir)).select(
+    return flows.monthly_flows(star.transactions(spark, sf_dir)).select(
         "CustomerID",
         "ProductCode",
         F.year("Date").alias("year"),
@@ -91,12 +91,12 @@ def monthly_flows(spark, sf_dir):
 def unexpected_types_quarantine(spark, sf_dir):
     """The raw return flags as types, of which A and R are the known ones."""
     tx = star.transactions(spark, sf_dir, F.col("l_returnflag"))
-    return series.unexpected_types(tx, SeriesOptions(credit_type="A", debit_type="R"))
+    return flows.unexpected_types(tx, SeriesOptions(credit_type="A", debit_type="R"))
 
 
 def _balances(spark, sf_dir):
     options = _options(spark, sf_dir)
-    return series.running_balance(series.monthly_flows(star.transactions(spark, sf_dir), options), options)
+    return series.running_balance(flows.monthly_flows(star.transactions(spark, sf_dir), options), options)
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -135,9 +135,18 @@ def latest_per_series(spark, sf_dir):
     return _plain(series.forecast_series(star.transactions(spark, sf_dir), _options(spark, sf_dir)))
 
 
+def _table(profiles: DataFrame, flow_rows: DataFrame) -> DataFrame:
+    return _rounded(features.customer_features(profiles, flow_rows), schemas.FEATURE_COLUMNS[2:-1])
+
+
 def _features(spark, sf_dir, request=None):
-    profiles, tx = star.profiles(spark, sf_dir, request), star.transactions(spark, sf_dir, request=request)
-    return _rounded(features.customer_features(profiles, tx), schemas.FEATURE_COLUMNS[2:-1])
+    return _table(star.profiles(spark, sf_dir, request), star.transactions(spark, sf_dir, request=request))
+
+
+def _daily_and_table(spark, sf_dir, request=None):
+    """Daily flows, stored for the series and the features alike, and the feature table."""
+    daily = stage(flows.daily_flows(star.transactions(spark, sf_dir, request=request)), "daily")
+    return daily, _table(star.profiles(spark, sf_dir, request), daily)
 
 
 def customer_features(spark, sf_dir):
@@ -165,20 +174,17 @@ def sentinel_filled_features(spark, sf_dir):
 
 
 def training_set(spark, sf_dir):
-    tx = star.transactions(spark, sf_dir)
-    return datasets.training_set(tx, _features(spark, sf_dir), _options(spark, sf_dir))
+    return datasets.training_set(*_daily_and_table(spark, sf_dir), _options(spark, sf_dir))
 
 
 def inference_set(spark, sf_dir):
-    tx = star.transactions(spark, sf_dir)
-    return datasets.inference_set(tx, _features(spark, sf_dir), None, _options(spark, sf_dir))
+    return datasets.inference_set(*_daily_and_table(spark, sf_dir), options=_options(spark, sf_dir))
 
 
 def inference_set_for_customers(spark, sf_dir):
     """The request applied to the tables as stored."""
-    request = _request(spark, sf_dir)
-    tx, table = star.transactions(spark, sf_dir, request=request), _features(spark, sf_dir, request)
-    return datasets.inference_set(tx, table, options=_options(spark, sf_dir))
+    inputs = _daily_and_table(spark, sf_dir, _request(spark, sf_dir))
+    return datasets.inference_set(*inputs, options=_options(spark, sf_dir))
 
 
 def _fitted_scale(spark, sf_dir):
@@ -276,18 +282,17 @@ def weekly_budget_reload(spark, sf_dir):
 
 
 def _trained(spark, sf_dir, options: ModelOptions = SMALL_MODEL):
-    """Transactions, a stored feature table, the folder of the trained model, the model, its metrics."""
-    tx = star.transactions(spark, sf_dir)
-    table = stage(features.customer_features(star.profiles(spark, sf_dir), tx), "features")
-    path = _new_folder(spark, "model")
-    fitted, scores = training.train(tx, table, _options(spark, sf_dir), model=options, path=path)
-    return tx, table, path, fitted, scores
+    """Daily flows, a stored feature table, the folder of the trained model, the model, its metrics."""
+    daily, table = _daily_and_table(spark, sf_dir)
+    table, path = stage(table, "features"), _new_folder(spark, "model")
+    fitted, scores = training.train(daily, table, _options(spark, sf_dir), model=options, path=path)
+    return daily, table, path, fitted, scores
 
 
 def model_predictions(spark, sf_dir):
     """Train, store, load, then score everyone."""
-    tx, table, path, _, _ = _trained(spark, sf_dir)
-    return scoring.score(tx, table, model.load_pipeline(path), series=_options(spark, sf_dir))
+    daily, table, path, _, _ = _trained(spark, sf_dir)
+    return scoring.score(daily, table, model.load_pipeline(path), series=_options(spark, sf_dir))
 
 
 def model_metrics(spark, sf_dir):
@@ -301,9 +306,11 @@ def grid_search_auc(spark, sf_dir):
 
 
 def score_customers(spark, sf_dir):
-    tx, table, path, _, _ = _trained(spark, sf_dir)
+    daily, table, path, _, _ = _trained(spark, sf_dir)
     pipeline = model.load_pipeline(path)
-    return scoring.score_customers(tx, table, pipeline, _request(spark, sf_dir), series=_options(spark, sf_dir))
+    return scoring.score_customers(
+        daily, table, pipeline, _request(spark, sf_dir), series=_options(spark, sf_dir)
+    )
 
 
 REGISTERED: list[Query] = [

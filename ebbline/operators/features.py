@@ -10,35 +10,17 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ebbline import schemas
 from ebbline.operators.blocks import CUSTOMER, customer_keys
+from ebbline.operators.flows import SIDES, customer_days
 from ebbline.options import SeriesOptions
 
 DEFAULTS = SeriesOptions()
-SIDES = ("Credit", "Debit")
 
 
-def daily_flows(tx: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame:
-    """Total and count of credits and debits per customer and day.
-
-    This is the one shuffle that sees transactions. Every coarser period is summed from it.
-    """
-    kinds = {"Credit": options.credit_type, "Debit": options.debit_type}
-    amounts = {side: F.when(F.col("TransType") == kind, F.col("TransAmount")) for side, kind in kinds.items()}
-    return (
-        tx.where(F.col("TransDate").isNotNull() & F.col("TransType").isin(*kinds.values()))
-        .groupBy(CUSTOMER, F.to_date("TransDate").alias("Day"))
-        .agg(
-            *[F.sum(amount).alias(f"{side}Sum") for side, amount in amounts.items()],
-            *[F.count(amount).alias(f"{side}Count") for side, amount in amounts.items()],
-        )
-    )
-
-
-def period_flows(daily: DataFrame) -> DataFrame:
-    """Daily flows summed to periods, numbered within their Grain: the four weeks of the month
+def period_flows(days: DataFrame) -> DataFrame:
+    """Customer days summed to periods, numbered within their Grain: the four weeks of the month
     ('slot'), calendar weeks from Monday ('week') and months ('month').
 
-    Days are first brought together by customer, of which a customer has no more than the calendar
-    holds. Unlike grouping sets, exploding the periods keeps that grouping, so this sum and the one
+    Days are first brought together by customer, who has no more of them than the calendar holds. Unlike grouping sets, exploding the periods keeps that grouping, so this sum and the one
     per customer after it need no shuffle of their own.
     """
     periods = """inline(array(
@@ -47,7 +29,7 @@ def period_flows(daily: DataFrame) -> DataFrame:
         struct('month' AS Grain, year(Day) * 12 + month(Day) AS Period)))"""
     flows = [f"{side}{what}" for side in SIDES for what in ("Sum", "Count")]
     return (
-        daily.repartition(CUSTOMER)
+        days.repartition(CUSTOMER)
         .selectExpr(CUSTOMER, *flows, periods)
         .groupBy(CUSTOMER, "Grain", "Period")
         .agg(
@@ -62,8 +44,8 @@ def _median(array: str) -> str:
     return f"(get({array}, (size({array}) - 1) div 2) + get({array}, size({array}) div 2)) / 2"
 
 
-def flow_features(tx: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame:
-    """Weekly, monthly and week-of-month statistics per customer.
+def flow_features(flows: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame:
+    """Weekly, monthly and week-of-month statistics per customer, from transactions or daily flows.
 
     A customer's totals and counts are gathered in sorted arrays, a value per week or month, which the
     calendar keeps short; smallest, greatest and median are read off by position. Written as SQL
@@ -96,16 +78,16 @@ def flow_features(tx: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame
         last, base = f"get(Months, 0).{side}", f"get(Months, 1).{side}"
         cells[f"Last_Month_PCT_CH_{side}"] = f"({last} - {base}) / nullif({base}, 0D)"
     return (
-        period_flows(daily_flows(tx, options))
+        period_flows(customer_days(flows, options))
         .groupBy(CUSTOMER)
         .agg(*[F.expr(f"{cell} AS {name}") for name, cell in gathered.items()])
         .selectExpr(CUSTOMER, *[f"{cell} AS {name}" for name, cell in cells.items()])
     )
 
 
-def customer_features(profiles: DataFrame, tx: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame:
+def customer_features(profiles: DataFrame, flows: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame:
     """The 33-column feature table: profile columns plus flow features, 0 where there is none."""
-    joined = profiles.join(flow_features(tx, options), CUSTOMER, "left")
+    joined = profiles.join(flow_features(flows, options), CUSTOMER, "left")
     from_flows = schemas.FEATURE_COLUMNS[2:-1]
     filled = [f"coalesce(CAST({name} AS DOUBLE), 0D) AS {name}" for name in from_flows]
     return joined.selectExpr(CUSTOMER, "Age", *filled, "SegmentID")

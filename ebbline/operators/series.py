@@ -6,7 +6,7 @@ monthly rows by customer that serves every window below.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ebbline.functions.cells import non_negative_flag, struggle_flag
 from ebbline.operators.blocks import (
@@ -17,48 +17,13 @@ from ebbline.operators.blocks import (
     customer_keys,
     series_keys,
 )
+from ebbline.operators.flows import monthly_flows
 from ebbline.options import SeriesOptions
 from ebbline.session import stage
 
 DEFAULTS = SeriesOptions()
 
 
-def monthly_flows(tx: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame:
-    """Credit and Debit per customer, product and month, the month given by its last day.
-
-    Null amounts add nothing, undated rows are left out, and a month with only one of the two
-    types has 0 for the other.
-    """
-
-    def total(trans_type: str) -> Column:
-        amount = F.sum(F.when(F.col("TransType") == trans_type, F.col("TransAmount")))
-        return F.coalesce(amount, F.lit(0).cast("decimal(28,2)"))
-
-    known = F.col("TransType").isin(options.credit_type, options.debit_type)
-    return (
-        tx.where(F.col("TransDate").isNotNull() & known)
-        .groupBy(CUSTOMER, PRODUCT, F.last_day("TransDate").alias("Date"))
-        .agg(total(options.credit_type).alias("Credit"), total(options.debit_type).alias("Debit"))
-    )
-
-
-def detect_types(tx: DataFrame) -> tuple[str, str]:
-    """Credit and debit types taken by position: the only two types of the data, in order.
-
-    For sources whose spelling is not known beforehand. Any other number of types is an error.
-    """
-    # Three rows at most reach the driver, enough to tell two from more.
-    found = sorted(row[0] for row in tx.select("TransType").distinct().limit(3).collect())
-    if len(found) != 2:
-        raise ValueError(f"expected two transaction types, found {found}")
-    return found[0], found[1]
-
-
-def unexpected_types(tx: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame:
-    """Transactions whose type is neither credit nor debit; the series leaves them out."""
-    return tx.where(~F.col("TransType").isin(options.credit_type, options.debit_type))
-
-
 def running_balance(monthly: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame:
     """Add Balance: net flow summed over the customer's rows in order of product, then month.
 
@@ -174,16 +139,16 @@ def next_month(series: DataFrame) -> DataFrame:
     return series.withColumn("Date", F.add_months("Date", 1))
 
 
-def balance_series(tx: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame:
-    """Transactions to eligible series with their running balance."""
-    return eligible_series(running_balance(monthly_flows(tx, options), options), options)
+def balance_series(flows: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame:
+    """Transactions, or daily flows, to eligible series with their running balance."""
+    return eligible_series(running_balance(monthly_flows(flows, options), options), options)
 
 
-def labelled_series(tx: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame:
+def labelled_series(flows: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame:
     """Training side: every row of the eligible series with its label."""
-    return with_labels(balance_series(tx, options), options)
+    return with_labels(balance_series(flows, options), options)
 
 
-def forecast_series(tx: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame:
+def forecast_series(flows: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame:
     """Scoring side: the last row of each eligible series, dated one month on."""
-    return next_month(latest_rows(with_previous_mean(balance_series(tx, options), options)))
+    return next_month(latest_rows(with_previous_mean(balance_series(flows, options), options)))

@@ -21,14 +21,15 @@ def _numeric(df: DataFrame, *extra: str) -> DataFrame:
     return df.selectExpr(*[f"CAST({c} AS DOUBLE) AS {c}" if c in AMOUNTS else c for c in names])
 
 
-def training_set(tx: DataFrame, features: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame:
-    """Every eligible row with Struggle, its label and the customer's features."""
-    joined = attach_features(labelled_series(tx, options), features)
+def training_set(flows: DataFrame, features: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame:
+    """Every eligible row with Struggle, its label and the customer's features, from transactions or
+    daily flows."""
+    joined = attach_features(labelled_series(flows, options), features)
     return _numeric(joined, "Struggle", schemas.TARGET)
 
 
 def inference_set(
-    tx: DataFrame,
+    flows: DataFrame,
     features: DataFrame,
     request: Request = None,
     options: SeriesOptions = DEFAULTS,
@@ -41,7 +42,7 @@ def inference_set(
     the join, which then moves one row per series. A series is scored once: a customer with several
     feature rows is an error unless ``newest_by`` names the columns that pick one.
     """
-    latest = forecast_series(for_customers(tx, request), options)
+    latest = forecast_series(for_customers(flows, request), options)
     asked = for_customers(features, request)
     single = latest_per_key(asked, *newest_by) if newest_by else require_unique(asked)
     return _numeric(attach_features(latest, single))

@@ -19,7 +19,7 @@ def predict(rows: DataFrame, pipeline: PipelineModel) -> DataFrame:
 
 
 def score(
-    tx: DataFrame,
+    flows: DataFrame,
     features: DataFrame,
     pipeline: PipelineModel,
     request: Request = None,
@@ -27,17 +27,17 @@ def score(
     series: SeriesOptions = SeriesOptions(),
 ) -> DataFrame:
     """Predictions for next month, one row per eligible series, with the override rules applied."""
-    rows = inference_set(tx, features, request, series)
-    return with_overrides(predict(rows, pipeline), default_rules(tx.sparkSession) if rules is None else rules)
+    rows = inference_set(flows, features, request, series)
+    return with_overrides(predict(rows, pipeline), default_rules(flows.sparkSession) if rules is None else rules)
 
 
-def score_all(tx: DataFrame, features: DataFrame, pipeline: PipelineModel, path: str, **options) -> None:
+def score_all(flows: DataFrame, features: DataFrame, pipeline: PipelineModel, path: str, **options) -> None:
     """Score everyone and append the predictions to the table at ``path``."""
-    append_predictions(score(tx, features, pipeline, **options), path)
+    append_predictions(score(flows, features, pipeline, **options), path)
 
 
 def score_customers(
-    tx: DataFrame, features: DataFrame, pipeline: PipelineModel, request: Request, **options
+    flows: DataFrame, features: DataFrame, pipeline: PipelineModel, request: Request, **options
 ) -> DataFrame:
     """JSON records for the requested customers; an empty request scores everyone."""
-    return response_records(score(tx, features, pipeline, request, **options))
+    return response_records(score(flows, features, pipeline, request, **options))

@@ -17,9 +17,9 @@ from ebbline.session import stage
 from ebbline.sources.sinks import append_training_log
 
 
-def prepare_rows(tx: DataFrame, features: DataFrame, series: SeriesOptions, split: SplitOptions) -> DataFrame:
+def prepare_rows(flows: DataFrame, features: DataFrame, series: SeriesOptions, split: SplitOptions) -> DataFrame:
     """Training set with its split and fold, written once: fitting reads it many times."""
-    rows = stage(assign_fold(training_set(tx, features, series), split), "training")
+    rows = stage(assign_fold(training_set(flows, features, series), split), "training")
     return assign_stratified_split(rows, options=split) if split.exact else assign_split(rows, split)
 
 
@@ -49,7 +49,7 @@ def evaluate(model: FittedModel, rows: DataFrame, compat: bool = False) -> DataF
 
 
 def train(
-    tx: DataFrame,
+    flows: DataFrame,
     features: DataFrame,
     series: SeriesOptions = SeriesOptions(),
     split: SplitOptions = SplitOptions(),
@@ -60,12 +60,12 @@ def train(
     model_name: str = "struggle",
 ) -> tuple[FittedModel, DataFrame]:
     """Scan results to fitted model and its metrics; stores and logs them where paths are given."""
-    rows = prepare_rows(tx, features, series, split)
+    rows = prepare_rows(flows, features, series, split)
     fitted = train_on(rows, model, split)
     metrics = evaluate(fitted, rows, model.reference_compat)
     if path:
-        save_model(fitted, tx.sparkSession, path)
+        save_model(fitted, flows.sparkSession, path)
     if log_path:
         score = metrics.first()["accuracy"]
-        append_training_log(tx.sparkSession, log_path, model_name, training_date or dt.date.today(), score)
+        append_training_log(flows.sparkSession, log_path, model_name, training_date or dt.date.today(), score)
     return fitted, metrics

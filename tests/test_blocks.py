@@ -4,7 +4,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from ebbline import schemas
-from ebbline.operators import blocks, series
+from ebbline.operators import blocks, flows, series
 from ebbline.options import SeriesOptions
 
 
@@ -42,10 +42,10 @@ def test_one_customer_with_a_third_of_all_rows_is_spread(spark):
     )
     splits = blocks.choose_splits(tx, per_block=100)
     options = SeriesOptions(positive_months=1, product_splits=splits)
-    cut = series.running_balance(series.monthly_flows(tx, options), options)
+    cut = series.running_balance(flows.monthly_flows(tx, options), options)
     biggest = cut.groupBy("CustomerID", blocks.BLOCK).count().agg(F.max("count")).first()[0]
     assert biggest < 1000
-    whole = series.running_balance(series.monthly_flows(tx))
+    whole = series.running_balance(flows.monthly_flows(tx))
     assert cut.select(whole.columns).exceptAll(whole).isEmpty()
     assert cut.count() == whole.count() == 9000
     kept = series.eligible_series(cut, options)

@@ -5,7 +5,8 @@ import re
 import pytest
 
 import __spark_entry__ as registry
-from ebbline.operators import series
+from ebbline.operators import features, series
+from ebbline.plans import datasets
 from ebbline.sources import readers, star
 
 
@@ -61,7 +62,9 @@ def test_features_join_the_series_without_another_shuffle_of_it(spark, sf_dir):
     """Both sides arrive grouped by customer: the series from its windows, the features from theirs."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(registry.training_set(spark, sf_dir))
+        tx = star.transactions(spark, sf_dir)
+        table = features.customer_features(star.profiles(spark, sf_dir), tx)
+        text = plan(datasets.training_set(tx, table))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     by_customer = [e for e in hash_exchanges(text) if re.fullmatch(r"CustomerID#\d+", e)]

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
-from ebbline.operators import blocks, series
+from ebbline.operators import blocks, features, flows, series
 from ebbline.options import SeriesOptions
 
 COLUMNS = [
@@ -113,6 +113,18 @@ def test_blocks_give_the_same_series(transactions):
     )
 
 
+def test_daily_flows_give_the_same_series_and_features(spark, transactions):
+    df = named_nulls(transactions(random_rows(6)))
+    daily = flows.daily_flows(df)
+    options = SeriesOptions(positive_months=3)
+    assert collected(series.labelled_series(daily, options)) == collected(series.labelled_series(df, options))
+    direct, through_days = features.flow_features(df), features.flow_features(daily)
+    for one, other in zip(direct.orderBy("CustomerID").collect(), through_days.orderBy("CustomerID").collect(), strict=True):
+        assert one["CustomerID"] == other["CustomerID"]
+        # Variances are added up in no fixed order, so the last digit may differ.
+        assert list(one[1:]) == [None if v is None else pytest.approx(v, rel=1e-12) for v in other[1:]]
+
+
 def test_row_order_and_partitioning_do_not_matter(transactions):
     rows = random_rows(4, n=600)
     options = SeriesOptions(positive_months=2)
@@ -124,7 +136,7 @@ def test_row_order_and_partitioning_do_not_matter(transactions):
 def test_a_customer_is_kept_whole_or_not_at_all(transactions):
     df = named_nulls(transactions(random_rows(5)))
     options = SeriesOptions(positive_months=3)
-    balances = series.running_balance(series.monthly_flows(df, options), options)
+    balances = series.running_balance(flows.monthly_flows(df, options), options)
     every = balances.groupBy("CustomerID").count()
     kept = series.eligible_series(balances, options).groupBy("CustomerID").count().withColumnRenamed("count", "kept")
     assert kept.join(every, "CustomerID").where("kept <> count").count() == 0
@@ -138,38 +150,38 @@ def test_exactly_eight_positive_months(transactions, months, kept):
 
 def test_zero_balance_counts_as_positive(transactions):
     rows = [("1", "A", 5, "2023-01-10", "C"), ("1", "A", 5, "2023-02-10", "D")]
-    counts = series.positive_month_counts(series.running_balance(series.monthly_flows(transactions(rows))))
+    counts = series.positive_month_counts(series.running_balance(flows.monthly_flows(transactions(rows))))
     assert counts.first()["PositiveMonths"] == 2
 
 
 def test_null_amounts_add_nothing_and_undated_rows_are_left_out(transactions):
     rows = [("1", "A", None, "2023-01-10", "C"), ("1", "A", 7, None, "C"), ("1", "A", 3, "2023-02-10", "D")]
-    found = series.monthly_flows(transactions(rows)).orderBy("Date").collect()
+    found = flows.monthly_flows(transactions(rows)).orderBy("Date").collect()
     assert [(float(r["Credit"]), float(r["Debit"])) for r in found] == [(0, 0), (0, 3)]
 
 
 def test_unexpected_types_are_set_aside(transactions):
     rows = [("1", "A", 1, "2023-01-10", "C"), ("1", "A", 2, "2023-01-10", "X")]
     df = transactions(rows)
-    assert [float(r["TransAmount"]) for r in series.unexpected_types(df).collect()] == [2]
-    assert float(series.monthly_flows(df).first()["Credit"]) == 1
+    assert [float(r["TransAmount"]) for r in flows.unexpected_types(df).collect()] == [2]
+    assert float(flows.monthly_flows(df).first()["Credit"]) == 1
 
 
 def test_types_by_position(transactions):
     rows = [("1", "A", 1, "2023-01-10", "in"), ("1", "A", 2, "2023-01-10", "out"), ("1", "A", 2, "2023-01-11", "in")]
-    assert series.detect_types(transactions(rows)) == ("in", "out")
-    credit, debit = series.detect_types(transactions(rows))
-    flows = series.monthly_flows(transactions(rows), SeriesOptions(credit_type=credit, debit_type=debit)).first()
-    assert (float(flows["Credit"]), float(flows["Debit"])) == (3, 2)
+    assert flows.detect_types(transactions(rows)) == ("in", "out")
+    credit, debit = flows.detect_types(transactions(rows))
+    row = flows.monthly_flows(transactions(rows), SeriesOptions(credit_type=credit, debit_type=debit)).first()
+    assert (float(row["Credit"]), float(row["Debit"])) == (3, 2)
     for wrong in (rows[:1], [*rows, ("1", "A", 2, "2023-01-10", "x")]):
         with pytest.raises(ValueError, match="two transaction types"):
-            series.detect_types(transactions(wrong))
+            flows.detect_types(transactions(wrong))
 
 
 def test_products_sort_as_text(transactions):
     """Product 10 comes before product 9, so 9 opens at the balance of 10."""
     rows = [("1", "9", 1, "2023-01-10", "C"), ("1", "10", 100, "2023-01-10", "C")]
-    found = series.running_balance(series.monthly_flows(transactions(rows)))
+    found = series.running_balance(flows.monthly_flows(transactions(rows)))
     assert {r["ProductCode"]: float(r["Balance"]) for r in found.collect()} == {"10": 100, "9": 101}
 
 
