@@ -20,8 +20,9 @@ def period_flows(days: DataFrame) -> DataFrame:
     """Customer days summed to periods, numbered within their Grain: the four weeks of the month
     ('slot'), calendar weeks from Monday ('week') and months ('month').
 
-    Days are first brought together by customer, who has no more of them than the calendar holds. Unlike grouping sets, exploding the periods keeps that grouping, so this sum and the one
-    per customer after it need no shuffle of their own.
+    Days are first brought together by customer, who has no more of them than the calendar holds.
+    Unlike grouping sets, exploding the periods keeps that grouping, so this sum and the one per
+    customer after it need no shuffle of their own.
     """
     periods = """inline(array(
         struct('slot' AS Grain, CAST(least(4, floor((day(Day) - 1) / 7) + 1) AS INT) AS Period),

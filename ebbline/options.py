@@ -47,6 +47,7 @@ class ModelOptions:
     subsampling_rate: float = 0.8
     feature_fraction: float = 0.8
     min_info_gain: float = 0.0
+    max_bins: int = 256
     seed: int = 27
     parallelism: int = 2
     # True: fit the scaler on all rows, train on raw values and score scaled ones.

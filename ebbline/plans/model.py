@@ -55,6 +55,7 @@ def boosted_trees(options: ModelOptions) -> GBTClassifier:
         subsamplingRate=options.subsampling_rate,
         featureSubsetStrategy=str(options.feature_fraction),
         minInfoGain=options.min_info_gain,
+        maxBins=options.max_bins,
         seed=options.seed,
         checkpointInterval=10,
     )
