@@ -19,7 +19,8 @@ TOTAL = "decimal(28,2)"
 def as_flows(tx: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame:
     """Transactions in the shape of daily flows, one row each; daily flows as they are.
 
-    Undated rows and rows of an unexpected type are left out. Null amounts add nothing.
+    Undated rows and rows of an unexpected type are left out, and so are rows without a customer or
+    product where the scan was told not to spell those out. Null amounts add nothing.
     """
     if "Day" in tx.columns:
         return tx
@@ -28,8 +29,8 @@ def as_flows(tx: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame:
         amount = F.when(F.col("TransType") == kind, F.col("TransAmount"))
         cells += [amount.alias(f"{side}Sum"), amount.isNotNull().cast("int").alias(f"{side}Count")]
     known = F.col("TransType").isin(options.credit_type, options.debit_type)
-    dated = tx.where(F.col("TransDate").isNotNull() & known)
-    return dated.select(CUSTOMER, PRODUCT, F.to_date("TransDate").alias("Day"), *cells)
+    keyed = F.col(CUSTOMER).isNotNull() & F.col(PRODUCT).isNotNull()
+    return tx.where(keyed & F.col("TransDate").isNotNull() & known).select(CUSTOMER, PRODUCT, F.to_date("TransDate").alias("Day"), *cells)
 
 
 def _summed(flows: DataFrame, *keys: Column | str) -> DataFrame:

@@ -11,14 +11,18 @@ from ebbline import schemas
 from ebbline.functions.cells import epoch_millis
 
 
-def append_predictions(predictions: DataFrame, path: str) -> None:
-    """Append CustomerID, Date and Struggle to a table partitioned by Date.
+def by_date(predictions: DataFrame) -> DataFrame:
+    """CustomerID, Date and Struggle, brought together by date for writing.
 
-    Most predictions of a run share one date. The rebalance hint sorts rows into few files per date
+    Most predictions of a run share one date. The rebalance hint gathers rows into few files per date
     and lets adaptive execution split a date that is too big for one task.
     """
-    rows = predictions.select(schemas.PREDICTIONS_SINK.names)
-    rows.hint("rebalance", "Date").write.mode("append").partitionBy("Date").parquet(path)
+    return predictions.select(schemas.PREDICTIONS_SINK.names).hint("rebalance", "Date")
+
+
+def append_predictions(predictions: DataFrame, path: str) -> None:
+    """Append to a table partitioned by Date."""
+    by_date(predictions).write.mode("append").partitionBy("Date").parquet(path)
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:

@@ -89,6 +89,31 @@ def test_requested_ids_reach_the_parquet_scan(spark, tmp_path, key, pushed):
     assert pushed in plan(series.labelled_series(tx))
 
 
+def test_predictions_are_rebalanced_by_date(spark, sf_dir):
+    from ebbline.sources import sinks
+
+    text = plan(sinks.by_date(registry.predictions_with_overrides(spark, sf_dir)))
+    assert re.search(r"Exchange hashpartitioning\(Date#\d+, \d+\), REBALANCE_PARTITIONS_BY_COL", text)
+
+
+def test_blocks_move_the_monthly_rows_once(spark, sf_dir):
+    """Balance and eligibility read one shuffle of the stored monthly rows; per customer alone only
+    block totals and block answers are grouped."""
+    df = registry.labelled_series_in_blocks(spark, sf_dir)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df.collect()
+        final = plan(df)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = final.split("== Initial Plan ==")[0].splitlines()
+    assert any("ReusedExchange" in line for line in lines)
+    text = "\n".join(line for line in lines if "ReusedExchange" not in line)
+    exchanges = [e for e in hash_exchanges(text) if re.fullmatch(r"CustomerID#\d+, ProductBlock#\d+", e)]
+    # The monthly rows, the block totals, the openings and the kept blocks.
+    assert len(exchanges) <= 4
+
+
 def test_a_request_restricts_orders_before_the_join(spark, sf_dir):
     """The join with the line items takes only the requested customers' orders."""
     tx = star.transactions(spark, sf_dir, request=star.profiles(spark, sf_dir).where("SegmentID = 1").select("CustomerID"))

@@ -160,6 +160,13 @@ def test_null_amounts_add_nothing_and_undated_rows_are_left_out(transactions):
     assert [(float(r["Credit"]), float(r["Debit"])) for r in found] == [(0, 0), (0, 3)]
 
 
+def test_rows_without_keys_are_left_out_with_and_without_blocks(transactions):
+    rows = [(c, p, 5, f"2023-{m:02d}-10", "C") for m in (1, 2) for c in ("1", None) for p in ("A", "B", None)]
+    whole = series.labelled_series(transactions(rows), SeriesOptions(positive_months=2))
+    cut = series.labelled_series(transactions(rows), SeriesOptions(positive_months=2, product_splits=("B",)))
+    assert collected(whole) == collected(cut) and {r[:2] for r in collected(whole)} == {("1", "A"), ("1", "B")}
+
+
 def test_unexpected_types_are_set_aside(transactions):
     rows = [("1", "A", 1, "2023-01-10", "C"), ("1", "A", 2, "2023-01-10", "X")]
     df = transactions(rows)
