@@ -6,6 +6,7 @@ the same result as SQL wherever it can be said in SQL. Model queries have no suc
 
 from __future__ import annotations
 
+import datetime as dt
 import sys
 import uuid
 from collections.abc import Callable
@@ -13,6 +14,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from pyspark.ml.functions import vector_to_array  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T  # noqa: E402
 
 from ebbline import schemas  # noqa: E402
@@ -76,6 +78,10 @@ def category_dimension(spark, sf_dir):
     return star.categories(spark, sf_dir)
 
 
+def daily_flows(spark, sf_dir):
+    return flows.daily_flows(star.transactions(spark, sf_dir))
+
+
 def monthly_flows(spark, sf_dir):
     return flows.monthly_flows(star.transactions(spark, sf_dir)).select(
         "CustomerID",
@@ -197,14 +203,35 @@ def scaler_stats(spark, sf_dir):
     return _rounded(scale.to_table(spark), ["median", "iqr"])
 
 
+def scaler_roundtrip(spark, sf_dir):
+    """The statistics as stored next to a model and read back."""
+    _, scale = _fitted_scale(spark, sf_dir)
+    path = _new_folder(spark, "model")
+    model.save_scale(scale, spark, path)
+    return _rounded(model.load_scale(spark, path).to_table(spark), ["median", "iqr"])
+
+
+def _rounded_scale(scale: RobustScale) -> RobustScale:
+    return RobustScale(tuple((f, round(median, 6), round(iqr, 6)) for f, median, iqr in scale.stats))
+
+
 def scaled_features(spark, sf_dir):
     rows, scale = _fitted_scale(spark, sf_dir)
-    rounded = RobustScale(tuple((f, round(median, 6), round(iqr, 6)) for f, median, iqr in scale.stats))
-    scaled = rounded.transform(rows)
+    scaled = _rounded_scale(scale).transform(rows)
     columns = [*schemas.IDENTIFIERS, *schemas.MODEL_FEATURES, schemas.TARGET]
     return _rounded(scaled.select(columns), schemas.MODEL_FEATURES)
 
 
+def model_vectors(spark, sf_dir):
+    """The vectors the trees see, taken apart again by position."""
+    rows, scale = _fitted_scale(spark, sf_dir)
+    prepared = model.prepare_stage(_rounded_scale(scale)).transform(rows)
+    vectors = model.assembler().transform(prepared)
+    cells = [f"round(v[{i}], 6) AS {name}" for i, name in enumerate(schemas.MODEL_FEATURES)]
+    values = vectors.select(*schemas.IDENTIFIERS, schemas.TARGET, vector_to_array(model.VECTOR).alias("v"))
+    return values.selectExpr(*schemas.IDENTIFIERS, *cells, schemas.TARGET)
+
+
 def stratified_split_counts(spark, sf_dir):
     return split.split_counts(split.assign_split(labelled_series(spark, sf_dir)))
 
@@ -281,6 +308,13 @@ def weekly_budget_reload(spark, sf_dir):
     return readers.scan_weekly_budget(spark, readers.Source(path=path))
 
 
+def training_log_roundtrip(spark, sf_dir):
+    """The rule scorer's accuracy as a row of the training log."""
+    path, score = _new_folder(spark, "training-log"), rule_scorer_metrics(spark, sf_dir).first()["accuracy"]
+    sinks.append_training_log(spark, path, "rule", dt.date(2023, 1, 21), score)
+    return spark.read.schema(schemas.TRAINING_LOG).parquet(path)
+
+
 def _trained(spark, sf_dir, options: ModelOptions = SMALL_MODEL):
     """Daily flows, a stored feature table, the folder of the trained model, the model, its metrics."""
     daily, table = _daily_and_table(spark, sf_dir)
@@ -319,6 +353,7 @@ REGISTERED: list[Query] = [
     trailing_three_months,
     budgets_active_in_window,
     category_dimension,
+    daily_flows,
     monthly_flows,
     unexpected_types_quarantine,
     monthly_balance,
@@ -336,7 +371,9 @@ REGISTERED: list[Query] = [
     inference_set,
     inference_set_for_customers,
     scaler_stats,
+    scaler_roundtrip,
     scaled_features,
+    model_vectors,
     stratified_split_counts,
     stratified_split,
     fold_counts,
@@ -348,6 +385,7 @@ REGISTERED: list[Query] = [
     predictions_sink_roundtrip,
     weekly_budget,
     weekly_budget_reload,
+    training_log_roundtrip,
     model_predictions,
     model_metrics,
     grid_search_auc,

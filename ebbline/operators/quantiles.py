@@ -66,6 +66,9 @@ class _Wanted:
         """Take the part from low to high if it holds both neighbours and is smaller; else look wider."""
         if below <= math.floor(self.rank) and math.ceil(self.rank) < below + rows < below + self.rows:
             self.low, self.high, self.below, self.rows = low, high, below, rows
+        elif (low, high) == (self.low, self.high):
+            # Nearly all rows sit on the two ends: few values are left between them.
+            self.half_width = 1.0
         else:
             self.half_width *= 10
 

@@ -103,7 +103,11 @@ def fit_model(
 def save_model(model: FittedModel, spark: SparkSession, path: str) -> None:
     """Pipeline under ``path``/pipeline, scaler statistics under ``path``/scaler."""
     model.pipeline.write().overwrite().save(f"{path}/pipeline")
-    model.scale.to_table(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/scaler")
+    save_scale(model.scale, spark, path)
+
+
+def save_scale(scale: RobustScale, spark: SparkSession, path: str) -> None:
+    scale.to_table(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/scaler")
 
 
 def load_pipeline(path: str) -> PipelineModel:

@@ -215,6 +215,25 @@ _TX_COLUMNS = "CustomerID, ProductCode, CAST(TransAmount AS DOUBLE) AS TransAmou
 _WINDOW = """o_orderdate BETWEEN (SELECT max(o_orderdate) FROM orders) - INTERVAL 3 MONTH
                      AND (SELECT max(o_orderdate) FROM orders)"""
 
+_SCALER_STATS = f"""WITH {TRAIN_ROWS}, {_scaler_rows()}
+SELECT feature, round(median, 6) AS median, round(iqr, 6) AS iqr FROM scaler"""
+
+_SCALED_FEATURES = f"""WITH {TRAIN_ROWS}, {_scaler_rows()}
+SELECT {_IDS}, {_scaled()}, Struggle_shifted FROM train"""
+
+_RULE_METRICS = f"""WITH {LABELLED},
+test AS (SELECT * FROM labelled WHERE {_bucket(100, '42')} < 20),
+n AS (
+  SELECT count(*) FILTER (Struggle = 1 AND Struggle_shifted = 1) AS tp,
+         count(*) FILTER (Struggle = 1 AND Struggle_shifted = 0) AS fp,
+         count(*) FILTER (Struggle = 0 AND Struggle_shifted = 1) AS fn,
+         count(*) FILTER (Struggle = 0 AND Struggle_shifted = 0) AS tn
+  FROM test
+)
+SELECT *, CAST(tp + tn AS DOUBLE) / (tp + fp + fn + tn) * 100 AS accuracy,
+       CASE WHEN 2 * tp + fp + fn > 0 THEN CAST(2 * tp AS DOUBLE) / (2 * tp + fp + fn) ELSE 0 END AS f1
+FROM n"""
+
 STATEMENTS = {
     "transactions_scan": f"WITH {TX} SELECT {_TX_COLUMNS} FROM tx",
     "transactions_for_customers": f"WITH {TX} SELECT {_TX_COLUMNS} FROM tx WHERE CustomerID IN {_MACHINERY}",
@@ -230,6 +249,12 @@ FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE {_WINDOW})"
 SELECT DISTINCT c_mktsegment AS CategoryTypeCode,
        upper(substr(c_mktsegment, 1, 1)) || lower(substr(c_mktsegment, 2)) AS CategoryTypeName
 FROM customer""",
+    "daily_flows": f"""WITH {TX}
+SELECT CustomerID, ProductCode, CAST(CAST(TransDate AS DATE) AS VARCHAR) AS Day,
+       CAST(sum(TransAmount) FILTER (TransType = 'C') AS DOUBLE) AS CreditSum,
+       CAST(sum(TransAmount) FILTER (TransType = 'D') AS DOUBLE) AS DebitSum,
+       count(*) FILTER (TransType = 'C') AS CreditCount, count(*) FILTER (TransType = 'D') AS DebitCount
+FROM tx GROUP BY 1, 2, 3""",
     "monthly_flows": f"""WITH {MONTHLY}
 SELECT CustomerID, ProductCode, CAST(year(Date) AS INTEGER) AS year, CAST(month(Date) AS INTEGER) AS Month,
        CAST(Credit AS DOUBLE) AS Credit, CAST(Debit AS DOUBLE) AS Debit,
@@ -263,10 +288,10 @@ FROM latest JOIN features USING (CustomerID)""",
     "inference_set_for_customers": f"""WITH {TRAINING}
 SELECT {_IDS}, {_AMOUNTS}, Prev_Mean_Bal, {_FEATURE_LIST}
 FROM latest JOIN features USING (CustomerID) WHERE CustomerID IN {_MACHINERY}""",
-    "scaler_stats": f"""WITH {TRAIN_ROWS}, {_scaler_rows()}
-SELECT feature, round(median, 6) AS median, round(iqr, 6) AS iqr FROM scaler""",
-    "scaled_features": f"""WITH {TRAIN_ROWS}, {_scaler_rows()}
-SELECT {_IDS}, {_scaled()}, Struggle_shifted FROM train""",
+    "scaler_stats": _SCALER_STATS,
+    "scaler_roundtrip": _SCALER_STATS,
+    "scaled_features": _SCALED_FEATURES,
+    "model_vectors": _SCALED_FEATURES,
     "stratified_split_counts": f"""WITH {LABELLED}
 SELECT CASE WHEN {_bucket(100, '42')} < 20 THEN 'test' ELSE 'train' END AS split,
        Struggle_shifted, count(*) AS rows
@@ -295,18 +320,9 @@ SELECT CAST({_bucket(5, '42-fold')} AS INTEGER) AS fold, Struggle_shifted, count
 FROM labelled GROUP BY 1, 2""",
     "confusion_counts": f"""WITH {LABELLED}
 SELECT Struggle_shifted AS label, Struggle AS prediction, count(*) AS rows FROM labelled GROUP BY 1, 2""",
-    "rule_scorer_metrics": f"""WITH {LABELLED},
-test AS (SELECT * FROM labelled WHERE {_bucket(100, '42')} < 20),
-n AS (
-  SELECT count(*) FILTER (Struggle = 1 AND Struggle_shifted = 1) AS tp,
-         count(*) FILTER (Struggle = 1 AND Struggle_shifted = 0) AS fp,
-         count(*) FILTER (Struggle = 0 AND Struggle_shifted = 1) AS fn,
-         count(*) FILTER (Struggle = 0 AND Struggle_shifted = 0) AS tn
-  FROM test
-)
-SELECT *, CAST(tp + tn AS DOUBLE) / (tp + fp + fn + tn) * 100 AS accuracy,
-       CASE WHEN 2 * tp + fp + fn > 0 THEN CAST(2 * tp AS DOUBLE) / (2 * tp + fp + fn) ELSE 0 END AS f1
-FROM n""",
+    "rule_scorer_metrics": _RULE_METRICS,
+    "training_log_roundtrip": f"""
+SELECT 'rule' AS ModelName, '2023-01-21' AS TrainingDate, accuracy AS ModelScore FROM ({_RULE_METRICS})""",
     "rule_scorer_auc": f"""WITH {LABELLED},
 ranked AS (
   SELECT Struggle_shifted AS y,
