@@ -393,6 +393,25 @@ REGISTERED: list[Query] = [
 ]
 
 
+def _corpus() -> tuple[list[Query], dict[str, str]]:
+    """Queries and SQL of the text operators; none where their folder or the pipeline is not there."""
+    try:
+        import corpus_pipeline
+        from ebbline.llm import queries as corpus, sql as corpus_sql
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "ebbline.llm"):
+            raise
+        return [], {}
+    statements = dict(corpus_sql.STATEMENTS)
+    if corpus_pipeline.ORACLE_SQL:
+        statements["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+    def pipeline(spark, sf_dir):
+        return corpus_pipeline.run(spark, sf_dir)
+
+    return [*corpus.QUERIES, pipeline], statements
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Labelled series on the smallest tables."""
     return labelled_series(spark, "/root/testdata/sf0.001")
@@ -402,8 +421,9 @@ def queries() -> dict[str, Query]:
     def registered(query: Query) -> Query:
         return lambda spark, sf_dir: comparable(query(spark, sf_dir))
 
-    return {query.__name__: registered(query) for query in REGISTERED}
+    own = {query.__name__: registered(query) for query in REGISTERED}
+    return own | {query.__name__: query for query in _corpus()[0]}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(STATEMENTS)
+    return STATEMENTS | _corpus()[1]
