@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbline.llm import quality, sharding, urls
+from ebbline.llm import bpe, quality, sharding, tokencount, urls
+
+
+RANKS = "byte_bpe_multi_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +20,12 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"), shards=40)
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.digests(docs, ranks, public_tokenizers.PATTERN, keep=["doc_id"]).drop("ids")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_documents(_table(spark, sf_dir, "documents"))
 
@@ -23,4 +34,9 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(_table(spark, sf_dir, "pages"))
 
 
-QUERIES = [op1_sharding, op5_quality_rules, op9_url_filters]
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = tokencount.read_pieces(public_tokenizers.path(PIECES))
+    return tokencount.count_tokens(_table(spark, sf_dir, "documents"), pieces)
+
+
+QUERIES = [op1_sharding, op2_byte_bpe, op5_quality_rules, op9_url_filters, op10_token_counts]
