@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbline.llm import bpe, quality, sharding, tokencount, urls
+from ebbline.llm import bpe, neardup, quality, sharding, tokencount, urls
 
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -30,6 +30,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_documents(_table(spark, sf_dir, "documents"))
 
 
+def op8_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.label_documents(_table(spark, sf_dir, "documents"), size=2, percent=80)
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(_table(spark, sf_dir, "pages"))
 
@@ -39,4 +43,4 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(_table(spark, sf_dir, "documents"), pieces)
 
 
-QUERIES = [op1_sharding, op2_byte_bpe, op5_quality_rules, op9_url_filters, op10_token_counts]
+QUERIES = [op1_sharding, op2_byte_bpe, op5_quality_rules, op8_minhash_neardup, op9_url_filters, op10_token_counts]

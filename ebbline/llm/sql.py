@@ -128,8 +128,35 @@ SELECT page_id, host, path, h.best.rule AS rule, coalesce(h.best.verdict, p.best
 FROM urls LEFT JOIN by_host h USING (page_id) LEFT JOIN by_pattern p USING (page_id)"""
 
 
+def label_documents(size: int = 2, percent: int = 80) -> str:
+    return rf"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), {LOWER}), '{SPACE}+'),
+                             lambda w: w <> '') AS w FROM documents
+),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + {size - 1}], ' ') AS s FROM texts, unnest(range(1, len(w) - {size - 2})) AS r(i)
+  WHERE len(w) >= {size}
+  UNION ALL SELECT doc_id, 'whole ' || array_to_string(w, ' ') FROM texts WHERE len(w) BETWEEN 1 AND {size - 1}
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY ALL
+),
+links AS (
+  SELECT u, v FROM shared JOIN sizes a ON a.doc_id = u JOIN sizes b ON b.doc_id = v
+  WHERE 100 * k >= {percent} * (a.n + b.n - k)
+),
+reached AS (SELECT doc_id AS u, doc_id AS v FROM documents UNION SELECT r.u, l.v FROM reached r JOIN links l ON r.v = l.u),
+lowest AS (SELECT u AS doc_id, min(v) AS component_id FROM reached GROUP BY u)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM lowest LEFT JOIN sizes USING (doc_id)"""
+
+
 STATEMENTS = {
     "op1_sharding": shard_documents(),
     "op5_quality_rules": judge_documents(),
+    "op8_minhash_neardup": label_documents(),
     "op9_url_filters": judge_urls(),
 }
