@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ebbline.llm import bpe, neardup, quality, sharding, tokencount, urls
+from ebbline.llm import bpe, linededup, neardup, quality, sharding, tokencount, urls
 
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -26,6 +26,11 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, ranks, public_tokenizers.PATTERN, keep=["doc_id"]).drop("ids")
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rewritten = linededup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rewritten.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_documents(_table(spark, sf_dir, "documents"))
 
@@ -43,4 +48,4 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(_table(spark, sf_dir, "documents"), pieces)
 
 
-QUERIES = [op1_sharding, op2_byte_bpe, op5_quality_rules, op8_minhash_neardup, op9_url_filters, op10_token_counts]
+QUERIES = [op1_sharding, op2_byte_bpe, op3_line_dedup, op5_quality_rules, op8_minhash_neardup, op9_url_filters, op10_token_counts]

@@ -154,8 +154,28 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = comp
 FROM lowest LEFT JOIN sizes USING (doc_id)"""
 
 
+def dedup_lines(min_chars: int = 20, min_docs: int = 3) -> str:
+    return rf"""
+WITH texts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+lines AS (
+  SELECT doc_id, i, l[i] AS line, translate(trim(l[i], {TRIM}), {LOWER}) AS key
+  FROM texts, unnest(range(1, len(l) + 1)) AS r(i)
+),
+common AS (
+  SELECT key, max(doc_id) AS last FROM lines WHERE length(key) >= {min_chars} GROUP BY key
+  HAVING count(DISTINCT doc_id) >= {min_docs}
+),
+marked AS (
+  SELECT doc_id, i, line, last IS NOT NULL AND last <> doc_id AS gone FROM lines LEFT JOIN common USING (key)
+)
+SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (gone))::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id"""
+
+
 STATEMENTS = {
     "op1_sharding": shard_documents(),
+    "op3_line_dedup": dedup_lines(),
     "op5_quality_rules": judge_documents(),
     "op8_minhash_neardup": label_documents(),
     "op9_url_filters": judge_urls(),
