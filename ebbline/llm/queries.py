@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ebbline.llm import bpe, decontam, linededup, neardup, quality, sharding, tokencount, urls
+from ebbline.llm import bpe, decontam, linededup, neardup, quality, sharding, tokencount, urls, warc
 
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -35,6 +35,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_documents(_table(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.write_and_read(_table(spark, sf_dir, "pages")).drop("url", "payload")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.judge_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -52,4 +56,4 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(_table(spark, sf_dir, "documents"), pieces)
 
 
-QUERIES = [op1_sharding, op2_byte_bpe, op3_line_dedup, op5_quality_rules, op7_decontamination, op8_minhash_neardup, op9_url_filters, op10_token_counts]
+QUERIES = [op1_sharding, op2_byte_bpe, op3_line_dedup, op5_quality_rules, op6_warc, op7_decontamination, op8_minhash_neardup, op9_url_filters, op10_token_counts]

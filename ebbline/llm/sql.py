@@ -173,10 +173,27 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (gone))::BIGINT AS
 FROM marked GROUP BY doc_id"""
 
 
+def write_and_read() -> str:
+    letters = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"
+    return rf"""
+WITH hashed AS (SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(encode(coalesce(html, ''))) AS h FROM pages),
+coded AS (
+  SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes,
+         array_to_string(list_transform(range(8), lambda k: array_to_string(list_transform([15, 10, 5, 0], lambda shift:
+           substr({letters}, ((('0x' || substr(h, 5 * k + 1, 5))::BIGINT >> shift) & 31) + 1, 1)), '')), '') AS payload_digest
+  FROM hashed
+),
+paired AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS original FROM coded)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> original THEN original END AS refers_to
+FROM paired"""
+
+
 STATEMENTS = {
     "op1_sharding": shard_documents(),
     "op3_line_dedup": dedup_lines(),
     "op5_quality_rules": judge_documents(),
+    "op6_warc": write_and_read(),
     "op8_minhash_neardup": label_documents(),
     "op9_url_filters": judge_urls(),
 }
