@@ -7,15 +7,16 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
-# Objects that are dear to build, kept per Python worker under a key.
+# Objects that are dear to build: per Python worker the last one of each kind, and what it was built for.
 _kept: dict = {}
 
 
-def once_per_worker(key, build: Callable):
-    """What ``build`` returns, built at most once in a worker process for one ``key``."""
-    if key not in _kept:
-        _kept[key] = build()
-    return _kept[key]
+def once_per_worker(kind: str, key, build: Callable):
+    """What ``build`` returns, built anew only when the worker sees another ``key`` for this ``kind``."""
+    if kind not in _kept or _kept[kind][0] != key:
+        _kept.pop(kind, None)
+        _kept[kind] = key, build()
+    return _kept[kind][1]
 
 
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 32_000_000) -> Iterator[pa.RecordBatch]:

@@ -169,8 +169,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 def _encoder(df: DataFrame, ranks: dict[bytes, int], pattern: str):
     shared = df.sparkSession.sparkContext.broadcast(ranks)
-    key = ("bpe", hash(frozenset(ranks.items())), pattern)
-    return lambda: once_per_worker(key, lambda: Encoder(shared.value, pattern))
+    key = hash(frozenset(ranks.items())), pattern
+    return lambda: once_per_worker("bpe", key, lambda: Encoder(shared.value, pattern))
 
 
 def encode(

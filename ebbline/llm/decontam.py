@@ -175,10 +175,10 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, min_match: int = 5, text: s
         # Bounded: a block holds BLOCK_BYTES of text, or a single item.
         rows = sorted(map(tuple, block.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
         shared, names = context.broadcast(rows), [*names, f"_{hits}_{number}"]
-        key = ("decontam", hash(tuple(rows)), min_match)
+        key = hash(tuple(rows)), min_match
 
         def build(shared=shared, key=key):
-            return once_per_worker(key, lambda: Block(shared.value, min_match))
+            return once_per_worker("decontam", key, lambda: Block(shared.value, min_match))
 
         def make(items: Block, texts: list) -> pa.Array:
             kind = pa.list_(pa.struct([("item_id", pa.int64()), ("matched", pa.int64()), ("tokens", pa.int64())]))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ebbline.llm import bpe, decontam, linededup, neardup, quality, sharding, tokencount, urls, warc
+from ebbline.llm import bpe, decontam, linededup, lm, neardup, quality, sharding, tokencount, urls, warc
 
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -31,6 +31,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rewritten.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_documents(_table(spark, sf_dir, "documents"))
 
@@ -56,4 +60,4 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(_table(spark, sf_dir, "documents"), pieces)
 
 
-QUERIES = [op1_sharding, op2_byte_bpe, op3_line_dedup, op5_quality_rules, op6_warc, op7_decontamination, op8_minhash_neardup, op9_url_filters, op10_token_counts]
+QUERIES = [op1_sharding, op2_byte_bpe, op3_line_dedup, op4_lm_scoring, op5_quality_rules, op6_warc, op7_decontamination, op8_minhash_neardup, op9_url_filters, op10_token_counts]

@@ -98,13 +98,13 @@ def read_pieces(path: str) -> list[tuple[str, float]]:
 def count_tokens(docs: DataFrame, pieces: list[tuple[str, float]], text: str = "text") -> DataFrame:
     """doc_id, n_tokens and the score of the best segmentation, a row for every row."""
     shared = docs.sparkSession.sparkContext.broadcast(pieces)
-    key = ("unigram", hash(tuple(pieces)))
+    key = hash(tuple(pieces))
     schema = T.StructType(
         [docs.schema["doc_id"], T.StructField("n_tokens", T.LongType()), T.StructField("score", T.DoubleType())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = once_per_worker(key, lambda: Counter(shared.value))
+        counter = once_per_worker("unigram", key, lambda: Counter(shared.value))
         for whole in batches:
             for batch in slices(whole, "text"):
                 counts, scores = zip(*map(counter.text, batch.column("text").to_pylist()))
