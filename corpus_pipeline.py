@@ -1,24 +1,65 @@
-"""A training corpus from raw documents: quality rules, then the rest of the stages."""
+"""A training corpus from raw documents, in five stages.
+
+Quality rules reject documents; repeated lines go; of each group of near-duplicates one document stays;
+documents that hold benchmark items go; what is left is encoded. Every stage takes and returns the
+columns of ``documents`` (the last one adds its results instead of the text) and works on all rows
+the stage before it kept.
+"""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ebbline.llm import quality
+from ebbline.llm import bpe, decontam, linededup, neardup, quality
 from ebbline.session import shared_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+RANKS = "byte_bpe_multi_50k.tiktoken"
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the rules on texts and hosts."""
+    """Documents that pass the rules on texts and on hosts; a host is the document's source."""
     return quality.keep_good(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("quality rules", quality_rules)]
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that three or more hold, except in the last one to hold them.
+
+    ``n_chars`` is counted again. Documents that lose all their lines stay, with an empty text.
+    """
+    rewritten = linededup.dedup_lines(docs)
+    new = {"text": F.col("kept"), "n_chars": F.char_length("kept").cast("long")}
+    return rewritten.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by a similarity of 0.8 on five-word shingles."""
+    return neardup.keep_one(docs, size=5, percent=80)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that do not hold half of a benchmark item or more."""
+    return decontam.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every text as packed 32-bit integers, and digests of them and of what they decode to."""
+    ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
+    return bpe.digests(docs, ranks, public_tokenizers.PATTERN, keep=["doc_id", "lang", "source"])
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", quality_rules),
+    ("line dedup", line_dedup),
+    ("near dedup", near_dedup),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("byte BPE", byte_bpe),
+]
 
 # The last stage encodes by a tokenizer, which SQL cannot express.
 ORACLE_SQL = None

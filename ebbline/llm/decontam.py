@@ -174,7 +174,7 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, min_match: int = 5, text: s
     for number, block in enumerate(blocks):
         # Bounded: a block holds BLOCK_BYTES of text, or a single item.
         rows = sorted(map(tuple, block.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
-        shared, names = context.broadcast(rows), [*names, f"_{hits}_{number}"]
+        shared, names = context.broadcast(rows), [*names, f"{hits}_{number}"]
         key = hash(tuple(rows)), min_match
 
         def build(shared=shared, key=key):
@@ -211,6 +211,8 @@ def judge_documents(docs: DataFrame, benchmark: DataFrame, min_match: int = 5, t
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, min_match: int = 5, threshold: float = 0.5) -> DataFrame:
     """The documents that hold no item, all their columns unchanged."""
-    name = "_hits_of_text"
+    name = "_hits"
+    while any(c.startswith(name) for c in docs.columns):
+        name = "_" + name
     found = with_hits(docs, benchmark, min_match, hits=name)
     return found.where(F.size(_covered(name, threshold)) == 0).drop(name)
