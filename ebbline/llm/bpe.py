@@ -15,7 +15,10 @@ Null and empty texts have no ids. Repeated rows are encoded again. Other columns
 from __future__ import annotations
 
 import base64
+import re
+import struct
 from heapq import heappop, heappush
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,19 +29,22 @@ from ebbline.llm.arrow import once_per_worker, with_column
 
 REMEMBERED = 300_000
 LONGEST_REMEMBERED = 48
+DECODED_AT_ONCE = 1_000_000
 BITS = 8
 MASK = (1 << BITS) - 1
+SET = [1 << bit for bit in range(1 << BITS)]
 
 
 class RankQueue:
     """Positions by rank, lowest rank first and leftmost position first within a rank.
 
     Level 0 of the bitmap has a bit per rank, in words of 256 bits; every level above has a bit per
-    word below. The queue is empty again after use, so one serves any number of pre-tokens.
+    word below. A bucket is a bare position while it holds only one, else a heap. The queue is empty
+    again after use, so one serves any number of pre-tokens.
     """
 
     def __init__(self, ranks: int):
-        self.buckets: dict[int, list[int]] = {}
+        self.buckets: dict[int, int | list[int]] = {}
         self.levels: list[list[int]] = []
         words = ranks
         while True:
@@ -46,38 +52,47 @@ class RankQueue:
             self.levels.append([0] * words)
             if words <= 1:
                 break
+        self.from_top = self.levels[::-1]
 
     def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            heappush(bucket, position)
+        buckets = self.buckets
+        if rank in buckets:
+            held = buckets[rank]
+            if type(held) is int:
+                buckets[rank] = [held, position] if held < position else [position, held]
+            else:
+                heappush(held, position)
             return
-        self.buckets[rank] = [position]
+        buckets[rank] = position
         for level in self.levels:
             word = rank >> BITS
             before = level[word]
-            level[word] = before | 1 << (rank & MASK)
+            level[word] = before | SET[rank & MASK]
             if before:
                 return
             rank = word
 
     def pop(self) -> tuple[int, int]:
         rank = 0
-        for level in reversed(self.levels):
+        for level in self.from_top:
             bits = level[rank]
             rank = rank << BITS | (bits & -bits).bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            index = rank
-            for level in self.levels:
-                word = index >> BITS
-                level[word] &= ~(1 << (index & MASK))
-                if level[word]:
-                    break
-                index = word
-        return rank, position
+        held = self.buckets[rank]
+        if type(held) is not int:
+            position = heappop(held)
+            if len(held) == 1:
+                self.buckets[rank] = held[0]
+            return rank, position
+        del self.buckets[rank]
+        index = rank
+        for level in self.levels:
+            word = index >> BITS
+            left = level[word] ^ SET[index & MASK]
+            level[word] = left
+            if left:
+                break
+            index = word
+        return rank, held
 
 
 class Encoder:
@@ -86,16 +101,28 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.split = regex.compile(pattern).findall
+        self.split_ascii = re.compile(ascii_pattern(pattern), re.ASCII).findall
         self.longest = max(map(len, ranks), default=0)
         self.queue = RankQueue(max(ranks.values(), default=0) + 1)
-        self.bytes_of = {rank: piece for piece, rank in ranks.items()}
+        self.starts, self.sizes, self.blob = _vocabulary_bytes(ranks)
         self.remembered = _Remembered(self)
 
     def encode(self, text: str | None) -> bytes:
-        return b"".join(map(self.remembered.__getitem__, self.split(text))) if text else b""
+        if not text:
+            return b""
+        split = self.split_ascii if text.isascii() else self.split
+        return b"".join(map(self.remembered.__getitem__, split(text)))
 
     def decode(self, packed: bytes | None) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(packed or b"", "<u4").tolist()))
+        every, parts = np.frombuffer(packed or b"", "<u4"), []
+        for at in range(0, len(every), DECODED_AT_ONCE):
+            ids = every[at : at + DECODED_AT_ONCE]
+            sizes = self.sizes[ids]
+            # Every output byte's place in the vocabulary: its piece's start and its offset in the piece.
+            ends = np.cumsum(sizes)
+            places = np.arange(ends[-1]) + np.repeat(self.starts[ids] - ends + sizes, sizes)
+            parts.append(self.blob[places].tobytes())
+        return b"".join(parts)
 
     def merged(self, piece: bytes) -> list[int]:
         """Ids of one pre-token."""
@@ -145,18 +172,42 @@ class Encoder:
         return ids
 
 
+def ascii_pattern(pattern: str) -> str:
+    """The pattern for texts of ASCII alone, whose letters and numbers can be listed."""
+
+    def listed(match: re.Match) -> str:
+        if match[0].startswith("["):
+            return match[0].replace(r"\p{L}", "a-zA-Z").replace(r"\p{N}", "0-9")
+        return "[a-zA-Z]" if match[0] == r"\p{L}" else "[0-9]"
+
+    return re.sub(r"\[[^\]]*\]|\\p\{[LN]\}", listed, pattern)
+
+
+def _vocabulary_bytes(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and size of every rank's piece, and all pieces on end."""
+    sizes = np.zeros(max(ranks.values(), default=0) + 1, np.int64)
+    ordered = sorted(ranks.items(), key=lambda item: item[1])
+    for piece, rank in ordered:
+        sizes[rank] = len(piece)
+    blob = np.frombuffer(b"".join(piece for piece, _ in ordered), np.uint8)
+    return np.cumsum(sizes) - sizes, sizes, blob
+
+
 class _Remembered(dict):
-    """Packed ids by pre-token; computes what is missing and starts anew when full."""
+    """Packed ids by pre-token; computes what is missing and forgets late ones when full."""
 
     def __init__(self, encoder: Encoder):
         super().__init__()
         self.encoder = encoder
 
     def __missing__(self, token: str) -> bytes:
-        packed = np.array(self.encoder.merged(token.encode()), "<u4").tobytes()
+        ids = self.encoder.merged(token.encode())
+        packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(token) <= LONGEST_REMEMBERED:
             if len(self) >= REMEMBERED:
-                self.clear()
+                # Frequent pre-tokens are met early, so the later half makes room.
+                for late in list(islice(reversed(self), REMEMBERED // 2)):
+                    del self[late]
             self[token] = packed
         return packed
 

@@ -42,6 +42,8 @@ def test_texts_encode_as_the_library_does(ranks, library):
     random.seed(3)
     encoder = bpe.Encoder(ranks, public_tokenizers.PATTERN)
     texts = ["".join(random.choice(ALPHABET) for _ in range(random.randrange(200))) for _ in range(1500)]
+    ascii_only = "".join(map(chr, range(128)))
+    texts += ["".join(random.choice(ascii_only) for _ in range(random.randrange(200))) for _ in range(1500)]
     texts += ["a" * 3000, "ab" * 2000, "é" * 2000, " " * 900, "<|endoftext|>", "the" * 3000]
     for text in texts:
         packed = encoder.encode(text)
@@ -49,6 +51,12 @@ def test_texts_encode_as_the_library_does(ranks, library):
         assert encoder.decode(packed) == text.encode()
 
 
+def test_long_texts_decode_in_parts(ranks, monkeypatch):
+    monkeypatch.setattr(bpe, "DECODED_AT_ONCE", 7)
+    encoder = bpe.Encoder(ranks, public_tokenizers.PATTERN)
+    assert encoder.decode(encoder.encode(ALPHABET * 9)) == (ALPHABET * 9).encode()
+
+
 def test_memory_of_pretokens_is_bounded(ranks, monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 10)
     encoder = bpe.Encoder(ranks, public_tokenizers.PATTERN)
