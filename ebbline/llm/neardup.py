@@ -9,11 +9,14 @@ register keeps the number of leading zeros and ten mantissa bits, 16 bits in all
    Well-filled sketches start a key at every fourth bucket; sketches with empty buckets at every bucket
    in use, so that a few very common shingles alone never make a key. At a similarity of 0.8 a pair
    shares no key with probability 5e-8.
-3. Links. Within a key every class is paired with the smallest one only, which is linear in the key.
-   Pairs whose estimated similarity, corrected for chance collisions of registers, is more than six
-   standard errors too low are left out. The others are confirmed on the full sets.
-4. Components of these links. Where a key still joins several components, all pairs across them are
-   tested too, in blocks of at most ``BLOCK`` classes, so no link is lost and no task gets a large key.
+3. Links. Within a key every class is paired with one only, the class that meets most others over all
+   keys: linear in the key, and likely to be the original of a family of copies. Pairs whose estimated
+   similarity, corrected for chance collisions of registers, is more than six standard errors too low
+   are left out. The others are confirmed on the full sets.
+4. Components of these links. Classes that met the same partner but are in different components so far
+   are tested against each other too, so no link is lost. Their group is cut into blocks of at most
+   ``BLOCK`` classes, a task has two blocks, first of sketches, then of the full sets of those that the
+   sketches leave in doubt, and it hands on as many links as join its components, never all pairs.
 
 Texts with fewer words than a shingle are one shingle; those without words, null ones included, are
 linked with nothing. Repeated rows belong to one class. Null doc_ids sort last: a component's id is
@@ -38,10 +41,13 @@ MANTISSA_BITS = 10
 BAND = 4
 # Sketches with at most this many buckets in use start a key at each of them.
 SPARSE = 96
-BLOCK = 64
+BLOCK = 256
 STANDARD_ERRORS = 6.0
 # Fixed value of the published estimator: expected collisions of registers between disjoint sets.
 COLLISION = 0.169919487159739093975315012348
+# Bounds on what a task holds while it compares two blocks: pairs of sketches, columns of shingles.
+PAIRS_AT_ONCE = 8192
+COLUMNS_AT_ONCE = 8192
 # A list of row numbers is broadcast while it is smaller than this; beyond, it is joined by a shuffle.
 BROADCAST_BYTES = 32_000_000
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -148,6 +154,12 @@ def estimated(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right:
     return np.maximum(equal - chance, 0) / np.maximum(used - chance, 1), used
 
 
+def _near(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.ndarray, least: float) -> np.ndarray:
+    """Whether the estimate is at most six standard errors below ``least``."""
+    share, used = estimated(left, right, n_left, n_right)
+    return share >= least - STANDARD_ERRORS * np.sqrt(least * (1 - least) / np.maximum(used, 1))
+
+
 def _likely(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
     """Pairs (a, b) whose sizes allow ``least`` and whose estimate is not far below it."""
     sized = classes.select("node", "n", "registers")
@@ -164,9 +176,7 @@ def _likely(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
                 np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, BUCKETS) for c in ("ra", "rb")
             ]
             sizes = [batch.column(c).to_numpy() for c in ("na", "nb")]
-            share, used = estimated(*both, *sizes)
-            margin = STANDARD_ERRORS * np.sqrt(least * (1 - least) / np.maximum(used, 1))
-            good = pa.array(share >= least - margin)
+            good = pa.array(_near(*both, *sizes, least))
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(good), batch.column("b").filter(good)], ["a", "b"])
 
     return sides.mapInArrow(run, "a long, b long")
@@ -193,30 +203,104 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
     )
 
 
-def _across(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs of classes that share a key but are in different components so far, each pair once."""
-    placed = members.join(found, "node", "left").select(
-        "key", "node", F.coalesce("component", "node").alias("component")
+def _doubtful(least: float):
+    """Classes of two blocks whose sketches do not rule out a link into another component."""
+
+    def run(block: pa.Table) -> pa.Table:
+        regs = np.frombuffer(b"".join(block.column("registers").to_pylist()), np.uint16).reshape(-1, BUCKETS)
+        n = block.column("n").to_numpy()
+        left, right = np.nonzero(_crossing(block))
+        fits = np.minimum(n[left], n[right]) >= (least - 1e-9) * np.maximum(n[left], n[right])
+        left, right = left[fits], right[fits]
+        wanted = np.zeros(len(n), bool)
+        for at in range(0, len(left), PAIRS_AT_ONCE):
+            a, b = left[at : at + PAIRS_AT_ONCE], right[at : at + PAIRS_AT_ONCE]
+            good = _near(regs[a], regs[b], n[a], n[b], least)
+            wanted[a[good]] = wanted[b[good]] = True
+        return block.select(["leader", "i", "j", "node", "component", "own"]).filter(pa.array(wanted))
+
+    return run
+
+
+def _crossing(block: pa.Table) -> np.ndarray:
+    """Upper triangle of the pairs to test: different components and, for two blocks, different blocks."""
+    component, own = block.column("component").to_numpy(), block.column("own").to_numpy()
+    pairs = np.triu(component[:, None] != component[None, :], 1)
+    if block.num_rows and block.column("i")[0].as_py() != block.column("j")[0].as_py():
+        pairs &= own[:, None] != own[None, :]
+    return pairs
+
+
+def _joining(percent: int):
+    """Confirmed links of two blocks, as many as it takes to join the components they join."""
+
+    def run(block: pa.Table) -> pa.Table:
+        lists = block.column("hashes").combine_chunks()
+        sizes = np.diff(lists.offsets.to_numpy())
+        owners = np.repeat(np.arange(len(sizes)), sizes)
+        hashes, place = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+        # Shingles of a single class cannot be shared. The others become columns, some at a time.
+        shared = np.bincount(place, minlength=len(hashes)) > 1
+        column = (np.cumsum(shared) - 1)[place]
+        usable = shared[place]
+        owners, column = owners[usable], column[usable]
+        order = np.argsort(column, kind="stable")
+        owners, column = owners[order], column[order]
+        both = np.zeros((len(sizes), len(sizes)), np.float32)
+        for first in range(0, int(shared.sum()), COLUMNS_AT_ONCE):
+            start, end = np.searchsorted(column, [first, first + COLUMNS_AT_ONCE])
+            held = np.zeros((len(sizes), COLUMNS_AT_ONCE), np.float32)
+            held[owners[start:end], column[start:end] - first] = 1
+            both += held @ held.T
+        union = sizes[:, None] + sizes[None, :] - both
+        linked = _crossing(block) & (100 * both >= percent * union)
+        node, component = block.column("node").to_numpy(), block.column("component").to_numpy()
+        root = {c: c for c in component.tolist()}
+
+        def find(c: int) -> int:
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+
+        links = []
+        for a, b in np.argwhere(linked).tolist():
+            one, other = find(int(component[a])), find(int(component[b]))
+            if one != other:
+                root[one] = other
+                links.append((int(node[a]), int(node[b])))
+        ends = list(zip(*links)) or [(), ()]
+        return pa.table({"u": pa.array(ends[0], pa.int64()), "v": pa.array(ends[1], pa.int64())})
+
+    return run
+
+
+def _across(
+    met: DataFrame, found: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int
+) -> DataFrame:
+    """Links between classes that met the same partner (a, b: partner) but are in different components."""
+    placed = met.join(found, F.col("a") == F.col("node"), "left").select(
+        F.col("b").alias("leader"), F.col("a").alias("node"), F.coalesce("component", "a").alias("component")
     )
-    placed = stage(placed, "placed")
+    placed = stage(placed, "neardup-placed")
     mixed = (
-        placed.groupBy("key")
+        placed.groupBy("leader")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("m"))
         .where("low < high")
+        .select("leader", F.ceil(F.col("m") / BLOCK).alias("blocks"))
     )
-    blocks = F.ceil(F.col("m") / BLOCK)
-    own = F.pmod(F.xxhash64("node"), blocks)
     # A class meets each block once: as the first of the two if its own comes first.
     meets = F.expr("transform(sequence(0L, blocks - 1), o -> struct(least(own, o) AS i, greatest(own, o) AS j))")
-    dealt = placed.join(mixed, "key").withColumn("blocks", blocks).withColumn("own", own)
-    dealt = dealt.select("key", "node", "component", "own", F.explode(meets).alias("part"))
-    lists = dealt.groupBy("key", "part").agg(F.collect_list(F.struct("component", "node", "own")).alias("l"))
-    pairs = F.expr(
-        "explode(flatten(transform(l, x -> transform(filter(l, y -> y.component > x.component"
-        " AND (part.i = part.j OR y.own <> x.own)),"
-        " y -> struct(least(x.node, y.node) AS a, greatest(x.node, y.node) AS b)))))"
-    )
-    return lists.select(pairs.alias("p")).select("p.a", "p.b").distinct()
+    dealt = placed.join(mixed, "leader").withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
+    dealt = dealt.select("leader", "node", "component", "own", F.explode(meets).alias("part"))
+    dealt = dealt.select("leader", "node", "component", "own", "part.i", "part.j")
+    sketched = dealt.join(classes.select("node", "n", "registers"), "node")
+    kind = "leader long, i long, j long, node long, component long, own long"
+    doubtful = sketched.groupBy("leader", "i", "j").applyInArrow(_doubtful(percent / 100), kind)
+    doubtful = stage(doubtful, "neardup-doubtful")
+    wanted = stage(doubtful.select("node").distinct(), "neardup-wanted")
+    sets = with_shingles(texts.select("node", "text").join(_listed(wanted), "node", "left_semi"), size)
+    blocks = doubtful.join(sets, "node").groupBy("leader", "i", "j")
+    return blocks.applyInArrow(_joining(percent), "u long, v long")
 
 
 def find_components(
@@ -249,15 +333,17 @@ def find_components(
         "neardup-classes",
     )
     keyed = classes.select("node", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    members = stage(keyed.join(shared.select("key", "first"), "key"), "neardup-members")
-    stars = members.where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()
-    stars = stage(_likely(stars, classes, least), "neardup-likely")
-    links = stage(_confirmed(stars, texts, size, percent), "neardup-links")
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    members = stage(keyed.join(shared, "key"), "neardup-members")
+    meeting = members.groupBy("node").agg(F.sum("m").alias("met"))
+    ranked = members.join(meeting, "node").select("key", F.struct("met", "node").alias("rank"))
+    first = ranked.groupBy("key").agg(F.max("rank").alias("first"))
+    pairs = ranked.join(first, "key").select(F.col("rank.node").alias("a"), F.col("first.node").alias("b"))
+    met = stage(pairs.where("a <> b").distinct(), "neardup-met")
+    likely = stage(_likely(met, classes, least), "neardup-likely")
+    links = stage(_confirmed(likely, texts, size, percent), "neardup-links")
     found = stage(components(links), "neardup-found")
-    rest = stage(_likely(_across(members, found), classes, least), "neardup-rest")
-    tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = stage(_confirmed(rest.join(tried, ["a", "b"], "left_anti"), texts, size, percent), "neardup-more")
+    more = stage(_across(met, found, classes, texts, size, percent), "neardup-more")
     if not more.isEmpty():
         found = components(links.unionByName(more))
     grouped = classes.select("d1", "d2", "n", "node", "keeper").join(found, "node", "left")
