@@ -1,0 +1,143 @@
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from brute_llm import near_groups
+from ebbline.llm import neardup
+from ebbline.llm.components import components
+
+
+def labels(rows, size):
+    """(doc_id, n_shingles, component_id, kept) of (doc_id, text) rows, by brute force."""
+    found = near_groups(rows, size)
+    last = 2**63 - 1
+    ids = [last if doc_id is None else doc_id for doc_id, _ in rows]
+    lowest = {root: min(i for i, (_, r) in zip(ids, found) if r == root) for _, root in found}
+    return sorted((i, n, lowest[root], i == lowest[root]) for i, (n, root) in zip(ids, found))
+
+
+def found_labels(frame):
+    last = 2**63 - 1
+    number = lambda v: last if v is None else v
+    return sorted((number(r["doc_id"]), r["n_shingles"], number(r["component_id"]), r["kept"]) for r in frame.collect())
+
+
+def families(seed, count, copies, length, vocabulary=400):
+    """Texts and copies of theirs with more and more words replaced."""
+    random.seed(seed)
+    word = lambda: f"w{random.randrange(vocabulary)}"
+    rows = []
+    for _ in range(count):
+        base = [word() for _ in range(random.randrange(2, length))]
+        for copy in range(copies):
+            changed = list(base)
+            for _ in range(random.randrange(0, 1 + len(base) // 8)):
+                changed[random.randrange(len(base))] = word()
+            rows.append((len(rows), " ".join(changed if copy else base)))
+    random.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("size", [2, 5])
+def test_odd_documents(documents, odd_rows, size):
+    assert found_labels(neardup.label_documents(documents(odd_rows), size)) == labels(odd_rows, size)
+
+
+def test_keep_one_keeps_columns_and_one_row_of_each_group(documents, odd_rows):
+    docs = documents(odd_rows)
+    rows = neardup.keep_one(docs, 5)
+    assert rows.columns == docs.columns
+    kept = [(r["doc_id"], r["text"]) for r in rows.collect()]
+    groups = near_groups(odd_rows, 5)
+    numbered = {i: [odd_rows[i]] for i, (n, root) in enumerate(groups) if not n}
+    for i, (n, root) in enumerate(groups):
+        if n:
+            numbered.setdefault(root, []).append(odd_rows[i])
+    assert len(kept) == len(numbered)
+    last = 2**63 - 1
+    best = sorted(min(last if d is None else d for d, _ in members) for members in numbered.values())
+    assert sorted(last if d is None else d for d, _ in kept) == best
+
+
+def test_families_of_short_and_long_texts(documents):
+    rows = families(9, 40, 6, 12) + [(1000 + d, t) for d, t in families(10, 12, 12, 300, 4000)]
+    assert found_labels(neardup.label_documents(documents(rows), 2)) == labels(rows, 2)
+
+
+def test_blocks_join_what_the_first_links_leave_apart(documents, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 4)
+    monkeypatch.setattr(neardup, "PAIRS_AT_ONCE", 5)
+    monkeypatch.setattr(neardup, "COLUMNS_AT_ONCE", 16)
+    # A chain: neighbours are alike, but no text is like all the others, so no single partner links them.
+    words = [f"w{i}" for i in range(400)]
+    rows = [(k, " ".join(words[6 * k : 6 * k + 80])) for k in range(40)]
+    found = neardup.label_documents(documents(rows), 2)
+    assert found_labels(found) == labels(rows, 2)
+    assert {r["component_id"] for r in found.collect()} == {0}
+
+
+def test_empty_table(documents):
+    assert neardup.label_documents(documents([]), 2).collect() == []
+    assert neardup.keep_one(documents([]), 5).collect() == []
+
+
+def test_estimate_is_near_the_true_similarity():
+    rng = np.random.default_rng(11)
+    for true in (0.3, 0.6, 0.8, 0.95):
+        estimates = []
+        for _ in range(60):
+            both = rng.integers(0, 2**64, 3000, dtype=np.uint64)
+            cut = int(3000 * true)
+            sides = [np.concatenate([both[:cut], both[cut + k :: 2]]) for k in (0, 1)]
+            regs = [neardup.registers(s, np.zeros(len(s), np.int64), 1) for s in sides]
+            sizes = [np.array([len(s)]) for s in sides]
+            estimates.append(neardup.estimated(*regs, *sizes)[0][0])
+        assert abs(np.mean(estimates) - true) < 0.03
+
+
+def test_similar_sets_share_a_key():
+    rng, missed = np.random.default_rng(12), 0
+    for _ in range(2000):
+        union = int(rng.integers(5, 600))
+        both = rng.integers(0, 2**64, union, dtype=np.uint64)
+        extra = union // 5
+        split = int(rng.integers(0, extra + 1))
+        sides = [np.concatenate([both[extra:], part]) for part in (both[:split], both[split:extra])]
+        keys = [neardup.band_keys(neardup.registers(s, np.zeros(len(s), np.int64), 1)[0]) for s in sides]
+        missed += not len(np.intersect1d(*keys))
+    assert missed == 0
+
+
+def test_components_of_chains_stars_and_repeated_edges(spark):
+    random.seed(13)
+    edges = [(i, i + 1) for i in range(60)] + [(500, 500 + i) for i in range(1, 80)] + [(900, 900), (7, 3), (3, 7)]
+    edges += [(random.randrange(2000, 2100), random.randrange(2000, 2100)) for _ in range(90)]
+    parent = {}
+
+    def root(a):
+        parent.setdefault(a, a)
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    for a, b in edges:
+        if a != b:
+            low, high = sorted((root(a), root(b)))
+            parent[high] = low
+    found = components(spark.createDataFrame(edges, "u long, v long")).collect()
+    assert sorted((r["node"], r["component"]) for r in found) == sorted((a, root(a)) for a in list(parent))
+    assert components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def test_block_links_join_components_only():
+    sets = [[1, 2, 3, 4, 5, 6, 7, 8, 9, 10]] * 4 + [[50, 51]]
+    block = pa.table(
+        {
+            "leader": [0] * 5, "i": [0] * 5, "j": [0] * 5, "own": [0] * 5, "node": [0, 1, 2, 3, 4],
+            "component": [0, 0, 2, 3, 4], "hashes": pa.array(sets, pa.list_(pa.int64())),
+        }
+    )
+    links = neardup._joining(80)(block)
+    # Three components of equal sets need two links.
+    assert links.num_rows == 2
