@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
@@ -27,6 +28,34 @@ def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 32_000_000) ->
         yield batch.slice(start, step)
 
 
+def each_group(make: Callable[[pa.Table], pa.Table], keys: list[str]) -> Callable:
+    """A function for ``mapInArrow`` that hands ``make`` the rows of one group after another.
+
+    Rows have to come sorted by ``keys``, all long and not null, and all rows of a group in one partition. Only a
+    group and a batch are held at a time, so groups should be of bounded size.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            places = np.stack([batch.column(key).to_numpy() for key in keys])
+            starts = np.flatnonzero((places[:, 1:] != places[:, :-1]).any(0)) + 1
+            if waiting and [waiting[0].column(key)[0].as_py() for key in keys] != places[:, 0].tolist():
+                yield from make(pa.Table.from_batches(waiting)).to_batches()
+                waiting = []
+            for start, end in zip([0, *starts.tolist()], [*starts.tolist(), batch.num_rows]):
+                if start:
+                    yield from make(pa.Table.from_batches(waiting)).to_batches()
+                    waiting = []
+                waiting.append(batch.slice(start, end - start))
+        if waiting:
+            yield from make(pa.Table.from_batches(waiting)).to_batches()
+
+    return run
+
+
 def with_column(
     df: DataFrame,
     name: str,

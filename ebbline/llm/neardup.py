@@ -29,8 +29,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from ebbline.llm.arrow import each_group
 from ebbline.llm.components import components
 from ebbline.llm.text import lower_ascii, packed, plain, words
 from ebbline.session import stage
@@ -203,6 +205,14 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
     )
 
 
+PART = ["leader", "i", "j"]
+
+
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    """Rows of two blocks next to each other; a pair of blocks is never more than 2 * BLOCK rows or so."""
+    return rows.repartition(*PART).sortWithinPartitions(*PART)
+
+
 def _doubtful(least: float):
     """Classes of two blocks whose sketches do not rule out a link into another component."""
 
@@ -236,7 +246,7 @@ def _joining(percent: int):
 
     def run(block: pa.Table) -> pa.Table:
         lists = block.column("hashes").combine_chunks()
-        sizes = np.diff(lists.offsets.to_numpy())
+        sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
         owners = np.repeat(np.arange(len(sizes)), sizes)
         hashes, place = np.unique(lists.flatten().to_numpy(), return_inverse=True)
         # Shingles of a single class cannot be shared. The others become columns, some at a time.
@@ -295,12 +305,10 @@ def _across(
     dealt = dealt.select("leader", "node", "component", "own", "part.i", "part.j")
     sketched = dealt.join(classes.select("node", "n", "registers"), "node")
     kind = "leader long, i long, j long, node long, component long, own long"
-    doubtful = sketched.groupBy("leader", "i", "j").applyInArrow(_doubtful(percent / 100), kind)
-    doubtful = stage(doubtful, "neardup-doubtful")
+    doubtful = stage(_in_blocks(sketched).mapInArrow(each_group(_doubtful(percent / 100), PART), kind), "neardup-doubtful")
     wanted = stage(doubtful.select("node").distinct(), "neardup-wanted")
     sets = with_shingles(texts.select("node", "text").join(_listed(wanted), "node", "left_semi"), size)
-    blocks = doubtful.join(sets, "node").groupBy("leader", "i", "j")
-    return blocks.applyInArrow(_joining(percent), "u long, v long")
+    return _in_blocks(doubtful.join(sets, "node")).mapInArrow(each_group(_joining(percent), PART), "u long, v long")
 
 
 def find_components(
