@@ -21,7 +21,9 @@ Weights = dict[str, np.ndarray]
 class GruOptions:
     hidden: int = 16
     members: int = 32
+    # Steps that are backpropagated through, and steps scored at once; the latter changes no result.
     window: int = 16
+    scored_window: int = 64
     lanes: int = 512
     rate: float = 0.1
     seed: int = 7
@@ -63,11 +65,20 @@ def unpack(data: bytes, like: Weights) -> Weights:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    """In place of ``x``. Exponentials that overflow give 0, which is right."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 def _tanh(x: np.ndarray) -> np.ndarray:
-    return 2 * _sigmoid(2 * x) - 1
+    """In place of ``x``; by the exponential, which numpy has in vector instructions."""
+    x *= 2
+    _sigmoid(x)
+    x *= 2
+    x -= 1
+    return x
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
@@ -75,17 +86,31 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(-1, keepdims=True))
 
 
-def steps(weights: Weights, inputs: np.ndarray, keep: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, list]:
-    """States after each step of (time, lane) inputs; ``keep`` is 0 where a document starts."""
+def _log_share(x: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Log of the softmax of each row at its wanted place; ``x`` is used up."""
+    x -= x.max(-1, keepdims=True)
+    chosen = x[np.arange(len(x)), wanted]
+    return chosen - np.log(np.exp(x, out=x).sum(-1))
+
+
+def steps(
+    weights: Weights, inputs: np.ndarray, keep: np.ndarray, state: np.ndarray, traced: bool = True
+) -> tuple[np.ndarray, list]:
+    """States after each step of (time, lane) inputs; ``keep`` is 0 where a document starts.
+
+    ``traced`` also returns what backpropagation needs of each step.
+    """
     hidden, trace = state.shape[1], []
     states = np.empty((*inputs.shape, hidden), np.float32)
     for t, symbols in enumerate(inputs):
         state = state * keep[t][:, None]
         given, own = weights["input"][symbols], state @ weights["recurrent"]
-        gates = _sigmoid(given[:, : 2 * hidden] + own[:, : 2 * hidden])
-        update, reset = gates[:, :hidden], gates[:, hidden:]
-        fresh = _tanh(given[:, 2 * hidden :] + reset * own[:, 2 * hidden :])
-        trace.append((state, own[:, 2 * hidden :], update, reset, fresh))
+        with np.errstate(over="ignore"):
+            gates = _sigmoid(given[:, : 2 * hidden] + own[:, : 2 * hidden])
+            update, reset = gates[:, :hidden], gates[:, hidden:]
+            fresh = _tanh(given[:, 2 * hidden :] + reset * own[:, 2 * hidden :])
+        if traced:
+            trace.append((state, own[:, 2 * hidden :], update, reset, fresh))
         state = fresh + update * (state - fresh)
         states[t] = state
     return states, trace
@@ -102,11 +127,10 @@ def _by_class(targets: np.ndarray, members: int) -> list[tuple[int, np.ndarray]]
 def log_likelihoods(weights: Weights, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Natural log probability of each target after its state; both flat over time and lanes."""
     members = weights["member_bias"].shape[1]
-    of_class = _log_softmax(states @ weights["class"] + weights["class_bias"])
-    result = of_class[np.arange(len(targets)), targets // members]
+    result = _log_share(states @ weights["class"] + weights["class_bias"], targets // members)
     for group, rows in _by_class(targets, members):
-        own = _log_softmax(states[rows] @ weights["member"][group] + weights["member_bias"][group])
-        result[rows] += own[np.arange(len(rows)), targets[rows] % members]
+        own = states[rows] @ weights["member"][group] + weights["member_bias"][group]
+        result[rows] += _log_share(own, targets[rows] % members)
     return result
 
 
@@ -227,11 +251,11 @@ def score(weights: Weights, documents: list[np.ndarray], start: int, options: Gr
             inputs[at + 1 : end, lane] = documents[number][:-1]
             at = end
     state = np.zeros((lanes, options.hidden), np.float32)
-    for at in range(0, total, options.window):
+    for at in range(0, total, options.scored_window):
         # Lanes are sorted by length: those that are done are at the end.
         active = int(np.searchsorted(-lengths, -at, side="left"))
-        cut = slice(at, at + options.window)
-        states, _ = steps(weights, inputs[cut, :active], keep[cut, :active], state[:active])
+        cut = slice(at, at + options.scored_window)
+        states, _ = steps(weights, inputs[cut, :active], keep[cut, :active], state[:active], traced=False)
         state = states[-1]
         inside = (np.arange(at, at + len(states))[:, None] < lengths[:active]).reshape(-1)
         flat, wanted = states.reshape(-1, options.hidden)[inside], targets[cut, :active].reshape(-1)[inside]

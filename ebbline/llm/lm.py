@@ -27,6 +27,7 @@ import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -157,16 +158,19 @@ def most_frequent(counts: DataFrame, documents: int, options: LmOptions) -> Voca
 
 
 class _Coder:
-    """Symbols of texts, and log10(c + 1) of the broadcast words."""
+    """Numbers and symbols of words, and log10(c + 1) by number; -1 is a word that was not broadcast."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.symbol = {word: OTHER + 1 + i for i, (word, _) in enumerate(vocabulary.words[: vocabulary.symbols])}
-        self.log_of = {word: math.log10(c + 1) for word, c in vocabulary.words}
+        self.number = {word: number for number, (word, _) in enumerate(vocabulary.words)}
+        self.logs = np.log10([*[c + 1.0 for _, c in vocabulary.words], 1.0])
+        self.symbols = np.full(len(vocabulary.words) + 1, OTHER, np.int32)
+        self.symbols[: vocabulary.symbols] = np.arange(vocabulary.symbols) + OTHER + 1
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.number.get, words, repeat(-1)), np.int32, len(words))
 
     def code(self, words: list[bytes]) -> np.ndarray:
-        get = self.symbol.get
-        codes = np.fromiter((get(word, OTHER) for word in words), np.int32, len(words))
-        return np.append(codes, np.int32(END))
+        return np.append(self.symbols[self.numbers(words)], np.int32(END))
 
 
 WEIGHTS = pa.schema([("part", pa.int64()), ("tokens", pa.int64()), ("weights", pa.binary())])
@@ -244,25 +248,23 @@ def _partly_scored(rows: DataFrame, vocabulary: Vocabulary, weights: gru.Weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = once_per_worker("lm", key, lambda: _Coder(shared.value))
-        log_of, base_unit, other_unit = coder.log_of.get, shared.value.base_unit, shared.value.other_unit
-        learned = shared.value.documents
+        base_unit, other_unit, learned = shared.value.base_unit, shared.value.other_unit, shared.value.documents
         for whole in batches:
             for batch in slices(whole, "text"):
                 coded, out = [], []
                 for text in batch.column("text").to_pylist():
                     words = split_words(text)
-                    codes = coder.code(words)
-                    logs = [log_of(word) for word in words]
-                    rare = Counter(word for word, log in zip(words, logs) if log is None)
-                    is_other = codes[:-1] == OTHER
-                    found = np.array([log or 0.0 for log in logs])
-                    coded.append(codes)
+                    numbers = coder.numbers(words)
+                    symbols, logs = coder.symbols[numbers], coder.logs[numbers]
+                    rare = Counter(words[at] for at in np.flatnonzero(numbers < 0).tolist())
+                    is_other = symbols == OTHER
+                    coded.append(np.append(symbols, np.int32(END)))
                     out.append(
                         {
-                            "n_tokens": len(codes),
+                            "n_tokens": len(words) + 1,
                             "n_known": len(words) - sum(rare.values()) + (learned > 0),
-                            "base": float(found.sum()) + math.log10(learned + 1) - len(codes) * base_unit,
-                            "model": float(found[is_other].sum()) - int(is_other.sum()) * other_unit,
+                            "base": float(logs.sum()) + math.log10(learned + 1) - (len(words) + 1) * base_unit,
+                            "model": float(logs[is_other].sum()) - int(is_other.sum()) * other_unit,
                             "rare": [word.decode() for word in rare],
                             "times": list(rare.values()),
                         }
