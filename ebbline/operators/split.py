@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from ebbline.functions.cells import hash_bucket
 from ebbline.options import SplitOptions
@@ -12,6 +12,13 @@ from ebbline.schemas import IDENTIFIERS, TARGET
 
 DEFAULTS = SplitOptions()
 
+# Digits of the key hash: in all, and looked at in one step.
+HASH_DIGITS = 32
+PREFIX = 3
+# A part of at most so many rows is counted hash by hash.
+COUNTED_HASHES = 4_096
+MAX_LABELS = 100
+
 
 def assign_split(df: DataFrame, options: SplitOptions = DEFAULTS) -> DataFrame:
     """Add split: 'test' for ``test_percent`` of the keys, 'train' for the rest; no shuffle, no pass.
@@ -40,43 +47,61 @@ def assign_stratified_split(df: DataFrame, label: str = TARGET, options: SplitOp
     """Add split with exact shares: every label gives its quota, the rows of the smallest key hashes
     being the test.
 
-    Hashes are counted by their first three digits, which places the quota in one of 4,096 parts of
-    a label; only that part is ranked. The rows themselves are not moved: each compares its hash with
-    the label's last test hash. ``df`` is read three times, so stage it.
+    Rows of equal keys are never parted, so that no key is in both; where keys repeat, a label's share
+    is met to within the rows of one key (the test then has the few more).
+
+    Hashes are counted by their first digits, which places the quota in one of 4,096 parts of a label;
+    that part is counted by further digits until it is small, and then hash by hash. Rows are neither
+    ranked nor moved: each compares its hash with its label's last test hash, a constant by then. ``df``
+    is read twice, and once more for every 4,096-fold of ``COUNTED_HASHES``, so stage it.
     """
-    spark = df.sparkSession
     digest = F.md5(F.concat_ws("|", F.lit(str(options.seed)), *IDENTIFIERS))
     hashed = df.select(F.col(label).alias("Label"), digest.alias("Digest"))
-    part = F.substring("Digest", 1, 3)
-    parts = hashed.groupBy("Label", part.alias("Part")).agg(F.count(F.lit(1)).alias("Rows"))
+    last = _last_digests(hashed, options.test_percent)
+    is_test = F.lit(False)
+    for value, limit in last.items():
+        is_test = is_test | (F.col(label).eqNullSafe(F.lit(value)) & (digest <= limit))
+    return df.withColumn("split", F.when(is_test, "test").otherwise("train"))
+
+
+def _counts(hashed: DataFrame, digits: int) -> dict[object, list[tuple[str, int]]]:
+    """Per label the rows by leading digits of the hash, in order; at most 4,096 parts each."""
+    part = F.substring("Digest", 1, digits).alias("Part")
+    found = hashed.groupBy("Label", part).agg(F.count(F.lit(1)).alias("Rows"))
     by_label: dict[object, list] = {}
-    for row in parts.collect():  # at most 4,096 rows per label
+    for row in found.collect():
         by_label.setdefault(row["Label"], []).append((row["Part"], row["Rows"]))
-
-    quota = train_quota({k: sum(n for _, n in v) for k, v in by_label.items()}, options.test_percent)
-    wanted = []
-    for value, found in by_label.items():
-        left = sum(n for _, n in found) - quota[value]
-        for name, rows in sorted(found):
-            if left <= rows:
-                wanted.append((value, name, left))
-                break
-            left -= rows
-    places = spark.createDataFrame(
-        wanted, T.StructType([hashed.schema["Label"], T.StructField("Part", T.StringType()),
-                              T.StructField("Place", T.IntegerType())])
-    )
-    # One row per label on the broadcast side.
-    in_part = hashed.withColumn("Part", part).join(F.broadcast(places), ["Label", "Part"])
-    rank = F.row_number().over(W.partitionBy("Label").orderBy("Digest"))
-    last = (
-        in_part.withColumn("Rank", rank)
-        .where(F.col("Rank") == F.col("Place"))
-        .select(F.col("Label").alias(label), F.col("Digest").alias("LastTest"))
-    )
-    marked = df.join(F.broadcast(last), label, "left")
-    is_test = F.coalesce(digest <= F.col("LastTest"), F.lit(False))
-    return marked.withColumn("split", F.when(is_test, "test").otherwise("train")).select(*df.columns, "split")
+    return {label: sorted(parts) for label, parts in by_label.items()}
+
+
+def _last_digests(hashed: DataFrame, test_percent: int) -> dict[object, str]:
+    """The largest key hash of the test rows per label; labels without test rows are left out."""
+    labels = hashed.select("Label").distinct().limit(MAX_LABELS + 1).count()
+    if labels > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} labels")
+    counts = _counts(hashed, PREFIX)
+    quota = train_quota({label: sum(n for _, n in parts) for label, parts in counts.items()}, test_percent)
+    # Per label: how many rows are still to be placed, and the parts that they may be in.
+    left = {label: sum(n for _, n in parts) - quota[label] for label, parts in counts.items()}
+    last: dict[object, str] = {}
+    digits, open_labels = PREFIX, [label for label in counts if left[label] > 0]
+    while open_labels:
+        within, rows = {}, 0
+        for label in open_labels:
+            for part, n in counts[label]:
+                if left[label] <= n:
+                    within[label], rows = part, max(rows, n)
+                    break
+                left[label] -= n
+        if digits == HASH_DIGITS:
+            return last | within
+        inside = F.lit(False)
+        for label, part in within.items():
+            inside = inside | (F.col("Label").eqNullSafe(F.lit(label)) & F.startswith("Digest", F.lit(part)))
+        # Few rows have few hashes; many are looked at in 4,096 parts again.
+        digits = HASH_DIGITS if rows <= COUNTED_HASHES else min(digits + PREFIX, HASH_DIGITS)
+        counts, open_labels = _counts(hashed.where(inside), digits), list(within)
+    return last
 
 
 def assign_fold(df: DataFrame, options: SplitOptions = DEFAULTS) -> DataFrame:
