@@ -10,7 +10,7 @@ from ebbline import schemas
 from ebbline.operators.features import attach_features, latest_per_key, require_unique
 from ebbline.operators.series import forecast_series, labelled_series
 from ebbline.options import SeriesOptions
-from ebbline.sources.requests import Request, for_customers
+from ebbline.sources.requests import Request, for_customers, resolve
 
 DEFAULTS = SeriesOptions()
 AMOUNTS = ["Credit", "Debit", "Balance"]
@@ -42,6 +42,7 @@ def inference_set(
     the join, which then moves one row per series. A series is scored once: a customer with several
     feature rows is an error unless ``newest_by`` names the columns that pick one.
     """
+    request = resolve(request)
     latest = forecast_series(for_customers(flows, request), options)
     asked = for_customers(features, request)
     single = latest_per_key(asked, *newest_by) if newest_by else require_unique(asked)

@@ -110,11 +110,14 @@ def scan_weekly_budget(spark: SparkSession, source: Source) -> DataFrame:
 def trailing_months(df: DataFrame, months: int = 3, date: str = "TransDate") -> DataFrame:
     """Rows dated from ``months`` calendar months before the latest date up to that date.
 
-    The latest date is a scalar subquery, so the bounds reach the scan as values.
+    The bounds are looked up first, one row of text, so that they reach the scan as constants. As scalar
+    subqueries the two would be merged into one, whose fields no scan takes over.
     """
-    latest = df.agg(F.max(date)).scalar()
-    start = latest - F.make_ym_interval(F.lit(0), F.lit(months))
-    return df.where(F.col(date).between(start, latest))
+    newest, dtype = F.max(date), df.schema[date].dataType
+    start = newest - F.make_ym_interval(F.lit(0), F.lit(months))
+    bounds = df.agg(start.cast(dtype).cast("string"), newest.cast("string")).first()
+    first, last = (F.lit(bound).cast(dtype) for bound in bounds)
+    return df.where(F.col(date).between(first, last))
 
 
 def active_budgets(budgets: DataFrame, transactions: DataFrame, months: int = 3) -> DataFrame:

@@ -3,22 +3,48 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ebbline.functions.casts import NULL_ID, text_id
+from ebbline.session import stage
 
 # Up to this many ids go into the filter itself, where they reach the scan.
 INLINE_IDS = 1_000
-# Up to this many ids, counted before the join, a request is broadcast: some tens of MB at most.
-BROADCAST_IDS = 1_000_000
+# Longer requests are broadcast up to this size, measured before the join.
+BROADCAST_BYTES = 64_000_000
+# Room that an id takes besides its text.
+ID_BYTES = 32
 
 Request = Sequence[object] | DataFrame | None
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_IDS) -> DataFrame:
-    """Broadcast hint for ``df`` only when a count shows at most ``max_rows`` rows."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+@dataclass(frozen=True)
+class Asked:
+    """A request that has been looked at: short ones are a list, long ones a frame of distinct ids."""
+
+    ids: tuple[str, ...] | DataFrame
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint for a frame of one text column only when its measured size is at most ``max_bytes``."""
+    size = df.agg(F.sum(F.octet_length(df.columns[0]) + ID_BYTES)).first()[0] or 0
+    return F.broadcast(df) if size <= max_bytes else df
+
+
+def resolve(request: Request | Asked) -> Asked | None:
+    """The request, evaluated once; None when it asks for everyone. At most INLINE_IDS + 1 ids are collected."""
+    if request is None or isinstance(request, Asked):
+        return request
+    if isinstance(request, DataFrame):
+        ids = request.select(text_id(request.columns[0]).alias("RequestedID")).distinct()
+        wanted = sorted(row[0] for row in ids.limit(INLINE_IDS + 1).collect())
+        if len(wanted) > INLINE_IDS:
+            return Asked(broadcast_if_small(stage(ids, "request")))
+    else:
+        wanted = sorted({NULL_ID if i is None else str(i) for i in request})
+    return Asked(tuple(wanted)) if wanted else None
 
 
 def _key_in(df: DataFrame, key: str, wanted: Sequence[str]) -> Column:
@@ -40,25 +66,19 @@ def _fits(number: int, dtype: T.IntegralType) -> bool:
     return -(1 << bits - 1) <= number < 1 << bits - 1
 
 
-def for_customers(df: DataFrame, request: Request, key: str = "CustomerID") -> DataFrame:
+def for_customers(df: DataFrame, request: Request | Asked, key: str = "CustomerID") -> DataFrame:
     """Rows of the requested customers. No request, or an empty one, means every customer.
 
     Only whole customers are removed, so a restricted scan gives the same series as filtering
     the full result. Apply it to a table as read, as the scans do: once null keys have been spelled
     out, the filter no longer reaches the files.
     """
-    if request is None:
+    asked = resolve(request)
+    if asked is None:
         return df
-    if isinstance(request, DataFrame):
-        if request.isEmpty():
-            return df
-        ids = broadcast_if_small(request.select(text_id(request.columns[0]).alias("RequestedID")).distinct())
-    else:
-        wanted = sorted({NULL_ID if i is None else str(i) for i in request})
-        if not wanted:
-            return df
-        if len(wanted) <= INLINE_IDS:
-            return df.where(_key_in(df, key, wanted))
-        ids = df.sparkSession.createDataFrame([(i,) for i in wanted], "RequestedID string")
-        ids = F.broadcast(ids) if len(wanted) <= BROADCAST_IDS else ids
+    ids = asked.ids
+    if isinstance(ids, tuple):
+        if len(ids) <= INLINE_IDS:
+            return df.where(_key_in(df, key, ids))
+        ids = broadcast_if_small(df.sparkSession.createDataFrame([(i,) for i in ids], "RequestedID string"))
     return df.join(ids, text_id(key) == F.col("RequestedID"), "left_semi")
