@@ -69,7 +69,8 @@ def grid_search(vectors: DataFrame, options: ModelOptions, split: SplitOptions)
     search = CrossValidator(
         estimator=trees,
         estimatorParamMaps=ParamGridBuilder().addGrid(trees.maxDepth, list(options.max_depths)).build(),
-        evaluator=BinaryClassificationEvaluator(labelCol=TARGET, metricName="areaUnderROC"),
+        # Every distinct score is a point of the curve; with bins it would be thinned.
+        evaluator=BinaryClassificationEvaluator(labelCol=TARGET, metricName="areaUnderROC", numBins=0),
         numFolds=split.folds,
         foldCol="fold",
         parallelism=options.parallelism,

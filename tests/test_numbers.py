@@ -131,6 +131,28 @@ def test_stratified_split_does_not_depend_on_partitioning(keyed):
     assert test_ids(keyed) == test_ids(keyed.repartition(13))
 
 
+@pytest.mark.parametrize("counted", [1, 4096])
+def test_rows_of_one_key_stay_together(keyed, monkeypatch, counted):
+    """Copies are never parted; a label's share is met to within the copies of one key."""
+    monkeypatch.setattr(split, "COUNTED_HASHES", counted)
+    copies = keyed.limit(300).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(7))))
+    marked = split.assign_stratified_split(copies)
+    assert marked.columns == [*copies.columns, "split"]
+    by_key = marked.groupBy("CustomerID").agg(F.countDistinct("split").alias("n"), F.count("*").alias("rows"))
+    assert by_key.where("n > 1").isEmpty() and by_key.where("rows <> 7").isEmpty()
+    for label in (0, 1):
+        rows = marked.where(F.col(schemas.TARGET) == label)
+        share = rows.count() * 0.2
+        assert share - 1 < rows.where("split = 'test'").count() < share + 7
+    text = marked.where("split = 'train'")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in text and "Join" not in text
+
+
+def test_too_many_labels_are_refused(keyed):
+    with pytest.raises(ValueError, match="labels"):
+        split.assign_stratified_split(keyed, "CustomerID")
+
+
 def test_rare_labels_and_empty_input(spark, keyed):
     few = keyed.limit(3).withColumn(schemas.TARGET, F.col("CustomerID").cast("int"))
     assert split.assign_stratified_split(few).groupBy("split").count().count() == 2

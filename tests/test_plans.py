@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as registry
 from ebbline.operators import features, series
 from ebbline.plans import datasets
-from ebbline.sources import readers, star
+from ebbline.sources import readers, requests, star
 
 
 def plan(df):
@@ -72,12 +72,16 @@ def test_features_join_the_series_without_another_shuffle_of_it(spark, sf_dir):
     assert len(by_customer) == 3
 
 
-def test_trailing_window_pushes_its_bound(spark, sf_dir):
-    """The filter on the date sits on the scan, with the latest date as a scalar subquery."""
-    text = plan(readers.trailing_months(star.budget_transactions(spark, sf_dir)))
-    assert "Subquery" in text and "Join" not in text
-    scans = re.findall(r"ReadSchema: struct<([^>]*)>", text)
-    assert any(s == "o_orderdate:timestamp_ntz" for s in scans)
+def test_trailing_window_pushes_both_bounds(spark, sf_dir):
+    """Both bounds of the date are filters of the scan that reads the rows."""
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        text = plan(readers.trailing_months(star.budget_transactions(spark, sf_dir)))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    [pushed] = re.findall(r"PushedFilters: \[([^\n]*?)\], ReadSchema: struct<([^>]*)>", text)
+    assert "GreaterThanOrEqual(o_orderdate" in pushed[0] and "LessThanOrEqual(o_orderdate" in pushed[0]
+    assert "o_totalprice" in pushed[1] and "Join" not in text
 
 
 @pytest.mark.parametrize("key, pushed", [("string", "In(CustomerID, [1,2])"), ("bigint", "In(CustomerID, [1,2])")])
@@ -114,9 +118,13 @@ def test_blocks_move_the_monthly_rows_once(spark, sf_dir):
     assert len(exchanges) <= 4
 
 
-def test_a_request_restricts_orders_before_the_join(spark, sf_dir):
+def test_a_request_restricts_orders_before_the_join(spark, sf_dir, monkeypatch):
     """The join with the line items takes only the requested customers' orders."""
-    tx = star.transactions(spark, sf_dir, request=star.profiles(spark, sf_dir).where("SegmentID = 1").select("CustomerID"))
+    request = star.profiles(spark, sf_dir).where("SegmentID = 1").select("CustomerID")
+    short = plan(star.transactions(spark, sf_dir, request=request))
+    assert re.search(r"PushedFilters: \[[^\n]*In\(o_custkey", short)
+    monkeypatch.setattr(requests, "INLINE_IDS", 3)
+    tx = star.transactions(spark, sf_dir, request=request)
     optimized = tx._jdf.queryExecution().optimizedPlan().toString()
     assert optimized.index("Join Inner") < optimized.index("Join LeftSemi")
     assert "LeftSemi, BuildRight" in plan(tx)

@@ -32,6 +32,29 @@ def test_nan_amounts_are_missing(spark):
     assert readers.coerce_transactions(raw).first()["TransAmount"] is None
 
 
+@pytest.mark.parametrize("amount, kind", [(1.239, "double"), (0.004, "double"), ("1.239", "string"), ("0.004", "string"), (1.239, "float")])
+def test_values_that_would_lose_digits_raise(spark, amount, kind):
+    rows = spark.createDataFrame([("1", "A", amount, "2023-01-10", "C")], f"CustomerID string, ProductCode string, TransAmount {kind}, TransDate string, TransType string")
+    with pytest.raises(PySparkException, match="cannot read"):
+        readers.coerce_transactions(rows).collect()
+
+
+@pytest.mark.parametrize(
+    "amount, kind, kept",
+    [(0.1 + 0.2, "double", "0.30"), (1234567890.12, "double", "1234567890.12"), ("7.50000", "string", "7.50"),
+     ("1e2", "string", "100.00"), (-3, "int", "-3.00"), (2.5, "float", "2.50")],
+)
+def test_values_without_loss_pass(spark, amount, kind, kept):
+    rows = spark.createDataFrame([("1", "A", amount, "2023-01-10", "C")], f"CustomerID string, ProductCode string, TransAmount {kind}, TransDate string, TransType string")
+    assert str(readers.coerce_transactions(rows).first()["TransAmount"]) == kept
+
+
+def test_segments_are_whole_numbers(spark):
+    raw = spark.createDataFrame([tuple(["7"] + [1.25] * 31 + [3.7])], schemas.FEATURE_COLUMNS)
+    with pytest.raises(PySparkException, match="SegmentID"):
+        readers.coerce_features(raw).collect()
+
+
 @pytest.mark.parametrize("ansi", ["true", "false"])
 @pytest.mark.parametrize("amount, date", [("x", "2023-01-10"), ("1", "soon")])
 def test_bad_values_raise(spark, ansi, amount, date):
@@ -107,8 +130,32 @@ def test_request_frames(spark, customers):
 
 def test_a_request_above_the_bound_is_not_broadcast(spark):
     ids = spark.range(100).selectExpr("CAST(id AS STRING) AS CustomerID")
-    assert "broadcast" in requests.broadcast_if_small(ids, 100)._jdf.queryExecution().logical().toString()
-    assert "broadcast" not in requests.broadcast_if_small(ids, 99)._jdf.queryExecution().logical().toString()
+    size = 190 + 100 * requests.ID_BYTES
+    assert "broadcast" in requests.broadcast_if_small(ids, size)._jdf.queryExecution().logical().toString()
+    assert "broadcast" not in requests.broadcast_if_small(ids, size - 1)._jdf.queryExecution().logical().toString()
+
+
+@pytest.mark.parametrize("inline", [1000, 2])
+def test_request_frames_give_the_same_on_both_sides_of_the_bound(spark, customers, monkeypatch, inline):
+    monkeypatch.setattr(requests, "INLINE_IDS", inline)
+    frame = spark.createDataFrame([(v,) for v in (1, 2, 2, None, 9)], "id bigint")
+    assert sorted(r[0] for r in requests.for_customers(customers, frame).collect()) == ["1", "2", "None"]
+
+
+def test_a_request_is_evaluated_once(spark):
+    """One job reads the request; the joins after it use what was read."""
+    frame = spark.createDataFrame([(1,), (2,)], "id bigint")
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        seen.add(1)
+        yield from batches
+
+    asked = requests.resolve(frame.coalesce(1).mapInArrow(counted, "id bigint"))
+    other = spark.createDataFrame([("1",), ("3",)], "CustomerID string")
+    for _ in range(2):
+        assert requests.for_customers(other, asked).count() == 1
+    assert seen.value == 1
 
 
 def test_requested_series_equal_the_full_result_restricted(spark, sf_dir):
