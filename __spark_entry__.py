@@ -23,7 +23,7 @@ from ebbline.operators import blocks, budget, features, flows, metrics, override
 from ebbline.operators.scaling import RobustScale  # noqa: E402
 from ebbline.options import ModelOptions, SeriesOptions, SplitOptions  # noqa: E402
 from ebbline.plans import datasets, model, scoring, training  # noqa: E402
-from ebbline.session import shared_folder, stage  # noqa: E402
+from ebbline.session import shared_folder, ship_package, stage  # noqa: E402
 from ebbline.sources import readers, sinks, star  # noqa: E402
 from oracle.sql import STATEMENTS  # noqa: E402
 
@@ -45,7 +45,12 @@ def _rounded(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 def _options(spark: SparkSession, sf_dir: str) -> SeriesOptions:
-    return SeriesOptions(product_splits=blocks.choose_splits(star.product_codes(spark, sf_dir)))
+    return _splits(star.product_codes(spark, sf_dir))
+
+
+def _splits(products: DataFrame, **how) -> SeriesOptions:
+    """Options with blocks chosen from rows that hold the product codes, such as stored daily flows."""
+    return SeriesOptions(product_splits=blocks.choose_splits(products, **how))
 
 
 def _request(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,18 +132,18 @@ def prev_mean_balance(spark, sf_dir):
 
 
 def labelled_series(spark, sf_dir):
-    return _plain(series.labelled_series(star.transactions(spark, sf_dir), _options(spark, sf_dir)))
+    return series.labelled_series(star.transactions(spark, sf_dir), _options(spark, sf_dir))
 
 
 def labelled_series_in_blocks(spark, sf_dir):
     """The same result with every customer cut between products, as for a large catalogue."""
     splits = blocks.choose_splits(star.product_codes(spark, sf_dir), per_block=1)
     tx = star.transactions(spark, sf_dir)
-    return _plain(series.labelled_series(tx, SeriesOptions(product_splits=splits)))
+    return series.labelled_series(tx, SeriesOptions(product_splits=splits))
 
 
 def latest_per_series(spark, sf_dir):
-    return _plain(series.forecast_series(star.transactions(spark, sf_dir), _options(spark, sf_dir)))
+    return series.forecast_series(star.transactions(spark, sf_dir), _options(spark, sf_dir))
 
 
 def _table(profiles: DataFrame, flow_rows: DataFrame) -> DataFrame:
@@ -180,17 +185,25 @@ def sentinel_filled_features(spark, sf_dir):
 
 
 def training_set(spark, sf_dir):
-    return datasets.training_set(*_daily_and_table(spark, sf_dir), _options(spark, sf_dir))
+    daily, table = _daily_and_table(spark, sf_dir)
+    return datasets.training_set(daily, table, _splits(daily))
+
+
+def training_set_in_blocks(spark, sf_dir):
+    """The same with every customer cut between products."""
+    daily, table = _daily_and_table(spark, sf_dir)
+    return datasets.training_set(daily, table, _splits(daily, per_block=1))
 
 
 def inference_set(spark, sf_dir):
-    return datasets.inference_set(*_daily_and_table(spark, sf_dir), options=_options(spark, sf_dir))
+    daily, table = _daily_and_table(spark, sf_dir)
+    return datasets.inference_set(daily, table, options=_splits(daily))
 
 
 def inference_set_for_customers(spark, sf_dir):
     """The request applied to the tables as stored."""
-    inputs = _daily_and_table(spark, sf_dir, _request(spark, sf_dir))
-    return datasets.inference_set(*inputs, options=_options(spark, sf_dir))
+    daily, table = _daily_and_table(spark, sf_dir, _request(spark, sf_dir))
+    return datasets.inference_set(daily, table, options=_splits(daily))
 
 
 def _fitted_scale(spark, sf_dir):
@@ -315,6 +328,63 @@ def training_log_roundtrip(spark, sf_dir):
     return spark.read.schema(schemas.TRAINING_LOG).parquet(path)
 
 
+def _stored(spark, df, label) -> readers.Source:
+    """``df`` as a table of its own, to be scanned like any other."""
+    path = _new_folder(spark, label)
+    df.write.parquet(path)
+    return readers.Source(path=path)
+
+
+def stored_transactions_for_customers(spark, sf_dir):
+    """A stored transaction table, scanned for requested customers."""
+    source = _stored(spark, star.transactions(spark, sf_dir), "transactions")
+    return readers.scan_transactions(spark, source, _request(spark, sf_dir))
+
+
+def stored_features_for_customers(spark, sf_dir):
+    """A stored feature table, scanned for requested customers."""
+    source = _stored(spark, _features(spark, sf_dir), "features")
+    return readers.scan_features(spark, source, _request(spark, sf_dir))
+
+
+def _stored_budgets(spark, sf_dir):
+    """Scans of stored budgets and of their transactions, which carry the budget's amount."""
+    budgets = star.budgets(spark, sf_dir)
+    spent = star.budget_transactions(spark, sf_dir).join(budgets.select("BudgetID", "AllocatedAmount"), "BudgetID")
+    return (
+        readers.scan_budgets(spark, _stored(spark, budgets, "budgets")),
+        readers.scan_budget_transactions(spark, _stored(spark, spent, "budget-transactions")),
+    )
+
+
+def stored_trailing_months(spark, sf_dir):
+    return readers.trailing_months(_stored_budgets(spark, sf_dir)[1])
+
+
+def stored_budgets_in_window(spark, sf_dir):
+    return readers.active_budgets(*_stored_budgets(spark, sf_dir))
+
+
+def stored_categories(spark, sf_dir):
+    return readers.scan_categories(spark, _stored(spark, star.categories(spark, sf_dir), "categories"))
+
+
+def detected_types_monthly_flows(spark, sf_dir):
+    """Credit and debit types taken from the data by position."""
+    tx = star.transactions(spark, sf_dir)
+    credit, debit = flows.detect_types(tx)
+    monthly = flows.monthly_flows(tx, SeriesOptions(credit_type=credit, debit_type=debit))
+    return monthly.select(
+        "CustomerID",
+        "ProductCode",
+        F.year("Date").alias("year"),
+        F.month("Date").alias("Month"),
+        "Credit",
+        "Debit",
+        (F.col("Credit") - F.col("Debit")).alias("NetFlow"),
+    )
+
+
 def _trained(spark, sf_dir, options: ModelOptions = SMALL_MODEL):
     """Daily flows, a stored feature table, the folder of the trained model, the model, its metrics."""
     daily, table = _daily_and_table(spark, sf_dir)
@@ -368,6 +438,7 @@ REGISTERED: list[Query] = [
     feature_table_scan,
     sentinel_filled_features,
     training_set,
+    training_set_in_blocks,
     inference_set,
     inference_set_for_customers,
     scaler_stats,
@@ -385,6 +456,12 @@ REGISTERED: list[Query] = [
     predictions_sink_roundtrip,
     weekly_budget,
     weekly_budget_reload,
+    stored_transactions_for_customers,
+    stored_features_for_customers,
+    stored_trailing_months,
+    stored_budgets_in_window,
+    stored_categories,
+    detected_types_monthly_flows,
     training_log_roundtrip,
     model_predictions,
     model_metrics,
@@ -421,8 +498,12 @@ def queries() -> dict[str, Query]:
     def registered(query: Query) -> Query:
         return lambda spark, sf_dir: comparable(query(spark, sf_dir))
 
+    def shipped(query: Query) -> Query:
+        """For sessions whose Python workers do not know this repository."""
+        return lambda spark, sf_dir: (ship_package(spark), query(spark, sf_dir))[1]
+
     own = {query.__name__: registered(query) for query in REGISTERED}
-    return own | {query.__name__: query for query in _corpus()[0]}
+    return own | {query.__name__: shipped(query) for query in _corpus()[0]}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -5,7 +5,8 @@ has at most (products x months) of them, months being bounded by the calendar, s
 product catalogue a customer fits one window group. With a large one it may not: a single customer
 could hold a third of all rows. Then an ordered list of product codes (the splits) cuts the codes
 into consecutive ranges, and every customer into blocks that different tasks work on. Splits decide
-only the balance of the work, never the result.
+only the balance of the work, never the result. Above MAX_BLOCKS times PRODUCTS_PER_BLOCK codes, some
+20 million, blocks grow with the catalogue.
 """
 
 from __future__ import annotations
@@ -42,15 +43,25 @@ def choose_splits(
     return tuple(sorted((row[0] for row in picked), key=lambda code: code.encode()))
 
 
-def block_number(code: Column, splits: tuple[str, ...]) -> Column:
-    """Count of splits at or below ``code``: looked up in runs of about the square root of them."""
-    width = math.isqrt(len(splits) - 1) + 1
-    runs = [list(splits[i : i + width]) for i in range(0, len(splits), width)]
-    heads = F.array(*[F.lit(run[0]) for run in runs])
-    run = F.size(F.filter(heads, lambda head: head <= code))
-    members = F.array(*[F.array(*[F.lit(s) for s in r]) for r in runs])
-    inside = F.size(F.filter(F.get(members, run - 1), lambda split: split <= code))
-    return F.when(run == 0, 0).otherwise((run - 1) * width + inside).cast("int")
+def _quoted(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def block_number(code: str, splits: tuple[str, ...]) -> Column:
+    """Count of splits at or below the column ``code``, by binary search.
+
+    Written as SQL text, which is parsed once instead of taking a call per split.
+    """
+    listed = f"array({', '.join(map(_quoted, splits))})"
+    middle = "((s.low + s.high) div 2)"
+    step = (
+        f"IF(s.low >= s.high, s, IF({listed}[{middle}] <= `{code}`, named_struct('low', {middle} + 1, 'high', s.high),"
+        f" named_struct('low', s.low, 'high', {middle})))"
+    )
+    start = f"named_struct('low', 0L, 'high', {len(splits)}L)"
+    found = f"aggregate(sequence(1, {len(splits).bit_length()}), {start}, (s, turn) -> {step}, s -> s.low)"
+    return F.expr(f"CAST({found} AS INT)")
 
 
 def block_of(code: str, splits: tuple[str, ...]) -> int:

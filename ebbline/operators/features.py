@@ -9,9 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ebbline import schemas
-from ebbline.operators.blocks import CUSTOMER, customer_keys
+from ebbline.operators.blocks import BLOCK, CUSTOMER, customer_keys
 from ebbline.operators.flows import SIDES, customer_days
 from ebbline.options import SeriesOptions
+from ebbline.session import stage
 
 DEFAULTS = SeriesOptions()
 
@@ -116,5 +117,7 @@ def attach_features(series: DataFrame, features: DataFrame) -> DataFrame:
     """
     keys = customer_keys(series)
     if len(keys) > 1:
+        # Read twice: for the pairs of customer and block, and for the rows.
+        series = stage(series, "series")
         features = features.join(series.select(*keys).distinct(), CUSTOMER)
-    return series.join(features, keys, "inner")
+    return series.join(features, keys, "inner").drop(BLOCK)

@@ -2,8 +2,9 @@
 
 Each wanted quantile has a range of values known to hold it, at first the whole column. While a range
 is too big to order, an approximate sketch of its values proposes a narrow part around the wanted
-rank, and a pass of counts proves that the rank lies there. What is left is ordered, equal values
-counting as one.
+rank, and a pass of counts proves that the rank lies there. Where sketches find nothing narrower, the
+range is halved by value instead. What is left is ordered, equal values counting as one: at most
+ORDERED_ROWS of them.
 """
 
 from __future__ import annotations
@@ -40,6 +41,8 @@ class _Wanted:
     below: int = 0
     rows: int = 0
     half_width: float = HALF_WIDTH
+    # Both neighbours, once they are known without ordering.
+    found: tuple[float, float] | None = None
 
     def __post_init__(self) -> None:
         self.rows = self.total
@@ -54,8 +57,28 @@ class _Wanted:
 
     @property
     def orderable(self) -> bool:
-        """Few enough rows, a single value, or nothing narrower to be found."""
-        return self.rows <= ORDERED_ROWS or self.low == self.high or self.half_width >= 1
+        """Few enough rows, a single value, or nothing left to look for."""
+        return self.rows <= ORDERED_ROWS or self.low == self.high or self.found is not None
+
+    @property
+    def stuck(self) -> bool:
+        """Sketches have nothing narrower to propose."""
+        return self.half_width >= 1
+
+    @property
+    def middle(self) -> float:
+        """A value from ``low`` to just below ``high``."""
+        return min(self.low / 2 + self.high / 2, math.nextafter(self.high, -math.inf))
+
+    def halve(self, rows: int, last: float, first: float) -> None:
+        """Take a side of the middle: ``rows`` are not above it, ``last`` is the greatest of them and
+        ``first`` the smallest above. If the neighbours are on either side, they are these two."""
+        if math.ceil(self.rank) < self.below + rows:
+            self.high, self.rows = last, rows
+        elif math.floor(self.rank) >= self.below + rows:
+            self.low, self.below, self.rows = first, self.below + rows, self.rows - rows
+        else:
+            self.found = last, first
 
     def edges(self) -> tuple[float, float]:
         """Shares of the range between which to look next."""
@@ -83,12 +106,24 @@ def exact_quantiles(
     """Quantiles with linear interpolation between neighbours; missing values are ignored.
 
     ``df`` is read twice, and twice more per round of narrowing, so stage it if it is costly to
-    compute. A handful of numbers per column reach the driver. Expressions are SQL text, one call each.
+    compute; a constant column takes no round. A handful of numbers per column reach the driver.
+    Expressions are SQL text, one call each.
     """
-    totals = df.agg(*[F.expr(f"count({_present(c)}) AS n{i}") for i, c in enumerate(columns)]).first()
-    wanted = [_Wanted(c, p, totals[f"n{i}"]) for i, c in enumerate(columns) for p in probabilities if totals[f"n{i}"]]
+    ends = [
+        F.expr(f"{what}({_present(c)}) AS {what}{i}") for i, c in enumerate(columns) for what in ("count", "min", "max")
+    ]
+    seen = df.agg(*ends).first()
+    wanted = [
+        _Wanted(c, p, seen[f"count{i}"], seen[f"min{i}"], seen[f"max{i}"])
+        for i, c in enumerate(columns)
+        for p in probabilities
+        if seen[f"count{i}"]
+    ]
     while wide := [want for want in wanted if not want.orderable]:
-        _narrow(df, wide)
+        if narrowing := [want for want in wide if not want.stuck]:
+            _narrow(df, narrowing)
+        if halving := [want for want in wide if want.stuck and not want.orderable]:
+            _halve(df, halving)
 
     result: dict[tuple[str, float], float | None] = {(c, p): None for c in columns for p in probabilities}
     for want, low, high in _neighbours(df, wanted):
@@ -119,8 +154,28 @@ def _narrow(df: DataFrame, wanted: list[_Wanted]) -> None:
         want.narrow(low, high, row[f"b{i}"], row[f"r{i}"])
 
 
+def _halve(df: DataFrame, wanted: list[_Wanted]) -> None:
+    """One round of halving by value, which always leaves a smaller range."""
+    cells = []
+    for i, want in enumerate(wanted):
+        value, middle = _present(want.column), double_literal(want.middle)
+        lower = f"{_inside(*want.range)} AND {value} <= {middle}"
+        cells.append(f"count_if({lower}) AS r{i}")
+        cells.append(f"max(CASE WHEN {lower} THEN {value} END) AS l{i}")
+        cells.append(f"min(CASE WHEN {_inside(*want.range)} AND {value} > {middle} THEN {value} END) AS f{i}")
+    row = df.agg(*map(F.expr, cells)).first()
+    for i, want in enumerate(wanted):
+        want.halve(row[f"r{i}"], row[f"l{i}"], row[f"f{i}"])
+
+
 def _neighbours(df: DataFrame, wanted: list[_Wanted]) -> Iterator[tuple[_Wanted, float, float]]:
     """Values at the ranks just below and just above each wanted one."""
+    for want in wanted:
+        if want.found:
+            yield want, *want.found
+        elif want.low == want.high:
+            yield want, want.low, want.high
+    wanted = [want for want in wanted if not want.found and want.low < want.high]
     if not wanted:
         return
     ranges = list(dict.fromkeys(want.range for want in wanted))

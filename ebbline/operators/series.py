@@ -28,7 +28,8 @@ def running_balance(monthly: DataFrame, options: SeriesOptions = DEFAULTS) -> Da
     """Add Balance: net flow summed over the customer's rows in order of product, then month.
 
     The sum runs on from one product into the next, so a product opens at the closing balance of
-    the product before it.
+    the product before it. With product splits, rows also get their block, which the functions below
+    group by; ``balance_series`` and what builds on it take that column off again.
     """
     net = F.col("Credit") - F.col("Debit")
     splits = options.product_splits
@@ -39,7 +40,7 @@ def running_balance(monthly: DataFrame, options: SeriesOptions = DEFAULTS) -> Da
     # Sum within each block, then add what the customer's earlier blocks come to. A customer has at
     # most one total per block, so that second step stays small. Three branches below read these
     # rows, hence the staging.
-    blocked = stage(monthly.withColumn(BLOCK, block_number(F.col(PRODUCT), splits)), "monthly")
+    blocked = stage(monthly.withColumn(BLOCK, block_number(PRODUCT, splits)), "monthly")
     earlier_blocks = W.partitionBy(CUSTOMER).orderBy(BLOCK).rowsBetween(W.unboundedPreceding, -1)
     opening = (
         blocked.groupBy(CUSTOMER, BLOCK)
@@ -139,16 +140,22 @@ def next_month(series: DataFrame) -> DataFrame:
     return series.withColumn("Date", F.add_months("Date", 1))
 
 
+def _eligible_balances(flows: DataFrame, options: SeriesOptions) -> DataFrame:
+    return eligible_series(running_balance(monthly_flows(flows, options), options), options)
+
+
 def balance_series(flows: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame:
     """Transactions, or daily flows, to eligible series with their running balance."""
-    return eligible_series(running_balance(monthly_flows(flows, options), options), options)
+    return _eligible_balances(flows, options).drop(BLOCK)
 
 
-def labelled_series(flows: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame:
+def labelled_series(flows: DataFrame, options: SeriesOptions = DEFAULTS, keep_blocks: bool = False) -> DataFrame:
     """Training side: every row of the eligible series with its label."""
-    return with_labels(balance_series(flows, options), options)
+    rows = with_labels(_eligible_balances(flows, options), options)
+    return rows if keep_blocks else rows.drop(BLOCK)
 
 
-def forecast_series(flows: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame:
+def forecast_series(flows: DataFrame, options: SeriesOptions = DEFAULTS, keep_blocks: bool = False) -> DataFrame:
     """Scoring side: the last row of each eligible series, dated one month on."""
-    return next_month(latest_rows(with_previous_mean(balance_series(flows, options), options)))
+    rows = next_month(latest_rows(with_previous_mean(_eligible_balances(flows, options), options)))
+    return rows if keep_blocks else rows.drop(BLOCK)

@@ -24,7 +24,7 @@ def _numeric(df: DataFrame, *extra: str) -> DataFrame:
 def training_set(flows: DataFrame, features: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame:
     """Every eligible row with Struggle, its label and the customer's features, from transactions or
     daily flows."""
-    joined = attach_features(labelled_series(flows, options), features)
+    joined = attach_features(labelled_series(flows, options, keep_blocks=True), features)
     return _numeric(joined, "Struggle", schemas.TARGET)
 
 
@@ -43,7 +43,7 @@ def inference_set(
     feature rows is an error unless ``newest_by`` names the columns that pick one.
     """
     request = resolve(request)
-    latest = forecast_series(for_customers(flows, request), options)
+    latest = forecast_series(for_customers(flows, request), options, keep_blocks=True)
     asked = for_customers(features, request)
     single = latest_per_key(asked, *newest_by) if newest_by else require_unique(asked)
     return _numeric(attach_features(latest, single))

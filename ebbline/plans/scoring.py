@@ -9,6 +9,7 @@ from ebbline.operators.overrides import default_rules, with_overrides
 from ebbline.options import SeriesOptions
 from ebbline.plans.datasets import inference_set
 from ebbline.schemas import IDENTIFIERS
+from ebbline.session import staging
 from ebbline.sources.requests import Request
 from ebbline.sources.sinks import append_predictions, response_records
 
@@ -32,8 +33,9 @@ def score(
 
 
 def score_all(flows: DataFrame, features: DataFrame, pipeline: PipelineModel, path: str, **options) -> None:
-    """Score everyone and append the predictions to the table at ``path``."""
-    append_predictions(score(flows, features, pipeline, **options), path)
+    """Score everyone and append the predictions to the table at ``path``. Tables staged on the way are deleted."""
+    with staging(flows.sparkSession):
+        append_predictions(score(flows, features, pipeline, **options), path)
 
 
 def score_customers(

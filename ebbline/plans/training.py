@@ -13,7 +13,7 @@ from ebbline.options import ModelOptions, SeriesOptions, SplitOptions
 from ebbline.plans.datasets import training_set
 from ebbline.plans.model import FittedModel, assembler, fit_model, prepare_stage, save_model
 from ebbline.schemas import MODEL_FEATURES, TARGET
-from ebbline.session import stage
+from ebbline.session import stage, staging
 from ebbline.sources.sinks import append_training_log
 
 
@@ -59,13 +59,18 @@ def train(
     training_date: dt.date | None = None,
     model_name: str = "struggle",
 ) -> tuple[FittedModel, DataFrame]:
-    """Scan results to fitted model and its metrics; stores and logs them where paths are given."""
-    rows = prepare_rows(flows, features, series, split)
-    fitted = train_on(rows, model, split)
-    metrics = evaluate(fitted, rows, model.reference_compat)
+    """Scan results to fitted model and its metrics; stores and logs them where paths are given.
+
+    The metrics are one row, computed here; tables staged on the way are deleted.
+    """
+    spark = flows.sparkSession
+    with staging(spark):
+        rows = prepare_rows(flows, features, series, split)
+        fitted = train_on(rows, model, split)
+        scores = evaluate(fitted, rows, model.reference_compat)
+        metrics = spark.createDataFrame(scores.collect(), scores.schema)
     if path:
-        save_model(fitted, flows.sparkSession, path)
+        save_model(fitted, spark, path)
     if log_path:
-        score = metrics.first()["accuracy"]
-        append_training_log(flows.sparkSession, log_path, model_name, training_date or dt.date.today(), score)
+        append_training_log(spark, log_path, model_name, training_date or dt.date.today(), metrics.first()["accuracy"])
     return fitted, metrics

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,6 +46,27 @@ def shared_folder(spark: SparkSession) -> str:
     return named or context.getCheckpointDir()
 
 
+# Folders of the tables staged inside the open ``staging`` blocks, innermost last.
+_open_blocks: list[list[str]] = []
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables staged inside this block when it ends.
+
+    For flows that end in a written table or in rows at the driver; frames that still read a staged
+    table must not leave the block. Without a block staged tables stay.
+    """
+    _open_blocks.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _open_blocks.pop():
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -50,5 +75,17 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if _open_blocks:
+        _open_blocks[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the executors' Python workers, for sessions that were not started with it."""
+    context = spark.sparkContext
+    if "ebbline.zip" in context._python_includes:
+        return
+    root = Path(__file__).resolve().parent
+    archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='ebbline-')}/ebbline", "zip", root.parent, root.name)
+    context.addPyFile(archive)

@@ -338,3 +338,14 @@ SELECT CustomerID, epoch_ms(CAST(Date AS TIMESTAMP)) AS Date, Struggle, Struggle
     "weekly_budget": f"WITH {_WEEKLY_BUDGET}",
     "weekly_budget_reload": f"WITH {_WEEKLY_BUDGET}",
 }
+
+# Tables that are stored and scanned hold what they were made from.
+STATEMENTS |= {
+    "stored_transactions_for_customers": STATEMENTS["transactions_for_customers"],
+    "stored_features_for_customers": STATEMENTS["features_for_customers"],
+    "stored_trailing_months": STATEMENTS["trailing_three_months"],
+    "stored_budgets_in_window": STATEMENTS["budgets_active_in_window"],
+    "training_set_in_blocks": STATEMENTS["training_set"],
+    "stored_categories": STATEMENTS["category_dimension"],
+    "detected_types_monthly_flows": STATEMENTS["monthly_flows"],
+}

@@ -19,7 +19,7 @@ def test_block_numbers_match_the_ordered_splits(spark):
     splits = blocks.choose_splits(products, per_block=13)
     assert 70 < len(splits) < 85 and list(splits) == sorted(splits, key=str.encode)
     for used in (splits, splits[:1], splits[:2], splits[:10]):
-        numbered = products.na.drop().withColumn("b", blocks.block_number(F.col("ProductCode"), used))
+        numbered = products.na.drop().withColumn("b", blocks.block_number("ProductCode", used))
         wrong = [r for r in numbered.collect() if r["b"] != blocks.block_of(r["ProductCode"], used)]
         assert not wrong
 

@@ -90,6 +90,38 @@ def test_scaling_undone_gives_the_input(spark):
     assert sorted(found) == pytest.approx(sorted(values))
 
 
+def passes(monkeypatch, df, values):
+    """Exact quantiles of column x, and the number of passes taken besides the last ordering."""
+    seen = []
+    aggregate = type(df).agg
+    monkeypatch.setattr(type(df), "agg", lambda self, *a, **k: (seen.append(1), aggregate(self, *a, **k))[1])
+    found = quantiles.exact_quantiles(df, ["x"], values)
+    monkeypatch.undo()
+    return found, len(seen)
+
+
+def test_a_constant_column_takes_one_pass(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "ORDERED_ROWS", 10)
+    df = spark.range(1000).selectExpr("CAST(7 AS DOUBLE) AS x")
+    found, count = passes(pytest.MonkeyPatch(), df, (0.25, 0.5))
+    assert found == {("x", 0.25): 7.0, ("x", 0.5): 7.0} and count == 1
+
+
+@pytest.mark.parametrize("spread", ["id % 2 * 1e9", "CASE WHEN id < 499 THEN -1e300 WHEN id > 500 THEN 1e300 ELSE id END", "id * id"])
+def test_halving_finds_what_sketches_do_not(spark, monkeypatch, spread):
+    monkeypatch.setattr(quantiles, "ORDERED_ROWS", 2)
+    df = spark.range(1000).selectExpr(f"CAST({spread} AS DOUBLE) AS x")
+    # Every quantile starts where sketches have nothing to propose.
+    monkeypatch.setattr(quantiles._Wanted, "stuck", True)
+    values = sorted(r[0] for r in df.collect())
+    found = quantiles.exact_quantiles(df, ["x"], (0.0, 0.25, 0.5, 0.9, 1.0))
+    for p in (0.0, 0.25, 0.5, 0.9, 1.0):
+        rank = p * 999
+        low, high = values[math.floor(rank)], values[math.ceil(rank)]
+        share = rank - math.floor(rank)
+        assert found["x", p] == low * (1 - share) + high * share
+
+
 def test_sentinel(spark):
     df = spark.createDataFrame([(None,), (float("nan"),), (float("inf"),), (-float("inf"),), (2.0,)], "x double")
     assert [r[0] for r in df.selectExpr(filled("x")).collect()] == [-1, -1, -1, -1, 2]

@@ -5,10 +5,9 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as registry
+from oracle.sql import STATEMENTS
 from tools.check_oracle import TABLES, compare
 
-STATEMENTS = registry.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def database(sf_dir):
@@ -26,8 +25,9 @@ def test_query_equals_sql(spark, sf_dir, database, name):
 
 
 def test_statements_belong_to_queries():
-    assert set(STATEMENTS) <= set(registry.queries())
-    assert set(registry.queries()) - set(STATEMENTS) == {
+    own = {query.__name__ for query in registry.REGISTERED}
+    assert set(STATEMENTS) <= own <= set(registry.queries())
+    assert own - set(STATEMENTS) == {
         "model_predictions", "model_metrics", "grid_search_auc", "score_customers",
     }
 

@@ -106,7 +106,7 @@ def test_blocks_give_the_same_series(transactions):
         assert splits
         cut = series.labelled_series(df, SeriesOptions(positive_months=2, product_splits=splits))
         assert collected(cut) == collected(whole)
-    latest = series.forecast_series(df, SeriesOptions(positive_months=2, product_splits=splits)).drop(blocks.BLOCK)
+    latest = series.forecast_series(df, SeriesOptions(positive_months=2, product_splits=splits))
     columns = latest.columns
     assert sorted(map(tuple, latest.collect())) == sorted(
         map(tuple, series.forecast_series(df, plain).select(columns).collect())
