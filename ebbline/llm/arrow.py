@@ -20,7 +20,7 @@ def once_per_worker(kind: str, key, build: Callable):
     return _kept[kind][1]
 
 
-def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 32_000_000) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 8_000_000) -> Iterator[pa.RecordBatch]:
     """The batch in parts of about ``most_bytes`` of ``column``, or of one row if that row is longer."""
     rows = max(1, batch.num_rows)
     step = max(1, rows * most_bytes // max(1, batch.column(column).nbytes))

@@ -29,10 +29,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ebbline.llm.arrow import each_group
 from ebbline.llm.text import lower_ascii, packed, plain, stripped
 from ebbline.session import stage
 
@@ -152,23 +152,38 @@ def line_keys(docs: DataFrame, options: LineOptions) -> DataFrame:
 FILTERS = "shard int, filter binary"
 
 
-def _build(keys: pd.DataFrame) -> pd.DataFrame:
-    made = CuckooFilter.empty(len(keys))
-    made.insert(keys["d2"].to_numpy())
-    return pd.DataFrame({"shard": keys["shard"].iloc[:1], "filter": [made.dump()]})
+def _filter_row(shard, held: CuckooFilter | None) -> pa.Table:
+    packed_filter = pa.array([held.dump() if held else None], pa.binary())
+    return pa.table({"shard": pa.array([shard.as_py()], pa.int32()), "filter": packed_filter})
 
 
-def _update(old: pd.DataFrame, changes: pd.DataFrame) -> pd.DataFrame:
-    """A shard's filter after its changes; no filter where it would be too full, to be made anew."""
-    if not len(changes):
-        return old[["shard", "filter"]]
-    enter, leave = (changes["d2"][changes["common"] == way].to_numpy() for way in (True, False))
-    held = CuckooFilter.load(old["filter"].iloc[0]) if len(old) else CuckooFilter.empty(2 * len(enter))
+def _build(keys: pa.Table) -> pa.Table:
+    """A filter that holds the common keys of one shard."""
+    made = CuckooFilter.empty(keys.num_rows)
+    made.insert(keys.column("d2").to_numpy())
+    return _filter_row(keys.column("shard")[0], made)
+
+
+def _update(rows: pa.Table) -> pa.Table:
+    """A shard's filter after its changes; none where it would be too full, to be made anew.
+
+    The old filter, if there is one, is the first row.
+    """
+    old, shard = rows.column("filter")[0], rows.column("shard")[0]
+    changes = rows.slice(1) if old.is_valid else rows
+    common, d2 = changes.column("common").to_numpy().astype(bool), changes.column("d2").to_numpy()
+    enter, leave = d2[common], d2[~common]
+    held = CuckooFilter.load(old.as_py()) if old.is_valid else CuckooFilter.empty(2 * len(enter))
     if len(held) + len(enter) - len(leave) > held.room():
-        return pd.DataFrame({"shard": changes["shard"].iloc[:1], "filter": [None]})
+        return _filter_row(shard, None)
     held.delete(leave)
     held.insert(enter)
-    return pd.DataFrame({"shard": changes["shard"].iloc[:1], "filter": [held.dump()]})
+    return _filter_row(shard, held)
+
+
+def _by_shard(rows: DataFrame, *first: Column) -> DataFrame:
+    """Shard by shard, each in one partition. A shard's common keys fit a task (``LineOptions.shards``)."""
+    return rows.repartition("shard").sortWithinPartitions("shard", *first)
 
 
 def _passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,15 +269,14 @@ class LineIndex:
         merged, least = stage(merged, "line-refs"), self.options.min_docs
         refs = merged.where("n > 0").drop("before")
         changes = merged.where((F.col("n") >= least) != (F.col("before") >= least)).select(
-            "shard", "d2", (F.col("n") >= least).alias("common")
-        )
-        updated = stage(
-            self.filters.groupBy("shard").cogroup(changes.groupBy("shard")).applyInPandas(_update, FILTERS),
-            "line-filters",
+            "shard", "d2", (F.col("n") >= least).alias("common"), F.lit(None).cast("binary").alias("filter")
         )
+        old = self.filters.select("shard", F.lit(0).cast("long").alias("d2"), F.lit(None).cast("boolean").alias("common"), "filter")
+        both = _by_shard(old.unionByName(changes), F.col("filter").isNull())
+        updated = stage(both.mapInArrow(each_group(_update, ["shard"]), FILTERS), "line-filters")
         full = updated.where("filter IS NULL").select("shard")
-        renewed = refs.where(F.col("n") >= least).join(full, "shard", "left_semi")
-        renewed = stage(renewed.groupBy("shard").applyInPandas(_build, FILTERS), "line-filters")
+        renewed = refs.where(F.col("n") >= least).select("shard", "d2").join(full, "shard", "left_semi")
+        renewed = stage(_by_shard(renewed).mapInArrow(each_group(_build, ["shard"]), FILTERS), "line-filters")
         return replace(
             self, postings=postings, refs=refs, filters=updated.where("filter IS NOT NULL").unionByName(renewed)
         )

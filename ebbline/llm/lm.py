@@ -43,6 +43,8 @@ from ebbline.session import stage
 END, OTHER = 0, 1
 # A task's counter is handed on and started anew when it holds so many words.
 MOST_COUNTED = 400_000
+# Text that is laid out in lanes at a time: enough to keep all lanes busy next to a long document.
+SLICE_BYTES = 32_000_000
 # Average weights of so many tasks at a time.
 GROUP = 32
 
@@ -71,7 +73,7 @@ def held_out(options: LmOptions) -> Column:
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[list[str]]:
     for whole in batches:
-        for batch in slices(whole, "text"):
+        for batch in slices(whole, "text", SLICE_BYTES):
             yield batch.column("text").to_pylist()
 
 
@@ -250,7 +252,7 @@ def _partly_scored(rows: DataFrame, vocabulary: Vocabulary, weights: gru.Weights
         coder = once_per_worker("lm", key, lambda: _Coder(shared.value))
         base_unit, other_unit, learned = shared.value.base_unit, shared.value.other_unit, shared.value.documents
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", SLICE_BYTES):
                 coded, out = [], []
                 for text in batch.column("text").to_pylist():
                     words = split_words(text)
