@@ -14,6 +14,8 @@ from ebbline.options import SeriesOptions
 DEFAULTS = SeriesOptions()
 SIDES = ("Credit", "Debit")
 TOTAL = "decimal(28,2)"
+# The columns by which daily flows are told from transactions.
+DAILY = ["Day", *[f"{side}{what}" for side in SIDES for what in ("Sum", "Count")]]
 
 
 def as_flows(tx: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame:
@@ -22,7 +24,7 @@ def as_flows(tx: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame:
     Undated rows and rows of an unexpected type are left out, and so are rows without a customer or
     product where the scan was told not to spell those out. Null amounts add nothing.
     """
-    if "Day" in tx.columns:
+    if set(DAILY) <= set(tx.columns):
         return tx
     cells: list[Column] = []
     for side, kind in zip(SIDES, (options.credit_type, options.debit_type), strict=True):

@@ -15,6 +15,7 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, dtype, True) for name, dtype in fields])
 
 
+# The columns of the transaction table, in its order.
 TRANSACTIONS = _struct(
     ("CustomerID", T.StringType()),
     ("ProductCode", T.StringType()),
@@ -91,6 +92,7 @@ MODEL_FEATURES = [
 IDENTIFIERS = ["CustomerID", "ProductCode", "Date"]
 TARGET = "Struggle_shifted"
 
+# The columns of the budget, prediction and log tables, in their order.
 BUDGETS = _struct(
     ("BudgetID", T.StringType()),
     ("CustomerID", T.StringType()),

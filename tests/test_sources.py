@@ -176,6 +176,59 @@ def test_duplicate_keys_raise_unless_resolved(spark):
     assert sorted(map(tuple, latest_per_key(df, "v").collect())) == [("1", 2), ("2", 3)]
 
 
+@pytest.mark.parametrize(
+    "write, mode, options", [(sinks.append_jdbc, "append", {}), (sinks.reload_jdbc, "overwrite", {"truncate": True})]
+)
+def test_jdbc_writers_pass_their_options(spark, monkeypatch, write, mode, options):
+    """No database may be started here, so what would be handed to it is recorded instead."""
+    df = spark.createDataFrame([("1",)], "CustomerID string")
+    writer, seen = type(df.write), {"options": {}}
+    monkeypatch.setattr(writer, "mode", lambda self, value: (seen.update(mode=value), self)[1])
+    monkeypatch.setattr(writer, "option", lambda self, key, value: (seen["options"].update({key: value}), self)[1])
+    monkeypatch.setattr(writer, "jdbc", lambda self, url, table, mode=None, properties=None: seen.update(to=(url, table, properties)))
+    write(df, "jdbc:x", "predictions", {"user": "u", "batchsize": "5000"})
+    assert seen == {"mode": mode, "options": options, "to": ("jdbc:x", "predictions", {"user": "u", "batchsize": "5000"})}
+
+
+def test_a_transaction_table_with_a_day_is_not_taken_for_flows(spark, sf_dir):
+    from ebbline.operators import flows
+    from ebbline.sources import star
+
+    tx = star.transactions(spark, sf_dir)
+    odd = flows.monthly_flows(tx.withColumn("Day", F.lit("Monday")))
+    assert odd.exceptAll(flows.monthly_flows(tx)).isEmpty() and not odd.isEmpty()
+
+
+def test_staged_tables_are_deleted_when_their_block_ends(spark):
+    from pathlib import Path
+
+    from ebbline.session import stage, staging
+
+    with staging(spark):
+        inner = stage(spark.range(3).toDF("n"), "short-lived")
+        [folder] = {str(Path(f.removeprefix("file://")).parent) for f in inner.inputFiles()}
+        assert inner.count() == 3 and Path(folder).exists()
+    assert not Path(folder).exists()
+    kept = stage(spark.range(3).toDF("n"), "kept")
+    assert kept.count() == 3
+
+
+def test_workers_get_the_package(spark):
+    from ebbline.session import ship_package
+
+    for _ in range(2):
+        ship_package(spark)
+    assert spark.sparkContext._python_includes.count("ebbline.zip") == 1
+
+    def found(batches):
+        import ebbline.schemas as there
+
+        for batch in batches:
+            yield batch.slice(0, batch.num_rows * bool(there.IDENTIFIERS))
+
+    assert spark.range(5).mapInArrow(found, "id long").count() == 5
+
+
 @pytest.fixture
 def predictions(spark):
     rows = [("1", "A", dt.date(2023, 9, 30), 1, 3, 152), ("2", "B", dt.date(1969, 12, 31), 0, 0, None)]
