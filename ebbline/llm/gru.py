@@ -124,13 +124,20 @@ def steps(
 
 def _by_class(targets: np.ndarray, members: int) -> tuple[np.ndarray, list[tuple[int, slice]]]:
     """An order in which targets of a class are neighbours, and where each class is in it."""
-    classes = targets // members
-    order = np.argsort(classes, kind="stable")
-    found, starts = np.unique(classes[order], return_index=True)
+    order, found, starts = _sorted_runs(targets // members)
     ends = [*starts[1:].tolist(), len(targets)]
     return order, [(group, slice(start, end)) for group, start, end in zip(found.tolist(), starts.tolist(), ends)]
 
 
+def _sorted_runs(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A stable order of small numbers, the distinct ones and where each starts in it."""
+    if numbers.size and numbers.max() < 1 << 15:
+        numbers = numbers.astype(np.int16)  # numpy sorts these by radix, in linear time
+    order = np.argsort(numbers, kind="stable")
+    found, starts = np.unique(numbers[order], return_index=True)
+    return order, found, starts
+
+
 def _log_shares(x: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Log of the softmax of each row of logits at its wanted place; ``x`` is used up."""
     chosen = x[np.arange(len(x)), wanted]
@@ -205,9 +212,7 @@ def gradients(
         grads["recurrent"] += before.T @ d_own
         carried = (down * update + d_own @ weights["recurrent"].T) * keep[t][:, None]
     # Rows of equal symbols are added up after sorting.
-    symbols = inputs.reshape(-1)
-    order = np.argsort(symbols, kind="stable")
-    found, starts = np.unique(symbols[order], return_index=True)
+    order, found, starts = _sorted_runs(inputs.reshape(-1))
     grads["input"][found] = np.add.reduceat(to_input.reshape(-1, 3 * hidden)[order], starts, axis=0)
     return loss, grads, states[-1]
 
@@ -267,16 +272,18 @@ def score(weights: Weights, documents: list[np.ndarray], start: int, options: Gr
     queues.sort(key=lambda q: -sum(len(documents[n]) for n in q))
     lengths = np.array([sum(len(documents[n]) for n in q) for q in queues])
     total = int(lengths[0])
-    targets = np.zeros((total, lanes), np.int32)
-    inputs, owner = np.full((total, lanes), start, np.int32), np.zeros((total, lanes), np.int32)
+    by_lane = np.zeros((2, lanes, total), np.int32)
     keep = np.ones((total, lanes), np.float32)
     for lane, queue in enumerate(queues):
         at = 0
         for number in queue:
             end = at + len(documents[number])
-            targets[at:end, lane], owner[at:end, lane], keep[at, lane] = documents[number], number, 0
-            inputs[at + 1 : end, lane] = documents[number][:-1]
+            by_lane[0, lane, at:end], by_lane[1, lane, at:end], keep[at, lane] = documents[number], number, 0
             at = end
+    targets, owner = np.ascontiguousarray(by_lane[0].T), np.ascontiguousarray(by_lane[1].T)
+    # What precedes a symbol is the one before it, or the start where a document begins.
+    inputs = np.full((total, lanes), start, np.int32)
+    np.copyto(inputs[1:], targets[:-1], where=keep[1:] > 0)
     state = np.zeros((lanes, options.hidden), np.float32)
     for at in range(0, total, options.scored_window):
         # Lanes are sorted by length: those that are done are at the end.

@@ -164,6 +164,8 @@ class _Coder:
 
     def __init__(self, vocabulary: Vocabulary):
         self.number = {word: number for number, (word, _) in enumerate(vocabulary.words)}
+        # A table of the symbols alone stays in the processor's cache, which is all that training looks up.
+        self.symbol = {word: OTHER + 1 + number for number, (word, _) in enumerate(vocabulary.words[: vocabulary.symbols])}
         self.logs = np.log10([*[c + 1.0 for _, c in vocabulary.words], 1.0])
         self.symbols = np.full(len(vocabulary.words) + 1, OTHER, np.int32)
         self.symbols[: vocabulary.symbols] = np.arange(vocabulary.symbols) + OTHER + 1
@@ -172,7 +174,8 @@ class _Coder:
         return np.fromiter(map(self.number.get, words, repeat(-1)), np.int32, len(words))
 
     def code(self, words: list[bytes]) -> np.ndarray:
-        return np.append(self.symbols[self.numbers(words)], np.int32(END))
+        codes = np.fromiter(map(self.symbol.get, words, repeat(OTHER)), np.int32, len(words))
+        return np.append(codes, np.int32(END))
 
 
 WEIGHTS = pa.schema([("part", pa.int64()), ("tokens", pa.int64()), ("weights", pa.binary())])
