@@ -32,7 +32,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ebbline.llm.arrow import each_group
+from ebbline.llm.arrow import each_group, slices
 from ebbline.llm.components import components
 from ebbline.llm.text import lower_ascii, packed, plain, words
 from ebbline.session import stage
@@ -47,7 +47,9 @@ BLOCK = 256
 STANDARD_ERRORS = 6.0
 # Fixed value of the published estimator: expected collisions of registers between disjoint sets.
 COLLISION = 0.169919487159739093975315012348
-# Bounds on what a task holds while it compares two blocks: pairs of sketches, columns of shingles.
+# Bounds on what a task holds: hashes that are drawn into sketches at a time, and while it compares two
+# blocks, pairs of sketches and columns of shingles.
+SLICE_BYTES = 2_000_000
 PAIRS_AT_ONCE = 8192
 COLUMNS_AT_ONCE = 8192
 # A list of row numbers is broadcast while it is smaller than this; beyond, it is joined by a shuffle.
@@ -118,31 +120,36 @@ def sketches(sets: DataFrame) -> DataFrame:
         ]
     )
 
+    def drawn(batch: pa.RecordBatch) -> pa.RecordBatch:
+        lists = batch.column("hashes")
+        sizes = np.diff(lists.offsets.to_numpy())
+        hashes = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+        owners = np.repeat(np.arange(len(sizes)), sizes)
+        regs = registers(hashes, owners, len(sizes))
+        mixed = (hashes ^ hashes >> np.uint64(31)) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed ^= mixed >> np.uint64(27)
+        sums = []
+        for values in (hashes, mixed):
+            total = np.zeros(len(sizes), np.uint64)
+            np.add.at(total, owners, values)
+            sums.append(pa.array(total.view(np.int64)))
+        return pa.RecordBatch.from_arrays(
+            [
+                batch.column("node"),
+                batch.column("id"),
+                pa.array(sizes, pa.int64()),
+                *sums,
+                pa.array([row.tobytes() for row in regs], pa.binary()),
+                pa.array([band_keys(row) for row in regs], pa.list_(pa.int64())),
+            ],
+            names=schema.names,
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("hashes")
-            sizes = np.diff(lists.offsets.to_numpy())
-            hashes = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-            owners = np.repeat(np.arange(len(sizes)), sizes)
-            regs = registers(hashes, owners, len(sizes))
-            mixed = (hashes ^ hashes >> np.uint64(31)) * np.uint64(0xBF58476D1CE4E5B9)
-            mixed ^= mixed >> np.uint64(27)
-            sums = []
-            for values in (hashes, mixed):
-                total = np.zeros(len(sizes), np.uint64)
-                np.add.at(total, owners, values)
-                sums.append(pa.array(total.view(np.int64)))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("node"),
-                    batch.column("id"),
-                    pa.array(sizes, pa.int64()),
-                    *sums,
-                    pa.array([row.tobytes() for row in regs], pa.binary()),
-                    pa.array([band_keys(row) for row in regs], pa.list_(pa.int64())),
-                ],
-                names=schema.names,
-            )
+        for whole in batches:
+            # Several arrays as long as the hashes are needed at once.
+            for batch in slices(whole, "hashes", SLICE_BYTES):
+                yield drawn(batch)
 
     return sets.select("node", "id", "hashes").mapInArrow(run, schema)
 
