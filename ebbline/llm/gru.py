@@ -270,29 +270,27 @@ def score(weights: Weights, documents: list[np.ndarray], start: int, options: Gr
         queues[lane].append(number)
         heapq.heappush(loads, (load + len(documents[number]), lane))
     queues.sort(key=lambda q: -sum(len(documents[n]) for n in q))
-    lengths = np.array([sum(len(documents[n]) for n in q) for q in queues])
-    total = int(lengths[0])
-    by_lane = np.zeros((2, lanes, total), np.int32)
-    keep = np.ones((total, lanes), np.float32)
-    for lane, queue in enumerate(queues):
-        at = 0
-        for number in queue:
-            end = at + len(documents[number])
-            by_lane[0, lane, at:end], by_lane[1, lane, at:end], keep[at, lane] = documents[number], number, 0
-            at = end
-    targets, owner = np.ascontiguousarray(by_lane[0].T), np.ascontiguousarray(by_lane[1].T)
-    # What precedes a symbol is the one before it, or the start where a document begins.
-    inputs = np.full((total, lanes), start, np.int32)
-    np.copyto(inputs[1:], targets[:-1], where=keep[1:] > 0)
+    # The lanes end to end, so that a long document does not make the others' lanes longer.
+    order = [number for queue in queues for number in queue]
+    sizes = np.array([len(documents[number]) for number in order])
+    symbols = np.concatenate([documents[number] for number in order])
+    owner = np.repeat(np.array(order), sizes)
+    first = np.zeros(len(symbols), bool)
+    first[np.cumsum(sizes) - sizes] = True
+    before = np.where(first, start, np.roll(symbols, 1))
+    lengths = np.array([sum(len(documents[n]) for n in queue) for queue in queues])
+    begins = np.cumsum(lengths) - lengths
     state = np.zeros((lanes, options.hidden), np.float32)
-    for at in range(0, total, options.scored_window):
+    for at in range(0, int(lengths[0]), options.scored_window):
         # Lanes are sorted by length: those that are done are at the end.
         active = int(np.searchsorted(-lengths, -at, side="left"))
-        cut = slice(at, at + options.scored_window)
-        states, _ = steps(weights, inputs[cut, :active], keep[cut, :active], state[:active], traced=False)
+        step = at + np.arange(min(options.scored_window, int(lengths[0]) - at))[:, None]
+        inside = step < lengths[:active]
+        place = np.where(inside, begins[:active] + step, begins[:active])
+        keep = 1 - first[place].astype(np.float32)
+        states, _ = steps(weights, before[place], keep, state[:active], traced=False)
         state = states[-1]
-        inside = (np.arange(at, at + len(states))[:, None] < lengths[:active]).reshape(-1)
-        flat, wanted = states.reshape(-1, options.hidden)[inside], targets[cut, :active].reshape(-1)[inside]
-        found = log_likelihoods(weights, flat, wanted)
-        sums += np.bincount(owner[cut, :active].reshape(-1)[inside], found, len(documents))
+        place = place[inside]
+        found = log_likelihoods(weights, states[inside], symbols[place])
+        sums += np.bincount(owner[place], found, len(documents))
     return sums
