@@ -329,11 +329,13 @@ def find_components(
     least = percent / 100
     read = docs.select(
         F.monotonically_increasing_id().alias("node"),
-        *([packed(docs)] if carry else []),
+        packed(docs) if carry else F.col("text").cast("string").alias("text"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"),
-        F.col("text").cast("string").alias("text"),
     )
     texts = stage(read, "neardup-texts")
+    if carry:
+        # The text is in the row already and is not written twice.
+        texts = texts.withColumn("text", F.col("row.text").cast("string"))
     drawn = stage(sketches(with_shingles(texts.select("node", "id", "text"), size)), "neardup-sketches")
     # Classes are told apart by 128 bits and the set's size.
     classes = stage(
