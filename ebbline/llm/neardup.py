@@ -7,8 +7,10 @@ register keeps the number of leading zeros and ten mantissa bits, 16 bits in all
 1. Documents with equal sets form a class; only classes are compared. A hot group of copies is one.
 2. Banding. A key hashes four registers that follow each other among the buckets in use, on a circle.
    Well-filled sketches start a key at every fourth bucket; sketches with empty buckets at every bucket
-   in use, so that a few very common shingles alone never make a key. At a similarity of 0.8 a pair
-   shares no key with probability 5e-8.
+   in use, so that a few very common shingles alone never make a key. Two full sketches of a similarity
+   of 0.8 share no such key with probability 5e-8. In sets of few shingles one collision of buckets
+   weighs more, so sets of up to ``EXACT`` shingles have exact keys besides: with shingles in one order,
+   those of the fewest sets first, near sets share one of their first n - ceil(0.8 n) + 1.
 3. Links. Within a key every class is paired with one only, the class that meets most others over all
    keys: linear in the key, and likely to be the original of a family of copies. Pairs whose estimated
    similarity, corrected for chance collisions of registers, is more than six standard errors too low
@@ -43,6 +45,8 @@ MANTISSA_BITS = 10
 BAND = 4
 # Sketches with at most this many buckets in use start a key at each of them.
 SPARSE = 96
+# Links of sets with at most this many shingles are found by exact keys.
+EXACT = 64
 BLOCK = 256
 STANDARD_ERRORS = 6.0
 # Fixed value of the published estimator: expected collisions of registers between disjoint sets.
@@ -196,6 +200,26 @@ def _listed(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() * 8 <= BROADCAST_BYTES else rows
 
 
+def _exact_keys(classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """(node, key) of small classes; any two that are near share a key.
+
+    The larger of two near sets may have more than ``EXACT`` shingles and has keys too. Sets so small that
+    only equal ones are near have none.
+    """
+    few = classes.where(F.expr(f"n <= {EXACT * 100 // percent} AND n * {100 - percent} >= {percent}")).select("node")
+    sets = with_shingles(texts.select("node", "text").join(_listed(few), "node", "left_semi"), size)
+    # Read back, because the filter that an explode implies would be worked out on all texts, word by word.
+    sets = stage(sets, "neardup-few")
+    each = sets.select("node", F.explode("hashes").alias("shingle"), F.size("hashes").alias("n"))
+    # Shingles of one class alone come first in the order but meet nothing; the others take the places left.
+    counts = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    ordered = F.array_sort(F.collect_list(F.struct("m", "shingle"))).alias("common")
+    common = each.join(counts, "shingle").groupBy("node", "n").agg(ordered)
+    places = f"CAST(greatest(0, size(common) - (n * {percent} + 99) div 100 + 1) AS INT)"
+    first = common.select("node", F.explode(F.expr(f"slice(common, 1, {places})")).alias("first"))
+    return first.select("node", F.xxhash64("first.shingle").alias("key"))
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs whose full sets have 100 * intersection >= percent * union."""
     wanted = stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
@@ -349,7 +373,8 @@ def find_components(
         ),
         "neardup-classes",
     )
-    keyed = classes.select("node", F.explode("keys").alias("key"))
+    exact = stage(_exact_keys(classes, texts, size, percent), "neardup-exact")
+    keyed = classes.select("node", F.explode("keys").alias("key")).unionByName(exact)
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     members = stage(keyed.join(shared, "key"), "neardup-members")
     meeting = members.groupBy("node").agg(F.sum("m").alias("met"))

@@ -109,6 +109,32 @@ def test_similar_sets_share_a_key():
     assert missed == 0
 
 
+def test_no_pair_of_short_texts_is_missed(documents):
+    # Exactly as alike as a link asks for, or nearly so; the last pairs have 64 and 80 shingles.
+    rows, unions = [], {}
+    for union, count in ((5, 3000), (6, 3000), (10, 3000), (15, 3000), (20, 3000), (80, 200)):
+        extra = union // 5
+        start = extra // 2 if union < 80 else 0
+        for _ in range(count):
+            unions[len(rows)] = union
+            words = [f"p{len(rows)}w{k}" for k in range(union + 1)]
+            texts = words[start:], words[: len(words) - extra + start]
+            rows += [(len(rows) + side, " ".join(text)) for side, text in enumerate(texts)]
+    found = {r["doc_id"]: r["component_id"] for r in neardup.label_documents(documents(rows), 2).collect()}
+    assert [union for first, union in unions.items() if found[first + 1] != first] == []
+    assert all(found[first] == first for first in unions)
+
+
+def test_common_shingles_are_no_exact_keys(documents):
+    # Unlike texts around one common passage, and a copy of the first that lacks a word.
+    rows = [(i, f"one common passage of words a{i} b{i} c{i} d{i} e{i} f{i}") for i in range(50)]
+    rows.append((50, rows[0][1][: rows[0][1].rindex(" ")]))
+    docs = documents(rows).selectExpr("doc_id AS node", "text")
+    classes = neardup.with_shingles(docs, 2).selectExpr("node", "CAST(size(hashes) AS BIGINT) AS n")
+    keys = neardup._exact_keys(classes, docs, 2, 80).collect()
+    assert {r["node"] for r in keys} == {0, 50}
+
+
 def test_components_of_chains_stars_and_repeated_edges(spark):
     random.seed(13)
     edges = [(i, i + 1) for i in range(60)] + [(500, 500 + i) for i in range(1, 80)] + [(900, 900), (7, 3), (3, 7)]
