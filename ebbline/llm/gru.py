@@ -24,7 +24,9 @@ class GruOptions:
     # Steps that are backpropagated through, and steps scored at once; the latter changes no result.
     window: int = 16
     scored_window: int = 64
-    lanes: int = 1024
+    # Lanes trained in, of which fewer make more updates, and lanes scored in; the latter changes no result.
+    lanes: int = 512
+    scored_lanes: int = 1024
     rate: float = 0.1
     seed: int = 7
     # Gradients are scaled down to this norm.
@@ -262,7 +264,7 @@ def score(weights: Weights, documents: list[np.ndarray], start: int, options: Gr
     sums = np.zeros(len(documents))
     if not documents:
         return sums
-    lanes = min(options.lanes, len(documents))
+    lanes = min(options.scored_lanes, len(documents))
     loads = [(0, lane) for lane in range(lanes)]
     queues: list[list[int]] = [[] for _ in range(lanes)]
     for number in sorted(range(len(documents)), key=lambda n: -len(documents[n])):

@@ -55,6 +55,25 @@ def test_state_is_carried_through_the_whole_document():
     assert whole[2] == pytest.approx(total, rel=1e-5)
 
 
+def test_lanes_of_scoring_change_no_score():
+    weights, _, rng = model()
+    documents = [rng.integers(0, 10, n) for n in (1, 2, 300, 17, 16, 40)]
+    one, two, many = (
+        gru.score(weights, documents, 0, GruOptions(hidden=4, members=3, scored_window=7, scored_lanes=lanes))
+        for lanes in (1, 2, 100)
+    )
+    assert np.allclose(one, two, rtol=1e-5) and np.allclose(one, many, rtol=1e-5)
+
+
+def test_large_slices_are_trained_in_512_lanes(monkeypatch):
+    shapes = []
+    monkeypatch.setattr(gru, "gradients", lambda w, x, y, k, u, state: (shapes.append(x.shape), (0.0, {}, state))[1])
+    gru.Trainer({}, 0, GruOptions()).learn([np.zeros(1_200_000, np.int64)])
+    # Every window is an update, so more lanes would be fewer of them.
+    assert {lanes for _, lanes in shapes} == {512}
+    assert len(shapes) == -(-1_200_000 // (512 * 16))
+
+
 def test_probabilities_of_all_symbols_sum_to_one():
     weights, _, rng = model(symbols=12)
     states = rng.normal(0, 1, (1, 4))
