@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ebbline.llm import bpe, decontam, linededup, lm, neardup, quality, sharding, tokencount, urls, warc
+from ebbline.llm import bpe, centroids, decontam, linededup, lm, neardup, phrases, quality, sharding, simhash, tokencount, urls, warc
 
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -60,4 +60,30 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(_table(spark, sf_dir, "documents"), pieces)
 
 
-QUERIES = [op1_sharding, op2_byte_bpe, op3_line_dedup, op4_lm_scoring, op5_quality_rules, op6_warc, op7_decontamination, op8_minhash_neardup, op9_url_filters, op10_token_counts]
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.best_phrases(_table(spark, sf_dir, "documents"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.label_documents(_table(spark, sf_dir, "documents"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = [
+    op1_sharding,
+    op2_byte_bpe,
+    op3_line_dedup,
+    op4_lm_scoring,
+    op5_quality_rules,
+    op6_warc,
+    op7_decontamination,
+    op8_minhash_neardup,
+    op9_url_filters,
+    op10_token_counts,
+    op11_phrase_mining,
+    op12_simhash,
+    op13_centroids,
+]

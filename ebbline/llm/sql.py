@@ -189,6 +189,78 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = original THEN
 FROM paired"""
 
 
+def best_phrases(least: int = 10, top: int = 2000) -> str:
+    return rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), {LOWER}), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+),
+listed AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces),
+runs AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM listed, unnest([1, 2, 3]) AS s(k), unnest(range(1, len(w) - k + 2)) AS r(i)
+),
+counts AS (SELECT lang, k, phrase, count(*)::BIGINT AS f FROM runs GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k > 1 AND f >= {least}),
+cuts AS (
+  SELECT c.lang, c.phrase, c.k, c.a, c.w, cut, l.f AS l, r.f AS r,
+         1000000::HUGEINT * c.a * c.a // (l.f::HUGEINT * r.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates) c
+  JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:cut], ' ')
+  JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[cut + 1:], ' ')
+),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_parts AS (
+  SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, a FROM candidates, unnest([1, 2]) AS o(i) WHERE k = 3
+),
+longer AS (SELECT lang, phrase, max(a) AS most FROM inner_parts GROUP BY ALL),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+         score::BIGINT AS score
+  FROM lowest LEFT JOIN longer USING (lang, phrase) WHERE most IS NULL OR 100 * most < 50 * a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= {top}"""
+
+
+def cluster_vectors(clusters: int = 8, rounds: int = 10, seed: str = "3") -> str:
+    squared = "list_sum(list_transform(range(1, 65), lambda j: (v[j] - c[j]) * (v[j] - c[j])))::BIGINT"
+
+    def assigned(number: int) -> str:
+        return f"""
+a{number} AS MATERIALIZED (
+  SELECT i, any_value(vec_id) AS vec_id, any_value(v) AS v, min({{'d': {squared}, 'cluster': cluster}}) AS best
+  FROM kept, c{number} GROUP BY i
+)"""
+
+    def moved(number: int) -> str:
+        return f"""
+c{number + 1} AS MATERIALIZED (
+  SELECT cluster, coalesce(m, c) AS c FROM c{number} LEFT JOIN (
+    SELECT cluster, list((total - ((total % size) + size) % size) // size ORDER BY j)::BIGINT[] AS m FROM (
+      SELECT best.cluster AS cluster, j, sum(v[j]) AS total, count(*) AS size FROM a{number}, unnest(range(1, 65)) AS r(j) GROUP BY ALL
+    ) GROUP BY cluster
+  ) USING (cluster)
+)"""
+
+    steps = ",".join(assigned(n) + "," + moved(n) for n in range(rounds)) + "," + assigned(rounds)
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS i, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x::DOUBLE))) = 64
+),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('{seed}:' || vec_id::VARCHAR) NULLS LAST, v) - 1 AS cluster, v AS c
+  FROM kept QUALIFY cluster < {clusters}
+),{steps},
+sums AS (SELECT best.cluster AS cluster, sum(best.d)::BIGINT AS cluster_inertia FROM a{rounds} GROUP BY ALL)
+SELECT vec_id, cluster::INT AS cluster, best.d AS distance, cluster_inertia,
+       (SELECT sum(cluster_inertia) FROM sums)::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM (SELECT vec_id, best, best.cluster AS cluster FROM a{rounds}) JOIN sums USING (cluster) JOIN c{rounds} USING (cluster)"""
+
+
 STATEMENTS = {
     "op1_sharding": shard_documents(),
     "op3_line_dedup": dedup_lines(),
@@ -196,4 +268,6 @@ STATEMENTS = {
     "op6_warc": write_and_read(),
     "op8_minhash_neardup": label_documents(),
     "op9_url_filters": judge_urls(),
+    "op11_phrase_mining": best_phrases(),
+    "op13_centroids": cluster_vectors(),
 }

@@ -1,9 +1,12 @@
 """Plain Python versions of the text operators, written from their definitions."""
 
+import hashlib
 import math
 import re
 from collections import Counter, defaultdict
 
+import xxhash
+
 SPACES = " \t\n\x0b\x0c\r"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -150,3 +153,70 @@ def base_scores(docs, is_held_out):
     return [
         (len(own), sum(counts[t] > 0 for t in own), sum(math.log10(counts[t] + 1) - unit for t in own)) for own in tokens
     ], total
+
+
+def simhash(text):
+    """64-bit fingerprint of the three-word shingles, repeats included."""
+    w = words(lower(text or ""))
+    runs = [" ".join(w[i : i + 3]) for i in range(len(w) - 2)] if len(w) >= 3 else [" ".join(w)] if w else []
+    hashes = [xxhash.xxh64_intdigest(run.encode(), 42) for run in runs]
+    return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes))
+
+
+def near_numbers(numbers, radius):
+    """Per number the first of its component under links of at most ``radius`` differing bits."""
+    parent = list(range(len(numbers)))
+
+    def root(row):
+        while parent[row] != row:
+            row = parent[row]
+        return row
+
+    for row, number in enumerate(numbers):
+        for other in range(row):
+            if (number ^ numbers[other]).bit_count() <= radius:
+                parent[max(root(row), root(other))] = min(root(row), root(other))
+    return [root(row) for row in range(len(numbers))]
+
+
+def collocations(docs, least=10, top=2000):
+    """(lang, rank, phrase, a, l, r, n, score) of (lang, text) rows."""
+    counts, totals = defaultdict(Counter), Counter()
+    for lang, text in docs:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower(text or "")):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] += len(w)
+            for k in (1, 2, 3):
+                counts[lang].update(tuple(w[i : i + k]) for i in range(len(w) - k + 1))
+    rows = []
+    for lang, found in counts.items():
+        candidates = {p: a for p, a in found.items() if len(p) > 1 and a >= least}
+        scored = []
+        for phrase, a in candidates.items():
+            cuts = [(1000000 * a * a // (found[phrase[:k]] * found[phrase[k:]]), k) for k in range(1, len(phrase))]
+            score, k = min(cuts)
+            longer = [f for p, f in candidates.items() if len(p) == 3 > len(phrase) and phrase in (p[:2], p[1:])]
+            if not any(100 * f >= 50 * a for f in longer):
+                text = " ".join(phrase)
+                scored.append((-score, -a, text.encode(), text, found[phrase[:k]], found[phrase[k:]]))
+        for rank, (score, a, _, text, l, r) in enumerate(sorted(scored)[:top], 1):
+            rows.append((lang, rank, text, -a, l, r, totals[lang], -score))
+    return sorted(rows)
+
+
+def k_means(vectors, clusters=8, rounds=10, seed="3"):
+    """(id, cluster, distance) of (id, whole numbers) rows, and the centroids."""
+    digest = lambda i: "~" if i is None else hashlib.sha256(f"{seed}:{i}".encode()).hexdigest()
+    centroids = [v for _, v in sorted(vectors, key=lambda row: (digest(row[0]), row[1]))[:clusters]]
+
+    def nearest(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c)), k) for k, c in enumerate(centroids))
+
+    for _ in range(rounds):
+        members = defaultdict(list)
+        for _, v in vectors:
+            members[nearest(v)[1]].append(v)
+        for k, own in members.items():
+            centroids[k] = [sum(cells) // len(own) for cells in zip(*own)]
+    return [(i, nearest(v)[1], nearest(v)[0]) for i, v in vectors], centroids

@@ -1,0 +1,116 @@
+import random
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from brute_llm import collocations
+from ebbline.llm import phrases
+
+
+def frame(spark, rows):
+    """(lang, text) rows as documents with clashing columns."""
+    full = [(i, lang, text, "x", i, "y") for i, (lang, text) in enumerate(rows)]
+    kind = "doc_id long, lang string, text string, phrase string, f long, key string"
+    made = spark.createDataFrame(full, kind)
+    return made.repartition(3) if full else made
+
+
+def found(result):
+    names = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    assert result.columns == names
+    return sorted(tuple(r) for r in result.collect())
+
+
+def prose(seed, count, vocabulary=60):
+    random.seed(seed)
+    word = lambda: f"W{min(int(random.paretovariate(0.7)), vocabulary)}"
+    ends = [" ", " ", " ", "\t", "  ", ". ", ", ", "\n", "; ", "!", "\r\n", ":", "?", "\x0b", "\x0c"]
+    rows = []
+    for _ in range(count):
+        text = "".join(word() + random.choice(ends) for _ in range(random.randrange(200)))
+        rows.append((random.choice(["en", "de", None, "und"]), text))
+    return rows
+
+
+ODD = [
+    ("en", None),
+    ("en", ""),
+    (None, "only end marks .,;:!?\n"),
+    ("fr", " \t "),
+    ("fr", "É É É. é é é, ünï ünï ünï\x1cx " * 12),
+    ("x", "a b " * 40),
+    ("x", "a b " * 40),
+    ("y", "long" * 5000 + " " + "word" * 5000 + ". "),
+    ("", "no name of a language. " * 11),
+]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_against_brute_force(spark, seed):
+    rows = prose(seed, 120) + ODD
+    assert found(phrases.best_phrases(frame(spark, rows))) == collocations(rows)
+
+
+def test_ties_and_a_short_list(spark):
+    rows = [("en", f"a{i} b{i}. " * (10 + i % 2)) for i in range(60)]
+    expected = collocations(rows, top=7)
+    assert found(phrases.best_phrases(frame(spark, rows), top=7)) == expected
+    assert len(expected) == 7
+
+
+def test_blocks_slices_and_a_crowded_bitmap(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "TRIE_PHRASES", 50)
+    monkeypatch.setattr(phrases, "FILTER_BITS", 128)
+    monkeypatch.setattr(phrases, "PARTS", 3)
+    rows = prose(3, 80) + ODD
+    assert found(phrases.best_phrases(frame(spark, rows), least=3)) == collocations(rows, least=3)
+
+
+def test_parts_of_longer_phrases_go(spark):
+    rows = [("en", "one two three. " * 20 + "two three. " * 19 + "one two. " * 21)]
+    result = found(phrases.best_phrases(frame(spark, rows)))
+    # 20 of 39 is half or more; 20 of 41 is less.
+    assert {r[2] for r in result} == {"one two three", "one two"}
+    assert result == collocations(rows)
+
+
+def test_empty_tables(spark):
+    assert found(phrases.best_phrases(frame(spark, []))) == []
+    assert found(phrases.best_phrases(frame(spark, [("en", None), ("en", "too few words")]))) == []
+
+
+def test_scores_are_exact_beyond_64_bits(spark):
+    a, l, r = 3_000_000_001, 4_000_000_007, 5_000_000_029
+    words = spark.createDataFrame([("en", "x", l), ("en", "y", r)], "lang string, word string, f long")
+    pairs = spark.createDataFrame([("en", "x y", 2, a)], "lang string, phrase string, size int, f long")
+    row = phrases.scored(words, pairs).first()
+    assert row["score"] == 1000000 * a * a // (l * r)
+
+
+def test_hashes_are_spark_s(spark):
+    part = next(phrases.tokens(pa.record_batch({"lang": ["dé"], "text": ["Ab ça. ab"]})))
+    rows = spark.createDataFrame([("dé", w.decode()) for w in part.words.to_pylist()], "l string, w string")
+    known = {r["w"]: r["h"] for r in rows.selectExpr("w", "xxhash64(l, w) AS h").collect()}
+    hashes = phrases.word_hashes(part).view(np.int64).tolist()
+    assert {w.decode(): h for w, h in zip(part.words.to_pylist(), hashes)} == known
+
+
+@pytest.mark.parametrize("vocabulary,count", [(3, 10), (700, 4000), (5000, 20000)])
+def test_tries_count_all_occurrences(vocabulary, count):
+    random.seed(vocabulary)
+    word = lambda: f"w{min(int(random.paretovariate(0.5)), vocabulary)}"
+    drawn = {(random.choice("ab"), " ".join(word() for _ in range(random.choice([2, 3])))) for _ in range(count)}
+    rows = [(7 * i, lang, phrase) for i, (lang, phrase) in enumerate(sorted(drawn))]
+    text = " ".join(word() + random.choice(["", "", "."]) for _ in range(20000))
+    trie = phrases.build_trie(rows)
+    # Dense enough to be sent: a few slots per node.
+    assert len(trie.base) < 3 * 9 * len(rows) + 2000
+    part = next(phrases.tokens(pa.record_batch({"lang": ["a"], "text": [text]})))
+    counts = dict(zip(trie.phrases.tolist(), trie.count(part).tolist()))
+    expected = Counter()
+    for piece in text.split("."):
+        w = piece.split()
+        for k in (2, 3):
+            expected.update(" ".join(w[i : i + k]) for i in range(len(w) - k + 1))
+    assert counts == {i: expected[phrase] if lang == "a" else 0 for i, lang, phrase in rows}

@@ -24,5 +24,5 @@ def test_query_equals_sql(spark, sf_dir, database, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(sql.STATEMENTS) <= set(QUERIES)
