@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -10,13 +12,14 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ebbline.functions.cells import filled
 from ebbline.operators.scaling import RobustScale
 from ebbline.options import ModelOptions, SplitOptions
 from ebbline.schemas import MODEL_FEATURES, TARGET
 from ebbline.session import shared_folder
+from ebbline.sources import commits
 
 VECTOR = "features"
 
@@ -101,19 +104,62 @@ def fit_model(
     )
 
 
-def save_model(model: FittedModel, spark: SparkSession, path: str) -> None:
-    """Pipeline under ``path``/pipeline, scaler statistics under ``path``/scaler."""
-    model.pipeline.write().overwrite().save(f"{path}/pipeline")
-    save_scale(model.scale, spark, path)
+@dataclass(frozen=True)
+class StoredModel:
+    """A model as read back: what scores, the statistics it scales by, and how it was trained."""
+
+    pipeline: PipelineModel
+    scale: RobustScale
+    options: dict
+    depth: int
+    digest: str
+
+
+def save_model(
+    model: FittedModel, spark: SparkSession, path: str, options: ModelOptions = ModelOptions(), run: str | None = None
+) -> str:
+    """Commit pipeline, scaler statistics and options as one version of the model at ``path``; returns its digest.
+
+    Until all of it is written, and if that fails, the version before stays the one that is loaded.
+    """
+
+    def write(folder: str) -> dict:
+        model.pipeline.write().save(f"{folder}/pipeline")
+        save_scale(model.scale, spark, folder)
+        return {"digest": _digest(spark, folder), "depth": model.depth, "options": dataclasses.asdict(options)}
+
+    return commits.publish(spark, path, write, run, keep=False).facts["digest"]
+
+
+def load_model(spark: SparkSession, path: str, number: int | None = None) -> StoredModel:
+    """A committed version of the model, by default the last.
+
+    A version whose files are not all those it was committed with is refused.
+    """
+    found = commits.version(spark, path, number)
+    [folder] = commits.folders(spark, path, number)
+    if _digest(spark, folder) != found.facts["digest"]:
+        raise ValueError(f"{path}: the files of version {found.number} are not those of its commit")
+    return StoredModel(
+        PipelineModel.load(f"{folder}/pipeline"),
+        load_scale(spark, folder),
+        found.facts["options"],
+        found.facts["depth"],
+        found.facts["digest"],
+    )
 
 
-def save_scale(scale: RobustScale, spark: SparkSession, path: str) -> None:
-    scale.to_table(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/scaler")
+def _digest(spark: SparkSession, folder: str) -> str:
+    """Of the names and contents of all files below ``folder``, read where they are; a few dozen rows."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    name = F.substring_index("path", f"{folder.rsplit('/', 1)[-1]}/", -1)
+    rows = files.select(name.alias("name"), F.sha2("content", 256).alias("digest")).collect()
+    return hashlib.sha256("\n".join(sorted(f"{r['name']} {r['digest']}" for r in rows)).encode()).hexdigest()
 
 
-def load_pipeline(path: str) -> PipelineModel:
-    return PipelineModel.load(f"{path}/pipeline")
+def save_scale(scale: RobustScale, spark: SparkSession, folder: str) -> None:
+    scale.to_table(spark).coalesce(1).write.parquet(f"{folder}/scaler")
 
 
-def load_scale(spark: SparkSession, path: str) -> RobustScale:
-    return RobustScale.from_table(spark.read.parquet(f"{path}/scaler"), MODEL_FEATURES)
+def load_scale(spark: SparkSession, folder: str) -> RobustScale:
+    return RobustScale.from_table(spark.read.parquet(f"{folder}/scaler"), MODEL_FEATURES)

@@ -32,10 +32,15 @@ def score(
     return with_overrides(predict(rows, pipeline), default_rules(flows.sparkSession) if rules is None else rules)
 
 
-def score_all(flows: DataFrame, features: DataFrame, pipeline: PipelineModel, path: str, **options) -> None:
-    """Score everyone and append the predictions to the table at ``path``. Tables staged on the way are deleted."""
+def score_all(
+    flows: DataFrame, features: DataFrame, pipeline: PipelineModel, path: str, run: str | None = None, **options
+) -> None:
+    """Score everyone and append the predictions to the table at ``path``. Tables staged on the way are deleted.
+
+    ``run`` names the run, such as the month that is scored: repeated, it adds nothing.
+    """
     with staging(flows.sparkSession):
-        append_predictions(score(flows, features, pipeline, **options), path)
+        append_predictions(score(flows, features, pipeline, **options), path, run)
 
 
 def score_customers(

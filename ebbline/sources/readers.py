@@ -9,12 +9,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ebbline import schemas
 from ebbline.functions.casts import strict_cast, text_id
+from ebbline.sources import commits
 from ebbline.sources.requests import Request, for_customers
 
 
 @dataclass(frozen=True)
 class Source:
-    """Any table Spark can read: a format, its options and, for files, a path and schema."""
+    """Any table Spark can read: a format, its options and, for files, a path and schema.
+
+    The format ``committed`` is parquet in the folders of a table's last commit.
+    """
 
     format: str = "parquet"
     path: str | None = None
@@ -22,6 +26,8 @@ class Source:
     schema: T.StructType | None = None
 
     def load(self, spark: SparkSession) -> DataFrame:
+        if self.format == "committed":
+            return commits.read_table(spark, self.path, self.schema)
         reader = spark.read.format(self.format).options(**self.options)
         if self.schema is not None:
             reader = reader.schema(self.schema)

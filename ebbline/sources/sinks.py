@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ebbline import schemas
 from ebbline.functions.cells import epoch_millis
+from ebbline.sources import commits
 
 
 def by_date(predictions: DataFrame) -> DataFrame:
@@ -20,25 +21,33 @@ def by_date(predictions: DataFrame) -> DataFrame:
     return predictions.select(schemas.PREDICTIONS_SINK.names).hint("rebalance", "Date")
 
 
-def append_predictions(predictions: DataFrame, path: str) -> None:
-    """Append to a table partitioned by Date."""
-    by_date(predictions).write.mode("append").partitionBy("Date").parquet(path)
+def append_predictions(predictions: DataFrame, path: str, run: str | None = None) -> None:
+    """Append to a committed table partitioned by Date; a ``run`` that is in it already changes nothing."""
+    commits.write_table(by_date(predictions), path, run, partition_by=["Date"])
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.PREDICTIONS_SINK).parquet(path).select(schemas.PREDICTIONS_SINK.names)
+    return commits.read_table(spark, path, schemas.PREDICTIONS_SINK)
 
 
 def append_training_log(
-    spark: SparkSession, path: str, model_name: str, training_date: dt.date, score: float
+    spark: SparkSession, path: str, model_name: str, training_date: dt.date, score: float, run: str | None = None
 ) -> None:
+    """Append one row to a committed table; a ``run`` that is in it already changes nothing."""
     row = spark.createDataFrame([(model_name, training_date, float(score))], schemas.TRAINING_LOG)
-    row.coalesce(1).write.mode("append").parquet(path)
+    commits.write_table(row.coalesce(1), path, run)
 
 
-def reload_weekly_budget(rows: DataFrame, path: str) -> None:
-    """Replace the whole table. ``rows`` must not be read from ``path`` itself."""
-    rows.select(schemas.WEEKLY_BUDGET.names).write.mode("overwrite").parquet(path)
+def read_training_log(spark: SparkSession, path: str) -> DataFrame:
+    return commits.read_table(spark, path, schemas.TRAINING_LOG)
+
+
+def reload_weekly_budget(rows: DataFrame, path: str, run: str | None = None) -> None:
+    """Replace the whole table in one step: until then, and if the job fails, the old rows are read.
+
+    ``rows`` may be read from the table itself.
+    """
+    commits.write_table(rows.select(schemas.WEEKLY_BUDGET.names), path, run, keep=False)
 
 
 def append_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str]) -> None:

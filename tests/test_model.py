@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from ebbline import schemas
 from ebbline.operators import features, overrides
+from ebbline.operators.scaling import RobustScale
 from ebbline.options import ModelOptions, SeriesOptions
 from ebbline.plans import datasets, model, scoring, training
 from ebbline.session import stage
-from ebbline.sources import sinks, star
+from ebbline.sources import commits, sinks, star
 
 SMALL = ModelOptions(max_iter=2, max_depths=(4,))
 # The smallest tables have few eligible customers; a lower bar gives the trees something to learn.
@@ -48,13 +49,49 @@ def test_training_evaluates_and_logs(spark, inputs, trained):
 
 def test_stored_model_predicts_the_same(spark, inputs, trained):
     fitted, _, folder = trained
-    loaded = model.load_pipeline(str(folder / "m"))
+    stored = model.load_model(spark, str(folder / "m"))
+    loaded = stored.pipeline
     rows = datasets.inference_set(*inputs, options=SERIES)
     columns = [*schemas.IDENTIFIERS, "probability", "prediction"]
     first = fitted.pipeline.transform(rows).select(columns)
     second = loaded.transform(rows).select(columns)
     assert sorted(map(tuple, first.collect())) == sorted(map(tuple, second.collect()))
-    assert model.load_scale(spark, str(folder / "m")) == fitted.scale
+    assert stored.scale == fitted.scale and stored.depth == fitted.depth
+    assert stored.options["max_iter"] == SMALL.max_iter
+
+
+def test_an_interrupted_save_leaves_the_last_model(spark, trained, tmp_path, monkeypatch):
+    path = str(tmp_path / "m")
+    first = model.save_model(trained[0], spark, path, SMALL)
+
+    def fails(*args):
+        raise OSError("disk full")
+
+    monkeypatch.setattr(model, "save_scale", fails)
+    with pytest.raises(OSError):
+        model.save_model(trained[0], spark, path, SMALL)
+    assert model.load_model(spark, path).digest == first
+    assert commits.versions(spark, path) == [1]
+
+
+def test_a_mixed_bundle_is_refused(spark, trained, tmp_path):
+    path = str(tmp_path / "m")
+    model.save_model(trained[0], spark, path)
+    [folder] = commits.folders(spark, path)
+    other = RobustScale(tuple((name, median + 1, iqr) for name, median, iqr in trained[0].scale.stats))
+    other.to_table(spark).coalesce(1).write.mode("overwrite").parquet(f"{folder}/scaler")
+    with pytest.raises(ValueError, match="not those of its commit"):
+        model.load_model(spark, path)
+
+
+def test_models_have_versions(spark, trained, tmp_path):
+    path = str(tmp_path / "m")
+    for run in ("a", "a", "b"):
+        model.save_model(trained[0], spark, path, SMALL, run)
+    assert commits.versions(spark, path) == [1, 2]
+    assert model.load_model(spark, path, 1).scale == model.load_model(spark, path).scale
+    with pytest.raises(FileNotFoundError):
+        model.load_model(spark, str(tmp_path / "none"))
 
 
 def test_scores_have_one_row_per_series(spark, inputs, trained):
@@ -77,9 +114,10 @@ def test_requested_scores_equal_the_full_ones(spark, inputs, trained):
     assert all((r["StruggleWeek"], r["FundingAmount"]) == ((3, 152) if r["CustomerID"] == ids[0] else (0, 0)) for r in records)
 
 
-def test_score_all_appends(spark, inputs, trained, tmp_path):
+def test_score_all_appends_a_run_once(spark, inputs, trained, tmp_path):
     path = str(tmp_path / "predictions")
-    scoring.score_all(*inputs, trained[0].pipeline, path, series=SERIES)
+    for _ in range(2):
+        scoring.score_all(*inputs, trained[0].pipeline, path, run="2023-01", series=SERIES)
     expected = scoring.score(*inputs, trained[0].pipeline, series=SERIES).count()
     assert sinks.read_predictions(spark, path).count() == expected
 

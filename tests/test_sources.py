@@ -11,7 +11,7 @@ from ebbline.operators.features import latest_per_key, require_unique
 from ebbline.operators.series import labelled_series
 from ebbline.options import SeriesOptions
 from ebbline.session import shared_folder
-from ebbline.sources import readers, requests, sinks
+from ebbline.sources import commits, readers, requests, sinks
 
 
 def test_null_ids_become_a_group_of_their_own(spark):
@@ -245,6 +245,14 @@ def test_predictions_append(spark, predictions, tmp_path):
     assert found == sorted([("1", dt.date(2023, 9, 30), 1), ("2", dt.date(1969, 12, 31), 0)] * 2)
 
 
+def test_a_repeated_run_appends_once(spark, predictions, tmp_path):
+    path = str(tmp_path / "predictions")
+    for run in ("may", "may", "june", "may"):
+        sinks.append_predictions(predictions, path, run)
+    assert sinks.read_predictions(spark, path).count() == 4
+    assert commits.version(spark, path).runs == ("may", "june")
+
+
 def test_response_records(predictions):
     records = [r["record"] for r in sinks.response_records(predictions.orderBy("CustomerID")).collect()]
     assert records == [
@@ -263,7 +271,9 @@ def test_training_log_appends(spark, tmp_path):
     path = str(tmp_path / "log")
     for score in (90, 91.5):
         sinks.append_training_log(spark, path, "m", dt.date(2023, 1, 21), score)
-    assert sorted(r["ModelScore"] for r in spark.read.parquet(path).collect()) == [90.0, 91.5]
+    for _ in range(2):
+        sinks.append_training_log(spark, path, "m", dt.date(2023, 1, 22), 92, run="again")
+    assert sorted(r["ModelScore"] for r in sinks.read_training_log(spark, path).collect()) == [90.0, 91.5, 92.0]
 
 
 def test_weekly_budget_reload_replaces(spark, tmp_path):
@@ -271,10 +281,12 @@ def test_weekly_budget_reload_replaces(spark, tmp_path):
     for customer in ("1", "2"):
         rows = spark.createDataFrame([(customer, dt.date(2023, 1, 2), 1.0, "X", 2.0)], schemas.WEEKLY_BUDGET)
         sinks.reload_weekly_budget(rows, path)
-    found = readers.scan_weekly_budget(spark, readers.Source(path=path)).collect()
+    found = readers.scan_weekly_budget(spark, readers.Source("committed", path)).collect()
     assert [tuple(r) for r in found] == [("2", dt.date(2023, 1, 2), 1.0, "X", 2.0)]
     with pytest.raises(PySparkException):
         readers.scan_weekly_budget(spark, readers.Source(path=str(tmp_path / "none")))
+    with pytest.raises(FileNotFoundError):
+        readers.scan_weekly_budget(spark, readers.Source("committed", str(tmp_path / "none")))
 
 
 def test_a_cluster_without_a_shared_folder_is_refused():
@@ -293,4 +305,4 @@ def test_a_cluster_without_a_shared_folder_is_refused():
 
 
 def test_options_are_plain_values():
-    assert SeriesOptions().positive_months == 8 and SeriesOptions().product_splits == ()
+    assert SeriesOptions().positive_months == 8 and SeriesOptions().cuts is None
