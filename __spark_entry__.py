@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import sys
 import uuid
+import warnings
 from collections.abc import Callable
 from dataclasses import dataclass
 from pathlib import Path
@@ -43,13 +44,15 @@ def _rounded(df: DataFrame, names: list[str]) -> DataFrame:
     return df.selectExpr(*[f"round({c}, 6) AS {c}" if c in names else c for c in df.columns])
 
 
-def _options(spark: SparkSession, sf_dir: str) -> SeriesOptions:
-    return _splits(star.product_codes(spark, sf_dir))
+def _options(spark: SparkSession, sf_dir: str, **how) -> SeriesOptions:
+    """Options with hot customers, who are looked for among the orders."""
+    customers = star.order_customers(spark, sf_dir)
+    return SeriesOptions(cuts=blocks.find_cuts(star.transactions(spark, sf_dir), customers, **how))
 
 
-def _splits(products: DataFrame, **how) -> SeriesOptions:
-    """Options with blocks chosen from rows that hold the product codes, such as stored daily flows."""
-    return SeriesOptions(product_splits=blocks.choose_splits(products, **how))
+def _cut(flow_rows: DataFrame) -> SeriesOptions:
+    """Options that cut customers between products, down to a row a block, as far as cuts go."""
+    return SeriesOptions(cuts=blocks.find_cuts(flow_rows, hot_rows=1, block_rows=1))
 
 
 def _request(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,10 +138,8 @@ def labelled_series(spark, sf_dir):
 
 
 def labelled_series_in_blocks(spark, sf_dir):
-    """The same result with every customer cut between products, as for a large catalogue."""
-    splits = blocks.choose_splits(star.product_codes(spark, sf_dir), per_block=1)
-    tx = star.transactions(spark, sf_dir)
-    return series.labelled_series(tx, SeriesOptions(product_splits=splits))
+    """The same result with the largest customers cut between products, as for hot ones."""
+    return series.labelled_series(star.transactions(spark, sf_dir), _options(spark, sf_dir, hot_rows=1, block_rows=1))
 
 
 def latest_per_series(spark, sf_dir):
@@ -185,24 +186,24 @@ def sentinel_filled_features(spark, sf_dir):
 
 def training_set(spark, sf_dir):
     daily, table = _daily_and_table(spark, sf_dir)
-    return datasets.training_set(daily, table, _splits(daily))
+    return datasets.training_set(daily, table)
 
 
 def training_set_in_blocks(spark, sf_dir):
-    """The same with every customer cut between products."""
+    """The same with the largest customers cut between products."""
     daily, table = _daily_and_table(spark, sf_dir)
-    return datasets.training_set(daily, table, _splits(daily, per_block=1))
+    return datasets.training_set(daily, table, _cut(daily))
 
 
 def inference_set(spark, sf_dir):
     daily, table = _daily_and_table(spark, sf_dir)
-    return datasets.inference_set(daily, table, options=_splits(daily))
+    return datasets.inference_set(daily, table)
 
 
 def inference_set_for_customers(spark, sf_dir):
     """The request applied to the tables as stored."""
     daily, table = _daily_and_table(spark, sf_dir, _request(spark, sf_dir))
-    return datasets.inference_set(daily, table, options=_splits(daily))
+    return datasets.inference_set(daily, table)
 
 
 def _fitted_scale(spark, sf_dir):
@@ -254,7 +255,18 @@ def stratified_split(spark, sf_dir):
     return split.assign_stratified_split(rows).select(*schemas.IDENTIFIERS, schemas.TARGET, "split")
 
 
+def stratified_folds(spark, sf_dir):
+    """The folds of the train part with exact shares per label, row by row."""
+    folded = training.split_rows(stage(labelled_series(spark, sf_dir), "labelled"), SPLIT)
+    return folded.where("split = 'train'").select(*schemas.IDENTIFIERS, schemas.TARGET, "fold")
+
+
 def fold_counts(spark, sf_dir):
+    return stratified_folds(spark, sf_dir).groupBy("fold", schemas.TARGET).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def hashed_fold_counts(spark, sf_dir):
+    """Folds by the hash alone."""
     folded = split.assign_fold(labelled_series(spark, sf_dir))
     return folded.groupBy("fold", schemas.TARGET).agg(F.count(F.lit(1)).alias("rows"))
 
@@ -317,14 +329,14 @@ def weekly_budget_reload(spark, sf_dir):
     path, rows = _new_folder(spark, "weekly-budget"), weekly_budget(spark, sf_dir)
     sinks.reload_weekly_budget(rows, path)
     sinks.reload_weekly_budget(rows, path)
-    return readers.scan_weekly_budget(spark, readers.Source(path=path))
+    return readers.scan_weekly_budget(spark, readers.Source("committed", path))
 
 
 def training_log_roundtrip(spark, sf_dir):
     """The rule scorer's accuracy as a row of the training log."""
     path, score = _new_folder(spark, "training-log"), rule_scorer_metrics(spark, sf_dir).first()["accuracy"]
     sinks.append_training_log(spark, path, "rule", dt.date(2023, 1, 21), score)
-    return spark.read.schema(schemas.TRAINING_LOG).parquet(path)
+    return sinks.read_training_log(spark, path)
 
 
 def _stored(spark, df, label) -> readers.Source:
@@ -403,7 +415,10 @@ class Trained:
 
 
 def _once(spark, sf_dir, kind: str, train: Callable[[], Trained]) -> Trained:
-    key = spark.sparkContext.applicationId, sf_dir, kind
+    # A table that was written anew in the same folder gets a model of its own.
+    files = spark.read.format("binaryFile").load(f"{sf_dir}/lineitem.parquet")
+    written = sorted(map(tuple, files.select("path", "modificationTime", "length").collect()))
+    key = spark.sparkContext.applicationId, kind, tuple(written)
     if key not in _trained_models:
         _trained_models[key] = train()
     return _trained_models[key]
@@ -415,7 +430,7 @@ def _trained(spark, sf_dir) -> Trained:
     def train():
         daily, table = _daily_and_table(spark, sf_dir)
         table, path = stage(table, "features"), _new_folder(spark, "model")
-        fitted, scores = training.train(daily, table, _splits(daily), SPLIT, MODEL, path=path)
+        fitted, scores = training.train(daily, table, split=SPLIT, model=MODEL, path=path)
         return Trained(daily, table, path, fitted, scores)
 
     return _once(spark, sf_dir, "struggle", train)
@@ -426,12 +441,12 @@ def _trained_on_segments(spark, sf_dir) -> Trained:
 
     def train():
         daily, table = _daily_and_table(spark, sf_dir)
-        rows = datasets.training_set(daily, table, _splits(daily))
+        rows = datasets.training_set(daily, table)
         rows = rows.withColumn(schemas.TARGET, (F.col("SegmentID") > 3).cast("int"))
-        rows = stage(split.assign_fold(rows, SPLIT), "segments")
+        rows = stage(rows, "segments")
         path = _new_folder(spark, "model")
-        fitted = training.train_on(split.assign_stratified_split(rows, options=SPLIT), MODEL, SPLIT)
-        model.save_model(fitted, spark, path)
+        fitted = training.train_on(training.split_rows(rows, SPLIT), MODEL, SPLIT)
+        model.save_model(fitted, spark, path, MODEL)
         return Trained(rows, table, path, fitted, None)
 
     return _once(spark, sf_dir, "segments", train)
@@ -441,7 +456,7 @@ def segment_predictions(spark, sf_dir):
     """Train, store, load and predict a target that can be learned exactly: shows the wiring and the
     values, not the quality of the trees."""
     trained = _trained_on_segments(spark, sf_dir)
-    found = scoring.predict(trained.daily, model.load_pipeline(trained.path))
+    found = scoring.predict(trained.daily, model.load_model(spark, trained.path).pipeline)
     return found.withColumnRenamed("Struggle", "predicted")
 
 
@@ -459,16 +474,16 @@ def _with_check(df: DataFrame, *names: str) -> DataFrame:
 def stored_model_agrees(spark, sf_dir):
     """Row by row: does the stored and loaded model predict what the one in memory does?"""
     trained = _trained(spark, sf_dir)
-    rows = stage(datasets.inference_set(trained.daily, trained.table, options=_splits(trained.daily)), "inference")
-    loaded = scoring.predict(rows, model.load_pipeline(trained.path)).withColumnRenamed("Struggle", "loaded")
+    rows = stage(datasets.inference_set(trained.daily, trained.table), "inference")
+    loaded = scoring.predict(rows, model.load_model(spark, trained.path).pipeline).withColumnRenamed("Struggle", "loaded")
     both = scoring.predict(rows, trained.fitted.pipeline).join(loaded, schemas.IDENTIFIERS)
     return both.select(*schemas.IDENTIFIERS, (F.col("Struggle") == F.col("loaded")).alias("agrees"))
 
 
 def _scored(spark, sf_dir, request=None):
     trained = _trained(spark, sf_dir)
-    pipeline = model.load_pipeline(trained.path)
-    return scoring.score(trained.daily, trained.table, pipeline, request, series=_splits(trained.daily))
+    pipeline = model.load_model(spark, trained.path).pipeline
+    return scoring.score(trained.daily, trained.table, pipeline, request)
 
 
 def model_predictions(spark, sf_dir):
@@ -479,18 +494,16 @@ def model_predictions(spark, sf_dir):
 def scored_sink(spark, sf_dir):
     """The batch flow: score everyone into the predictions table, then read that back."""
     trained, path = _trained(spark, sf_dir), _new_folder(spark, "scored")
-    pipeline = model.load_pipeline(trained.path)
-    scoring.score_all(trained.daily, trained.table, pipeline, path, series=_splits(trained.daily))
+    pipeline = model.load_model(spark, trained.path).pipeline
+    scoring.score_all(trained.daily, trained.table, pipeline, path)
     return _with_check(sinks.read_predictions(spark, path), "CustomerID", "Date")
 
 
 def score_customers(spark, sf_dir):
     """JSON records for requested customers, with the predicted label, 0 or 1, written as #."""
     trained = _trained(spark, sf_dir)
-    pipeline = model.load_pipeline(trained.path)
-    records = scoring.score_customers(
-        trained.daily, trained.table, pipeline, _request(spark, sf_dir), series=_splits(trained.daily)
-    )
+    pipeline = model.load_model(spark, trained.path).pipeline
+    records = scoring.score_customers(trained.daily, trained.table, pipeline, _request(spark, sf_dir))
     return records.select(F.regexp_replace("record", '"Struggle":[01],', '"Struggle":#,').alias("record"))
 
 
@@ -540,7 +553,9 @@ REGISTERED: list[Query] = [
     model_vectors,
     stratified_split_counts,
     stratified_split,
+    stratified_folds,
     fold_counts,
+    hashed_fold_counts,
     confusion_counts,
     rule_scorer_metrics,
     rule_scorer_auc,
@@ -568,13 +583,12 @@ REGISTERED: list[Query] = [
 
 
 def _corpus() -> tuple[list[Query], dict[str, str]]:
-    """Queries and SQL of the text operators; none where their folder or the pipeline is not there."""
+    """Queries and SQL of the text operators; none where they, or a package that they need, cannot be imported."""
     try:
         import corpus_pipeline
         from ebbline.llm import queries as corpus, sql as corpus_sql
-    except ModuleNotFoundError as missing:
-        if missing.name not in ("corpus_pipeline", "ebbline.llm"):
-            raise
+    except ImportError as missing:
+        warnings.warn(f"queries on texts are not registered: {missing}", stacklevel=2)
         return [], {}
     statements = dict(corpus_sql.STATEMENTS)
     if corpus_pipeline.ORACLE_SQL:

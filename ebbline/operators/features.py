@@ -9,10 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ebbline import schemas
-from ebbline.operators.blocks import BLOCK, CUSTOMER, customer_keys
+from ebbline.operators.blocks import BLOCK, CUSTOMER, customer_keys, per_block
 from ebbline.operators.flows import SIDES, customer_days
-from ebbline.options import SeriesOptions
-from ebbline.session import stage
+from ebbline.options import Cuts, SeriesOptions
 
 DEFAULTS = SeriesOptions()
 
@@ -109,15 +108,13 @@ def latest_per_key(df: DataFrame, *order: str, key: str = CUSTOMER) -> DataFrame
     return df.withColumn("Rank", rank).where(F.col("Rank") == 1).drop("Rank")
 
 
-def attach_features(series: DataFrame, features: DataFrame) -> DataFrame:
+def attach_features(series: DataFrame, features: DataFrame, cuts: Cuts = ()) -> DataFrame:
     """Inner join on the customer. Series without features drop out; duplicate feature rows multiply.
 
-    Without blocks both sides are already grouped by customer. With blocks the features are copied
-    to each block of their customer, so that a big customer's rows stay spread out.
+    Both sides are already grouped by customer. Where hot customers are cut, their features, a few rows, are
+    copied to each of their blocks, so that a big customer's rows stay spread out.
     """
     keys = customer_keys(series)
     if len(keys) > 1:
-        # Read twice: for the pairs of customer and block, and for the rows.
-        series = stage(series, "series")
-        features = features.join(series.select(*keys).distinct(), CUSTOMER)
+        features = per_block(features, cuts)
     return series.join(features, keys, "inner").drop(BLOCK)

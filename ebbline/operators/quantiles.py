@@ -1,103 +1,86 @@
-"""Exact quantiles of many columns without sorting any of them.
+"""Exact quantiles of many columns by radix selection, without sorting any of them.
 
-Each wanted quantile has a range of values known to hold it, at first the whole column. While a range
-is too big to order, an approximate sketch of its values proposes a narrow part around the wanted
-rank, and a pass of counts proves that the rank lies there. Where sketches find nothing narrower, the
-range is halved by value instead. What is left is ordered, equal values counting as one: at most
-ORDERED_ROWS of them.
+A double is read as a whole number of 64 bits in the same order. All values are counted by the leading bits of
+that number, all columns in one pass; every wanted rank then lies in one known part, and only the values of
+these parts are counted by the following bits. After ``len(SHIFTS)`` passes at most a part is a single value,
+whatever the values are. Parts of few rows are counted value by value at once, which ends the search earlier.
+
+Counts are combined before they move. Per pass the driver gets a row per part in use: at most 4,094 for each
+column at first, then at most 8,192 for each part looked at.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+import struct
+import sys
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ebbline.functions.cells import double_literal, missing
 
-# Ranges up to this many rows are ordered, each in one task.
-ORDERED_ROWS = 250_000
-ACCURACY = 10_000
-# A sketch's rank is off by at most 1/ACCURACY; its proposals reach twice as far to either side.
-HALF_WIDTH = 2 / ACCURACY
+# Bits of the number that a pass leaves open: sign and exponent first, then thirteen bits a time.
+SHIFTS = (52, 39, 26, 13, 0)
+# Parts of at most so many rows are counted value by value.
+COUNTED_ROWS = 4_096
+
+
+def _value(code: int) -> float:
+    """The double with this number."""
+    size = struct.unpack("<d", struct.pack("<q", abs(code)))[0]
+    return -size if code < 0 else size
 
 
-def _present(column: str) -> str:
-    value = f"CAST({column} AS DOUBLE)"
-    return f"CASE WHEN NOT {missing(value)} THEN {value} END"
+def _with_code(df: DataFrame) -> DataFrame:
+    """Add ``code``, the number of the double ``value``: its bits, those of its size negated where it is negative.
+
+    Powers of two are exact, and so are products and quotients by them; the logarithm may be off by one.
+    """
+    smallest = double_literal(2.0**-1022)
+    return (
+        df.withColumn("size", F.abs("value"))
+        .withColumn("guess", F.expr("greatest(-1022D, least(1023D, floor(log2(size))))"))
+        .withColumn("step", F.expr("pow(2D, coalesce(guess, -1022D))"))
+        .withColumn("off", F.expr("IF(size < step AND guess > -1022D, -1, IF(size / step >= 2D, 1, 0))"))
+        .withColumn("power", F.expr("CASE off WHEN -1 THEN step / 2D WHEN 1 THEN step * 2D ELSE step END"))
+        .withColumn(
+            "bits",
+            F.expr(
+                f"IF(size < {smallest}, CAST(size * pow(2D, 537D) * pow(2D, 537D) AS BIGINT),"
+                " CAST(guess + off + 1023D AS BIGINT) * 4503599627370496L"
+                " + CAST((size / power - 1D) * 4503599627370496D AS BIGINT))"
+            ),
+        )
+        .withColumn("code", F.expr("IF(value < 0D, -bits, bits)"))
+    )
 
 
 @dataclass
 class _Wanted:
-    """One quantile, and the range of values that holds its neighbours."""
+    """The value at one rank of a column, and the part of the numbers that holds it."""
 
     column: str
-    probability: float
-    total: int
-    low: float = -math.inf
-    high: float = math.inf
+    rank: int
+    part: int = 0
     below: int = 0
-    rows: int = 0
-    half_width: float = HALF_WIDTH
-    # Both neighbours, once they are known without ordering.
-    found: tuple[float, float] | None = None
-
-    def __post_init__(self) -> None:
-        self.rows = self.total
-
-    @property
-    def rank(self) -> float:
-        return self.probability * (self.total - 1)
-
-    @property
-    def range(self) -> tuple[str, float, float]:
-        return self.column, self.low, self.high
-
-    @property
-    def orderable(self) -> bool:
-        """Few enough rows, a single value, or nothing left to look for."""
-        return self.rows <= ORDERED_ROWS or self.low == self.high or self.found is not None
-
-    @property
-    def stuck(self) -> bool:
-        """Sketches have nothing narrower to propose."""
-        return self.half_width >= 1
-
-    @property
-    def middle(self) -> float:
-        """A value from ``low`` to just below ``high``."""
-        return min(self.low / 2 + self.high / 2, math.nextafter(self.high, -math.inf))
-
-    def halve(self, rows: int, last: float, first: float) -> None:
-        """Take a side of the middle: ``rows`` are not above it, ``last`` is the greatest of them and
-        ``first`` the smallest above. If the neighbours are on either side, they are these two."""
-        if math.ceil(self.rank) < self.below + rows:
-            self.high, self.rows = last, rows
-        elif math.floor(self.rank) >= self.below + rows:
-            self.low, self.below, self.rows = first, self.below + rows, self.rows - rows
-        else:
-            self.found = last, first
-
-    def edges(self) -> tuple[float, float]:
-        """Shares of the range between which to look next."""
-        place = (self.rank - self.below) / (self.rows - 1)
-        return max(place - self.half_width, 0.0), min(place + self.half_width, 1.0)
-
-    def narrow(self, low: float, high: float, below: int, rows: int) -> None:
-        """Take the part from low to high if it holds both neighbours and is smaller; else look wider."""
-        if below <= math.floor(self.rank) and math.ceil(self.rank) < below + rows < below + self.rows:
-            self.low, self.high, self.below, self.rows = low, high, below, rows
-        elif (low, high) == (self.low, self.high):
-            # Nearly all rows sit on the two ends: few values are left between them.
-            self.half_width = 1.0
-        else:
-            self.half_width *= 10
-
-
-def _inside(column: str, low: float, high: float) -> str:
-    return f"{_present(column)} BETWEEN {double_literal(low)} AND {double_literal(high)}"
+
+
+def _count(df: DataFrame, entries: dict[tuple, str], shift: int) -> dict[tuple, list[tuple[int, int]]]:
+    """One pass: rows by part for each of the entries, SQL for a double or null, in order of the parts."""
+    cells = [f"CASE WHEN ({cell}) IS NOT NULL THEN struct({i} AS place, {cell} AS value) END" for i, cell in enumerate(entries.values())]
+    values = df.selectExpr(f"inline(array_compact(array({', '.join(cells)})))")
+    found = (
+        _with_code(values)
+        .groupBy("place", F.shiftright("code", shift).alias("part"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+    keys = list(entries)
+    parts: dict[tuple, list[tuple[int, int]]] = {key: [] for key in keys}
+    for row in found.collect():
+        parts[keys[row["place"]]].append((row["part"], row["rows"]))
+    return {key: sorted(own) for key, own in parts.items()}
 
 
 def exact_quantiles(
@@ -105,108 +88,40 @@ def exact_quantiles(
 ) -> dict[tuple[str, float], float | None]:
     """Quantiles with linear interpolation between neighbours; missing values are ignored.
 
-    ``df`` is read twice, and twice more per round of narrowing, so stage it if it is costly to
-    compute; a constant column takes no round. A handful of numbers per column reach the driver.
-    Expressions are SQL text, one call each.
+    ``df`` is read at most ``len(SHIFTS)`` times, so stage it if it is costly to compute.
     """
-    ends = [
-        F.expr(f"{what}({_present(c)}) AS {what}{i}") for i, c in enumerate(columns) for what in ("count", "min", "max")
-    ]
-    seen = df.agg(*ends).first()
-    wanted = [
-        _Wanted(c, p, seen[f"count{i}"], seen[f"min{i}"], seen[f"max{i}"])
-        for i, c in enumerate(columns)
-        for p in probabilities
-        if seen[f"count{i}"]
-    ]
-    while wide := [want for want in wanted if not want.orderable]:
-        if narrowing := [want for want in wide if not want.stuck]:
-            _narrow(df, narrowing)
-        if halving := [want for want in wide if want.stuck and not want.orderable]:
-            _halve(df, halving)
+    present = {(c,): f"CASE WHEN NOT {missing(f'CAST({c} AS DOUBLE)')} THEN CAST({c} AS DOUBLE) END" for c in columns}
+    parts = _count(df, present, SHIFTS[0])
+    totals = {c: sum(rows for _, rows in parts[c,]) for c in columns}
+    ranks = {(c, p): p * (totals[c] - 1) for c in columns for p in probabilities if totals[c]}
+    wanted = {(c, at): _Wanted(c, at) for (c, _), rank in ranks.items() for at in (math.floor(rank), math.ceil(rank))}
+    listed = {(c, at): parts[c,] for c, at in wanted}
+    shift = SHIFTS[0]
+    while wanted:
+        most = 0
+        for key, want in wanted.items():
+            for part, rows in listed[key]:
+                if want.rank < want.below + rows:
+                    want.part, most = part, max(most, rows)
+                    break
+                want.below += rows
+        if shift == 0:
+            break
+        # Several ranks may lie in one part, which is counted once.
+        ranges = dict.fromkeys((want.column, want.part) for want in wanted.values())
+        inside = {}
+        for c, part in ranges:
+            # The lowest part begins with minus infinity, which is a missing value.
+            low, high = max(_value(part << shift), -sys.float_info.max), _value((part + 1 << shift) - 1)
+            cell = f"CAST({c} AS DOUBLE)"
+            inside[c, part] = f"CASE WHEN {cell} BETWEEN {double_literal(low)} AND {double_literal(high)} THEN {cell} END"
+        shift = 0 if most <= COUNTED_ROWS else next(s for s in SHIFTS if s < shift)
+        parts = _count(df, inside, shift)
+        listed = {key: parts[want.column, want.part] for key, want in wanted.items()}
 
     result: dict[tuple[str, float], float | None] = {(c, p): None for c in columns for p in probabilities}
-    for want, low, high in _neighbours(df, wanted):
-        share = want.rank - math.floor(want.rank)
-        result[want.column, want.probability] = low * (1 - share) + high * share
+    for (c, p), rank in ranks.items():
+        low, high = (_value(wanted[c, at].part) for at in (math.floor(rank), math.ceil(rank)))
+        share = rank - math.floor(rank)
+        result[c, p] = low * (1 - share) + high * share
     return result
-
-
-def _narrow(df: DataFrame, wanted: list[_Wanted]) -> None:
-    """One round: propose from sketches, then count."""
-    ranges = list(dict.fromkeys(want.range for want in wanted))
-    shares = {r: sorted({e for want in wanted if want.range == r for e in want.edges()}) for r in ranges}
-    sketches = []
-    for i, r in enumerate(ranges):
-        at = ", ".join(map(double_literal, shares[r]))
-        value = f"CASE WHEN {_inside(*r)} THEN {_present(r[0])} END"
-        sketches.append(f"percentile_approx({value}, array({at}), {ACCURACY}) AS s{i}")
-    found = df.agg(*map(F.expr, sketches)).first()
-    values = {r: dict(zip(shares[r], found[f"s{i}"], strict=True)) for i, r in enumerate(ranges)}
-
-    proposals = [tuple(values[want.range][edge] for edge in want.edges()) for want in wanted]
-    counts = []
-    for i, (want, (low, high)) in enumerate(zip(wanted, proposals, strict=True)):
-        counts.append(f"count_if({_present(want.column)} < {double_literal(low)}) AS b{i}")
-        counts.append(f"count_if({_inside(want.column, low, high)}) AS r{i}")
-    row = df.agg(*map(F.expr, counts)).first()
-    for i, (want, (low, high)) in enumerate(zip(wanted, proposals, strict=True)):
-        want.narrow(low, high, row[f"b{i}"], row[f"r{i}"])
-
-
-def _halve(df: DataFrame, wanted: list[_Wanted]) -> None:
-    """One round of halving by value, which always leaves a smaller range."""
-    cells = []
-    for i, want in enumerate(wanted):
-        value, middle = _present(want.column), double_literal(want.middle)
-        lower = f"{_inside(*want.range)} AND {value} <= {middle}"
-        cells.append(f"count_if({lower}) AS r{i}")
-        cells.append(f"max(CASE WHEN {lower} THEN {value} END) AS l{i}")
-        cells.append(f"min(CASE WHEN {_inside(*want.range)} AND {value} > {middle} THEN {value} END) AS f{i}")
-    row = df.agg(*map(F.expr, cells)).first()
-    for i, want in enumerate(wanted):
-        want.halve(row[f"r{i}"], row[f"l{i}"], row[f"f{i}"])
-
-
-def _neighbours(df: DataFrame, wanted: list[_Wanted]) -> Iterator[tuple[_Wanted, float, float]]:
-    """Values at the ranks just below and just above each wanted one."""
-    for want in wanted:
-        if want.found:
-            yield want, *want.found
-        elif want.low == want.high:
-            yield want, want.low, want.high
-    wanted = [want for want in wanted if not want.found and want.low < want.high]
-    if not wanted:
-        return
-    ranges = list(dict.fromkeys(want.range for want in wanted))
-    entries = ", ".join(
-        f"CASE WHEN {_inside(*r)} THEN struct({i} AS place, {_present(r[0])} AS value) END"
-        for i, r in enumerate(ranges)
-    )
-    counted = (
-        df.select(F.expr(f"explode(array_compact(array({entries}))) AS entry"))
-        .groupBy("entry.place", "entry.value")
-        .agg(F.count(F.lit(1)).alias("copies"))
-    )
-    ranks = df.sparkSession.createDataFrame(
-        [
-            (ranges.index(w.range), i, w.below, math.floor(w.rank), math.ceil(w.rank))
-            for i, w in enumerate(wanted)
-        ],
-        "place int, id int, below bigint, low bigint, high bigint",
-    )
-    so_far = W.partitionBy("place").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
-    placed = (
-        counted.withColumn("taken", F.sum("copies").over(so_far))
-        # One row per wanted quantile: the size of the side broadcast here is fixed.
-        .join(F.broadcast(ranks), "place")
-        .selectExpr("id", "value", "low", "high", "below + taken AS stop", "below + taken - copies AS start")
-    )
-    found = placed.groupBy("id").agg(
-        *[
-            F.expr(f"max(value) FILTER (WHERE start <= {rank} AND {rank} < stop) AS {rank}_value")
-            for rank in ("low", "high")
-        ]
-    )
-    for row in found.collect():
-        yield wanted[row["id"]], row["low_value"], row["high_value"]

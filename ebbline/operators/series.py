@@ -9,14 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ebbline.functions.cells import non_negative_flag, struggle_flag
-from ebbline.operators.blocks import (
-    BLOCK,
-    CUSTOMER,
-    PRODUCT,
-    block_number,
-    customer_keys,
-    series_keys,
-)
+from ebbline.operators.blocks import BLOCK, CUSTOMER, PRODUCT, WHOLE, customer_keys, series_keys, with_block, with_cuts
 from ebbline.operators.flows import monthly_flows
 from ebbline.options import SeriesOptions
 from ebbline.session import stage
@@ -28,31 +21,30 @@ def running_balance(monthly: DataFrame, options: SeriesOptions = DEFAULTS) -> Da
     """Add Balance: net flow summed over the customer's rows in order of product, then month.
 
     The sum runs on from one product into the next, so a product opens at the closing balance of
-    the product before it. With product splits, rows also get their block, which the functions below
+    the product before it. Where there are hot customers, rows also get their block, which the functions below
     group by; ``balance_series`` and what builds on it take that column off again.
     """
     net = F.col("Credit") - F.col("Debit")
-    splits = options.product_splits
-    if not splits:
+    if not options.cuts:
         rows_so_far = W.partitionBy(CUSTOMER).orderBy(PRODUCT, "Date").rowsBetween(W.unboundedPreceding, 0)
         return monthly.withColumn("Balance", F.sum(net).over(rows_so_far))
 
-    # Sum within each block, then add what the customer's earlier blocks come to. A customer has at
-    # most one total per block, so that second step stays small. Three branches below read these
-    # rows, hence the staging.
-    blocked = stage(monthly.withColumn(BLOCK, block_number(PRODUCT, splits)), "monthly")
+    # Sums within each block, to which is added what the customer's earlier blocks come to: a row per block of
+    # a hot customer, whose number is bounded, so that the blocks' openings are broadcast. The rows are
+    # read three times from here on, hence the staging.
+    blocked = stage(with_block(monthly, options.cuts), "monthly")
     earlier_blocks = W.partitionBy(CUSTOMER).orderBy(BLOCK).rowsBetween(W.unboundedPreceding, -1)
     opening = (
-        blocked.groupBy(CUSTOMER, BLOCK)
+        blocked.where(F.col(BLOCK) != WHOLE)
+        .groupBy(CUSTOMER, BLOCK)
         .agg(F.sum(net).alias("BlockNet"))
-        .select(CUSTOMER, BLOCK, F.coalesce(F.sum("BlockNet").over(earlier_blocks), F.lit(0)).alias("Opening"))
-    )
-    block_so_far = (
-        W.partitionBy(CUSTOMER, BLOCK).orderBy(PRODUCT, "Date").rowsBetween(W.unboundedPreceding, 0)
+        .select(CUSTOMER, BLOCK, F.sum("BlockNet").over(earlier_blocks).alias("Opening"))
     )
+    block_so_far = W.partitionBy(CUSTOMER, BLOCK).orderBy(PRODUCT, "Date").rowsBetween(W.unboundedPreceding, 0)
+    balance = F.sum(net).over(block_so_far) + F.coalesce("Opening", F.lit(0))
     return (
-        blocked.join(opening, [CUSTOMER, BLOCK])
-        .withColumn("Balance", (F.col("Opening") + F.sum(net).over(block_so_far)).cast("decimal(38,2)"))
+        blocked.join(F.broadcast(opening), [CUSTOMER, BLOCK], "left")
+        .withColumn("Balance", balance.cast("decimal(38,2)"))
         .drop("Opening")
     )
 
@@ -69,21 +61,13 @@ def eligible_series(balances: DataFrame, options: SeriesOptions = DEFAULTS) -> D
     months = F.sum(non_negative_flag(F.col("Balance"))).over(W.partitionBy(*series_keys(balances)))
     counted = balances.withColumn("PositiveMonths", months)
     qualifies = F.col("PositiveMonths") == options.positive_months
-    if BLOCK not in balances.columns:
-        return (
-            counted.withColumn("Eligible", F.max(qualifies).over(W.partitionBy(CUSTOMER)))
-            .where("Eligible")
-            .drop("PositiveMonths", "Eligible")
-        )
-    # One row per block answers for the block; a customer's blocks then share their answers.
-    kept = (
-        counted.groupBy(CUSTOMER, BLOCK)
-        .agg(F.max(qualifies).alias("Hit"))
-        .withColumn("Hit", F.max("Hit").over(W.partitionBy(CUSTOMER)))
-        .where("Hit")
-        .select(CUSTOMER, BLOCK)
-    )
-    return counted.drop("PositiveMonths").join(kept, [CUSTOMER, BLOCK], "left_semi")
+    answered = counted.withColumn("Eligible", F.max(qualifies).over(W.partitionBy(*customer_keys(balances))))
+    if BLOCK in balances.columns:
+        # A block answers for the others of its customer: a row per hot customer at most.
+        hits = counted.where((F.col(BLOCK) != WHOLE) & qualifies).select(CUSTOMER).distinct().withColumn("Hit", F.lit(True))
+        answered = answered.join(F.broadcast(hits), CUSTOMER, "left")
+        answered = answered.withColumn("Eligible", F.col("Eligible") | F.coalesce("Hit", F.lit(False)))
+    return answered.where("Eligible").select(*balances.columns)
 
 
 def _in_series(df: DataFrame):
@@ -141,6 +125,7 @@ def next_month(series: DataFrame) -> DataFrame:
 
 
 def _eligible_balances(flows: DataFrame, options: SeriesOptions) -> DataFrame:
+    options = with_cuts(flows, options)
     return eligible_series(running_balance(monthly_flows(flows, options), options), options)
 
 

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+# Hot customers, each with the ordered product codes that cut it into blocks; see operators.blocks.
+Cuts = tuple[tuple[str, tuple[str, ...]], ...]
+
 # The one override rule in use, as (CustomerID, Struggle, StruggleWeek, FundingAmount).
 DEFAULT_OVERRIDES = [("9813", 1, 3, 152)]
 
@@ -22,8 +25,8 @@ class SeriesOptions:
     drop_ratio: float = 0.3
     # The label of a series' last row is unknown; it counts as 0 unless these rows are dropped.
     drop_unknown: bool = False
-    # Ordered product codes that cut every customer into blocks; see operators.blocks.
-    product_splits: tuple[str, ...] = ()
+    # Hot customers to be spread over tasks; None: looked for in a sample of the rows. The result is the same.
+    cuts: Cuts | None = None
 
 
 @dataclass(frozen=True)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from ebbline import schemas
+from ebbline.operators.blocks import with_cuts
 from ebbline.operators.features import attach_features, latest_per_key, require_unique
 from ebbline.operators.series import forecast_series, labelled_series
 from ebbline.options import SeriesOptions
@@ -24,7 +25,8 @@ def _numeric(df: DataFrame, *extra: str) -> DataFrame:
 def training_set(flows: DataFrame, features: DataFrame, options: SeriesOptions = DEFAULTS) -> DataFrame:
     """Every eligible row with Struggle, its label and the customer's features, from transactions or
     daily flows."""
-    joined = attach_features(labelled_series(flows, options, keep_blocks=True), features)
+    options = with_cuts(flows, options)
+    joined = attach_features(labelled_series(flows, options, keep_blocks=True), features, options.cuts)
     return _numeric(joined, "Struggle", schemas.TARGET)
 
 
@@ -43,7 +45,9 @@ def inference_set(
     feature rows is an error unless ``newest_by`` names the columns that pick one.
     """
     request = resolve(request)
-    latest = forecast_series(for_customers(flows, request), options, keep_blocks=True)
+    flows = for_customers(flows, request)
+    options = with_cuts(flows, options)
+    latest = forecast_series(flows, options, keep_blocks=True)
     asked = for_customers(features, request)
     single = latest_per_key(asked, *newest_by) if newest_by else require_unique(asked)
-    return _numeric(attach_features(latest, single))
+    return _numeric(attach_features(latest, single, options.cuts))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from ebbline.operators.metrics import classification_metrics
 from ebbline.operators.scaling import RobustScale
-from ebbline.operators.split import assign_fold, assign_split, assign_stratified_split
+from ebbline.operators.split import assign_fold, assign_split, assign_stratified_fold, assign_stratified_split
 from ebbline.options import ModelOptions, SeriesOptions, SplitOptions
 from ebbline.plans.datasets import training_set
 from ebbline.plans.model import FittedModel, assembler, fit_model, prepare_stage, save_model
@@ -19,8 +19,14 @@ from ebbline.sources.sinks import append_training_log
 
 def prepare_rows(flows: DataFrame, features: DataFrame, series: SeriesOptions, split: SplitOptions) -> DataFrame:
     """Training set with its split and fold, written once: fitting reads it many times."""
-    rows = stage(assign_fold(training_set(flows, features, series), split), "training")
-    return assign_stratified_split(rows, options=split) if split.exact else assign_split(rows, split)
+    return split_rows(stage(training_set(flows, features, series), "training"), split)
+
+
+def split_rows(rows: DataFrame, split: SplitOptions) -> DataFrame:
+    """Stored rows with their split, and the folds of the train part."""
+    if not split.exact:
+        return assign_fold(assign_split(rows, split), split)
+    return assign_stratified_fold(assign_stratified_split(rows, options=split), options=split, rows="split = 'train'")
 
 
 def train_on(rows: DataFrame, model: ModelOptions, split: SplitOptions) -> FittedModel:
@@ -58,10 +64,12 @@ def train(
     log_path: str | None = None,
     training_date: dt.date | None = None,
     model_name: str = "struggle",
+    run: str | None = None,
 ) -> tuple[FittedModel, DataFrame]:
     """Scan results to fitted model and its metrics; stores and logs them where paths are given.
 
-    The metrics are one row, computed here; tables staged on the way are deleted.
+    The metrics are one row, computed here; tables staged on the way are deleted. A ``run`` that is named is
+    stored and logged once, however often it is repeated.
     """
     spark = flows.sparkSession
     with staging(spark):
@@ -70,7 +78,8 @@ def train(
         scores = evaluate(fitted, rows, model.reference_compat)
         metrics = spark.createDataFrame(scores.collect(), scores.schema)
     if path:
-        save_model(fitted, spark, path)
+        save_model(fitted, spark, path, model, run)
     if log_path:
-        append_training_log(spark, log_path, model_name, training_date or dt.date.today(), metrics.first()["accuracy"])
+        trained_on = training_date or dt.date.today()
+        append_training_log(spark, log_path, model_name, trained_on, metrics.first()["accuracy"], run)
     return fitted, metrics

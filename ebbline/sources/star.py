@@ -45,8 +45,9 @@ def transactions(
     return readers.coerce_transactions(joined)
 
 
-def product_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(F.col("l_linestatus").alias("ProductCode"))
+def order_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A customer per order, each of which has a few transactions."""
+    return table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("CustomerID"))
 
 
 def profiles(spark: SparkSession, sf_dir: str, request: Request = None) -> DataFrame:

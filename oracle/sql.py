@@ -315,7 +315,7 @@ ordered AS (
 SELECT {_IDS}, Struggle_shifted,
        CASE WHEN place <= n - keep THEN 'test' ELSE 'train' END AS split
 FROM ordered JOIN quota ON y = Struggle_shifted""",
-    "fold_counts": f"""WITH {LABELLED}
+    "hashed_fold_counts": f"""WITH {LABELLED}
 SELECT CAST({_bucket(5, '42-fold')} AS INTEGER) AS fold, Struggle_shifted, count(*) AS rows
 FROM labelled GROUP BY 1, 2""",
     "confusion_counts": f"""WITH {LABELLED}
@@ -339,6 +339,21 @@ SELECT CustomerID, epoch_ms(CAST(Date AS TIMESTAMP)) AS Date, Struggle, Struggle
     "weekly_budget_reload": f"WITH {_WEEKLY_BUDGET}",
 }
 
+# Rows of a label take the numbers after those of the labels before; a row's fold is its place's turn.
+STATEMENTS["stratified_folds"] = f"""WITH parted AS ({STATEMENTS["stratified_split"]}),
+train AS (SELECT *, row_number() OVER (PARTITION BY Struggle_shifted ORDER BY md5({_KEY.format('42-fold')})) AS place
+          FROM parted WHERE split = 'train'),
+sizes AS (SELECT Struggle_shifted AS y, count(*) AS n FROM train GROUP BY 1),
+starts AS (SELECT y, n, sum(n) OVER (ORDER BY y) - n AS start FROM sizes),
+folds AS (
+  SELECT y, fold, sum(of_fold) OVER (PARTITION BY y ORDER BY fold) AS last FROM (
+    SELECT y, fold, (start + n - fold + 4) // 5 - (start - fold + 4) // 5 AS of_fold FROM starts, range(5) AS f(fold))
+)
+SELECT {_IDS}, Struggle_shifted, CAST(min(fold) AS INTEGER) AS fold
+FROM train JOIN folds ON y = Struggle_shifted AND place <= last GROUP BY ALL"""
+STATEMENTS["fold_counts"] = f"""
+SELECT fold, Struggle_shifted, count(*) AS rows FROM ({STATEMENTS["stratified_folds"]}) GROUP BY 1, 2"""
+
 # Tables that are stored and scanned hold what they were made from.
 STATEMENTS |= {
     "stored_transactions_for_customers": STATEMENTS["transactions_for_customers"],

@@ -2,6 +2,7 @@
 
 import math
 import random
+import struct
 
 import numpy as np
 import pytest
@@ -12,6 +13,7 @@ from ebbline.functions.cells import filled
 from ebbline.operators import metrics, overrides, quantiles, split
 from ebbline.operators.scaling import RobustScale
 from ebbline.options import SplitOptions
+from ebbline.session import stage
 
 PROBABILITIES = (0.25, 0.5, 0.75)
 
@@ -29,11 +31,11 @@ def columns_of(n, seed=0):
     }
 
 
-@pytest.mark.parametrize("ordered_rows", [quantiles.ORDERED_ROWS, 2, 50])
+@pytest.mark.parametrize("counted_rows", [quantiles.COUNTED_ROWS, 0, 50])
 @pytest.mark.parametrize("n", [1, 2, 3, 10, 201, 30000])
-def test_quantiles_are_exact(spark, monkeypatch, n, ordered_rows):
-    """With small bounds the narrowing runs over several rounds."""
-    monkeypatch.setattr(quantiles, "ORDERED_ROWS", ordered_rows)
+def test_quantiles_are_exact(spark, monkeypatch, n, counted_rows):
+    """With small bounds all passes are taken."""
+    monkeypatch.setattr(quantiles, "COUNTED_ROWS", counted_rows)
     data = columns_of(n, seed=n)
     df = spark.createDataFrame(list(zip(*data.values())), ", ".join(f"{c} double" for c in data)).repartition(5)
     found = quantiles.exact_quantiles(df, list(data), PROBABILITIES)
@@ -46,26 +48,55 @@ def test_quantiles_are_exact(spark, monkeypatch, n, ordered_rows):
                 assert found[column, p] is None
 
 
-def test_a_missed_range_is_widened(spark, monkeypatch):
-    """With a sketch this coarse proposals miss; the answer is exact all the same."""
-    monkeypatch.setattr(quantiles, "ORDERED_ROWS", 100)
-    monkeypatch.setattr(quantiles, "ACCURACY", 3)
-    values = columns_of(20000)["skewed"]
-    df = spark.createDataFrame([(v,) for v in values], "skewed double").repartition(7)
-    found = quantiles.exact_quantiles(df, ["skewed"], PROBABILITIES)
-    for p in PROBABILITIES:
-        assert found["skewed", p] == pytest.approx(np.percentile(values, p * 100), rel=1e-12)
+def passes(monkeypatch, df, columns, values=PROBABILITIES):
+    """Exact quantiles, the number of passes taken and the most rows that one of them gave the driver."""
+    seen, count = [], quantiles._count
 
+    def counted(*args):
+        parts = count(*args)
+        seen.append(sum(map(len, parts.values())))
+        return parts
 
-def test_narrowing_leaves_little_to_order(spark, monkeypatch):
-    monkeypatch.setattr(quantiles, "ORDERED_ROWS", 1000)
-    left = []
-    ordering = quantiles._neighbours
-    monkeypatch.setattr(quantiles, "_neighbours", lambda df, wanted: left.extend(wanted) or ordering(df, wanted))
-    df = spark.range(500_000).selectExpr("CAST(xxhash64(id) AS DOUBLE) AS x", "CAST(id % 3 AS DOUBLE) AS y")
-    quantiles.exact_quantiles(df, ["x", "y"], PROBABILITIES)
-    assert all(want.rows <= 1000 for want in left if want.column == "x")
-    assert all(want.low == want.high for want in left if want.column == "y")
+    monkeypatch.setattr(quantiles, "_count", counted)
+    found = quantiles.exact_quantiles(df, columns, values)
+    return found, len(seen), max(seen)
+
+
+def test_all_columns_share_a_fixed_number_of_passes(spark, monkeypatch):
+    cells = [f"CAST(xxhash64(id, {i}) AS DOUBLE) * pow(2D, {40 * i - 300}) AS x{i}" for i in range(18)]
+    df = stage(spark.range(60_000).selectExpr(*cells), "doubles")
+    monkeypatch.setattr(quantiles, "COUNTED_ROWS", 0)
+    names = [f"x{i}" for i in range(18)]
+    found, count, rows = passes(monkeypatch, df, names)
+    assert count == len(quantiles.SHIFTS) == 5
+    assert rows <= 18 * 6 * 8192
+    values = df.toPandas()
+    for name in names:
+        for p in PROBABILITIES:
+            assert found[name, p] == pytest.approx(np.percentile(values[name], p * 100), rel=1e-14)
+
+
+def test_few_rows_take_two_passes(spark, monkeypatch):
+    df = spark.range(1000).selectExpr("CAST(7 AS DOUBLE) AS x", "CAST(id * id AS DOUBLE) AS y")
+    found, count, _ = passes(monkeypatch, df, ["x", "y"])
+    assert found["x", 0.25] == 7.0 and found["y", 0.5] == (499**2 + 500**2) / 2 and count == 2
+
+
+def test_codes_keep_the_order_of_doubles(spark):
+    rng = random.Random(4)
+    tiny, most = 5e-324, 1.7976931348623157e308
+    values = {0.0, tiny, -tiny, 3 * tiny, 2.0**-1022, 2.0**-1022 - tiny, 2.0**-1023, most, -most, 1.0, -1.0}
+    for e in range(-1074, 1024, 3):
+        power = math.ldexp(1.0, e)
+        values |= {power, math.nextafter(power, 0), math.nextafter(power, math.inf), -power * (1 + rng.random() / 2)}
+    values |= {struct.unpack("<d", struct.pack("<Q", rng.getrandbits(64)))[0] for _ in range(3000)}
+    values = sorted(v for v in values if math.isfinite(v))
+    rows = quantiles._with_code(spark.createDataFrame([(v,) for v in values], "value double")).collect()
+    bits = lambda v: struct.unpack("<q", struct.pack("<d", abs(v)))[0]
+    for row in rows:
+        assert row["code"] == (-bits(row["value"]) if row["value"] < 0 else bits(row["value"]))
+        assert quantiles._value(row["code"]) == row["value"]
+    assert quantiles._with_code(spark.createDataFrame([(-0.0,)], "value double")).first()["code"] == 0
 
 
 def test_scaling(spark):
@@ -90,29 +121,10 @@ def test_scaling_undone_gives_the_input(spark):
     assert sorted(found) == pytest.approx(sorted(values))
 
 
-def passes(monkeypatch, df, values):
-    """Exact quantiles of column x, and the number of passes taken besides the last ordering."""
-    seen = []
-    aggregate = type(df).agg
-    monkeypatch.setattr(type(df), "agg", lambda self, *a, **k: (seen.append(1), aggregate(self, *a, **k))[1])
-    found = quantiles.exact_quantiles(df, ["x"], values)
-    monkeypatch.undo()
-    return found, len(seen)
-
-
-def test_a_constant_column_takes_one_pass(spark, monkeypatch):
-    monkeypatch.setattr(quantiles, "ORDERED_ROWS", 10)
-    df = spark.range(1000).selectExpr("CAST(7 AS DOUBLE) AS x")
-    found, count = passes(pytest.MonkeyPatch(), df, (0.25, 0.5))
-    assert found == {("x", 0.25): 7.0, ("x", 0.5): 7.0} and count == 1
-
-
 @pytest.mark.parametrize("spread", ["id % 2 * 1e9", "CASE WHEN id < 499 THEN -1e300 WHEN id > 500 THEN 1e300 ELSE id END", "id * id"])
-def test_halving_finds_what_sketches_do_not(spark, monkeypatch, spread):
-    monkeypatch.setattr(quantiles, "ORDERED_ROWS", 2)
+def test_far_and_tied_values(spark, monkeypatch, spread):
+    monkeypatch.setattr(quantiles, "COUNTED_ROWS", 2)
     df = spark.range(1000).selectExpr(f"CAST({spread} AS DOUBLE) AS x")
-    # Every quantile starts where sketches have nothing to propose.
-    monkeypatch.setattr(quantiles._Wanted, "stuck", True)
     values = sorted(r[0] for r in df.collect())
     found = quantiles.exact_quantiles(df, ["x"], (0.0, 0.25, 0.5, 0.9, 1.0))
     for p in (0.0, 0.25, 0.5, 0.9, 1.0):
@@ -205,6 +217,48 @@ def test_folds_cover_every_row_once(keyed):
     assert sum(r["count"] for r in folds) == 20000 and all(abs(r["count"] - 4000) < 300 for r in folds)
 
 
+@pytest.mark.parametrize("counted", [1, 4096])
+def test_stratified_folds_differ_by_one_row_at_most(keyed, monkeypatch, counted):
+    monkeypatch.setattr(split, "COUNTED_HASHES", counted)
+    rows = split.assign_stratified_split(keyed)
+    folded = split.assign_stratified_fold(rows, rows="split = 'train'")
+    assert folded.where("split = 'test' AND fold IS NOT NULL").isEmpty()
+    train = folded.where("split = 'train'")
+    by_label = {}
+    for r in train.groupBy(schemas.TARGET, "fold").count().collect():
+        by_label.setdefault(r[schemas.TARGET], {})[r["fold"]] = r["count"]
+    whole = [sum(counts[f] for counts in by_label.values()) for f in range(5)]
+    for counts in [*({f: n for f, n in c.items()} for c in by_label.values()), dict(enumerate(whole))]:
+        assert sorted(counts) == [0, 1, 2, 3, 4] and max(counts.values()) - min(counts.values()) <= 1
+    assert sum(whole) == 16000
+    # Every row by itself, in the order of its hash.
+    ranked = train.select(schemas.TARGET, "fold", split._digest("42-fold").alias("d")).toPandas()
+    for _, own in ranked.groupby(schemas.TARGET):
+        assert own.sort_values("d")["fold"].is_monotonic_increasing
+    text = train._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in text and "Join" not in text
+
+
+def test_folds_of_rare_labels_copies_and_nothing(spark, keyed):
+    few = keyed.limit(3).withColumn(schemas.TARGET, F.col("CustomerID").cast("int"))
+    assert sorted(r["fold"] for r in split.assign_stratified_fold(few).collect()) == [0, 1, 2]
+    none = keyed.limit(11).withColumn(schemas.TARGET, F.lit(None).cast("int"))
+    assert sorted(r["count"] for r in split.assign_stratified_fold(none).groupBy("fold").count().collect()) == [2, 2, 2, 2, 3]
+    copies = keyed.limit(40).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(6))))
+    by_key = split.assign_stratified_fold(copies).groupBy("CustomerID").agg(F.countDistinct("fold").alias("n"))
+    assert by_key.where("n <> 1").isEmpty()
+    assert split.assign_stratified_fold(keyed.limit(0)).isEmpty()
+
+
+@pytest.mark.parametrize("counts", [{0: 95, 1: 5}, {0: 7, 1: 7, 2: 7}, {0: 1}, {None: 4, 0: 3, 1: 0}])
+def test_fold_quota(counts):
+    quota = split.fold_quota(counts, 5)
+    sizes = {k: [b - a for a, b in zip([0, *ends], [*ends, counts[k]])] for k, ends in quota.items()}
+    assert all(max(own) - min(own) <= 1 and sum(own) == counts[k] for k, own in sizes.items())
+    whole = [sum(own[f] for own in sizes.values()) for f in range(5)]
+    assert max(whole) - min(whole) <= 1
+
+
 @pytest.mark.parametrize(
     "pairs, accuracy, f1",
     [

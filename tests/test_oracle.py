@@ -1,6 +1,7 @@
 """Every registered query with SQL, value for value, on the smallest tables."""
 
 import dataclasses
+import sys
 
 import duckdb
 import pandas as pd
@@ -41,6 +42,16 @@ def test_statements_belong_to_queries():
     assert own == set(STATEMENTS)
 
 
+@pytest.mark.parametrize("package", ["ahocorasick", "regex", "public_tokenizers", "xxhash", "ebbline.llm", "corpus_pipeline"])
+def test_queries_do_not_need_the_packages_of_text_operators(monkeypatch, package):
+    for name in [*sys.modules]:
+        if name.startswith("ebbline.llm") or name == "corpus_pipeline":
+            monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, package, None)
+    with pytest.warns(UserWarning, match="not registered"):
+        assert set(registry.queries()) == set(registry.oracle_sql()) == set(STATEMENTS)
+
+
 def test_entry(spark):
     found = registry.entry(spark)
     assert (found.count(), found.select("CustomerID").distinct().count()) == (569, 33)

@@ -100,22 +100,21 @@ def test_predictions_are_rebalanced_by_date(spark, sf_dir):
     assert re.search(r"Exchange hashpartitioning\(Date#\d+, \d+\), REBALANCE_PARTITIONS_BY_COL", text)
 
 
-def test_blocks_move_the_monthly_rows_once(spark, sf_dir):
-    """Balance and eligibility read one shuffle of the stored monthly rows; per customer alone only
-    block totals and block answers are grouped."""
-    df = registry.labelled_series_in_blocks(spark, sf_dir)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        df.collect()
-        final = plan(df)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    lines = final.split("== Initial Plan ==")[0].splitlines()
-    assert any("ReusedExchange" in line for line in lines)
-    text = "\n".join(line for line in lines if "ReusedExchange" not in line)
+def test_hot_customers_move_the_monthly_rows_once(spark, sf_dir):
+    """All rows are grouped once, by customer and block, and sorted once; what hot customers' blocks tell each
+    other is broadcast."""
+    text = plan(registry.labelled_series_in_blocks(spark, sf_dir))
     exchanges = [e for e in hash_exchanges(text) if re.fullmatch(r"CustomerID#\d+, ProductBlock#\d+", e)]
-    # The monthly rows, the block totals, the openings and the kept blocks.
-    assert len(exchanges) <= 4
+    # The rows, the hot customers' answers and their openings, twice as these go into both.
+    assert len(exchanges) == 4
+    # Only hot customers' rows are read again.
+    assert len(re.findall(r"DataFilters: \[[^\n]*NOT \(ProductBlock#\d+ = -1\)", text)) == 3
+    assert "SortMergeJoin" not in text
+
+
+def test_features_of_hot_customers_are_copied_to_their_blocks(spark, sf_dir):
+    text = plan(registry.training_set_in_blocks(spark, sf_dir))
+    assert "Generate explode" in text and "distinct" not in text.lower()
 
 
 def test_a_request_restricts_orders_before_the_join(spark, sf_dir, monkeypatch):

@@ -101,12 +101,13 @@ def test_blocks_give_the_same_series(transactions):
     df = named_nulls(transactions(random_rows(3, customers=6, products=30, n=4000)))
     plain = SeriesOptions(positive_months=2)
     whole = series.labelled_series(df, plain)
-    for per_block in (1, 5, 12):
-        splits = blocks.choose_splits(df, per_block=per_block)
-        assert splits
-        cut = series.labelled_series(df, SeriesOptions(positive_months=2, product_splits=splits))
+    # To single products, to a few blocks, only the larger customers, in two.
+    for hot_rows, block_rows in ((1, 1), (1, 100), (560, 200), (1, 400)):
+        cuts = blocks.find_cuts(df, hot_rows=hot_rows, block_rows=block_rows)
+        assert cuts
+        cut = series.labelled_series(df, SeriesOptions(positive_months=2, cuts=cuts))
         assert collected(cut) == collected(whole)
-    latest = series.forecast_series(df, SeriesOptions(positive_months=2, product_splits=splits))
+    latest = series.forecast_series(df, SeriesOptions(positive_months=2, cuts=cuts))
     columns = latest.columns
     assert sorted(map(tuple, latest.collect())) == sorted(
         map(tuple, series.forecast_series(df, plain).select(columns).collect())
@@ -163,7 +164,7 @@ def test_null_amounts_add_nothing_and_undated_rows_are_left_out(transactions):
 def test_rows_without_keys_are_left_out_with_and_without_blocks(transactions):
     rows = [(c, p, 5, f"2023-{m:02d}-10", "C") for m in (1, 2) for c in ("1", None) for p in ("A", "B", None)]
     whole = series.labelled_series(transactions(rows), SeriesOptions(positive_months=2))
-    cut = series.labelled_series(transactions(rows), SeriesOptions(positive_months=2, product_splits=("B",)))
+    cut = series.labelled_series(transactions(rows), SeriesOptions(positive_months=2, cuts=(("1", ("B",)),)))
     assert collected(whole) == collected(cut) and {r[:2] for r in collected(whole)} == {("1", "A"), ("1", "B")}
 
 
