@@ -27,7 +27,7 @@ from ebbline.operators.scaling import RobustScale  # noqa: E402
 from ebbline.options import ModelOptions, SeriesOptions, SplitOptions  # noqa: E402
 from ebbline.plans import datasets, model, scoring, training  # noqa: E402
 from ebbline.session import shared_folder, ship_package, stage  # noqa: E402
-from ebbline.sources import readers, sinks, star  # noqa: E402
+from ebbline.sources import buckets, readers, sinks, star  # noqa: E402
 from oracle.sql import STATEMENTS  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -352,6 +352,23 @@ def stored_transactions_for_customers(spark, sf_dir):
     return readers.scan_transactions(spark, source, _request(spark, sf_dir))
 
 
+def _bucketed(spark, sf_dir) -> str:
+    """Daily flows stored by customer."""
+    path = _new_folder(spark, "flows")
+    buckets.store_flows(star.transactions(spark, sf_dir), path, buckets=16)
+    return path
+
+
+def bucketed_labelled_series(spark, sf_dir):
+    """Series from flows that are stored by customer: no shuffle."""
+    return series.labelled_series(*buckets.open_series(spark, _bucketed(spark, sf_dir)))
+
+
+def bucketed_flows_for_customers(spark, sf_dir):
+    """Flows of requested customers, from their buckets."""
+    return buckets.open_series(spark, _bucketed(spark, sf_dir), _request(spark, sf_dir))[0]
+
+
 def stored_features_for_customers(spark, sf_dir):
     """A stored feature table, scanned for requested customers."""
     source = _stored(spark, _features(spark, sf_dir), "features")
@@ -565,6 +582,8 @@ REGISTERED: list[Query] = [
     weekly_budget,
     weekly_budget_reload,
     stored_transactions_for_customers,
+    bucketed_labelled_series,
+    bucketed_flows_for_customers,
     stored_features_for_customers,
     stored_trailing_months,
     stored_budgets_in_window,

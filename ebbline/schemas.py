@@ -24,6 +24,16 @@ TRANSACTIONS = _struct(
     ("TransType", T.StringType()),
 )
 
+DAILY_FLOWS = _struct(
+    ("CustomerID", T.StringType()),
+    ("ProductCode", T.StringType()),
+    ("Day", T.DateType()),
+    ("CreditSum", T.DecimalType(28, 2)),
+    ("DebitSum", T.DecimalType(28, 2)),
+    ("CreditCount", T.LongType()),
+    ("DebitCount", T.LongType()),
+)
+
 # The column names of the customer feature table, in its order.
 FEATURE_COLUMNS = [
     "CustomerID",

@@ -358,6 +358,8 @@ SELECT fold, Struggle_shifted, count(*) AS rows FROM ({STATEMENTS["stratified_fo
 STATEMENTS |= {
     "stored_transactions_for_customers": STATEMENTS["transactions_for_customers"],
     "stored_features_for_customers": STATEMENTS["features_for_customers"],
+    "bucketed_labelled_series": STATEMENTS["labelled_series"],
+    "bucketed_flows_for_customers": f"SELECT * FROM ({STATEMENTS['daily_flows']}) WHERE CustomerID IN {_MACHINERY}",
     "stored_trailing_months": STATEMENTS["trailing_three_months"],
     "stored_budgets_in_window": STATEMENTS["budgets_active_in_window"],
     "training_set_in_blocks": STATEMENTS["training_set"],
