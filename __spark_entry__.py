@@ -7,6 +7,7 @@ it, and the predictions of a target that can be learned exactly.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import sys
 import uuid
@@ -477,6 +478,21 @@ def segment_predictions(spark, sf_dir):
     return found.withColumnRenamed("Struggle", "predicted")
 
 
+def segment_predictions_by_drawn_columns(spark, sf_dir):
+    """The same with columns drawn per tree and second-order leaves; one depth and 20 trees learn this target."""
+
+    def train():
+        rows = _trained_on_segments(spark, sf_dir).daily
+        options = dataclasses.replace(MODEL, columns_per_tree=True, max_depths=(4,), max_iter=min(20, MODEL.max_iter))
+        fitted, path = training.train_on(training.split_rows(rows, SPLIT), options, SPLIT), _new_folder(spark, "model")
+        model.save_model(fitted, spark, path, options)
+        return Trained(rows, rows, path, fitted, None)
+
+    trained = _once(spark, sf_dir, "segments by drawn columns", train)
+    found = scoring.predict(trained.daily, model.load_model(spark, trained.path).pipeline)
+    return found.withColumnRenamed("Struggle", "predicted")
+
+
 def segment_grid_auc(spark, sf_dir):
     """Mean AUC over five folds for each depth of the grid, on the target that can be learned exactly."""
     fitted = _trained_on_segments(spark, sf_dir).fitted
@@ -591,6 +607,7 @@ REGISTERED: list[Query] = [
     detected_types_monthly_flows,
     training_log_roundtrip,
     segment_predictions,
+    segment_predictions_by_drawn_columns,
     segment_grid_auc,
     stored_model_agrees,
     model_predictions,

@@ -53,5 +53,10 @@ class ModelOptions:
     max_bins: int = 256
     seed: int = 27
     parallelism: int = 2
+    # True: columns are drawn once per tree and leaves get second-order values (plans.boosting), at several jobs a
+    # tree. False: MLlib's own boosting, which draws columns at every node.
+    columns_per_tree: bool = False
+    # Added to the curvature of a leaf, with columns_per_tree.
+    leaf_penalty: float = 1.0
     # True: fit the scaler on all rows, train on raw values and score scaled ones.
     reference_compat: bool = False

@@ -18,7 +18,8 @@ from ebbline.functions.cells import filled
 from ebbline.operators.scaling import RobustScale
 from ebbline.options import ModelOptions, SplitOptions
 from ebbline.schemas import MODEL_FEATURES, TARGET
-from ebbline.session import shared_folder
+from ebbline.plans import boosting
+from ebbline.session import shared_folder, stage
 from ebbline.sources import commits
 
 VECTOR = "features"
@@ -50,6 +51,7 @@ def assembler(features: Sequence[str] = MODEL_FEATURES) -> VectorAssembler:
 
 
 def boosted_trees(options: ModelOptions) -> GBTClassifier:
+    """MLlib's booster. It draws ``feature_fraction`` of the columns anew at every node, not once for a tree."""
     return GBTClassifier(
         featuresCol=VECTOR,
         labelCol=TARGET,
@@ -90,6 +92,8 @@ def fit_model(
     fitted directly.
     """
     prepare = prepare_stage(None if options.reference_compat else scale)
+    if options.columns_per_tree:
+        return _fit_boosted(prepare.transform(train), scale, options, split)
     vectors = assembler().transform(prepare.transform(train)).select(VECTOR, TARGET, "fold")
     if len(options.max_depths) == 1:
         shared_folder(train.sparkSession)
@@ -104,6 +108,23 @@ def fit_model(
     )
 
 
+def _fit_boosted(prepared: DataFrame, scale: RobustScale, options: ModelOptions, split: SplitOptions) -> FittedModel:
+    """The same with columns drawn per tree."""
+    columns = [f"x_{name}" for name in MODEL_FEATURES]
+    rows = stage(prepared.select(*columns, F.col(TARGET).alias("label"), "fold"), "prepared")
+    if len(options.max_depths) == 1:
+        scores, depth = [], options.max_depths[0]
+        best = boosting.boost(rows, columns, depth, options)
+    else:
+        scores, best, depth = boosting.grid_search(rows, columns, options, split.folds)
+    return FittedModel(
+        pipeline=PipelineModel(stages=[prepare_stage(scale), best.stage()]),
+        scale=scale,
+        depth=depth,
+        auc_by_depth=tuple((depth, float(score)) for depth, score in zip(options.max_depths, scores)),
+    )
+
+
 @dataclass(frozen=True)
 class StoredModel:
     """A model as read back: what scores, the statistics it scales by, and how it was trained."""

@@ -47,7 +47,7 @@ def evaluate(model: FittedModel, rows: DataFrame, compat: bool = False) -> DataF
     """
     test = rows.where("split = 'test'")
     if compat:
-        raw = assembler().transform(prepare_stage(None).transform(test))
+        raw = assembler().transform(prepare_stage(None).transform(test))  # boosting reads its columns as they are
         scored = model.pipeline.stages[-1].transform(raw)
     else:
         scored = model.pipeline.transform(test)

@@ -378,6 +378,7 @@ scored AS (
 
 STATEMENTS |= {
     "segment_predictions": f"WITH {TRAIN_ROWS} SELECT {_IDS}, CAST(SegmentID > 3 AS INTEGER) AS predicted FROM train",
+    "segment_predictions_by_drawn_columns": f"WITH {TRAIN_ROWS} SELECT {_IDS}, CAST(SegmentID > 3 AS INTEGER) AS predicted FROM train",
     "segment_grid_auc": "SELECT depth::INTEGER AS max_depth, 1.0::DOUBLE AS mean_auc FROM (VALUES (4), (5)) AS d(depth)",
     "stored_model_agrees": f"{_TO_SCORE} SELECT {_IDS}, TRUE AS agrees FROM scored",
     "model_predictions": f"{_TO_SCORE} SELECT {_IDS}, StruggleWeek, FundingAmount, TRUE AS is_label FROM scored",
