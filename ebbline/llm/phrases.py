@@ -10,9 +10,11 @@ texts that keeps 64-bit hashes, not phrases:
 3. the phrases behind the hashes that reached the threshold are gathered.
 
 Then the exact count. Candidates are cut by hash into blocks of at most ``TRIE_PHRASES`` phrases or so and
-``TRIE_BYTES`` of text. A block becomes a trie over its words' numbers in two arrays, broadcast by itself: from
-state s the digit d leads to base[s] + d if check holds s there. In every task numpy moves all positions of a text
-on at the same time, level by level; the states that accept are counted, and the tasks' counts are summed.
+``TRIE_BYTES`` of text. A block becomes a trie over its words' numbers in two arrays: from state s the digit d
+leads to base[s] + d if check holds s there. ``TRIES`` of them are broadcast at a time, so that what a task holds
+is bounded and a pass over the texts is made for every one and a half million candidates. In every task numpy moves
+all positions of a text on at the same time, level by level; the states that accept are counted, and the tasks'
+counts are summed.
 
 Counts are per language. Scores are exact decimals. A phrase inside a longer candidate that is at least half as
 frequent goes. The best of each language are found in parts first, so that no task ranks all of them.
@@ -45,11 +47,14 @@ TO_LINES = bytes(10 if value in ENDS else value for value in range(256))
 LONGEST = 3
 # Bits that tell the tasks which runs are frequent, a power of two.
 FILTER_BITS = 1 << 25
-# A block of candidates: so many phrases, and so many bytes of text, on average.
-TRIE_PHRASES = 1_000_000
-TRIE_BYTES = 32_000_000
+# A block of candidates: so many phrases and bytes of text, on average; and blocks that share a pass over the texts.
+TRIE_PHRASES = 250_000
+TRIE_BYTES = 8_000_000
+TRIES = 6
+# Phrases whose counts travel in one row.
+CHUNK = 8_192
 # Bytes of text that a task splits at a time.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 6_000_000
 # Parts of a language whose best are found before they meet.
 PARTS = 64
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -225,63 +230,63 @@ class Trie:
     phrases: np.ndarray
 
     def numbers(self, part: Tokens) -> np.ndarray:
-        """The trie's number of the word at every position, 0 where it has none."""
+        """The trie's number of every distinct word, 0 where it has none, and last for what ends a piece."""
         if part.lang not in self.words:
-            return np.zeros(len(part.at), np.int64)
+            return np.zeros(len(part.words) + 1, np.int64)
         first, known = self.words[part.lang]
         found = pc.index_in(part.words, known).fill_null(-first).to_numpy(zero_copy_only=False)
-        return np.append(found.astype(np.int64) + first, 0)[part.at]
+        return np.append(found.astype(np.int64) + first, 0)
 
     def advance(self, state: np.ndarray, number: np.ndarray) -> np.ndarray:
         """The states that words lead to, -1 where there is none."""
         end = np.full(len(state), -1, np.int64)
         at = np.flatnonzero((state >= 0) & (number > 0))
         state, number = state[at], number[at]
-        for digit in reversed(range(DIGITS)):
+        for digit in range(DIGITS):
             slot = self.base[state] + (number >> 8 * digit & 255)
             moved = self.check[slot] == state
             at, state, number = at[moved], slot[moved], number[moved]
         end[at] = state
         return end
 
-    def count(self, part: Tokens) -> np.ndarray:
-        """How often each phrase occurs, overlaps included."""
-        number = self.numbers(part)
+    def count(self, part: Tokens, start: np.ndarray) -> np.ndarray:
+        """How often each phrase occurs, overlaps included; they begin at some of the positions ``start``."""
+        numbers, at = self.numbers(part), part.at
         total = np.zeros(len(self.phrases), np.int64)
         # All positions take their first word at once; those that are still in the trie then their next.
-        start = np.flatnonzero(number)
-        state = self.first[number[start]]
+        state = self.first[numbers[at[start]]]
         for step in range(1, LONGEST):
-            alive = (state >= 0) & (start + step < len(number))
+            alive = (state >= 0) & (start + step < len(at))
             start = start[alive]
-            state = self.advance(state[alive], number[start + step])
+            state = self.advance(state[alive], numbers[at[start + step]])
             ended = self.accept[state[state >= 0]]
             total += np.bincount(ended[ended >= 0], minlength=len(total))
         return total
 
 
-def build_trie(phrases: list[tuple[int, str, str]]) -> Trie:
-    """A trie of (id, lang, phrase) rows."""
-    split = [(lang, phrase.split(" ")) for _, lang, phrase in phrases]
-    langs: dict[str, set[str]] = {}
-    for lang, words in split:
-        langs.setdefault(lang, set()).update(words)
-    known, number_of, most = {}, {}, 1
-    for lang in sorted(langs):
-        words = sorted(langs[lang])
-        known[lang] = most, pa.array([word.encode() for word in words], pa.binary())
-        number_of[lang] = {word: most + i for i, word in enumerate(words)}
-        most += len(words)
-    runs = np.zeros((len(split), LONGEST), np.int64)
-    for row, (lang, words) in enumerate(split):
-        runs[row, : len(words)] = [number_of[lang][word] for word in words]
+def build_trie(phrases: pa.Table) -> Trie:
+    """A trie of the rows (id, lang, phrase). No object is made per phrase, for the driver builds it."""
+    lang = phrases.column("lang").combine_chunks().dictionary_encode()
+    split = pc.split_pattern(phrases.column("phrase").combine_chunks(), " ")
+    sizes = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
+    word = split.flatten().dictionary_encode()
+    spoken = np.repeat(lang.indices.to_numpy(zero_copy_only=False).astype(np.int64), sizes)
+    # Words are numbered by language, so that a word of two languages is two.
+    codes, number = np.unique(spoken * len(word.dictionary) + word.indices.to_numpy(zero_copy_only=False), return_inverse=True)
+    most = len(codes) + 1
+    known = {}
+    for code, name in enumerate(lang.dictionary.to_pylist()):
+        start, end = np.searchsorted(codes, [code * len(word.dictionary), (code + 1) * len(word.dictionary)])
+        known[name] = int(start) + 1, word.dictionary.take(pa.array(codes[start:end] % len(word.dictionary))).cast(pa.binary())
+    runs = np.zeros((len(sizes), LONGEST), np.int64)
+    runs[np.repeat(np.arange(len(sizes)), sizes), _within_group(sizes)] = number + 1
 
     # A node is a node before it and a digit; the nodes of one level are numbered after those before.
     parents, digits, nodes = [], [], 1
-    node, last = np.zeros(len(split), np.int64), np.zeros(len(split), np.int64)
+    node, last = np.zeros(len(runs), np.int64), np.zeros(len(runs), np.int64)
     for step in range(LONGEST):
         rows = np.flatnonzero(runs[:, step])
-        for digit in reversed(range(DIGITS)):
+        for digit in range(DIGITS):
             codes, inverse = np.unique(node[rows] << 8 | runs[rows, step] >> 8 * digit & 255, return_inverse=True)
             parents.append(codes >> 8)
             digits.append(codes & 255)
@@ -289,9 +294,9 @@ def build_trie(phrases: list[tuple[int, str, str]]) -> Trie:
             nodes += len(codes)
         last[rows] = node[rows]
     slot, base, check = place(np.concatenate(parents), np.concatenate(digits))
-    accept = np.full(len(check), -1, np.int64)
-    accept[slot[last]] = np.arange(len(split))
-    ids = np.array([number for number, _, _ in phrases], np.int64)
+    accept = np.full(len(check), -1, np.int32)
+    accept[slot[last]] = np.arange(len(runs))
+    ids = phrases.column("id").to_numpy()
     trie = Trie(known, base, check, np.zeros(0, np.int64), accept, ids)
     everything = np.arange(most)
     return replace(trie, first=trie.advance(np.zeros(most, np.int64), everything))
@@ -376,40 +381,76 @@ def _within_group(counts: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts)
 
 
-def _counted(docs: DataFrame, trie: Broadcast) -> DataFrame:
-    """(id, f) of the trie's phrases in all texts."""
+def _counted(docs: DataFrame, tries: list[Broadcast], pairs: Broadcast) -> DataFrame:
+    """(id, f) of the tries' phrases in all texts; ``pairs`` marks the runs of two words that begin one.
+
+    A task hands on its counts in chunks of ``CHUNK`` phrases, which are added up chunk by chunk.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(trie.value.phrases), np.int64)
+        totals = [np.zeros(len(trie.value.phrases), np.int64) for trie in tries]
         for whole in batches:
             for batch in slices(whole, "text", SLICE_BYTES):
                 for part in tokens(batch):
-                    total += trie.value.count(part)
-        found = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(trie.value.phrases[found]), pa.array(total[found])], ["id", "f"])
-
-    return docs.mapInArrow(run, "id long, f long").groupBy("id").agg(F.sum("f").alias("f"))
-
-
-def count_phrases(docs: DataFrame, candidates: DataFrame) -> DataFrame:
-    """(lang, phrase, size, f): exact counts of the candidates, a block of them at a time."""
+                    if not len(part.at):
+                        continue
+                    marked = _held(pairs.value, run_hashes(word_hashes(part), part.at, 2))
+                    start = np.flatnonzero(marked & _inside(part.at, 2))
+                    for trie, total in zip(tries, totals):
+                        total += trie.value.count(part, start)
+        for number, total in enumerate(totals):
+            for chunk, first in enumerate(range(0, len(total), CHUNK)):
+                counts = total[first : first + CHUNK]
+                if counts.any():
+                    columns = [pa.array([number], pa.int32()), pa.array([chunk], pa.int32()), pa.array([counts.tobytes()])]
+                    yield pa.RecordBatch.from_arrays(columns, ["trie", "chunk", "counts"])
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, total = None, None
+        for batch in batches:
+            for trie, chunk, counts in zip(*[column.to_pylist() for column in batch.columns]):
+                if here != (trie, chunk):
+                    if here:
+                        yield named(*here, total)
+                    here, total = (trie, chunk), 0
+                total = total + np.frombuffer(counts, np.int64)
+        if here:
+            yield named(*here, total)
+
+    def named(trie: int, chunk: int, total: np.ndarray) -> pa.RecordBatch:
+        ids = tries[trie].value.phrases[chunk * CHUNK : (chunk + 1) * CHUNK]
+        return pa.RecordBatch.from_arrays([pa.array(ids[total > 0]), pa.array(total[total > 0])], ["id", "f"])
+
+    parts = docs.mapInArrow(run, "trie int, chunk int, counts binary").repartition("trie", "chunk")
+    return parts.sortWithinPartitions("trie", "chunk").mapInArrow(added, "id long, f long")
+
+
+def count_phrases(docs: DataFrame, candidates: DataFrame, pairs: np.ndarray) -> DataFrame:
+    """(lang, phrase, size, f): exact counts of the candidates, ``TRIES`` blocks of them in a pass.
+
+    ``pairs`` marks the hashes of the runs of two words that all candidates begin with.
+    """
+    spark = docs.sparkSession
     size = F.octet_length("phrase") + F.octet_length("lang")
     rows, length = candidates.agg(F.count(F.lit(1)), F.sum(size.cast("long"))).first()
-    blocks = max(1, -(-rows // TRIE_PHRASES), -(-(length or 0) // TRIE_BYTES))
-    block = F.pmod(F.xxhash64("lang", "phrase", F.lit(7)), F.lit(blocks))
+    blocks = max(-(-rows // TRIE_PHRASES), -(-(length or 0) // TRIE_BYTES))
+    block = F.pmod(F.xxhash64("lang", "phrase", F.lit(7)), F.lit(max(1, blocks)))
     numbered = stage(
         candidates.select(F.monotonically_increasing_id().alias("id"), "lang", "phrase", "size", block.alias("block")),
         "phrase-candidates",
     )
-    counted = docs.sparkSession.createDataFrame([], "id long, f long")
-    for number in range(blocks):
-        # Phrases are distinct, so that hashes deal them out evenly.
-        rows = numbered.where(F.col("block") == number).select("id", "lang", "phrase").toArrow()
-        if rows.num_rows:
-            trie = build_trie(list(zip(*[column.to_pylist() for column in rows.columns])))
-            sent = docs.sparkSession.sparkContext.broadcast(trie)
-            counted = counted.unionByName(stage(_counted(docs, sent), "phrase-counts"))
-            sent.destroy()
+    counted, marks = spark.createDataFrame([], "id long, f long"), spark.sparkContext.broadcast(pairs)
+    for first in range(0, blocks, TRIES):
+        tries = []
+        for number in range(first, min(first + TRIES, blocks)):
+            # Phrases are distinct, so that hashes deal them out evenly. A block at a time is on the driver.
+            found = numbered.where(F.col("block") == number).select("id", "lang", "phrase").toArrow()
+            if found.num_rows:
+                tries.append(spark.sparkContext.broadcast(build_trie(found)))
+        counted = counted.unionByName(stage(_counted(docs, tries, marks), "phrase-counts"))
+        for trie in tries:
+            trie.destroy()
+    marks.destroy()
     return numbered.join(counted, "id").select("lang", "phrase", "size", "f")
 
 
@@ -427,7 +468,7 @@ def mine(docs: DataFrame, least: int = 10, text: str = "text", lang: str = "lang
         marked[size] = shorter = bitmap_of(found)
         keys = found.withColumn("size", F.lit(size)) if keys is None else keys.unionByName(found.withColumn("size", F.lit(size)))
     candidates = stage(gather(docs, marked).join(keys, ["key", "size"], "left_semi"), "phrase-gathered")
-    return words, stage(count_phrases(docs, candidates).where(F.col("f") >= least), "phrases")
+    return words, stage(count_phrases(docs, candidates, marked[2]).where(F.col("f") >= least), "phrases")
 
 
 def scored(words: DataFrame, phrases: DataFrame) -> DataFrame:

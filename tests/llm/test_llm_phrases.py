@@ -61,6 +61,7 @@ def test_ties_and_a_short_list(spark):
 
 def test_blocks_slices_and_a_crowded_bitmap(spark, monkeypatch):
     monkeypatch.setattr(phrases, "TRIE_PHRASES", 50)
+    monkeypatch.setattr(phrases, "TRIES", 3)
     monkeypatch.setattr(phrases, "FILTER_BITS", 128)
     monkeypatch.setattr(phrases, "PARTS", 3)
     rows = prose(3, 80) + ODD
@@ -103,11 +104,11 @@ def test_tries_count_all_occurrences(vocabulary, count):
     drawn = {(random.choice("ab"), " ".join(word() for _ in range(random.choice([2, 3])))) for _ in range(count)}
     rows = [(7 * i, lang, phrase) for i, (lang, phrase) in enumerate(sorted(drawn))]
     text = " ".join(word() + random.choice(["", "", "."]) for _ in range(20000))
-    trie = phrases.build_trie(rows)
+    trie = phrases.build_trie(pa.table(dict(zip(("id", "lang", "phrase"), map(list, zip(*rows))))))
     # Dense enough to be sent: a few slots per node.
     assert len(trie.base) < 3 * 9 * len(rows) + 2000
     part = next(phrases.tokens(pa.record_batch({"lang": ["a"], "text": [text]})))
-    counts = dict(zip(trie.phrases.tolist(), trie.count(part).tolist()))
+    counts = dict(zip(trie.phrases.tolist(), trie.count(part, np.arange(len(part.at))).tolist()))
     expected = Counter()
     for piece in text.split("."):
         w = piece.split()
