@@ -14,12 +14,14 @@ their shard's filter, which holds back all but the common keys and a few false o
 is joined with the exact counts.
 
 A line may be in a third of all documents. Counts are combined before they move; postings are dealt
-out by shard and a salt, as many salts as it takes for the most common key to fill even shares; the
-exact join is left to the skew handling of adaptive execution.
-
-Null and empty texts are one empty line. Null doc_ids are one document, smaller than all others.
-Repeated rows of a doc_id are one document, and each of them loses its lines. A doc_id that is inserted
-again adds only keys it did not have. Empty tables are fine. Other columns pass unread.
+out by shard and a salt, with as many salts as it takes for the shard's most common key to fill even shares, so
+that only shards of very common keys have their filter copied; the exact join is left to the skew handling of
+adaptive execution. The keys that a document loses are gathered for each of its texts by themselves where a
+doc_id, or null, has several rows, so that no list of them is longer than a text.
+
+Null and empty texts are one empty line. Null doc_ids are one document, smaller than all others, whatever
+numbers these are. Repeated rows of a doc_id are one document, and each of them loses its lines. A doc_id that is
+inserted again adds only keys it did not have. Empty tables are fine. Other columns pass unread.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,12 +39,13 @@ from ebbline.llm.arrow import each_group
 from ebbline.llm.text import lower_ascii, packed, plain, stripped
 from ebbline.session import stage
 
-FIRST_ID = -0x8000000000000000
 SLOTS = 4
 MOST_KICKS = 200
 # Filters are made for twice the keys they get, and made anew when they are fuller than this.
 FULLEST = 0.9
 KEY = ["d1", "d2"]
+# A list of ids is broadcast while it is smaller than this; beyond, it is joined by a shuffle.
+BROADCAST_BYTES = 32_000_000
 
 
 class CuckooFilter:
@@ -133,7 +137,13 @@ class LineOptions:
 
 
 def _id(column: str = "doc_id") -> Column:
-    return F.coalesce(F.col(column).cast("long"), F.lit(FIRST_ID))
+    return F.col(column).cast("long").alias("id")
+
+
+def _same(left: DataFrame, right: DataFrame, *names: str) -> Column:
+    """Equal columns, nulls among each other too."""
+    equal = [left[name].eqNullSafe(right[name]) for name in names]
+    return reduce(Column.__and__, equal)
 
 
 def _lines(text: Column) -> Column:
@@ -144,7 +154,7 @@ def line_keys(docs: DataFrame, options: LineOptions) -> DataFrame:
     """Distinct (shard, d1, d2, id) of the lines that are long enough."""
     keys = F.transform(_lines(F.col("text")), lambda line: lower_ascii(stripped(line)))
     long_ones = F.array_distinct(F.filter(keys, lambda key: F.char_length(key) >= options.min_chars))
-    each = docs.select(_id().alias("id"), F.explode(long_ones).alias("key"))
+    each = docs.select(_id(), F.explode(long_ones).alias("key"))
     hashed = each.select(F.xxhash64("key").alias("d1"), F.xxhash64("key", F.lit(1)).alias("d2"), "id").distinct()
     return hashed.select(F.pmod("d1", F.lit(options.shards)).cast("int").alias("shard"), *KEY, "id")
 
@@ -226,7 +236,8 @@ class LineIndex:
         )
 
     def insert(self, docs: DataFrame) -> LineIndex:
-        fresh = line_keys(docs, self.options).join(self.postings, [*KEY, "id"], "left_anti")
+        keys = line_keys(docs, self.options)
+        fresh = keys.join(self.postings, _same(keys, self.postings, *KEY, "id"), "left_anti")
         fresh = stage(fresh.select("shard", *KEY, "id"), "line-postings")
         added = self._counted(fresh)
         merged = self._beside(added).select(
@@ -240,11 +251,12 @@ class LineIndex:
 
     def delete(self, doc_ids: DataFrame) -> LineIndex:
         """Without the documents whose ids are in the column ``doc_id``."""
-        gone = doc_ids.select(_id().alias("id")).distinct()
-        kept = stage(self.postings.join(gone, "id", "left_anti").select("shard", *KEY, "id"), "line-postings")
-        touched = self.postings.join(gone, "id", "left_semi").select(*KEY).distinct()
+        gone = doc_ids.select(_id()).distinct()
+        mine = _same(self.postings, gone, "id")
+        kept = stage(self.postings.join(gone, mine, "left_anti").select("shard", *KEY, "id"), "line-postings")
+        touched = self.postings.join(gone, mine, "left_semi").select(*KEY).distinct()
         again = self._counted(kept.join(touched, KEY, "left_semi")).unionByName(
-            touched.select(F.lit(None).cast("int").alias("shard"), *KEY, F.lit(0).cast("long").alias("n"), F.lit(FIRST_ID).alias("last"))
+            touched.selectExpr("CAST(NULL AS INT) AS shard", *KEY, "0L AS n", "CAST(NULL AS BIGINT) AS last")
         )
         again = again.groupBy(*KEY).agg(F.max("shard").alias("shard"), F.max("n").alias("n"), F.max("last").alias("last"))
         merged = self._beside(again).select(
@@ -283,32 +295,58 @@ class LineIndex:
 
     def dropped(self) -> DataFrame:
         """(id, d1, d2): the keys whose lines a document loses."""
-        total, most = self.refs.agg(F.sum("n"), F.max("n")).first()
+        total = self.refs.agg(F.sum("n")).first()[0] or 1
         parts = int(self.postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        salts = min(parts, math.ceil((most or 0) * parts / (total or 1))) or 1
-        keys = self.postings.select(
-            "shard", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int").alias("salt"), *KEY, "id",
+        # A row per shard: the size of the side broadcast here is fixed.
+        salts = F.ceil(F.max("n") * F.lit(parts / total)).cast("int")
+        salted = F.broadcast(self.refs.groupBy("shard").agg(F.least(F.lit(parts), F.greatest(F.lit(1), salts)).alias("salts")))
+        keys = self.postings.join(salted, "shard").select(
+            "shard", F.pmod(F.xxhash64("id"), "salts").cast("int").alias("salt"), *KEY, "id",
             F.lit(None).cast("binary").alias("filter"),
         )
         zero = F.lit(0).cast("long")
-        filters = self.filters.select(
-            "shard", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"),
+        filters = self.filters.join(salted, "shard").select(
+            "shard", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
             zero.alias("d1"), zero.alias("d2"), zero.alias("id"), "filter",
         )
         dealt = keys.unionByName(filters).repartition("shard", "salt")
         ordered = dealt.sortWithinPartitions("shard", "salt", F.col("filter").isNull())
         passed = ordered.mapInArrow(_passing, "d1 long, d2 long, id long")
         common = self.refs.where(F.col("n") >= self.options.min_docs).select(*KEY, "last")
-        return passed.join(common, KEY).where("id <> last").select("id", *KEY)
+        return passed.join(common, KEY).where(~F.col("id").eqNullSafe(F.col("last"))).select("id", *KEY)
+
+    def _lost(self, docs: DataFrame, many: DataFrame) -> DataFrame:
+        """(id, text_key, lost): what the document's texts lose; text_key is null where it has one text.
+
+        Texts of an id in ``many`` are told apart by their hash, and lose only what they hold.
+        """
+        dropped = stage(self.dropped(), "line-dropped")
+        alone = dropped.join(many, _same(dropped, many, "id"), "left_anti")
+        alone = alone.groupBy("id").agg(F.collect_set("d1").alias("lost"))
+        own = docs.select(_id(), "text")
+        own = own.join(many, _same(own, many, "id"), "left_semi")
+        hashes = F.transform(_lines(F.col("text")), lambda line: F.xxhash64(lower_ascii(stripped(line))))
+        each = own.select("id", _text_key(), F.explode(F.array_distinct(hashes)).alias("d1"))
+        held = each.join(dropped, _same(each, dropped, "id", "d1")).select(each["id"], "text_key", each["d1"])
+        held = held.groupBy("id", "text_key").agg(F.collect_set("d1").alias("lost"))
+        return alone.select("id", F.lit(None).cast("binary").alias("text_key"), "lost").unionByName(held)
 
     def rewrite(self, docs: DataFrame) -> DataFrame:
         """(row, n_lines, n_dropped, kept): each row of ``docs`` as a struct, and what is left of its text.
 
         Lines of one document are told apart by half of their hash, 64 bits.
         """
-        lost = self.dropped().groupBy("id").agg(F.collect_set("d1").alias("lost"))
-        rows = docs.select(packed(docs), _id().alias("id"), plain(F.col("text")).alias("text"))
-        joined = rows.join(lost, "id", "left").select("row", "text", "lost", _lines(F.col("text")).alias("lines"))
+        many = docs.select(_id()).groupBy("id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("id")
+        many = stage(many, "line-many")
+        many = F.broadcast(many) if many.count() * 8 <= BROADCAST_BYTES else many
+        lost = self._lost(docs, many)
+        rows = docs.select(packed(docs), _id(), plain(F.col("text")).alias("text"))
+        several = many.withColumn("several", F.lit(True))
+        rows = rows.join(several, _same(rows, several, "id"), "left").select(
+            "row", rows["id"], "text", F.when(F.col("several"), _text_key()).alias("text_key")
+        )
+        joined = rows.join(lost, _same(rows, lost, "id", "text_key"), "left")
+        joined = joined.select("row", "text", "lost", _lines(F.col("text")).alias("lines"))
 
         def stays(line: Column) -> Column:
             key = lower_ascii(stripped(line))
@@ -324,6 +362,10 @@ class LineIndex:
         )
 
 
+def _text_key() -> Column:
+    return F.unhex(F.md5(plain(F.col("text")))).alias("text_key")
+
+
 def dedup_lines(docs: DataFrame, options: LineOptions = LineOptions()) -> DataFrame:
     """(row, n_lines, n_dropped, kept) of all documents, from an index over all of them."""
     return LineIndex.empty(docs.sparkSession, options).insert(docs).rewrite(docs)

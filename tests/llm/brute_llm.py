@@ -5,6 +5,7 @@ import math
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import xxhash
 
 SPACES = " \t\n\x0b\x0c\r"
@@ -56,7 +57,7 @@ def host_rates(rows):
 def kept_lines(docs, min_chars=20, min_docs=3):
     """(text left, lines, lines dropped) per (doc_id, text) row."""
     key = lambda line: lower(line.strip(SPACES))
-    number = lambda doc_id: -(2**63) if doc_id is None else doc_id
+    number = lambda doc_id: (doc_id is not None, doc_id or 0)
     holders = defaultdict(set)
     for doc_id, text in docs:
         for line in (text or "").split("\n"):
@@ -220,3 +221,35 @@ def k_means(vectors, clusters=8, rounds=10, seed="3"):
         for k, own in members.items():
             centroids[k] = [sum(cells) // len(own) for cells in zip(*own)]
     return [(i, nearest(v)[1], nearest(v)[0]) for i, v in vectors], centroids
+
+
+def gru_log10(weights, symbols, start=0):
+    """log10 probability of a document's symbols, one step after another in double precision."""
+    w = {name: np.asarray(value, np.float64) for name, value in weights.items()}
+    hidden, members = w["recurrent"].shape[0], w["member_bias"].shape[1]
+    share = lambda logits, at: logits[at] - np.logaddexp.reduce(logits)
+    state, before, total = np.zeros(hidden), start, 0.0
+    for symbol in symbols:
+        given, own = w["input"][before], state @ w["recurrent"]
+        gates = 1 / (1 + np.exp(-(given + own)[: 2 * hidden]))
+        fresh = np.tanh(given[2 * hidden :] + gates[hidden:] * own[2 * hidden :])
+        state = gates[:hidden] * state + (1 - gates[:hidden]) * fresh
+        group, place = divmod(symbol, members)
+        total += share(state @ w["class"] + w["class_bias"], group)
+        total += share(state @ w["member"][group] + w["member_bias"][group], place)
+        before = symbol
+    return total / math.log(10)
+
+
+def model_scores(docs, weights, is_held_out, vocabulary):
+    """The model's score per (doc_id, text) row: 0 is the end, 1 all words that are no symbols."""
+    counts = Counter(t for doc_id, text in docs if not is_held_out(doc_id) for t in words(lower(text or "")))
+    top = sorted(counts, key=lambda t: (-counts[t], t.encode()))[:vocabulary]
+    symbol = {t: 2 + i for i, t in enumerate(top)}
+    rest = sum(c + 1 for t, c in counts.items() if t not in symbol) + 1
+    found = []
+    for _, text in docs:
+        own = words(lower(text or ""))
+        shared = sum(math.log10((counts[t] + 1) / rest) for t in own if t not in symbol)
+        found.append(gru_log10(weights, [*[symbol.get(t, 1) for t in own], 0]) + shared)
+    return found

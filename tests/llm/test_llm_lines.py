@@ -48,6 +48,34 @@ def test_odd_documents(documents, odd_rows):
     assert rows.schema["row"].dataType.names == docs.columns
 
 
+def test_end_values_and_nulls_are_ids_of_their_own(documents):
+    top, low = 2**63 - 1, -(2**63)
+    line = "a line that three documents have, whatever their ids"
+    rows = [(low, line), (None, line + "\nand more"), (7, line), (top, "a line of its own, long enough"), (None, line)]
+    index = LineIndex.empty(documents(rows).sparkSession).insert(documents(rows))
+    assert sorted((r["id"] is not None, r["id"]) for r in index.dropped().collect()) == [(False, None), (True, low)]
+    found = {(r["row"]["doc_id"], r["row"]["text"]): r["kept"] for r in index.rewrite(documents(rows)).collect()}
+    assert found == {
+        (low, line): "", (None, line + "\nand more"): "and more", (7, line): line, (None, line): "",
+        (top, "a line of its own, long enough"): "a line of its own, long enough",
+    }
+    index = index.delete(documents([(None, "")]))
+    assert index.dropped().collect() == [] and index.refs.where("n > 2").isEmpty()
+
+
+def test_many_rows_without_an_id_or_with_one_id(documents):
+    """Each loses what it holds itself, and no list of lost keys is longer than a text."""
+    random.seed(31)
+    pool = [f"line number {i} that is long enough to be counted" for i in range(60)]
+    rows = [(None if i % 3 else i % 2, "\n".join(random.sample(pool, 4))) for i in range(150)]
+    rows += [(1000 + i, "\n".join(random.sample(pool, 4))) for i in range(60)] + rows[:20]
+    docs = documents(rows)
+    index = LineIndex.empty(docs.sparkSession, LineOptions(shards=3)).insert(docs)
+    assert rewritten(index, docs) == expected(rows)
+    many = docs.groupBy("doc_id").count().where("count > 1").selectExpr("doc_id AS id")
+    assert max(len(r["lost"]) for r in index._lost(docs, many).collect()) <= 4
+
+
 def test_empty_table(documents):
     assert linededup.dedup_lines(documents([])).collect() == []
 
