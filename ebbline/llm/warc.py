@@ -1,10 +1,12 @@
 """WARC archives: a deterministic sharded writer, and a reader that checks what it reads.
 
-Records are sorted by page id and cut into shards of about equal raw size. The cuts come from exact
-sums over ranges of ids, not from a sample, so the same pages always give the same files, byte for
-byte, whatever the cluster. A task writes its shards one record at a time and starts a new file when
+Records are sorted by page id and cut into shards of about equal raw size, of which there are at most
+``MAX_SHARDS``. The cuts come from exact sums over ranges of ids, not from a sample, so the same pages always
+give the same files, byte for byte, whatever the cluster. An id heavier than a shard, or all rows without an id,
+are cut by digest into parts. A task writes one shard, or one part, a record at a time and starts a new file when
 the compressed size passes ``roll_bytes``; every record is a gzip member of its own. Headers, record
-ids and digests are made from the rows alone.
+ids and digests are made from the rows alone. Payloads may be of any length that a row holds; a file has one record
+beyond ``roll_bytes`` at most, and is read back whole, so payloads should stay below a gigabyte.
 
 Of the pages with equal payloads the one with the largest id is the response and the others revisit it.
 
@@ -13,7 +15,7 @@ written as a table; then the files it names are moved to their final names, whic
 after a failure, and last the manifest is written. Files without a line in the manifest, left by a
 task that was run twice, are never read.
 
-Null payloads are empty. Null ids come first; a page without an id is the response only if no page
+Null payloads are empty. Null ids come first, in a shard of their own; a page without an id is the response only if no page
 with the same payload has one. Rows that agree in id and payload share their fate and are told
 apart by a number in their record id. Null URLs are written as ``urn:none``. Empty tables give a
 manifest without files. Other columns are not looked at.
@@ -30,7 +32,9 @@ import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -41,11 +45,13 @@ from ebbline.session import shared_folder, stage
 VERSION = "WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 NO_URI = "urn:none"
-# Ids without a value sort here; raw size that a record has besides its payload, roughly.
+# Raw size that a record has besides its payload, roughly.
 RECORD_BYTES = 512
 BROADCAST_BYTES = 32_000_000
-# A range of ids that is too heavy is cut into so many.
-FANOUT = 256
+# A range of ids that a cut falls into is counted in so many narrower ones.
+FANOUT = 64
+# Tables that ask for more shards get larger ones.
+MAX_SHARDS = 20_000
 
 
 @dataclass(frozen=True)
@@ -72,54 +78,108 @@ def _with_originals(rows: DataFrame, options: WarcOptions) -> DataFrame:
     return joined.withColumn("revisit", revisit).withColumn("refers_to", F.when(F.col("revisit"), F.col("original")))
 
 
-def _range_start(width: int) -> str:
-    return f"page_id - pmod(page_id, {width}L)"
+@dataclass(frozen=True)
+class Cuts:
+    """Where shards begin. Ids from ``starts[k]`` on are in shard k + 1 or a later one.
+
+    ``parts`` has the ids that fill several shards' room by themselves, null among them; they are cut by digest.
+    """
+
+    starts: tuple[int, ...]
+    parts: tuple[tuple[int | None, int], ...]
 
+    @property
+    def shards(self) -> int:
+        return len(self.starts) + 1
 
-def _with_shards(rows: DataFrame, options: WarcOptions) -> DataFrame:
-    """Add ``shard``: consecutive ranges of ids, cut where their summed raw size asks for it.
 
-    Ids are counted in ranges of one width; ranges that hold too much are counted again in narrower
-    ones. The counts that reach the driver are a few per shard.
+def find_cuts(rows: DataFrame, options: WarcOptions) -> Cuts:
+    """Cuts of (page_id, size) into shards of about equal raw size.
+
+    Ids are counted in ranges of one width; ranges that a cut falls into are counted again in narrower ones, until
+    they are light or a single id. Rows without an id come first and are a shard of their own. At most ``MAX_SHARDS``
+    shards are made, larger ones where the table asks for more, so that the counts that reach the driver are
+    bounded: 8 per shard at first, then ``FANOUT`` for each cut.
     """
-    sized = rows.select("page_id", (F.col("size") + RECORD_BYTES).alias("weight")).where("page_id IS NOT NULL")
-    low, high, total = sized.agg(F.min("page_id"), F.max("page_id"), F.sum("weight")).first()
-    if low is None:
-        return rows.withColumn("shard", F.lit(0)).withColumn("part", F.lit(0))
-    shards = max(1, math.ceil(total / options.shard_bytes))
-    target = total / shards
-    width = 1 << max(0, ((high - low) // (8 * shards)).bit_length())
-    levels, ranges, heavy = [], {}, None
-    while True:
-        starts = sized.select(F.expr(_range_start(width)).alias("start"), "page_id", "weight")
-        if heavy is not None:
-            outer = rows.sparkSession.createDataFrame([(s,) for s in heavy], "outer long")
-            match = F.expr(_range_start(levels[-1])) == F.col("outer")
-            starts = starts.join(_small(outer, len(heavy), 8), match, "left_semi")
-        sums = starts.groupBy("start").agg(F.sum("weight").alias("weight")).collect()
-        levels.append(width)
-        ranges |= {(row["start"], width): row["weight"] for row in sums}
-        heavy = [start for (start, w), weight in ranges.items() if w == width and weight > target / 2 and width > 1]
-        if not heavy:
-            break
-        for start in heavy:
-            del ranges[start, width]
+    sized = rows.select("page_id", (F.col("size") + RECORD_BYTES).alias("weight"))
+    known = sized.where("page_id IS NOT NULL")
+    low, high, total, unknown = sized.agg(
+        F.min("page_id"), F.max("page_id"), F.sum(F.when(F.col("page_id").isNotNull(), F.col("weight"))),
+        F.sum(F.when(F.col("page_id").isNull(), F.col("weight"))),
+    ).first()
+    total, unknown = total or 0, unknown or 0
+    shards = min(MAX_SHARDS, max(1, math.ceil(total / options.shard_bytes)))
+    room = max(options.shard_bytes, total / shards)
+    parts: dict[int | None, int] = {None: min(MAX_SHARDS, math.ceil(unknown / room))} if unknown else {}
+    # What shards end with, as weight from the smallest id on: the cuts that are not placed yet.
+    ends = np.array([-(-k * total // shards) for k in range(1, shards)], np.int64)
+    starts: list[int] = [low] if unknown and low is not None else []
+    width, outer = 1 << min(62, max(0, (((high or 0) - (low or 0)) // (8 * shards)).bit_length())), None
+    while len(ends):
+        place, weight = _ranges(known, width, outer)
+        before = np.cumsum(weight) - weight
+        if outer is not None:
+            # Ranges within one outer range are neighbours, and the first of them begins where that does.
+            first = np.searchsorted(place - place % outer.width, outer.starts)
+            before += np.repeat(outer.before - before[first], np.diff(np.append(first, len(place))))
+        at = np.searchsorted(before, ends) - 1
+        heavy = (weight[at] > room / 8) & (width > 1)
+        for k in np.flatnonzero(~heavy):
+            # A light range, or a single id, goes to the shard that its middle is in.
+            upper = before[at[k]] + weight[at[k]] / 2 >= ends[k]
+            starts.append(int(place[at[k]]) + (0 if upper else width))
+            if width == 1 and weight[at[k]] > room:
+                parts[int(place[at[k]])] = math.ceil(weight[at[k]] / room)
+        again = np.unique(at[heavy])
+        outer, ends = _Outer(width, place[again], before[again]), ends[heavy]
         width = max(1, width // FANOUT)
-    placed, before = [], 0
-    for (start, w), weight in sorted(ranges.items()):
-        # A single id heavier than a shard is cut by digest.
-        parts = math.ceil(weight / options.shard_bytes) if w == 1 else 1
-        placed.append((start, w, min(shards - 1, int((before + weight / 2) / target)), parts))
-        before += weight
-    for w in levels:
-        table = [(start, shard, parts) for start, at, shard, parts in placed if at == w]
-        known = rows.sparkSession.createDataFrame(table, f"start_{w} long, shard_{w} int, parts_{w} int")
-        rows = rows.join(_small(known, len(table), 16), F.expr(_range_start(w)) == F.col(f"start_{w}"), "left")
-    shard = F.coalesce(*[f"shard_{w}" for w in levels], F.lit(0))
-    parts = F.coalesce(*[f"parts_{w}" for w in levels], F.lit(1))
-    part = F.floor(F.conv(F.substring("digest", 1, 4), 16, 10).cast("long") * parts / 65536).cast("int")
-    made = [c for w in levels for c in (f"start_{w}", f"shard_{w}", f"parts_{w}")]
-    return rows.withColumn("shard", shard).withColumn("part", part).drop(*made)
+    # No id is beyond the largest.
+    return Cuts(tuple(sorted(start for start in starts if start <= high)), tuple(parts.items()))
+
+
+@dataclass(frozen=True)
+class _Outer:
+    """Ranges to be counted again: their width, their starts in order and the weight before each."""
+
+    width: int
+    starts: np.ndarray
+    before: np.ndarray
+
+
+def _ranges(known: DataFrame, width: int, outer: _Outer | None) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and weights of the ranges of ``width``, in order; only those inside the outer ranges, if given."""
+    if outer is not None:
+        table = known.sparkSession.createDataFrame(pa.table({"outer": pa.array(outer.starts)}))
+        match = F.expr(f"page_id - pmod(page_id, {outer.width}L)") == F.col("outer")
+        known = known.join(_small(table, len(outer.starts), 8), match, "left_semi")
+    start = F.expr(f"page_id - pmod(page_id, {width}L)").alias("start")
+    found = known.groupBy(start).agg(F.sum("weight").alias("weight")).toArrow()
+    order = np.argsort(found.column("start").to_numpy(), kind="stable")
+    return found.column("start").to_numpy()[order], found.column("weight").to_numpy()[order]
+
+
+def _with_shards(rows: DataFrame, options: WarcOptions) -> tuple[DataFrame, int]:
+    """Add ``shard``, ``part`` and ``slot``, the number of the task that writes them; and the number of slots."""
+    cuts = find_cuts(rows, options)
+    middle = "CAST((s.low + s.high) div 2 AS INT)"
+    later = f"named_struct('low', {middle} + 1, 'high', s.high)"
+    step = f"IF(s.low >= s.high, s, IF(_starts[{middle}] <= page_id, {later}, named_struct('low', s.low, 'high', {middle})))"
+    begin = f"named_struct('low', 0, 'high', {len(cuts.starts)})"
+    shard = f"aggregate(sequence(1, {cuts.shards.bit_length()}), {begin}, (s, turn) -> {step}, s -> s.low)"
+    # A row per heavy id, fewer than there are shards. Their parts but the first have slots after all shards.
+    after = accumulate((parts - 1 for _, parts in cuts.parts), initial=cuts.shards)
+    table = [(page_id, parts, slot) for (page_id, parts), slot in zip(cuts.parts, after)]
+    slots = cuts.shards + sum(parts - 1 for _, parts in cuts.parts)
+    heavy = F.broadcast(rows.sparkSession.createDataFrame(table, "heavy long, _parts long, _slot long"))
+    share = F.conv(F.substring("digest", 1, 6), 16, 10).cast("long")
+    placed = (
+        rows.withColumn("_starts", F.lit(list(cuts.starts)).cast("array<bigint>"))
+        .withColumn("shard", F.expr(f"CAST(IF(page_id IS NULL, 0, {shard}) AS INT)"))
+        .join(heavy, F.col("page_id").eqNullSafe(F.col("heavy")), "left")
+        .withColumn("part", F.shiftright(share * F.coalesce("_parts", F.lit(1)), 24).cast("int"))
+        .withColumn("slot", F.expr("CAST(IF(part = 0, shard, _slot + part - 1) AS INT)"))
+    )
+    return placed.drop("_starts", "heavy", "_parts", "_slot"), slots
 
 
 def base32_sha1(data: bytes) -> str:
@@ -253,9 +313,11 @@ def write(pages: DataFrame, folder: str, options: WarcOptions = WarcOptions()) -
     payload = F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload")).withColumn("size", F.octet_length("payload").cast("long"))
-    placed = _with_originals(_with_shards(rows, options), options).drop("original", "size")
+    sharded, slots = _with_shards(rows, options)
+    placed = _with_originals(sharded, options).drop("original", "size")
     order = ["shard", "part", "page_id", "digest", "url"]
-    sorted_rows = placed.repartition("shard", "part").sortWithinPartitions(*order)
+    # A task for every shard, or part of one.
+    sorted_rows = placed.repartitionById(slots, F.col("slot")).drop("slot").sortWithinPartitions(*order)
     system, path = fs.FileSystem.from_uri(f"{folder}/_temporary")
     system.create_dir(path, recursive=True)
     report = stage(sorted_rows.mapInArrow(_writer(folder, options), MANIFEST_DDL), "warc-report")

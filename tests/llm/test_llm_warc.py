@@ -117,8 +117,65 @@ def test_crowded_ids_are_cut_further(spark):
     options = WarcOptions(shard_bytes=40_000)
     records = warc.write_and_read(frame(spark, rows), options).collect()
     assert read_rows(records) == expected(rows)
-    placed = warc._with_shards(
-        frame(spark, rows).selectExpr("page_id", "sha1(html) AS digest", "length(html) AS size"), options
-    )
-    sizes = [r["n"] for r in placed.groupBy("shard", "part").agg({"*": "count"}).withColumnRenamed("count(1)", "n").collect()]
-    assert len(sizes) > 10 and max(sizes) < 200
+    placed, slots = shard_sizes(spark, rows, options)
+    assert len(placed) > 10 and max(placed.values()) < 200
+    assert max(slot for _, _, slot in placed) < slots and len({slot for _, _, slot in placed}) == len(placed)
+
+
+def shard_sizes(spark, rows, options):
+    """Rows by (shard, part, slot), and the number of slots."""
+    sized = frame(spark, rows).selectExpr("page_id", "sha1(html) AS digest", "CAST(length(html) AS BIGINT) AS size")
+    placed, slots = warc._with_shards(sized, options)
+    return {(r["shard"], r["part"], r["slot"]): r["count"] for r in placed.groupBy("shard", "part", "slot").count().collect()}, slots
+
+
+def test_rows_without_an_id_are_cut_by_digest(spark):
+    # A third of all rows has no id.
+    rows = [(None if i % 3 == 0 else i, "u", f"page {i} " * 20) for i in range(1800)]
+    options = WarcOptions(shard_bytes=60_000)
+    sizes, _ = shard_sizes(spark, rows, options)
+    ordered = sorted(sizes.values())
+    assert max(ordered) <= 2 * ordered[len(ordered) // 2]
+    assert sum(n for (shard, _, _), n in sizes.items() if shard == 0) == 600
+    assert read_rows(warc.write_and_read(frame(spark, rows), options).collect()) == expected(rows)
+
+
+@pytest.mark.parametrize("spread", [1, 2**52, -(2**51)])
+def test_shards_hold_consecutive_ids_of_even_weight(spark, spread):
+    rows = [(i * i * i % 2003 * spread + i % 3, "u", "x" * (i % 700)) for i in range(1500)]
+    rows += [(-(2**63), "u", "lowest"), (2**63 - 1, "u", "highest")]
+    sized = frame(spark, rows).selectExpr("page_id", "sha1(html) AS digest", "CAST(length(html) AS BIGINT) AS size")
+    placed, _ = warc._with_shards(sized, WarcOptions(shard_bytes=50_000))
+    found = placed.groupBy("shard").agg({"page_id": "min", "size": "sum", "*": "count"}).collect()
+    weights = [r["sum(size)"] + 512 * r["count(1)"] for r in found]
+    assert len(weights) == -(-sum(weights) // 50_000) and max(weights) < 1.3 * sum(weights) / len(weights)
+    ends = sorted((r["page_id"], r["shard"]) for r in placed.select("page_id", "shard").collect())
+    assert [shard for _, shard in ends] == sorted(shard for _, shard in ends)
+
+
+def test_what_the_driver_gets_does_not_grow(spark, monkeypatch):
+    """Counts that reach the driver, for 1 and 100 times the pages."""
+    monkeypatch.setattr(warc, "MAX_SHARDS", 12)
+    ranges, most = warc._ranges, []
+
+    def counted(*args):
+        found = ranges(*args)
+        most[-1] = max(most[-1], len(found[0]))
+        return found
+
+    monkeypatch.setattr(warc, "_ranges", counted)
+    for count in (500, 50_000):
+        most.append(0)
+        pages = spark.range(count).selectExpr("id * id AS page_id", "sha1(CAST(id AS STRING)) AS digest", "id % 999 AS size")
+        cuts = warc.find_cuts(pages, WarcOptions(shard_bytes=1_000))
+        assert cuts.shards == 12
+    # A few per shard at first, then FANOUT for each of the cuts: a bound that the table is not in.
+    assert max(most) <= 64 * 11
+
+
+def test_heavy_ids_in_a_bounded_number_of_shards(spark, monkeypatch):
+    monkeypatch.setattr(warc, "MAX_SHARDS", 5)
+    rows = [(7, "u", f"copy {i}" * 30) for i in range(700)] + [(i, "u", f"page {i}") for i in range(300)] + [(None, "u", f"{i}") for i in range(99)]
+    sizes, slots = shard_sizes(spark, rows, WarcOptions(shard_bytes=2_000))
+    assert len({shard for shard, _, _ in sizes}) <= 6 and max(sizes.values()) < 500
+    assert read_rows(warc.write_and_read(frame(spark, rows), WarcOptions(shard_bytes=2_000)).collect()) == expected(rows)
