@@ -9,13 +9,18 @@ share of the item's tokens is its coverage; because tiles may lie in any order,
 sentences were moved around is still covered. A document is contaminated if an item's coverage is at
 least ``threshold``.
 
-The benchmark is a stated set of queries. It is read in blocks of at most ``BLOCK_BYTES`` of text
-(or one item, if that is longer), each broadcast in a pass of its own over the documents, so its size
-is not limited by memory. Texts are not shuffled.
+The benchmark is a stated set of queries. It is cut, by sums of its bytes, into blocks of at most
+``BLOCK_BYTES`` of text (or one item, if that is longer), each broadcast in a pass of its own over the documents, so
+its size is not limited by memory. What a pass hands on is the hits of the texts that have any, by a hash of the
+text; neither texts nor other columns are written or shuffled, unless the hits of several blocks are too many to be
+broadcast.
 
 Items of fewer tokens than ``min_match`` have one seed, all their tokens in order; items without
 tokens, null ones included, match nothing, and neither do null or empty texts. Items with the same id
-are items of their own. Repeated documents are judged each. Empty tables are fine.
+are items of their own. Of matches of one length the one that is first in the item goes first, then the one that
+is first in the text. Texts may be of any length; pairs of places inside two runs of one token are
+not visited.
+Repeated documents are judged each. Empty tables are fine. A column called like the result is replaced.
 """
 
 from __future__ import annotations
@@ -26,13 +31,16 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ebbline.llm.arrow import once_per_worker, with_column
-from ebbline.llm.text import plain
+from ebbline.llm.text import packed, plain
 from ebbline.session import stage
 
 BLOCK_BYTES = 16_000_000
+# Room that an item takes besides its text, and shares that make up a block.
+ITEM_BYTES = 32
+SHARES = 64
 TOKEN = re.compile(r"\w+")
 HITS = T.ArrayType(
     T.StructType(
@@ -66,26 +74,38 @@ def _rolled(values: list[int], marked: list[bool], length: int) -> dict[int, lis
     return found
 
 
+def _before(values: list[int], marked: list[bool], at: int, none: int) -> int:
+    """The token before a place, or ``none`` where a match cannot go on to it."""
+    return values[at - 1] if at and not marked[at - 1] else none
+
+
 def _matches(text: list[int], item: list[int], text_marked: list[bool], item_marked: list[bool], length: int) -> list:
     """(-size, item start, text start) of the maximal unmarked matches of at least ``length``."""
     by_code, found = _rolled(text, text_marked, length), []
     for code, starts in _rolled(item, item_marked, length).items():
-        for t in by_code.get(code, ()):
-            for p in starts:
-                before = t > 0 and p > 0 and text[t - 1] == item[p - 1]
-                if before and not text_marked[t - 1] and not item_marked[p - 1]:
-                    continue  # part of a match that starts earlier
-                size = 0
-                while (
-                    t + size < len(text)
-                    and p + size < len(item)
-                    and text[t + size] == item[p + size]
-                    and not text_marked[t + size]
-                    and not item_marked[p + size]
-                ):
-                    size += 1
-                if size >= length:
-                    found.append((-size, p, t))
+        if code not in by_code:
+            continue
+        # A match that has the same token before it on both sides is part of one that starts earlier.
+        groups: dict[int, list[int]] = defaultdict(list)
+        for p in starts:
+            groups[_before(item, item_marked, p, -1)].append(p)
+        for t in by_code[code]:
+            own = _before(text, text_marked, t, -2)
+            for token, places in groups.items():
+                if token == own:
+                    continue
+                for p in places:
+                    size = 0
+                    while (
+                        t + size < len(text)
+                        and p + size < len(item)
+                        and text[t + size] == item[p + size]
+                        and not text_marked[t + size]
+                        and not item_marked[p + size]
+                    ):
+                        size += 1
+                    if size >= length:
+                        found.append((-size, p, t))
     return sorted(found)
 
 
@@ -161,33 +181,72 @@ class Block:
 
 
 def _blocks(benchmark: DataFrame) -> list[DataFrame]:
+    """(item_id, text, place) in blocks of bounded size.
+
+    Items are dealt by their place in the table, so that equal ones part too, into many small shares; whole shares
+    make up a block.
+    """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    count = max(1, math.ceil(size / BLOCK_BYTES))
-    return [items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == block) for block in range(count)]
+    items = stage(items.withColumn("place", F.monotonically_increasing_id()), "decontam-items")
+    size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + ITEM_BYTES)
+    total = items.agg(size).first()[0] or 0
+    shares = SHARES * max(1, math.ceil(total / BLOCK_BYTES))
+    share = F.pmod(F.xxhash64("place"), F.lit(shares))
+    sums = {row["share"]: row["size"] for row in items.groupBy(share.alias("share")).agg(size.alias("size")).collect()}
+    blocks, held = [[]], 0
+    for number, bytes_ in sorted(sums.items()):
+        if blocks[-1] and held + bytes_ > BLOCK_BYTES:
+            blocks.append([])
+            held = 0
+        blocks[-1].append(number)
+        held += bytes_
+    return [items.where(share.between(own[0], own[-1])) if own else items for own in blocks]
+
+
+def _items(block: DataFrame) -> list[tuple]:
+    """The items of a block, in an order of their own. Bounded: see ``_blocks``."""
+    rows = [(row["item_id"], row["text"]) for row in block.select("item_id", "text").collect()]
+    return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
 
 
 def with_hits(docs: DataFrame, benchmark: DataFrame, min_match: int = 5, text: str = "text", hits: str = "hits") -> DataFrame:
     """``docs`` and the items that share a seed with each text, with the tokens that tiles cover."""
-    context, blocks, names = docs.sparkSession.sparkContext, _blocks(benchmark), []
-    kept = [c for c in docs.columns if c != hits]
+    blocks = _blocks(benchmark)
+    if len(blocks) == 1:
+        return _compared(docs, _items(blocks[0]), min_match, text, hits)
+    # Hits depend on the text alone, so that a hash of it names the row they belong to.
+    texts = docs.select(F.col(text).cast("string").alias("text")).where("text <> ''")
+    found = None
     for number, block in enumerate(blocks):
-        # Bounded: a block holds BLOCK_BYTES of text, or a single item.
-        rows = sorted(map(tuple, block.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
-        shared, names = context.broadcast(rows), [*names, f"{hits}_{number}"]
-        key = hash(tuple(rows)), min_match
-
-        def build(shared=shared, key=key):
-            return once_per_worker("decontam", key, lambda: Block(shared.value, min_match))
-
-        def make(items: Block, texts: list) -> pa.Array:
-            kind = pa.list_(pa.struct([("item_id", pa.int64()), ("matched", pa.int64()), ("tokens", pa.int64())]))
-            return pa.array([items.hits(value) for value in texts], kind)
-
-        if number:
-            docs = stage(docs, "decontam-block")
-        docs = with_column(docs, names[-1], HITS, text, build, make)
-    return docs.select(*[F.col(f"`{c}`") for c in kept], F.concat(*names).alias(hits))
+        own = _compared(texts, _items(block), min_match, "text", "hits").where("size(hits) > 0")
+        own = own.select(_text_key("text"), F.lit(number).alias("block"), "hits").dropDuplicates(["text_key"])
+        own = stage(own, "decontam-hits")
+        found = own if found is None else found.unionByName(own)
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("block", "hits"))), lambda part: part["hits"])
+    found = stage(found.groupBy("text_key").agg(F.flatten(ordered).alias("found")), "decontam-found")
+    size = found.agg(F.sum(F.size("found") * 24 + 64)).first()[0] or 0
+    kept = [F.col(f"row.`{c}`") for c in docs.columns if c != hits]
+    rows = docs.select(packed(docs), _text_key(text))
+    joined = rows.join(F.broadcast(found) if size <= BLOCK_BYTES else found, "text_key", "left")
+    return joined.select(*kept, F.coalesce("found", F.array().cast(HITS)).alias(hits))
+
+
+def _text_key(text: str) -> Column:
+    return F.unhex(F.md5(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))).alias("text_key")
+
+
+def _compared(docs: DataFrame, items: list[tuple], min_match: int, text: str, hits: str) -> DataFrame:
+    """``docs`` and each text's hits among ``items``."""
+    shared = docs.sparkSession.sparkContext.broadcast(items)
+    key = hash(tuple(items)), min_match
+
+    def make(block: Block, texts: list) -> pa.Array:
+        kind = pa.list_(pa.struct([("item_id", pa.int64()), ("matched", pa.int64()), ("tokens", pa.int64())]))
+        return pa.array([block.hits(value) for value in texts], kind)
+
+    return with_column(
+        docs, hits, HITS, text, lambda: once_per_worker("decontam", key, lambda: Block(shared.value, min_match)), make
+    )
 
 
 def _covered(hits: str, threshold: float):

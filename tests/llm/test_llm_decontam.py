@@ -69,6 +69,40 @@ def test_odd_documents_and_blocks(documents, odd_rows, spark, monkeypatch, block
     assert judged(decontam.judge_documents(docs, benchmark(spark, ITEMS))) == expected(rows, ITEMS)
 
 
+def test_blocks_are_bounded_whatever_the_items_are(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "BLOCK_BYTES", 2_000)
+    items = [(7, "the very same item again and again")] * 1000 + [(8, "long " * 900)] + [(i, f"item {i}") for i in range(200)]
+    blocks = [decontam._items(block) for block in decontam._blocks(benchmark(spark, items))]
+    assert sorted(row for block in blocks for row in block) == sorted(items)
+    sizes = [sum(len(text) + 32 for _, text in block) for block in blocks]
+    assert max(size for size, block in zip(sizes, blocks) if (8, "long " * 900) not in block) <= 2_000
+    assert len(blocks) <= 2 * sum(sizes) / 2_000
+
+
+def test_twenty_blocks_write_no_text(documents, odd_rows, spark, monkeypatch):
+    staged, stage = [], decontam.stage
+
+    def noted(df, label):
+        staged.append((label, df.columns))
+        return stage(df, label)
+
+    monkeypatch.setattr(decontam, "stage", noted)
+    monkeypatch.setattr(decontam, "BLOCK_BYTES", 60)
+    docs = documents([r for r in odd_rows if len(r[1] or "") < 10000])
+    decontam.keep_clean(docs, benchmark(spark, ITEMS * 3)).collect()
+    assert len([1 for label, _ in staged if label == "decontam-hits"]) >= 20
+    assert all("text" not in columns for label, columns in staged if label != "decontam-items")
+
+
+def test_a_run_of_one_token_is_compared_by_its_ends():
+    """A pair of places inside two runs is part of a match that starts earlier, and is not visited."""
+    text, item = [1] * 6000, [1] * 400
+    found = decontam._matches(text, item, [False] * 6000, [False] * 400, 5)
+    assert len(found) <= 6400 and found[0] == (-400, 0, 0)
+    assert decontam.tiled(text, item, 5) == 400
+    assert decontam.tiled(([1] * 6 + [2]) * 200, item, 5) == 396
+
+
 def test_keep_clean_keeps_columns_and_long_texts(documents, odd_rows, spark):
     rows = [*odd_rows, (30, " ".join(f"w{i}" for i in range(30000)) + " " + ITEMS[1][1])]
     docs = documents(rows)
