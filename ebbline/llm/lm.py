@@ -7,17 +7,20 @@ documents whose ``crc32(doc_id as text) mod 7`` is not 2 are learned from; all d
   unigrams over the full counts.
 * Model: a gated recurrent network (``gru``) whose symbols are the most frequent words, the end, and
   one symbol for all other words, which then have their add-one share among such words. So every
-  token of a text has its probability under the model. Each task trains on all its documents from the
-  same start, by truncated backpropagation; the weights are averaged by tokens, in groups of bounded
-  size. ``rounds`` repeats that from the average.
+  token of a text has its probability under the model. Documents are dealt to learners by a hash of id and
+  text, a learner for about every ``learner_tokens`` tokens, whatever the partitions of the input are. A learner
+  trains on its documents in the order of the hash, from the same start as the others, by truncated
+  backpropagation; the weights are averaged by tokens, in groups of bounded size. ``rounds`` repeats that from the
+  average.
 * Scoring: the state is carried through the whole document.
 
-Broadcast are the model, whose size is fixed, and the most frequent words, at most ``local_words``.
-The counts of all other words stay in a table; the other words of documents are joined with it.
+Broadcast are the model, whose size is fixed, and the most frequent words of at most ``LONGEST_WORD`` bytes: those
+that are symbols, and of the others at most ``local_words``. The counts of all other words stay in a table; the other
+words of documents are joined with it.
 
 Null and empty texts are the end alone. A null doc_id counts as empty text for the checksum. Repeated
-rows are learned from and scored each. With nothing to learn from all tokens are unknown and have the
-same probability. Other columns are not looked at.
+rows are learned from and scored each. Words of equal count are ordered by their bytes. With nothing to learn from
+all tokens are unknown and have the same probability. Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ import math
 import uuid
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import repeat
 
 import numpy as np
@@ -45,17 +48,24 @@ END, OTHER = 0, 1
 MOST_COUNTED = 400_000
 # Text that is laid out in lanes at a time: enough to keep all lanes busy next to a long document.
 SLICE_BYTES = 32_000_000
-# Average weights of so many tasks at a time.
+# Tokens that a learner lays out in lanes at a time.
+LAID_TOKENS = 1_000_000
+# Average weights of so many learners at a time.
 GROUP = 32
+# Longer words are neither symbols nor broadcast.
+LONGEST_WORD = 256
 
 
 @dataclass(frozen=True)
 class LmOptions:
     # Words that are symbols of the network.
     vocabulary: int = 1022
-    # Words whose counts are broadcast; an upper bound, a few MB.
+    # Other words whose counts are broadcast; an upper bound, a few MB.
     local_words: int = 200_000
     rounds: int = 1
+    # Tokens that a learner gets, about; with fewer it works in fewer lanes, so that it still makes so many updates.
+    learner_tokens: int = 4_000_000
+    least_updates: int = 400
     folds: int = 7
     held_out_fold: int = 2
     gru: gru.GruOptions = gru.GruOptions()
@@ -133,26 +143,30 @@ class Vocabulary:
 
 
 def most_frequent(counts: DataFrame, documents: int, options: LmOptions) -> Vocabulary:
-    """The words above the lowest count for which there are at most ``local_words``.
+    """The symbols, and the words above the lowest count for which there are at most ``local_words``.
 
     That count comes from a histogram of counts in eighths of powers of two, a few hundred rows.
     """
     step = F.floor(F.log2("c") * 8)
+    short = F.octet_length("token") <= LONGEST_WORD
     rows = counts.groupBy(step.alias("step")).agg(
-        F.count(F.lit(1)).alias("words"), F.sum("c").alias("occurrences"), F.min("c").alias("least")
-    )
+        F.count(F.lit(1)).alias("words"), F.sum("c").alias("occurrences"), F.min("c").alias("least"),
+        F.count_if(short).alias("short"),
+    )
     bars = sorted(rows.collect(), key=lambda r: -r["step"])
     least, room = None, options.local_words
     for bar in bars:
-        room -= bar["words"]
+        room -= bar["short"]
         if room < 0:
             break
         least = bar["least"]
-    chosen = counts.where(F.col("c") >= least).collect() if least is not None else []
-    words = sorted(((r["token"].encode(), r["c"]) for r in chosen), key=lambda w: (-w[1], w[0]))
+    known = counts.where(short)
+    top = known.orderBy(F.desc("c"), "token").limit(options.vocabulary).collect()
+    chosen = known.where(F.col("c") >= least).collect() if least is not None else []
+    words = sorted({(r["token"].encode(), r["c"]) for r in (*top, *chosen)}, key=lambda w: (-w[1], w[0]))
     return Vocabulary(
         words,
-        min(options.vocabulary, len(words)),
+        len(top),
         documents,
         sum(r["occurrences"] for r in bars),
         sum(r["words"] for r in bars),
@@ -199,20 +213,33 @@ def _averaged(trained: DataFrame, like: gru.Weights) -> gru.Weights:
     return gru.unpack(bytes(row["weights"]), like) if row else like
 
 
-def train(texts: DataFrame, vocabulary: Vocabulary, options: LmOptions) -> gru.Weights:
-    """A network trained on all of ``texts``; every task learns from its own part."""
-    context = texts.sparkSession.sparkContext
+def train(learned: DataFrame, vocabulary: Vocabulary, options: LmOptions) -> gru.Weights:
+    """A network trained on all of (doc_id, text), the same for any partitions of the rows."""
+    context = learned.sparkSession.sparkContext
     weights = gru.initial(vocabulary.symbol_counts(), options.gru)
     shared = context.broadcast(vocabulary)
     key = uuid.uuid4().hex
+    learners = max(1, math.ceil(vocabulary.train_tokens / options.learner_tokens))
+    each = vocabulary.train_tokens // learners
+    lanes = min(options.gru.lanes, max(16, each // (options.least_updates * options.gru.window)))
+    settings = replace(options.gru, lanes=lanes)
+    dealt = learned.select("text", F.xxhash64("doc_id", "text").alias("deal"))
+    dealt = dealt.repartitionById(learners, F.pmod("deal", F.lit(learners)).cast("int"))
+    dealt = dealt.sortWithinPartitions("deal", "text").select("text")
     for _ in range(options.rounds):
         start = context.broadcast(weights)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             coder = once_per_worker("lm", key, lambda: _Coder(shared.value))
-            trainer = gru.Trainer(start.value, END, options.gru)
-            for texts_ in _texts(batches):
-                trainer.learn([coder.code(split_words(text)) for text in texts_])
+            trainer, coded, size = gru.Trainer(start.value, END, settings), [], 0
+            for texts in _texts(batches):
+                for text in texts:
+                    coded.append(coder.code(split_words(text)))
+                    size += len(coded[-1])
+                    if size >= LAID_TOKENS:
+                        trainer.learn(coded)
+                        coded, size = [], 0
+            trainer.learn(coded)
             if trainer.tokens:
                 row = {
                     "part": TaskContext.get().partitionId(),
@@ -221,7 +248,7 @@ def train(texts: DataFrame, vocabulary: Vocabulary, options: LmOptions) -> gru.W
                 }
                 yield pa.RecordBatch.from_pylist([row], WEIGHTS)
 
-        trained = stage(texts.select("text").mapInArrow(run, WEIGHTS_DDL), "lm-weights")
+        trained = stage(dealt.mapInArrow(run, WEIGHTS_DDL), "lm-weights")
         weights = _averaged(trained, weights)
     return weights
 

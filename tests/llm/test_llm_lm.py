@@ -2,7 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
-from brute_llm import base_scores
+from brute_llm import base_scores, model_scores
 from ebbline.llm import gru, lm, queries
 from ebbline.llm.gru import GruOptions
 from ebbline.llm.lm import LmOptions
@@ -116,6 +116,39 @@ def test_how_many_words_are_broadcast_does_not_matter(documents, local_words):
     compared(scored(lm.score_documents(documents(rows), options)), rows)
 
 
+@pytest.mark.parametrize("local_words", [0, 40, 10_000])
+def test_scores_equal_brute_force_for_given_weights(documents, monkeypatch, local_words):
+    """Symbols, the symbol of all other words, and words that are not broadcast."""
+    rng = np.random.default_rng(18)
+    rows = [(i, " ".join(f"W{int(k)}" for k in rng.zipf(1.3, int(rng.integers(0, 90))) % 900)) for i in range(120)]
+    rows += [(500, None), (501, ""), (502, "x" * 5000 + " w1 unseen"), (None, "w1 w2")]
+    options = LmOptions(vocabulary=20, local_words=local_words, gru=GruOptions(hidden=4, members=4))
+    weights = {k: v + rng.normal(0, 0.3, v.shape).astype(np.float32) for k, v in gru.initial(np.ones(22), options.gru).items()}
+    monkeypatch.setattr(lm, "train", lambda *args: weights)
+    found = {r["doc_id"]: r["score"] for r in lm.score_documents(documents(rows), options).collect()}
+    expected = model_scores(rows, weights, is_held_out, 20)
+    assert [found[d] for d, _ in rows] == pytest.approx(expected, rel=1e-4)
+
+
+def test_scores_do_not_depend_on_the_partitions(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    options = LmOptions(vocabulary=200, learner_tokens=20_000, gru=GruOptions(hidden=8))
+    found = []
+    for parts in (1, 8, 64):
+        scores = lm.score_documents(rows.repartition(parts, "text"), options).collect()
+        found.append([r["score"] for r in sorted(scores, key=lambda r: r["doc_id"])])
+    assert found[1] == pytest.approx(found[0], rel=1e-5) and found[2] == pytest.approx(found[0], rel=1e-5)
+
+
+def test_symbols_do_not_hang_on_what_is_broadcast(spark):
+    rows = [("often", 1000), ("b", 7), ("a", 7), ("c", 3), ("y" * 300, 50)]
+    counts = spark.createDataFrame(rows, "token string, c long")
+    for local_words in (0, 2, 100):
+        found = lm.most_frequent(counts, 10, LmOptions(vocabulary=2, local_words=local_words))
+        assert found.words[:2] == [(b"often", 1000), (b"a", 7)] and found.symbols == 2
+        assert len(found.words) == (4 if local_words == 100 else 2) and found.distinct == 5
+
+
 def test_score_is_a_probability_over_all_words(documents):
     # One-word texts over all known words, an unknown one and the bare end: shares add up to about one.
     words = [f"w{k}" for k in range(30)]
