@@ -27,7 +27,7 @@ class GruOptions:
     # Lanes trained in, of which fewer make more updates, and lanes scored in; the latter changes no result.
     lanes: int = 512
     scored_lanes: int = 1024
-    rate: float = 0.1
+    rate: float = 0.2
     seed: int = 7
     # Gradients are scaled down to this norm.
     clip: float = 5.0

@@ -64,8 +64,8 @@ class LmOptions:
     local_words: int = 200_000
     rounds: int = 1
     # Tokens that a learner gets, about; with fewer it works in fewer lanes, so that it still makes so many updates.
-    learner_tokens: int = 4_000_000
-    least_updates: int = 400
+    learner_tokens: int = 8_000_000
+    least_updates: int = 900
     folds: int = 7
     held_out_fold: int = 2
     gru: gru.GruOptions = gru.GruOptions()
