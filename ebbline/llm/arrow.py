@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
+# Bytes of a batch of rows that a task hands to Python, unless the session says otherwise. The default is many
+# times that, for each task on either side.
+BATCH_BYTES = "8m"
+BYTES_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 # Objects that are dear to build: per Python worker the last one of each kind, and what it was built for.
 _kept: dict = {}
 
@@ -20,6 +26,32 @@ def once_per_worker(kind: str, key, build: Callable):
     return _kept[kind][1]
 
 
+def map_arrow(df: DataFrame, run: Callable, schema: T.StructType | str) -> DataFrame:
+    """``mapInArrow`` with batches of bounded size, for rows that hold texts.
+
+    Python workers outlive their tasks, so what a task has freed goes back to the system when it ends.
+    """
+    conf = df.sparkSession.conf
+    if BYTES_SETTING not in conf.getAll:
+        conf.set(BYTES_SETTING, BATCH_BYTES)
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(tidy, schema)
+
+
+def give_back() -> None:
+    """Return free memory to the system, as far as the allocators can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 8_000_000) -> Iterator[pa.RecordBatch]:
     """The batch in parts of about ``most_bytes`` of ``column``, or of one row if that row is longer."""
     rows = max(1, batch.num_rows)
@@ -56,28 +88,41 @@ def each_group(make: Callable[[pa.Table], pa.Table], keys: list[str]) -> Callabl
     return run
 
 
-def with_column(
+def with_columns(
     df: DataFrame,
-    name: str,
-    kind: T.DataType,
+    fields: list[T.StructField],
     source: str,
     build: Callable,
     make: Callable,
     keep: list[str] | None = None,
 ) -> DataFrame:
-    """``keep`` (all of ``df``) and the column ``name``, which ``make(state, values)`` computes from ``source``.
+    """``keep`` (all of ``df``) and the columns ``fields``, which ``make(state, values)`` computes from ``source``.
 
-    ``build`` gives the state, once per task. A column that is already called so is replaced.
+    ``build`` gives the state, once per task. Columns that are already called so are replaced.
     """
-    kept = [f for f in df.schema if f.name != name and (keep is None or f.name in keep)]
-    schema = T.StructType([*kept, T.StructField(name, kind)])
-    names = [f.name for f in kept]
+    made = {f.name for f in fields}
+    kept = [f for f in df.schema if f.name not in made and (keep is None or f.name in keep)]
+    names = [f.name for f in (*kept, *fields)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = build()
         for whole in batches:
             for batch in slices(whole, source):
-                made = make(state, batch.column(source).to_pylist())
-                yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], made], [*names, name])
+                arrays = make(state, batch.column(source).to_pylist())
+                yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in kept], *arrays], names)
 
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, T.StructType([*kept, *fields]))
+
+
+def with_column(
+    df: DataFrame,
+    name: str,
+    kind: T.DataType,
+    source: str,
+    build: Callable,
+    make: Callable,
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """The same for one column, of which ``make`` returns the array."""
+    field = T.StructField(name, kind)
+    return with_columns(df, [field], source, build, lambda state, values: [make(state, values)], keep)

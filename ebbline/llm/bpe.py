@@ -9,12 +9,15 @@ pre-token of n bytes cost n log n steps at worst, where rescanning after every m
 Texts are encoded row by row in Arrow batches; short pre-tokens are remembered per worker, up to
 ``REMEMBERED`` of them. Ids are kept as one binary value per text: unsigned 32-bit, little-endian.
 
-Null and empty texts have no ids. Repeated rows are encoded again. Other columns pass unread.
+Null and empty texts have no ids. Texts and pre-tokens may be of any length. Pairs of equal rank are merged from the
+left. Repeated rows are encoded again. An empty table gives no rows. Other columns pass unread; those that are called
+like a result are replaced.
 """
 
 from __future__ import annotations
 
 import base64
+import hashlib
 import re
 import struct
 from heapq import heappop, heappush
@@ -23,9 +26,9 @@ from itertools import islice
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 
-from ebbline.llm.arrow import once_per_worker, with_column
+from ebbline.llm.arrow import once_per_worker, with_column, with_columns
 
 REMEMBERED = 300_000
 LONGEST_REMEMBERED = 48
@@ -252,15 +255,34 @@ def decode(
 
 
 def digests(
-    df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", keep: list[str] | None = None
+    df: DataFrame,
+    ranks: dict[bytes, int],
+    pattern: str,
+    text: str = "text",
+    keep: list[str] | None = None,
+    with_ids: bool = True,
 ) -> DataFrame:
-    """``keep``, then n_tokens, ids, their SHA-256, and the SHA-256 of the bytes they decode to."""
-    encoded = encode(df, ranks, pattern, text, "ids", keep)
-    restored = decode(encoded, ranks, "ids", "decoded")
-    return restored.select(
-        *[c for c in encoded.columns if c != "ids"],
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        "ids",
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    """``keep``, then n_tokens, ids, their SHA-256, and the SHA-256 of the bytes they decode to.
+
+    Encoded and decoded in one pass of one worker, so that neither ids nor bytes travel only to be digested.
+    """
+    fields = [
+        T.StructField("n_tokens", T.LongType()),
+        *[T.StructField("ids", T.BinaryType())] * with_ids,
+        T.StructField("ids_sha256", T.StringType()),
+        T.StructField("decoded_sha256", T.StringType()),
+    ]
+
+    def make(encoder: Encoder, texts: list) -> list[pa.Array]:
+        sizes, every, ids_digests, decoded_digests = [], [], [], []
+        for value in texts:
+            ids = encoder.encode(value)
+            sizes.append(len(ids) // 4)
+            ids_digests.append(hashlib.sha256(ids).hexdigest())
+            decoded_digests.append(hashlib.sha256(encoder.decode(ids)).hexdigest())
+            if with_ids:
+                every.append(ids)
+        packed = [pa.array(every, pa.binary())] * with_ids
+        return [pa.array(sizes, pa.int64()), *packed, pa.array(ids_digests, pa.string()), pa.array(decoded_digests, pa.string())]
+
+    return with_columns(df, fields, text, _encoder(df, ranks, pattern), make, keep)

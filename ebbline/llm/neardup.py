@@ -16,12 +16,17 @@ register keeps the number of leading zeros and ten mantissa bits, 16 bits in all
    similarity, corrected for chance collisions of registers, is more than six standard errors too low
    are left out. The others are confirmed on the full sets.
 4. Components of these links. Classes that met the same partner but are in different components so far
-   are tested against each other too, so no link is lost. Their group is cut into blocks of at most
-   ``BLOCK`` classes, a task has two blocks, first of sketches, then of the full sets of those that the
-   sketches leave in doubt, and it hands on as many links as join its components, never all pairs.
+   are tested against each other too, so no link is lost. Their group is cut into blocks of at most ``BLOCK`` or
+   so, a task has one or two: first the sketches, then the full sets of those that the sketches leave in doubt.
+   Members of groups of more than ``BLOCKS`` blocks meet by exact keys instead: one of two near sets that is not the larger has a shingle among its first
+   n - ceil(8/9 n) + 1 which the other has among its first n - ceil(0.8 n) + 1, when those that many of them have
+   come last. Texts around a common passage that are alike, but not near, share none, so that a family of them is
+   no more work than as many other texts.
+   Keys that still bring components together are compared in blocks, keys of the same sets once. A task hands on
+   as many links as join its components, never all pairs.
 
 Texts with fewer words than a shingle are one shingle; those without words, null ones included, are
-linked with nothing. Repeated rows belong to one class. Null doc_ids sort last: a component's id is
+linked with nothing. Repeated rows belong to one class. Null doc_ids come last: a component's id is
 null only if all its documents' are. Tables may be empty; other columns are not looked at.
 """
 
@@ -32,11 +37,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from ebbline.llm.arrow import each_group, slices
+from ebbline.llm.arrow import each_group, map_arrow, slices
 from ebbline.llm.components import components
-from ebbline.llm.text import lower_ascii, packed, plain, words
+from ebbline.llm.simhash import shingle_hashes
+from ebbline.llm.text import packed
 from ebbline.session import stage
 
 BUCKET_BITS = 7
@@ -47,36 +53,76 @@ BAND = 4
 SPARSE = 96
 # Links of sets with at most this many shingles are found by exact keys.
 EXACT = 64
-BLOCK = 256
+BLOCK = 1024
+# Blocks of a group that are compared with each other; members of larger groups meet by exact keys.
+BLOCKS = 4
+# Shingles of large groups that are known to be common, at eight bytes each in every task.
+COMMON = 500_000
 STANDARD_ERRORS = 6.0
 # Fixed value of the published estimator: expected collisions of registers between disjoint sets.
 COLLISION = 0.169919487159739093975315012348
-# Bounds on what a task holds: hashes that are drawn into sketches at a time, and while it compares two
-# blocks, pairs of sketches and columns of shingles.
+# Bounds on what a task holds: text that is hashed at a time, and while it compares two blocks, pairs of
+# sketches and columns of shingles.
 SLICE_BYTES = 2_000_000
 PAIRS_AT_ONCE = 8192
 COLUMNS_AT_ONCE = 8192
 # A list of row numbers is broadcast while it is smaller than this; beyond, it is joined by a shuffle.
 BROADCAST_BYTES = 32_000_000
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
-LAST_ID = 0x7FFFFFFFFFFFFFFF
 
 
-def shingle_hashes(text: Column, size: int) -> tuple[Column, Column]:
-    """The word array, and from a column ``_w`` holding it the distinct shingle hashes."""
-    parts = ", ".join(f"_w[i + {k}]" for k in range(size))
-    hashes = (
-        f"CASE WHEN size(_w) >= {size} THEN array_distinct(transform(sequence(0, size(_w) - {size}), i -> xxhash64({parts})))"
-        f" WHEN size(_w) > 0 THEN array(xxhash64(concat_ws(' ', _w), size(_w))) ELSE CAST(array() AS array<bigint>) END"
-    )
-    return words(lower_ascii(plain(text))), F.expr(hashes)
+def _sets(texts: pa.Array, size: int) -> list[np.ndarray]:
+    """The distinct shingle hashes of every text."""
+    return [np.unique(shingle_hashes(text or b"", size)) for text in texts.cast(pa.binary()).to_pylist()]
+
+
+def _lists(sets: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, sets)], dtype=np.int32)
+    return pa.ListArray.from_arrays(offsets, np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64))
+
 
+def with_shingles(texts: DataFrame, size: int) -> DataFrame:
+    """(node, hashes) from (node, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text", SLICE_BYTES):
+                hashes = _lists(_sets(batch.column("text"), size))
+                yield pa.RecordBatch.from_arrays([batch.column("node"), hashes], ["node", "hashes"])
 
-def with_shingles(df: DataFrame, size: int, text: str = "text") -> DataFrame:
-    """The columns besides ``text`` and ``hashes``."""
-    split, hashes = shingle_hashes(F.col(text), size)
-    rest = [c for c in df.columns if c != text]
-    return df.select(*rest, split.alias("_w")).select(*rest, hashes.alias("hashes"))
+    return map_arrow(texts.select("node", "text"), run, "node long, hashes array<long>")
+
+
+def prefix_keys(texts: DataFrame, common: np.ndarray, size: int, percent: int) -> DataFrame:
+    """(part, node, component, first) from (node, component, text): shingles by which near sets meet.
+
+    Of two near sets both have one of the parts, and the one that is not the larger has it with ``first``. That
+    holds for any one order of all shingles; here those in ``common``, sorted, come last.
+    """
+    sent = texts.sparkSession.sparkContext.broadcast(common)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text", SLICE_BYTES):
+                keys, sizes, firsts = [], [], []
+                for hashes in _sets(batch.column("text"), size):
+                    n = len(hashes)
+                    places = n - -(-percent * n // 100) + 1 if n else 0
+                    last = np.isin(hashes, sent.value, assume_unique=True)
+                    keys.append(np.concatenate([hashes[~last], hashes[last]])[:places])
+                    sizes.append(places)
+                    firsts.append(np.arange(places) < n - -(-2 * percent * n // (100 + percent)) + 1)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate([*keys, np.zeros(0, np.uint64)]).view(np.int64)),
+                        pa.array(np.repeat(batch.column("node").to_numpy(), sizes)),
+                        pa.array(np.repeat(batch.column("component").to_numpy(), sizes)),
+                        pa.array(np.concatenate([*firsts, np.zeros(0, bool)])),
+                    ],
+                    ["part", "node", "component", "first"],
+                )
+
+    return map_arrow(texts.select("node", "component", "text"), run, "part long, node long, component long, first boolean")
 
 
 def registers(hashes: np.ndarray, owners: np.ndarray, rows: int) -> np.ndarray:
@@ -110,8 +156,8 @@ def band_keys(sketch: np.ndarray) -> np.ndarray:
     return np.unique(key).view(np.int64)
 
 
-def sketches(sets: DataFrame) -> DataFrame:
-    """(node, id, n, d1, d2, registers, keys) from (node, id, hashes); d1 and d2 tell sets apart."""
+def sketches(texts: DataFrame, size: int) -> DataFrame:
+    """(node, id, n, d1, d2, registers, keys) from (node, id, text); d1 and d2 tell sets apart."""
     schema = T.StructType(
         [
             T.StructField("node", T.LongType()),
@@ -125,9 +171,9 @@ def sketches(sets: DataFrame) -> DataFrame:
     )
 
     def drawn(batch: pa.RecordBatch) -> pa.RecordBatch:
-        lists = batch.column("hashes")
-        sizes = np.diff(lists.offsets.to_numpy())
-        hashes = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+        sets = _sets(batch.column("text"), size)
+        sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+        hashes = np.concatenate([*sets, np.zeros(0, np.uint64)])
         owners = np.repeat(np.arange(len(sizes)), sizes)
         regs = registers(hashes, owners, len(sizes))
         mixed = (hashes ^ hashes >> np.uint64(31)) * np.uint64(0xBF58476D1CE4E5B9)
@@ -151,11 +197,10 @@ def sketches(sets: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            # Several arrays as long as the hashes are needed at once.
-            for batch in slices(whole, "hashes", SLICE_BYTES):
+            for batch in slices(whole, "text", SLICE_BYTES):
                 yield drawn(batch)
 
-    return sets.select("node", "id", "hashes").mapInArrow(run, schema)
+    return map_arrow(texts.select("node", "id", "text"), run, schema)
 
 
 def estimated(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.ndarray) -> tuple:
@@ -192,12 +237,12 @@ def _likely(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
             good = pa.array(_near(*both, *sizes, least))
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(good), batch.column("b").filter(good)], ["a", "b"])
 
-    return sides.mapInArrow(run, "a long, b long")
+    return map_arrow(sides, run, "a long, b long")
 
 
 def _listed(rows: DataFrame) -> DataFrame:
-    """Rows of one long, with a broadcast hint if their counted size is small."""
-    return F.broadcast(rows) if rows.count() * 8 <= BROADCAST_BYTES else rows
+    """Rows of longs, with a broadcast hint if their counted size is small."""
+    return F.broadcast(rows) if rows.count() * 8 * len(rows.columns) <= BROADCAST_BYTES else rows
 
 
 def _exact_keys(classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -207,9 +252,7 @@ def _exact_keys(classes: DataFrame, texts: DataFrame, size: int, percent: int) -
     only equal ones are near have none.
     """
     few = classes.where(F.expr(f"n <= {EXACT * 100 // percent} AND n * {100 - percent} >= {percent}")).select("node")
-    sets = with_shingles(texts.select("node", "text").join(_listed(few), "node", "left_semi"), size)
-    # Read back, because the filter that an explode implies would be worked out on all texts, word by word.
-    sets = stage(sets, "neardup-few")
+    sets = stage(with_shingles(texts.join(_listed(few), "node", "left_semi"), size), "neardup-few")
     each = sets.select("node", F.explode("hashes").alias("shingle"), F.size("hashes").alias("n"))
     # Shingles of one class alone come first in the order but meet nothing; the others take the places left.
     counts = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
@@ -223,7 +266,7 @@ def _exact_keys(classes: DataFrame, texts: DataFrame, size: int, percent: int) -
 def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs whose full sets have 100 * intersection >= percent * union."""
     wanted = stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
-    sets = with_shingles(texts.select("node", "text").join(_listed(wanted), "node", "left_semi"), size)
+    sets = with_shingles(texts.join(_listed(wanted), "node", "left_semi"), size)
     # The larger share of the rows meets its sets first; the common partner is joined with them last.
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha")), "a")
     both = left.join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb")), "b")
@@ -236,7 +279,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
     )
 
 
-PART = ["leader", "i", "j"]
+PART = ["part", "i", "j"]
 
 
 def _in_blocks(rows: DataFrame) -> DataFrame:
@@ -258,7 +301,7 @@ def _doubtful(least: float):
             a, b = left[at : at + PAIRS_AT_ONCE], right[at : at + PAIRS_AT_ONCE]
             good = _near(regs[a], regs[b], n[a], n[b], least)
             wanted[a[good]] = wanted[b[good]] = True
-        return block.select(["leader", "i", "j", "node", "component", "own"]).filter(pa.array(wanted))
+        return block.select([*PART, "node", "component", "own"]).filter(pa.array(wanted))
 
     return run
 
@@ -319,27 +362,51 @@ def _across(
     met: DataFrame, found: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int
 ) -> DataFrame:
     """Links between classes that met the same partner (a, b: partner) but are in different components."""
+    dealt = _dealt(met, found, texts, size, percent)
+    sketched = dealt.join(classes.select("node", "n", "registers"), "node")
+    kind = "part long, i long, j long, node long, component long, own long"
+    doubtful = stage(map_arrow(_in_blocks(sketched), each_group(_doubtful(percent / 100), PART), kind), "neardup-doubtful")
+    wanted = stage(doubtful.select("node").distinct(), "neardup-wanted")
+    sets = with_shingles(texts.join(_listed(wanted), "node", "left_semi"), size)
+    return map_arrow(_in_blocks(doubtful.join(sets, "node")), each_group(_joining(percent), PART), "u long, v long")
+
+
+def _dealt(met: DataFrame, found: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Rows of blocks to be compared: part, i and j name a block or a pair of blocks, ``own`` the row's block."""
     placed = met.join(found, F.col("a") == F.col("node"), "left").select(
-        F.col("b").alias("leader"), F.col("a").alias("node"), F.coalesce("component", "a").alias("component")
+        F.col("b").alias("part"), F.col("a").alias("node"), F.coalesce("component", "a").alias("component")
     )
     placed = stage(placed, "neardup-placed")
-    mixed = (
-        placed.groupBy("leader")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("m"))
-        .where("low < high")
-        .select("leader", F.ceil(F.col("m") / BLOCK).alias("blocks"))
-    )
+    mixed = _mixed(placed)
+    blocks = F.ceil(F.col("m") / BLOCK).alias("blocks")
+    small = placed.join(mixed.where(F.col("m") <= BLOCK * BLOCKS).select("part", blocks), "part")
+    asked = placed.join(mixed.where(F.col("m") > BLOCK * BLOCKS), "part", "left_semi").select("node", "component").distinct()
+    asked = stage(asked, "neardup-asked")
+    # Their texts once, beside the rows of one list: what is asked for is a fraction of all.
+    sets = stage(texts.select("node", "text").join(_listed(asked), "node"), "neardup-asked-texts")
+    keyed = stage(prefix_keys(sets, _common(sets, size), size, percent), "neardup-keyed")
+    members = F.struct(F.bit_xor(F.xxhash64("node")), F.sum(F.pmod(F.xxhash64("node", F.lit(1)), F.lit(1 << 40)))).alias("members")
+    sized = _mixed(keyed, F.bool_or("first").alias("first"), members).where("first").dropDuplicates(["m", "members"])
+    large = keyed.drop("first").join(sized.select("part", blocks), "part")
+    rows = small.unionByName(large).withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
     # A class meets each block once: as the first of the two if its own comes first.
     meets = F.expr("transform(sequence(0L, blocks - 1), o -> struct(least(own, o) AS i, greatest(own, o) AS j))")
-    dealt = placed.join(mixed, "leader").withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
-    dealt = dealt.select("leader", "node", "component", "own", F.explode(meets).alias("part"))
-    dealt = dealt.select("leader", "node", "component", "own", "part.i", "part.j")
-    sketched = dealt.join(classes.select("node", "n", "registers"), "node")
-    kind = "leader long, i long, j long, node long, component long, own long"
-    doubtful = stage(_in_blocks(sketched).mapInArrow(each_group(_doubtful(percent / 100), PART), kind), "neardup-doubtful")
-    wanted = stage(doubtful.select("node").distinct(), "neardup-wanted")
-    sets = with_shingles(texts.select("node", "text").join(_listed(wanted), "node", "left_semi"), size)
-    return _in_blocks(doubtful.join(sets, "node")).mapInArrow(each_group(_joining(percent), PART), "u long, v long")
+    met_blocks = rows.select("part", "node", "component", "own", F.explode(meets).alias("block"))
+    return met_blocks.select("part", "node", "component", "own", "block.i", "block.j")
+
+
+def _common(texts: DataFrame, size: int) -> np.ndarray:
+    """The shingles that most of the texts have, at most ``COMMON`` of those that more than a block of texts have."""
+    each = with_shingles(texts, size).select(F.explode("hashes").alias("shingle"))
+    counts = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > BLOCK)
+    found = counts.orderBy(F.desc("m"), "shingle").limit(COMMON).select("shingle").toArrow()
+    return np.sort(found.column("shingle").to_numpy().view(np.uint64))
+
+
+def _mixed(rows: DataFrame, *more) -> DataFrame:
+    """Parts whose rows are not all of one component, with the number of their rows."""
+    ends = [F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("m")]
+    return rows.groupBy("part").agg(*ends, *more).where("low < high").drop("low", "high")
 
 
 def find_components(
@@ -354,20 +421,21 @@ def find_components(
     read = docs.select(
         F.monotonically_increasing_id().alias("node"),
         packed(docs) if carry else F.col("text").cast("string").alias("text"),
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"),
+        F.col("doc_id").cast("long").alias("id"),
     )
     texts = stage(read, "neardup-texts")
     if carry:
         # The text is in the row already and is not written twice.
         texts = texts.withColumn("text", F.col("row.text").cast("string"))
-    drawn = stage(sketches(with_shingles(texts.select("node", "id", "text"), size)), "neardup-sketches")
+    drawn = stage(sketches(texts, size), "neardup-sketches")
     # Classes are told apart by 128 bits and the set's size.
     classes = stage(
         drawn.where("n > 0")
         .groupBy("d1", "d2", "n")
         .agg(
             F.min("node").alias("node"),
-            F.min(F.struct("id", "node")).alias("keeper"),
+            # Null ids come last.
+            F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "node")).alias("keeper"),
             F.any_value("registers").alias("registers"),
             F.any_value("keys").alias("keys"),
         ),
@@ -397,7 +465,7 @@ def find_components(
         "node",
         "id",
         "n",
-        F.coalesce("best.id", "id").alias("component_id"),
+        F.when(F.col("best").isNull(), F.col("id")).otherwise(F.col("best.id")).alias("component_id"),
         F.coalesce("best.node", "node").alias("keeper"),
     )
 
@@ -405,12 +473,11 @@ def find_components(
 def label_documents(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
     """One row per document: the size of its set, its component and whether it is the one kept."""
     _, found = find_components(docs.select("doc_id", "text"), size, percent)
-    known = lambda c: F.nullif(F.col(c), F.lit(LAST_ID))
     return found.select(
-        known("id").alias("doc_id"),
+        F.col("id").alias("doc_id"),
         F.col("n").alias("n_shingles"),
-        known("component_id").alias("component_id"),
-        (F.col("id") == F.col("component_id")).alias("kept"),
+        "component_id",
+        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
     )
 
 

@@ -23,7 +23,7 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe.digests(docs, ranks, public_tokenizers.PATTERN, keep=["doc_id"]).drop("ids")
+    return bpe.digests(docs, ranks, public_tokenizers.PATTERN, keep=["doc_id"], with_ids=False)
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

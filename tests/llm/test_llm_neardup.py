@@ -11,16 +11,15 @@ from ebbline.llm.components import components
 def labels(rows, size):
     """(doc_id, n_shingles, component_id, kept) of (doc_id, text) rows, by brute force."""
     found = near_groups(rows, size)
-    last = 2**63 - 1
-    ids = [last if doc_id is None else doc_id for doc_id, _ in rows]
-    lowest = {root: min(i for i, (_, r) in zip(ids, found) if r == root) for _, root in found}
-    return sorted((i, n, lowest[root], i == lowest[root]) for i, (n, root) in zip(ids, found))
+    lowest = {}
+    for (doc_id, _), (_, root) in zip(rows, found):
+        lowest.setdefault(root, []).extend([] if doc_id is None else [doc_id])
+    lowest = {root: min(ids, default=None) for root, ids in lowest.items()}
+    return sorted(((i, n, lowest[root], i == lowest[root]) for (i, _), (n, root) in zip(rows, found)), key=repr)
 
 
 def found_labels(frame):
-    last = 2**63 - 1
-    number = lambda v: last if v is None else v
-    return sorted((number(r["doc_id"]), r["n_shingles"], number(r["component_id"]), r["kept"]) for r in frame.collect())
+    return sorted(((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in frame.collect()), key=repr)
 
 
 def families(seed, count, copies, length, vocabulary=400):
@@ -44,6 +43,82 @@ def test_odd_documents(documents, odd_rows, size):
     assert found_labels(neardup.label_documents(documents(odd_rows), size)) == labels(odd_rows, size)
 
 
+def test_end_values_and_nulls_are_ids_of_their_own(documents):
+    top, low = 2**63 - 1, -(2**63)
+    text = [f"a text of its own number {i} with enough words to tell it apart {i}" for i in range(6)]
+    rows = [(None, text[0]), (top, text[0]), (None, text[1]), (None, text[1]), (top, text[2]), (low, text[2]), (None, text[2])]
+    rows += [(top, text[3]), (None, text[4]), (top - 1, text[4]), (top, None), (None, None)]
+    assert found_labels(neardup.label_documents(documents(rows), 2)) == labels(rows, 2)
+    kept = [(r["doc_id"], r["text"]) for r in neardup.keep_one(documents(rows), 2).collect()]
+    expected = [(top, text[0]), (None, text[1]), (low, text[2]), (top, text[3]), (top - 1, text[4]), (top, None), (None, None)]
+    assert sorted(kept, key=repr) == sorted(expected, key=repr)
+
+
+def around(count, own, common=60):
+    """Texts of ``own`` words of their own and a common passage."""
+    passage = " ".join(f"common{i}" for i in range(common))
+    return [(k, passage + "".join(f" own{k}x{i}" for i in range(own))) for k in range(count)]
+
+
+def test_a_family_that_is_alike_but_not_near_is_linear_work(documents, monkeypatch):
+    """The rows that go into blocks, for more and more texts of a similarity of 0.68 with each other."""
+    dealt, counted = neardup._dealt, []
+
+    def counts(*args):
+        rows = dealt(*args)
+        counted.append(rows.count())
+        return rows
+
+    monkeypatch.setattr(neardup, "_dealt", counts)
+    monkeypatch.setattr(neardup, "BLOCK", 64)
+    for count in (200, 600, 1800):
+        rows = around(count, 14)
+        found = neardup.label_documents(documents(rows), 2).collect()
+        assert all(r["component_id"] == r["doc_id"] for r in found) and len(found) == count
+    assert counted[1] <= 20 * 600 and counted[2] <= 20 * 1800
+
+
+def test_large_groups_lose_no_link(documents, monkeypatch):
+    """Members of groups above a block meet by exact keys, and again in blocks where these are common."""
+    monkeypatch.setattr(neardup, "BLOCK", 8)
+    monkeypatch.setattr(neardup, "BLOCKS", 1)
+    # Within the family some differ by a word or two from one another, of very different sizes too.
+    rows = around(60, 20)
+    rows += [(100 + k, text + f" tail{k}" * (k % 9)) for k, (_, text) in enumerate(rows)]
+    rows += [(200 + k, text.rsplit(" ", 1 + k % 4)[0]) for k, (_, text) in enumerate(rows[:60])]
+    rows += [(400 + d, t) for d, t in families(21, 4, 30, 90, 300)]
+    for size in (2, 5):
+        assert found_labels(neardup.label_documents(documents(rows), size)) == labels(rows, size)
+
+
+@pytest.mark.parametrize("common", [0, 40, 400])
+def test_prefix_keys_join_all_near_sets(spark, common):
+    """Whatever shingles come last."""
+    random.seed(22)
+    texts = []
+    for _ in range(25):
+        base = [random.randrange(400) for _ in range(random.randrange(1, 60))]
+        for _ in range(6):
+            cut = random.randrange(0, 1 + len(base) // 3)
+            texts.append(" ".join(f"w{x}" for x in {*base[cut:], *(random.randrange(400) for _ in range(random.randrange(cut + 2)))}))
+    sets = [{*text.split()} for text in texts]
+    last = np.sort(np.concatenate([neardup.shingle_hashes(f"w{i}".encode(), 1) for i in range(common)] or [np.zeros(0, np.uint64)]))
+    frame = spark.createDataFrame([(i, 7, text) for i, text in enumerate(texts)], "node long, component long, text string")
+    for percent in (50, 80, 90):
+        keys = {}
+        for r in neardup.prefix_keys(frame, last, 1, percent).collect():
+            assert r["component"] == 7
+            keys.setdefault(r["node"], {})[r["part"]] = r["first"]
+        for a in range(len(sets)):
+            for b in range(a):
+                one, other = sorted((a, b), key=lambda i: len(sets[i]))
+                both = len(sets[a] & sets[b])
+                if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                    assert any(keys[one][key] for key in keys[one].keys() & keys[other].keys())
+        # Not all shingles are keys.
+        assert sum(map(len, keys.values())) < sum(map(len, sets))
+
+
 def test_keep_one_keeps_columns_and_one_row_of_each_group(documents, odd_rows):
     docs = documents(odd_rows)
     rows = neardup.keep_one(docs, 5)
@@ -55,9 +130,8 @@ def test_keep_one_keeps_columns_and_one_row_of_each_group(documents, odd_rows):
         if n:
             numbered.setdefault(root, []).append(odd_rows[i])
     assert len(kept) == len(numbered)
-    last = 2**63 - 1
-    best = sorted(min(last if d is None else d for d, _ in members) for members in numbered.values())
-    assert sorted(last if d is None else d for d, _ in kept) == best
+    best = [min((d for d, _ in members if d is not None), default=None) for members in numbered.values()]
+    assert sorted((d for d, _ in kept), key=repr) == sorted(best, key=repr)
 
 
 def test_families_of_short_and_long_texts(documents):
@@ -160,7 +234,7 @@ def test_block_links_join_components_only():
     sets = [[1, 2, 3, 4, 5, 6, 7, 8, 9, 10]] * 4 + [[50, 51]]
     block = pa.table(
         {
-            "leader": [0] * 5, "i": [0] * 5, "j": [0] * 5, "own": [0] * 5, "node": [0, 1, 2, 3, 4],
+            "part": [0] * 5, "i": [0] * 5, "j": [0] * 5, "own": [0] * 5, "node": [0, 1, 2, 3, 4],
             "component": [0, 0, 2, 3, 4], "hashes": pa.array(sets, pa.list_(pa.int64())),
         }
     )
