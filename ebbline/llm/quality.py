@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ebbline.llm.text import SPACE_CHARS, SPACE_CLASS, packed, plain, words
+from ebbline.llm.text import SPACE_CHARS, SPACE_CLASS, packed, plain
 from ebbline.session import stage
 
 SYMBOLS = "#*$%&|<>"
@@ -41,58 +41,61 @@ def _without(text: Column, chars: str) -> Column:
     return F.char_length(text) - F.char_length(F.translate(text, chars, ""))
 
 
-def _measured(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    """``keep`` and the measures. Repeated runs are found by sorting only where hashes show any.
+def _let(value: str, name: str, body: str) -> str:
+    """SQL for ``body``, in which ``name`` stands for ``value``, worked out once and never a column of its own."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _repeats(words_name: str) -> str:
+    """SQL for the number of words in repeated runs.
 
-    Equal runs have equal hashes, so a text whose hashes all differ has none; otherwise the runs'
-    own words are compared.
+    Repeated runs are found by sorting only where hashes show any. Equal runs have equal hashes, so a text whose
+    hashes all differ has none; otherwise the runs' own words are compared.
     """
-    value = plain(F.col(text))
-    lines = F.filter(F.split(value, "\n"), lambda line: F.btrim(line, F.lit(SPACE_CHARS)) != "")
-    first = docs.select(
-        *keep,
-        words(F.col(text)).alias("_w"),
-        lines.alias("_lines"),
-        _without(value, SYMBOLS).alias("n_symbols"),
-        F.char_length(F.regexp_replace(value, SPACE_CLASS + "+", "")).alias("word_chars"),
-    )
-    run = ", ".join(f"_w[i + {k}]" for k in range(RUN))
-    last = f"size(_w) - {RUN}"
-    second = first.withColumn(
-        "_runs", F.expr(f"IF(size(_w) >= {RUN}, transform(sequence(0, {last}), i -> xxhash64({run})), array())")
-    )
-    third = second.withColumn(
-        "_sorted",
-        F.expr(
-            f"IF(size(array_distinct(_runs)) < size(_runs), array_sort(transform(sequence(0, {last}),"
-            f" i -> named_struct('g', concat_ws(' ', {run}), 'i', i))), NULL)"
-        ),
+    run = ", ".join(f"{words_name}[i + {k}]" for k in range(RUN))
+    places = f"sequence(0, size({words_name}) - {RUN})"
+    ordered = f"array_sort(transform({places}, i -> named_struct('g', concat_ws(' ', {run}), 'i', i)))"
+    starts = (
+        "array_sort(transform(filter(sequence(0, size(o) - 1),"
+        " k -> o[k].g <=> get(o, k - 1).g OR o[k].g <=> get(o, k + 1).g), k -> o[k].i))"
     )
-    fourth = third.withColumn(
-        "_starts",
-        F.expr(
-            "array_sort(transform(filter(sequence(0, size(_sorted) - 1),"
-            " k -> _sorted[k].g <=> get(_sorted, k - 1).g OR _sorted[k].g <=> get(_sorted, k + 1).g),"
-            " k -> _sorted[k].i))"
-        ),
+    covered = (
+        f"IF(size(s) = 0, 0L, aggregate(sequence(0, size(s) - 1), 0L, (sum, k) -> sum"
+        f" + IF(k = 0, {RUN}, least({RUN}, s[k] - get(s, k - 1)))))"
     )
-    covered = F.expr(
-        f"coalesce(IF(size(_starts) = 0, 0L, aggregate(sequence(0, size(_starts) - 1), 0L, (sum, k) -> sum"
-        f" + IF(k = 0, {RUN}, least({RUN}, _starts[k] - get(_starts, k - 1))))), 0L)"
-    )
-    return fourth.select(
+    compared = _let(ordered, "o", _let(starts, "s", covered))
+    hashed = _let(f"transform({places}, i -> xxhash64({run}))", "r", f"IF(size(array_distinct(r)) < size(r), {compared}, 0L)")
+    return f"IF(size({words_name}) >= {RUN}, {hashed}, 0L)"
+
+
+def _words(text: str) -> str:
+    """SQL for the words of the column ``text``, as ``text.words`` has them."""
+    trimmed = f"btrim(coalesce(CAST(`{text}` AS STRING), ''), '{SPACE_CHARS}')"
+    return f"IF({trimmed} = '', CAST(array() AS array<string>), split({trimmed}, '[{SPACE_CHARS}]+'))"
+
+
+def _counts(text: str) -> Column:
+    """A struct of n_words and n_repeat_words. Words and runs live in this expression alone, in no row."""
+    return F.expr(_let(_words(text), "w", f"named_struct('n_words', CAST(size(w) AS BIGINT), 'n_repeat_words', {_repeats('w')})"))
+
+
+def _measured(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """``keep`` and the measures, from the text as it was read."""
+    value = plain(F.col(text))
+    lines = F.filter(F.split(value, "\n"), lambda line: F.btrim(line, F.lit(SPACE_CHARS)) != "")
+    repeated = F.transform(F.array(lines), lambda own: F.size(own) - F.size(F.array_distinct(own)))[0]
+    return docs.select(
         *keep,
-        F.size("_w").cast("long").alias("n_words"),
-        F.col("word_chars").cast("long"),
-        F.col("n_symbols").cast("long"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        covered.cast("long").alias("n_repeat_words"),
-    )
+        _counts(text).alias("_counts"),
+        F.char_length(F.regexp_replace(value, SPACE_CLASS + "+", "")).cast("long").alias("word_chars"),
+        _without(value, SYMBOLS).cast("long").alias("n_symbols"),
+        repeated.cast("long").alias("n_dup_lines"),
+    ).select(*keep, "_counts.n_words", "word_chars", "n_symbols", "n_dup_lines", "_counts.n_repeat_words")
 
 
-def _failed(options: QualityOptions) -> Column:
-    too_few = F.col("n_words") < options.min_words
-    return too_few | (100 * F.col("n_repeat_words") > options.max_repeat_percent * F.col("n_words"))
+def _failed(options: QualityOptions, of: str = "") -> Column:
+    words, repeated = F.col(f"{of}n_words"), F.col(f"{of}n_repeat_words")
+    return (words < options.min_words) | (100 * repeated > options.max_repeat_percent * words)
 
 
 def host_verdicts(measured: DataFrame, options: QualityOptions) -> DataFrame:
@@ -153,8 +156,7 @@ def keep_good(
     Texts are measured once and written with their verdict. What is joined is the list of hosts
     that go, so texts are not shuffled while that list is short.
     """
-    chosen = docs.select(packed(docs), _host_key(host), F.col(text).alias("_text"))
-    measured = _measured(chosen, "_text", ["row", "host_key"])
-    judged = stage(measured.select("row", "host_key", _failed(options).alias("base_failed")), "quality-rows")
+    counted = docs.select(packed(docs), _host_key(host), _counts(text).alias("_counts"))
+    judged = stage(counted.select("row", "host_key", _failed(options, "_counts.").alias("base_failed")), "quality-rows")
     gone = host_verdicts(judged, options).where("NOT host_kept").select("host_key")
     return judged.where("NOT base_failed").join(gone, "host_key", "left_anti").select("row.*")

@@ -7,7 +7,10 @@ itself: those whose next jump is exactly ``n``. Everything is column arithmetic.
 64-bit product is put together from 16- and 32-bit parts, because a plain BIGINT product overflows.
 
 Null keys count as key 0. Texts that are null or empty have no bytes and checksum 0. Repeated rows
-are rows of their own and get different slots of the same shard. An empty table gives no rows.
+are rows of their own and get different slots of the same shard, and rows that tie in all they are ordered by
+get them in any order. Texts may be of any length. An empty table gives no rows. ``shard_documents`` looks at no
+other columns; ``with_shards`` and ``with_slots`` need the names shard, grown_shard and slot, and names that begin
+with an underscore, for themselves.
 """
 
 from __future__ import annotations

@@ -9,8 +9,8 @@ score less 10; it counts as its UTF-8 bytes where the vocabulary has byte pieces
 of such characters counts as one.
 
 Scores are added as doubles, so a word's result does not depend on what stands before it and short
-words are remembered per worker, up to ``REMEMBERED``. Null and empty texts count 0. Repeated rows
-are counted again.
+words are remembered per worker, up to ``REMEMBERED``. Null and empty texts count 0. Texts may be of any length.
+Repeated rows are counted again. An empty table gives no rows. Other columns are not looked at.
 """
 
 from __future__ import annotations

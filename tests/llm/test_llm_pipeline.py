@@ -1,6 +1,7 @@
 """The pipeline's stages, each against brute force on what the stage before it really kept."""
 
 import hashlib
+from pathlib import Path
 
 import corpus_pipeline
 import numpy as np
@@ -9,6 +10,7 @@ import pytest
 import tiktoken
 from brute_llm import contaminated, host_rates, kept_lines, near_groups, quality
 from ebbline.llm import bpe
+from ebbline.session import shared_folder
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -76,8 +78,12 @@ def test_byte_bpe(stages):
         assert row["decoded_sha256"] == hashlib.sha256(before[row["doc_id"]]["text"].encode()).hexdigest()
 
 
-def test_run_gives_the_last_stage(spark, sf_dir, stages):
+def test_run_gives_the_last_stage_and_leaves_nothing_else(spark, sf_dir, stages):
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = {path.name for path in folder.iterdir()}
     same(corpus_pipeline.run(spark, sf_dir).collect(), stages[5])
+    [left] = [path for path in folder.iterdir() if path.name not in before]
+    assert [path.name for path in left.iterdir()] == ["4"]
 
 
 def test_stages_on_odd_and_empty_documents(spark, sf_dir, documents, odd_rows):
