@@ -4,6 +4,10 @@ Quality rules reject documents; repeated lines go; of each group of near-duplica
 documents that hold benchmark items go; what is left is encoded. Every stage takes and returns the
 columns of ``documents`` (the last one adds its results instead of the text) and works on all rows
 the stage before it kept.
+
+Null and empty texts fail the quality rules. Null ids and other null columns, very long texts and repeated rows
+are documents like any other. Of near documents, equal ones among them, the one with the smallest doc_id stays, a
+null id being the last; of repeated rows any one. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -15,7 +19,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ebbline.llm import bpe, decontam, linededup, neardup, quality
-from ebbline.session import shared_folder
+from ebbline.session import delete, shared_folder, staging
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -66,11 +70,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what a stage keeps is written and read again by the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``; what a stage keeps is written and read again by the next.
+
+    Tables that a stage staged on its way, and what it read, are deleted when it has been written.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     folder = f"{shared_folder(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     for number, (_, function) in enumerate(STAGES):
         path = f"{folder}/{number}"
-        function(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with staging(spark):
+            function(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            delete(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs

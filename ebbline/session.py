@@ -61,10 +61,14 @@ def staging(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
         for path in _open_blocks.pop():
-            folder = jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(conf).delete(folder, True)
+            delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this package has written."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
