@@ -6,7 +6,8 @@ that the hosts' own shares fit, and the verdict on a host is joined back to its
 with three documents is not judged like one with three million.
 
 All measuring is linear or n log n in a text's length and stays in its row. Only counts per host are
-shuffled, combined before they move; the join back carries no text.
+shuffled, combined before they move; the join back carries no text, and moves no document while the hosts are few
+enough to be broadcast.
 
 Null and empty texts have no words and fail. A null host is a host of its own. Repeated rows count
 each time. An empty table gives no rows. Input columns besides the three used are never looked at, or
@@ -24,6 +25,9 @@ from ebbline.session import stage
 
 SYMBOLS = "#*$%&|<>"
 RUN = 5
+# A table of hosts is broadcast up to this size; and what a row takes besides its name.
+BROADCAST_BYTES = 32_000_000
+HOST_BYTES = 64
 
 
 @dataclass(frozen=True)
@@ -122,6 +126,16 @@ def host_verdicts(measured: DataFrame, options: QualityOptions) -> DataFrame:
     )
 
 
+def _listed(hosts: DataFrame) -> DataFrame:
+    """A table of hosts, written down, with a broadcast hint if its measured size is small.
+
+    So a host with a third of all documents is joined where its documents are.
+    """
+    hosts = stage(hosts, "quality-hosts")
+    size = hosts.agg(F.sum(F.octet_length("host_key") + HOST_BYTES)).first()[0] or 0
+    return F.broadcast(hosts) if size <= BROADCAST_BYTES else hosts
+
+
 def _host_key(column: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit("")).alias("host_key")
 
@@ -134,7 +148,7 @@ def judge_documents(
     measured = stage(
         _measured(chosen, "text", ["doc_id", "host_key"]).withColumn("base_failed", _failed(options)), "quality"
     )
-    judged = measured.join(host_verdicts(measured, options), "host_key")
+    judged = measured.join(_listed(host_verdicts(measured, options)), "host_key")
     return judged.select(
         "doc_id",
         "n_words",
