@@ -390,6 +390,13 @@ def stored_trailing_months(spark, sf_dir):
     return readers.trailing_months(_stored_budgets(spark, sf_dir)[1])
 
 
+def stored_flows_of_trailing_months(spark, sf_dir):
+    """The last three months of stored daily flows, whose last day is read from the files' footers."""
+    source = _stored(spark, flows.daily_flows(star.transactions(spark, sf_dir)), "daily-flows")
+    with readers.from_statistics(spark):
+        return readers.trailing_months(source.load(spark), date="Day")
+
+
 def stored_budgets_in_window(spark, sf_dir):
     return readers.active_budgets(*_stored_budgets(spark, sf_dir))
 
@@ -602,6 +609,7 @@ REGISTERED: list[Query] = [
     bucketed_flows_for_customers,
     stored_features_for_customers,
     stored_trailing_months,
+    stored_flows_of_trailing_months,
     stored_budgets_in_window,
     stored_categories,
     detected_types_monthly_flows,

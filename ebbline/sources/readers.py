@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -113,6 +114,27 @@ def scan_weekly_budget(spark: SparkSession, source: Source) -> DataFrame:
     return _coerce(source.load(spark), schemas.WEEKLY_BUDGET)
 
 
+# Settings under which Spark answers a minimum or maximum of a parquet column from the files' footers.
+FROM_STATISTICS = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+
+
+@contextmanager
+def from_statistics(spark: SparkSession) -> Iterator[None]:
+    """Inside, tables that are loaded answer the bounds of ``trailing_months`` from footers, without reading a row.
+
+    Parquet keeps usable statistics of dates, such as the days of daily flows, and not of timestamps, which are
+    scanned as ever. Other jobs of the session should not run meanwhile: the settings are the session's.
+    """
+    before = {key: spark.conf.get(key) for key in FROM_STATISTICS}
+    try:
+        for key, value in FROM_STATISTICS.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def trailing_months(df: DataFrame, months: int = 3, date: str = "TransDate") -> DataFrame:
     """Rows dated from ``months`` calendar months before the latest date up to that date.
 

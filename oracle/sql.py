@@ -360,6 +360,8 @@ STATEMENTS |= {
     "stored_features_for_customers": STATEMENTS["features_for_customers"],
     "bucketed_labelled_series": STATEMENTS["labelled_series"],
     "bucketed_flows_for_customers": f"SELECT * FROM ({STATEMENTS['daily_flows']}) WHERE CustomerID IN {_MACHINERY}",
+    "stored_flows_of_trailing_months": f"""WITH flows AS ({STATEMENTS['daily_flows']})
+SELECT * FROM flows WHERE CAST(Day AS DATE) >= (SELECT CAST(max(CAST(Day AS DATE)) - INTERVAL 3 MONTH AS DATE) FROM flows)""",
     "stored_trailing_months": STATEMENTS["trailing_three_months"],
     "stored_budgets_in_window": STATEMENTS["budgets_active_in_window"],
     "training_set_in_blocks": STATEMENTS["training_set"],

@@ -84,6 +84,29 @@ def test_trailing_window_pushes_both_bounds(spark, sf_dir):
     assert "o_totalprice" in pushed[1] and "Join" not in text
 
 
+def test_bounds_come_from_footers(spark, tmp_path, monkeypatch):
+    """The window's bounds push the maximum into the scan, and the rows are filtered by it."""
+    path, plans = str(tmp_path / "days"), []
+    days = "explode(sequence(date'2023-01-01', date'2023-12-31', interval 1 day)) AS Day"
+    spark.range(3).selectExpr("id", days).write.parquet(path)
+
+    def noted(self, *args):
+        plans.append(plan(agg(self, *args)))
+        return agg(self, *args)
+
+    before = {key: spark.conf.get(key) for key in readers.FROM_STATISTICS}
+    with readers.from_statistics(spark):
+        loaded = readers.Source(path=path).load(spark)
+        agg = type(loaded).agg
+        monkeypatch.setattr(type(loaded), "agg", noted)
+        recent = readers.trailing_months(loaded, date="Day")
+    monkeypatch.undo()
+    assert "PushedAggregation: [MAX(Day)" in plans[0] and "ReadSchema: struct<max(Day):date>" in plans[0]
+    assert "GreaterThanOrEqual(Day,2023-09-30)" in plan(recent)
+    assert recent.count() == 3 * 93
+    assert {key: spark.conf.get(key) for key in before} == before
+
+
 @pytest.mark.parametrize("key, pushed", [("string", "In(CustomerID, [1,2])"), ("bigint", "In(CustomerID, [1,2])")])
 def test_requested_ids_reach_the_parquet_scan(spark, tmp_path, key, pushed):
     path = str(tmp_path / "tx")
