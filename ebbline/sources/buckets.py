@@ -12,8 +12,9 @@ are taken from the same files without regard to buckets.
 from __future__ import annotations
 
 import dataclasses
+import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ebbline import schemas
 from ebbline.operators.blocks import CUSTOMER, PRODUCT, find_cuts
@@ -21,7 +22,7 @@ from ebbline.operators.flows import daily_flows
 from ebbline.options import SeriesOptions
 from ebbline.session import stage
 from ebbline.sources import commits
-from ebbline.sources.requests import Request, for_customers, resolve
+from ebbline.sources.requests import INLINE_IDS, Request, for_customers, resolve
 
 DEFAULTS = SeriesOptions()
 
@@ -73,12 +74,37 @@ def open_series(
 ) -> tuple[DataFrame, SeriesOptions]:
     """Flows to build series from, of all customers or the requested ones, and options with the stored cuts.
 
-    What is asked for is read from its customers' buckets alone.
+    What is asked for is read from its customers' buckets alone: short requests by a filter that Spark prunes
+    buckets by, long ones by the files of the buckets that their ids fall into.
     """
     found = commits.version(spark, path)
     if found is None:
         raise FileNotFoundError(f"{path}: no committed version")
     cuts = tuple((name, tuple(codes)) for name, codes in found.facts["cuts"])
     asked = resolve(request)
-    flows = for_customers(open_flows(spark, path, by_bucket=asked is not None or not cuts), asked)
-    return flows, dataclasses.replace(options, cuts=cuts)
+    if asked is not None and (isinstance(asked.ids, DataFrame) or len(asked.ids) > INLINE_IDS):
+        flows = _in_buckets(spark, path, asked.ids)
+    else:
+        flows = open_flows(spark, path, by_bucket=asked is not None or not cuts)
+    return for_customers(flows, asked), dataclasses.replace(options, cuts=cuts)
+
+
+def _in_buckets(spark: SparkSession, path: str, ids: DataFrame | tuple[str, ...]) -> DataFrame:
+    """The flows in the buckets that the ids fall into, at most one number per bucket being collected.
+
+    All files, joined by bucket, where ids fall into every bucket.
+    """
+    [folder] = commits.folders(spark, path)
+    buckets = commits.version(spark, path).facts["buckets"]
+    if not isinstance(ids, DataFrame):
+        ids = spark.createDataFrame([(i,) for i in ids], "RequestedID string")
+    # The numbers that Spark gives the buckets of a table.
+    number = F.pmod(F.hash(F.col(ids.columns[0])), F.lit(buckets)).alias("bucket")
+    wanted = {row["bucket"] for row in ids.select(number).distinct().collect()}
+    if len(wanted) == buckets:
+        return open_flows(spark, path)
+    files = spark.read.format("binaryFile").load(folder).select("path").collect()
+    named = {row["path"]: re.search(r"_(\d+)(?:\.c\d+)?(?:\.[a-z0-9]+)*\.parquet$", row["path"]) for row in files}
+    kept = [name for name, found in named.items() if found and int(found[1]) in wanted]
+    reader = spark.read.schema(schemas.DAILY_FLOWS)
+    return reader.parquet(*kept) if kept else reader.parquet(folder).where("false")

@@ -50,12 +50,32 @@ def test_a_request_reads_its_buckets(spark, tx, stored):
     assert scored.columns == series.forecast_series(tx, OPTIONS).columns
 
 
-def test_a_long_request_moves_only_the_request(spark, tx, stored, monkeypatch):
+def ids_in(tx, bucket_numbers, buckets_in_all):
+    number = F.pmod(F.hash("CustomerID"), F.lit(buckets_in_all))
+    return tx.select("CustomerID").distinct().where(number.isin(list(bucket_numbers)))
+
+
+@pytest.mark.parametrize("as_frame", [True, False])
+def test_a_long_request_reads_the_files_of_its_buckets(spark, tx, stored, monkeypatch, as_frame):
     monkeypatch.setattr(requests, "INLINE_IDS", 2)
-    ids = [r[0] for r in tx.select("CustomerID").distinct().orderBy("CustomerID").limit(20).collect()]
-    found, options = buckets.open_series(spark, stored, ids, OPTIONS)
-    assert {r[0] for r in found.select("CustomerID").distinct().collect()} == set(ids)
+    monkeypatch.setattr(buckets, "INLINE_IDS", 2)
+    asked = ids_in(tx, (1, 4, 6), 8)
+    ids = [r[0] for r in asked.collect()]
+    found, options = buckets.open_series(spark, stored, asked if as_frame else ids, OPTIONS)
+    assert len([name for name in found.inputFiles() if stored in name]) == 3
+    assert rows(found) == rows(flows.daily_flows(tx.where(F.col("CustomerID").isin(ids))).select(found.columns))
+    whole = series.labelled_series(tx, OPTIONS).where(F.col("CustomerID").isin(ids))
+    assert rows(series.labelled_series(found, options)) == rows(whole)
+
+
+def test_a_request_for_all_buckets_moves_only_the_request(spark, tx, stored, monkeypatch):
+    monkeypatch.setattr(requests, "INLINE_IDS", 2)
+    monkeypatch.setattr(buckets, "INLINE_IDS", 2)
+    found, options = buckets.open_series(spark, stored, tx.select("CustomerID"), OPTIONS)
     assert "Exchange hashpartitioning(CustomerID" not in plan(series.labelled_series(found, options))
+    assert found.count() == flows.daily_flows(tx).count()
+    none, _ = buckets.open_series(spark, stored, ["no", "such", "customers"], OPTIONS)
+    assert none.count() == 0
 
 
 def test_storing_anew_replaces_and_keeps_its_rows_sorted(spark, tx, tmp_path):
