@@ -168,9 +168,9 @@ def keep_good(
     """The documents that pass, all their columns unchanged.
 
     Texts are measured once and written with their verdict. What is joined is the list of hosts
-    that go, so texts are not shuffled while that list is short.
+    that go, broadcast while it is short, so that texts are not shuffled.
     """
     counted = docs.select(packed(docs), _host_key(host), _counts(text).alias("_counts"))
     judged = stage(counted.select("row", "host_key", _failed(options, "_counts.").alias("base_failed")), "quality-rows")
     gone = host_verdicts(judged, options).where("NOT host_kept").select("host_key")
-    return judged.where("NOT base_failed").join(gone, "host_key", "left_anti").select("row.*")
+    return judged.where("NOT base_failed").join(_listed(gone), "host_key", "left_anti").select("row.*")
