@@ -45,10 +45,10 @@ def _rounded(df: DataFrame, names: list[str]) -> DataFrame:
     return df.selectExpr(*[f"round({c}, 6) AS {c}" if c in names else c for c in df.columns])
 
 
-def _options(spark: SparkSession, sf_dir: str, **how) -> SeriesOptions:
+def _options(spark: SparkSession, sf_dir: str) -> SeriesOptions:
     """Options with hot customers, who are looked for among the orders."""
     customers = star.order_customers(spark, sf_dir)
-    return SeriesOptions(cuts=blocks.find_cuts(star.transactions(spark, sf_dir), customers, **how))
+    return SeriesOptions(cuts=blocks.find_cuts(star.transactions(spark, sf_dir), customers))
 
 
 def _cut(flow_rows: DataFrame) -> SeriesOptions:
@@ -140,7 +140,8 @@ def labelled_series(spark, sf_dir):
 
 def labelled_series_in_blocks(spark, sf_dir):
     """The same result with the largest customers cut between products, as for hot ones."""
-    return series.labelled_series(star.transactions(spark, sf_dir), _options(spark, sf_dir, hot_rows=1, block_rows=1))
+    daily = stage(flows.daily_flows(star.transactions(spark, sf_dir)), "daily")
+    return series.labelled_series(daily, _cut(daily))
 
 
 def latest_per_series(spark, sf_dir):
