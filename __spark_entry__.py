@@ -422,7 +422,7 @@ def detected_types_monthly_flows(spark, sf_dir):
     )
 
 
-# The engine's defaults; only how many fits of the grid run side by side is set here.
+# The engine's defaults; only how many areas of the grid are computed side by side is set here.
 MODEL = ModelOptions(parallelism=10)
 SPLIT = SplitOptions()
 # Models trained in this process by session, folder of the tables and target, so that queries share them.

@@ -53,8 +53,8 @@ class ModelOptions:
     max_bins: int = 256
     seed: int = 27
     parallelism: int = 2
-    # True: columns are drawn once per tree and leaves get second-order values (plans.boosting), at several jobs a
-    # tree. False: MLlib's own boosting, which draws columns at every node.
+    # True: columns are drawn once per tree and leaves get second-order values. False: trees as MLlib's booster grows
+    # them, with columns drawn at every node. Both in plans.boosting.
     columns_per_tree: bool = False
     # Added to the curvature of a leaf, with columns_per_tree.
     leaf_penalty: float = 1.0

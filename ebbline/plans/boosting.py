@@ -1,14 +1,21 @@
-"""Gradient boosting with columns drawn per tree and second-order leaf values.
+"""Gradient boosting of regression trees on binned columns, all fits of a grid side by side.
 
-MLlib's boosted trees draw columns anew at every node and give leaves the mean of the gradients. Here every
-tree is an MLlib regression tree grown on the columns drawn for it alone; rows weigh as much as the curvature of
-their loss and aim at gradient over curvature, so that splits are chosen by the second-order gain. One more
-aggregation sums gradient and curvature by leaf, and the leaf's value is G / (H + penalty).
+Columns are cut into at most ``max_bins`` bins at quantiles, once for all fits. A pass over the rows then does the next
+step of every fit, whatever its depth and fold: a task adds up, for the nodes that each fit is about to split,
+count, gradient (and curvature) by column and bin; these sums, whose size does not depend on the rows, are added by fit
+and node, and the driver takes the best splits. Of two siblings the smaller is measured, the other is the rest of their
+parent. A grid with its refits thus takes as many passes as its deepest single fit. The depths' models of all rows grow
+with the folds' models, and the best depth's is kept.
+
+By default trees are MLlib's: columns drawn anew at every node, variance gain of the gradients of its
+logistic loss, leaves that hold mean gradients, a first tree of the labels themselves. With ``columns_per_tree`` columns
+are drawn once a tree, rows weigh as much as the curvature of their loss, so that splits are chosen by the second-order
+gain, and a leaf's value is G / (H + penalty).
 
 A finished tree is SQL: nested CASE expressions over the input columns. So is the whole model, which makes it an
 ordinary stage of a pipeline that Spark evaluates, stores and loads.
 
-Rows are written with their margin every ``STAGED_TREES`` trees; in between a pass adds up the trees grown since.
+Rows are written with their margins every ``STAGED_TREES`` trees; in between a pass adds up the trees grown since.
 """
 
 from __future__ import annotations
@@ -16,23 +23,28 @@ from __future__ import annotations
 import math
 import random
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark import inheritable_thread_target
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressor
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.feature import SQLTransformer
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ebbline.functions.cells import double_literal
 from ebbline.operators.metrics import roc_auc
 from ebbline.options import ModelOptions
-from ebbline.session import stage
+from ebbline.session import delete, ship_package, stage
 
-STAGED_TREES = 10
+STAGED_TREES = 5
 # Curvature below this is as good as none.
 LEAST_CURVATURE = 1e-16
+# A gain below this share of a node's own term is what rounding leaves of none.
+LEAST_GAIN = 1e-10
+# Places in the sums of a node: rows, gradient and, with columns drawn per tree, curvature.
+ROWS, GRADIENT, CURVATURE = 0, 1, 2
 
 
 @dataclass(frozen=True)
@@ -50,18 +62,63 @@ class Tree:
 
 @dataclass(frozen=True)
 class Boosted:
-    """Trees in order of growth; their values add up to the log odds of the label 1."""
+    """Trees in order of growth; their values add up to the log odds of the label 1, divided by ``per_margin``."""
 
     trees: tuple[Tree, ...]
+    per_margin: int = 1
 
     def margin(self) -> str:
         return " + ".join(tree.sql() for tree in self.trees) or "0D"
 
     def stage(self) -> SQLTransformer:
-        """Adds rawPrediction (log odds), probability of the label 1 and prediction."""
+        """Adds rawPrediction (the margin), probability of the label 1 and prediction."""
         margin = f"SELECT *, {self.margin()} AS rawPrediction FROM __THIS__"
-        odds = "1 / (1 + exp(-rawPrediction)) AS probability, CAST(rawPrediction > 0 AS DOUBLE) AS prediction"
-        return SQLTransformer(statement=f"SELECT *, {odds} FROM ({margin})")
+        chance = f"1 / (1 + exp(-{self.per_margin} * rawPrediction)) AS probability"
+        return SQLTransformer(
+            statement=f"SELECT *, {chance}, CAST(rawPrediction > 0 AS DOUBLE) AS prediction FROM ({margin})"
+        )
+
+
+@dataclass(frozen=True)
+class Fit:
+    """One model to be grown: its depth, and the fold it does not learn from."""
+
+    depth: int
+    held: int | None = None
+
+
+@dataclass(frozen=True)
+class Placed:
+    """Splits, as column and last bin of the left side by node, and the number of each node without a split.
+
+    The root is node 1, the children of n are 2n and 2n + 1. ``values`` are those of the numbers: of leaves in a
+    finished tree, and which sums a row adds to, or -1, in a tree that grows.
+    """
+
+    splits: dict[int, tuple[int, int]]
+    ends: dict[int, int]
+    values: np.ndarray
+
+    def of_rows(self, bins: list[np.ndarray], rows: int) -> np.ndarray:
+        def place(node: int):
+            if node not in self.splits:
+                return np.int32(self.ends[node])
+            column, limit = self.splits[node]
+            return np.where(bins[column] > limit, place(2 * node + 1), place(2 * node))
+
+        found = place(1)
+        return self.values[found] if np.ndim(found) else np.full(rows, self.values[found])
+
+
+@dataclass(frozen=True)
+class Step:
+    """What a pass has to know of a fit: trees since the margins were written, and the nodes to be measured."""
+
+    held: int | None
+    number: int
+    recent: tuple[Placed, ...]
+    growing: Placed | None
+    nodes: int
 
 
 def drawn_columns(columns: Sequence[str], options: ModelOptions, tree: int) -> tuple[str, ...]:
@@ -71,85 +128,307 @@ def drawn_columns(columns: Sequence[str], options: ModelOptions, tree: int) -> t
     return tuple(c for i, c in enumerate(columns) if i in drawn)
 
 
-def _leaf_sql(lines: list[str], columns: Sequence[str]) -> tuple[str, int]:
-    """SQL for the leaf's number, written leaf_0, leaf_1, ..., from MLlib's description of a tree; and their count.
+def _drawn_at(count: int, options: ModelOptions, tree: int, node: int) -> list[int]:
+    """The columns, by place, that a node may split on; as many as MLlib draws."""
+    share = max(1, math.ceil(options.feature_fraction * count))
+    return sorted(random.Random(f"{options.seed}-{tree}-{node}").sample(range(count), share))
+
+
+def bin_limits(rows: DataFrame, columns: Sequence[str], bins: int) -> list[np.ndarray]:
+    """For each column the upper limits of all bins but the last, halfway between neighbouring quantiles."""
+    shares = [i / (bins - 1) for i in range(bins)] if bins > 1 else [0.5]
+
+    def between(values: list[float]) -> np.ndarray:
+        points = sorted(set(values))
+        halves = [a + (b - a) / 2 for a, b in zip(points, points[1:])]
+        return np.array([h if a <= h < b else a for a, b, h in zip(points, points[1:], halves)], dtype=float)
+
+    return [between(found) for found in rows.approxQuantile(list(columns), shares, 0.25 / bins)]
+
+
+def _binned(rows: DataFrame, columns: Sequence[str], limits: list[np.ndarray]) -> DataFrame:
+    """Row numbers, label, fold and the columns' bins b0, b1, ..., written once.
+
+    Numbers of rows are written down: the sample of a tree must not change when a task is repeated.
+    """
 
-    A description lists, depth first, a condition and what follows where it holds, then its opposite.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            arrays = batch.columns[:3]
+            for limit, column in zip(limits, batch.columns[3:]):
+                values = column.to_numpy(zero_copy_only=False)
+                if column.null_count or np.isnan(values).any():
+                    raise ValueError("columns to learn from must not be null or NaN")
+                arrays.append(pa.array(np.searchsorted(limit, values).astype(np.int16)))
+            yield pa.RecordBatch.from_arrays(arrays, schema.names)
+
+    fold = F.col("fold").cast("int") if "fold" in rows.columns else F.lit(None).cast("int")
+    parts = rows.sparkSession.sparkContext.defaultParallelism
+    numbered = rows.select(fold.alias("fold"), F.col("label").cast("double").alias("label"), *columns).repartition(parts)
+    numbered = numbered.select(F.monotonically_increasing_id().alias("row"), "label", "fold", *columns)
+    schema = T.StructType([*numbered.schema.fields[:3], *[T.StructField(f"b{i}", T.ShortType()) for i in range(len(columns))]])
+    return stage(numbered.mapInArrow(run, schema), "boosting")
+
+
+def _sampled(row: np.ndarray, options: ModelOptions, number: int) -> np.ndarray:
+    """Which rows the tree learns from, by a hash of their number."""
+    start = random.Random(f"{options.seed}-{number}-rows").getrandbits(64)
+    z = row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(start)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        z = (z ^ (z >> np.uint64(shift))) * np.uint64(factor)
+    z ^= z >> np.uint64(31)
+    return z % np.uint64(1_000_000) < np.uint64(int(options.subsampling_rate * 1_000_000))
+
+
+def _margins(batch: pa.RecordBatch, bins: list[np.ndarray], steps: Sequence[Step]) -> Iterator[np.ndarray]:
+    """The rows' margins, fit by fit."""
+    for i, step in enumerate(steps):
+        stored = f"m{i}" in batch.schema.names
+        margin = batch.column(f"m{i}").to_numpy() if stored else np.zeros(batch.num_rows)
+        for tree in step.recent:
+            margin = margin + tree.of_rows(bins, batch.num_rows)
+        yield margin
+
+
+def _weights(label: np.ndarray, margin: np.ndarray, first: bool, options: ModelOptions) -> list[np.ndarray | None]:
+    """What rows add to the sums of their node: one, gradient and curvature."""
+    if options.columns_per_tree:
+        chance = 1 / (1 + np.exp(-margin))
+        return [None, label - chance, np.maximum(chance * (1 - chance), LEAST_CURVATURE)]
+    sign = 2 * label - 1
+    return [None, sign if first else 4 * sign / (1 + np.exp(np.minimum(2 * sign * margin, 700)))]
+
+
+def _columns_of(batch: pa.RecordBatch, count: int) -> list[np.ndarray]:
+    return [batch.column(f"b{i}").to_numpy() for i in range(count)]
+
+
+def _measure(here: DataFrame, steps: Sequence[Step], sizes: Sequence[int], options: ModelOptions) -> dict:
+    """Sums by fit and node, each of shape (bins of all columns, places), in one pass over the rows."""
+    places = 3 if options.columns_per_tree else 2
+    starts = np.cumsum([0, *sizes]).tolist()
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = [np.zeros((step.nodes, starts[-1], places)) if step.growing else None for step in steps]
+        for batch in batches:
+            bins = _columns_of(batch, len(sizes))
+            label, fold = batch.column("label").to_numpy(), batch.column("fold").to_numpy(zero_copy_only=False)
+            row = batch.column("row").to_numpy()
+            samples = {number: _sampled(row, options, number) for number in {s.number for s in steps if s.growing}}
+            for step, margin, total in zip(steps, _margins(batch, bins, steps), sums):
+                if total is None:
+                    continue
+                node = step.growing.of_rows(bins, batch.num_rows)
+                mine = samples[step.number] & (node >= 0)
+                if step.held is not None:
+                    mine &= fold != step.held
+                mine = np.flatnonzero(mine)
+                node = node[mine]
+                weights = _weights(label[mine], margin[mine], step.number == 0, options)
+                for column, size, start in zip(bins, sizes, starts):
+                    key = node * size + column[mine]
+                    for place, weight in enumerate(weights):
+                        found = np.bincount(key, weight, step.nodes * size).reshape(step.nodes, size)
+                        total[:, start : start + size, place] += found
+        rows = [(i, n, t[n].tobytes()) for i, t in enumerate(sums) if t is not None for n in range(len(t)) if t[n].any()]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["fit", "node", "sums"])
+
+    def combine(parts: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(part.as_py()) for part in parts.column("sums"))
+        return parts.slice(0, 1).set_column(2, "sums", pa.array([total.tobytes()]))
+
+    schema = "fit long, node long, sums binary"
+    found = here.mapInArrow(add_up, schema).groupBy("fit", "node").applyInArrow(combine, schema)
+    # A row per node that is measured, of the same size whatever the input.
+    return {(r["fit"], r["node"]): np.frombuffer(r["sums"]).reshape(-1, places) for r in found.collect()}
+
+
+@dataclass
+class Grower:
+    """The trees of one fit, and the tree that is growing."""
+
+    fit: Fit
+    columns: Sequence[str]
+    limits: list[np.ndarray]
+    options: ModelOptions
+    trees: list[Tree] = field(default_factory=list)
+    recent: list[Placed] = field(default_factory=list)
+
+    def __post_init__(self):
+        self.starts = np.cumsum([0, *[len(limit) + 1 for limit in self.limits]])
+        self._plant()
+
+    def _plant(self) -> None:
+        self.splits: dict[int, tuple[int, int]] = {}
+        self.totals: dict[int, np.ndarray] = {}
+        # Nodes to be measured, and the sums of the parents of those that are no root.
+        self.wanted: list[int] = [1]
+        self.parents: dict[int, np.ndarray] = {}
+
+    @property
+    def done(self) -> bool:
+        return len(self.trees) == self.options.max_iter
+
+    def step(self) -> Step:
+        """The next pass's part for this fit; nothing to measure when it is done or waits for its margins."""
+        number = len(self.trees)
+        if self.done or len(self.recent) == STAGED_TREES:
+            return Step(self.fit.held, number, tuple(self.recent), None, 0)
+        ends = sorted(self._ends())
+        values = np.array([self.wanted.index(n) if n in self.wanted else -1 for n in ends], dtype=np.int64)
+        growing = Placed(dict(self.splits), {n: i for i, n in enumerate(ends)}, values)
+        return Step(self.fit.held, number, tuple(self.recent), growing, len(self.wanted))
+
+    def _ends(self) -> list[int]:
+        """Nodes without a split, depth first."""
+
+        def below(node: int) -> list[int]:
+            return below(2 * node) + below(2 * node + 1) if node in self.splits else [node]
+
+        return below(1)
+
+    def take(self, measured: list[np.ndarray | None]) -> None:
+        """Split the measured nodes and their siblings; finish the tree when nothing is left to be split."""
+        known = {}
+        for node, sums in zip(self.wanted, measured):
+            sums = np.zeros((self.starts[-1], 3 if self.options.columns_per_tree else 2)) if sums is None else sums
+            known[node] = sums
+            if node in self.parents:
+                known[node ^ 1] = self.parents[node] - sums
+        if 1 in known:
+            self.totals[1] = known[1][: self.starts[1]].sum(0)
+        self.wanted, self.parents = [], {}
+        for node, sums in known.items():
+            best = self._best(node, sums)
+            if best is None:
+                continue
+            self.splits[node], left = best[:2], best[2]
+            self.totals[2 * node], self.totals[2 * node + 1] = left, self.totals[node] - left
+            if (2 * node).bit_length() <= self.fit.depth:
+                smaller = 2 * node + int(left[ROWS] > self.totals[2 * node + 1][ROWS])
+                self.wanted.append(smaller)
+                self.parents[smaller] = sums
+        if not self.wanted:
+            self._finish()
+
+    def _best(self, node: int, sums: np.ndarray) -> tuple[int, int, np.ndarray] | None:
+        """Column, last bin of the left side and the left side's sums of the split with the largest gain."""
+        total = self.totals[node]
+        if node.bit_length() > self.fit.depth or total[ROWS] < 2:
+            return None
+        if self.options.columns_per_tree:
+            drawn = drawn_columns(self.columns, self.options, len(self.trees))
+            allowed = [i for i, c in enumerate(self.columns) if c in drawn]
+        else:
+            allowed = _drawn_at(len(self.columns), self.options, len(self.trees), node)
+        weight = sums.shape[1] - 1 if self.options.columns_per_tree else ROWS
+        own = total[GRADIENT] ** 2 / total[weight]
+        best, most = None, LEAST_GAIN * own
+        for column in allowed:
+            left = sums[self.starts[column] : self.starts[column + 1] - 1].cumsum(0)
+            right = total - left
+            with np.errstate(divide="ignore", invalid="ignore"):
+                gain = left[:, GRADIENT] ** 2 / left[:, weight] + right[:, GRADIENT] ** 2 / right[:, weight] - own
+            possible = (left[:, ROWS] >= 1) & (right[:, ROWS] >= 1) & (left[:, weight] > 0) & (right[:, weight] > 0)
+            gain = np.where(possible & (gain >= self.options.min_info_gain * total[weight]), gain, -1.0)
+            if len(gain) and gain.max() > most:
+                limit = int(gain.argmax())
+                best, most = (column, limit, left[limit]), gain[limit]
+        return best
+
+    def _finish(self) -> None:
+        ends, options = self._ends(), self.options
+        sums = np.array([self.totals[n] for n in ends])
+        if options.columns_per_tree:
+            values = options.step_size * sums[:, GRADIENT] / (sums[:, CURVATURE] + options.leaf_penalty)
+        else:
+            values = (options.step_size if self.trees else 1.0) * sums[:, GRADIENT] / np.maximum(sums[:, ROWS], 1)
+        numbers = {n: i for i, n in enumerate(ends)}
+
+        def sql(node: int) -> str:
+            if node in numbers:
+                return f"leaf_{numbers[node]}"
+            column, limit = self.splits[node]
+            condition = f"{self.columns[column]} <= {double_literal(float(self.limits[column][limit]))}"
+            return f"CASE WHEN {condition} THEN {sql(2 * node)} ELSE {sql(2 * node + 1)} END"
+
+        used = drawn_columns(self.columns, options, len(self.trees)) if options.columns_per_tree else tuple(self.columns)
+        self.trees.append(Tree(sql(1), tuple(values.tolist()), used))
+        self.recent.append(Placed(dict(self.splits), numbers, values))
+        self._plant()
+
+
+def _with_margins(here: DataFrame, steps: Sequence[Step], columns: int) -> DataFrame:
+    """The rows written with the margins of all fits."""
+    kept = [f for f in here.schema if not re.fullmatch(r"m\d+", f.name)]
+    schema = T.StructType([*kept, *[T.StructField(f"m{i}", T.DoubleType()) for i in range(len(steps))]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            margins = [pa.array(margin) for margin in _margins(batch, _columns_of(batch, columns), steps)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in kept], *margins], schema.names)
+
+    return stage(here.mapInArrow(run, schema), "boosting")
+
+
+def _forget(staged: DataFrame) -> None:
+    """Delete a table that was staged here."""
+    for folder in {path.rsplit("/", 1)[0] for path in staged.inputFiles()}:
+        delete(staged.sparkSession, folder)
+
+
+def grow_all(
+    rows: DataFrame, columns: Sequence[str], fits: Sequence[Fit], options: ModelOptions, score: bool = False
+) -> tuple[list[Boosted], DataFrame | None]:
+    """Grow ``max_iter`` trees for each of the fits on rows with the given columns, a label, 0 or 1, and a fold.
+
+    With ``score`` also the rows' label, fold and margins m0, m1, ... under the fits.
     """
-    leaves = 0
-
-    def node() -> str:
-        nonlocal leaves
-        line = lines.pop(0).strip()
-        if line.startswith("Predict"):
-            leaves += 1
-            return f"leaf_{leaves - 1}"
-        feature, limit = re.match(r"If \(feature (\d+) <= (\S+)\)", line).groups()
-        left = node()
-        lines.pop(0)  # the opposite condition
-        return f"CASE WHEN {columns[int(feature)]} <= {double_literal(float(limit))} THEN {left} ELSE {node()} END"
-
-    return node(), leaves
-
-
-def grow(rows: DataFrame, columns: Sequence[str], depth: int, options: ModelOptions, number: int) -> Tree:
-    """The next tree, for rows with the columns row (a number), label and margin."""
-    drawn = drawn_columns(columns, options, number)
-    share = F.pmod(F.xxhash64("row", F.lit(options.seed), F.lit(number)), F.lit(1_000_000))
-    chance = 1 / (1 + F.exp(-F.col("margin")))
-    used = (
-        rows.where(share < int(options.subsampling_rate * 1_000_000))
-        .withColumn("chance", chance)
-        .withColumn("gradient", F.col("label") - F.col("chance"))
-        .withColumn("curvature", F.greatest(F.col("chance") * (1 - F.col("chance")), F.lit(LEAST_CURVATURE)))
-        .withColumn("aim", F.col("gradient") / F.col("curvature"))
-    )
-    vectors = VectorAssembler(inputCols=list(drawn), outputCol="vector").transform(used)
-    learner = DecisionTreeRegressor(
-        featuresCol="vector", labelCol="aim", weightCol="curvature", maxDepth=depth, maxBins=options.max_bins,
-        minInfoGain=options.min_info_gain, seed=options.seed,
-    )
-    described = learner.fit(vectors.select("vector", "aim", "curvature"))._call_java("toDebugString")
-    leaf, leaves = _leaf_sql(described.strip().splitlines()[1:], drawn)
-    number_of = re.sub(r"\bleaf_(\d+)\b", r"\1", leaf)
-    sums = used.groupBy(F.expr(number_of).alias("leaf")).agg(F.sum("gradient").alias("g"), F.sum("curvature").alias("h"))
-    # A row per leaf.
-    found = {r["leaf"]: options.step_size * r["g"] / (r["h"] + options.leaf_penalty) for r in sums.collect()}
-    return Tree(leaf, tuple(found.get(i, 0.0) for i in range(leaves)), drawn)
+    spark = rows.sparkSession
+    ship_package(spark)
+    limits = bin_limits(rows, columns, options.max_bins)
+    here = _binned(rows, columns, limits)
+    sizes = [len(limit) + 1 for limit in limits]
+    growers = [Grower(fit, columns, limits, options) for fit in fits]
+    while not all(grower.done for grower in growers):
+        steps = [grower.step() for grower in growers]
+        if not any(step.growing for step in steps):
+            before, here = here, _with_margins(here, steps, len(columns))
+            _forget(before)
+            for grower in growers:
+                grower.recent.clear()
+            continue
+        sums = _measure(here, steps, sizes, options)
+        for i, (grower, step) in enumerate(zip(growers, steps)):
+            if step.growing:
+                grower.take([sums.get((i, node)) for node in range(step.nodes)])
+    scored = _with_margins(here, [grower.step() for grower in growers], len(columns)) if score else None
+    _forget(here)
+    per_margin = 1 if options.columns_per_tree else 2
+    return [Boosted(tuple(grower.trees), per_margin) for grower in growers], scored
 
 
 def boost(rows: DataFrame, columns: Sequence[str], depth: int, options: ModelOptions) -> Boosted:
     """Grow ``max_iter`` trees on rows with the given columns and a label, 0 or 1."""
-    rows = rows.select(*columns, F.col("label").cast("double").alias("label"))
-    # Numbers of rows are written down: the sample of a tree must not change when a task is repeated.
-    here = stage(rows.withColumn("row", F.monotonically_increasing_id()).withColumn("margin", F.lit(0.0)), "boosting")
-    trees: list[Tree] = []
-    since = 0
-    for number in range(options.max_iter):
-        new = " + ".join(["margin", *[tree.sql() for tree in trees[since:]]])
-        scored = here.withColumn("margin", F.expr(new))
-        if number - since == STAGED_TREES:
-            here = scored = stage(scored, "boosting")
-            since = number
-        trees.append(grow(scored, columns, depth, options, number))
-    return Boosted(tuple(trees))
+    return grow_all(rows, columns, [Fit(depth)], options)[0][0]
 
 
 def grid_search(rows: DataFrame, columns: Sequence[str], options: ModelOptions, folds: int) -> tuple[list[float], Boosted, int]:
     """Mean AUC per depth over the folds, and the best depth's model of all rows; the first depth wins a tie.
 
-    ``rows`` have the given columns, label and fold. ``options.parallelism`` fits run side by side.
+    ``rows`` have the given columns, label and fold. All fits grow side by side; ``options.parallelism`` areas are
+    computed at a time.
     """
+    tasks = [Fit(depth, fold) for depth in options.max_depths for fold in range(folds)]
+    refits = [Fit(depth) for depth in options.max_depths]
+    models, scored = grow_all(rows, columns, [*tasks, *refits], options, score=True)
 
-    def fit(task: tuple[int, int]) -> float:
-        depth, fold = task
-        model = boost(rows.where(F.col("fold") != fold), columns, depth, options)
-        held = rows.where(F.col("fold") == fold).select("label", F.expr(model.margin()).alias("score"))
-        return roc_auc(held, "score")
+    def area(place: int) -> float:
+        return roc_auc(scored.where(F.col("fold") == tasks[place].held), f"m{place}")
 
-    tasks = [(depth, fold) for depth in options.max_depths for fold in range(folds)]
     with ThreadPoolExecutor(options.parallelism) as pool:
-        areas = list(pool.map(inheritable_thread_target(rows.sparkSession)(fit), tasks))
+        areas = list(pool.map(inheritable_thread_target(rows.sparkSession)(area), range(len(tasks))))
     means = [math.fsum(areas[i * folds : (i + 1) * folds]) / folds for i in range(len(options.max_depths))]
-    best = options.max_depths[max(range(len(means)), key=lambda i: (means[i], -i))]
-    return means, boost(rows, columns, best, options), best
+    place = max(range(len(means)), key=lambda i: (means[i], -i))
+    return means, models[len(tasks) + place], options.max_depths[place]

@@ -8,10 +8,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ebbline.functions.cells import filled
@@ -19,7 +16,7 @@ from ebbline.operators.scaling import RobustScale
 from ebbline.options import ModelOptions, SplitOptions
 from ebbline.schemas import MODEL_FEATURES, TARGET
 from ebbline.plans import boosting
-from ebbline.session import shared_folder, stage
+from ebbline.session import stage
 from ebbline.sources import commits
 
 VECTOR = "features"
@@ -27,7 +24,7 @@ VECTOR = "features"
 
 @dataclass(frozen=True)
 class FittedModel:
-    """Scaling, assembling and trees as one pipeline, with the grid's mean AUC per depth."""
+    """Scaling and trees as one pipeline, with the grid's mean AUC per depth."""
 
     pipeline: PipelineModel
     scale: RobustScale
@@ -50,67 +47,16 @@ def assembler(features: Sequence[str] = MODEL_FEATURES) -> VectorAssembler:
     return VectorAssembler(inputCols=[f"x_{name}" for name in features], outputCol=VECTOR)
 
 
-def boosted_trees(options: ModelOptions) -> GBTClassifier:
-    """MLlib's booster. It draws ``feature_fraction`` of the columns anew at every node, not once for a tree."""
-    return GBTClassifier(
-        featuresCol=VECTOR,
-        labelCol=TARGET,
-        maxIter=options.max_iter,
-        stepSize=options.step_size,
-        subsamplingRate=options.subsampling_rate,
-        featureSubsetStrategy=str(options.feature_fraction),
-        minInfoGain=options.min_info_gain,
-        maxBins=options.max_bins,
-        seed=options.seed,
-        checkpointInterval=10,
-    )
-
-
-def grid_search(vectors: DataFrame, options: ModelOptions, split: SplitOptions) -> tuple[list[float], object]:
-    """Mean AUC per depth over the folds, and the best depth refitted on all rows; the first depth
-    wins a tie. ``vectors`` needs the fold column."""
-    shared_folder(vectors.sparkSession)  # tree training checkpoints there
-    trees = boosted_trees(options)
-    search = CrossValidator(
-        estimator=trees,
-        estimatorParamMaps=ParamGridBuilder().addGrid(trees.maxDepth, list(options.max_depths)).build(),
-        # Every distinct score is a point of the curve; with bins it would be thinned.
-        evaluator=BinaryClassificationEvaluator(labelCol=TARGET, metricName="areaUnderROC", numBins=0),
-        numFolds=split.folds,
-        foldCol="fold",
-        parallelism=options.parallelism,
-    ).fit(vectors)
-    return search.avgMetrics, search.bestModel
-
-
 def fit_model(
     train: DataFrame, scale: RobustScale, options: ModelOptions, split: SplitOptions
 ) -> FittedModel:
     """Scale, search the grid and return the pipeline that scores raw rows.
 
-    ``train`` has the fold column and is read many times; stage it first. A grid of one depth is
+    ``train`` has the fold column and is read several times; stage it first. A grid of one depth is
     fitted directly.
     """
-    prepare = prepare_stage(None if options.reference_compat else scale)
-    if options.columns_per_tree:
-        return _fit_boosted(prepare.transform(train), scale, options, split)
-    vectors = assembler().transform(prepare.transform(train)).select(VECTOR, TARGET, "fold")
-    if len(options.max_depths) == 1:
-        shared_folder(train.sparkSession)
-        scores, best = [], boosted_trees(options).setMaxDepth(options.max_depths[0]).fit(vectors)
-    else:
-        scores, best = grid_search(vectors, options, split)
-    return FittedModel(
-        pipeline=PipelineModel(stages=[prepare_stage(scale), assembler(), best]),
-        scale=scale,
-        depth=best.getMaxDepth(),
-        auc_by_depth=tuple((depth, float(score)) for depth, score in zip(options.max_depths, scores)),
-    )
-
-
-def _fit_boosted(prepared: DataFrame, scale: RobustScale, options: ModelOptions, split: SplitOptions) -> FittedModel:
-    """The same with columns drawn per tree."""
     columns = [f"x_{name}" for name in MODEL_FEATURES]
+    prepared = prepare_stage(None if options.reference_compat else scale).transform(train)
     rows = stage(prepared.select(*columns, F.col(TARGET).alias("label"), "fold"), "prepared")
     if len(options.max_depths) == 1:
         scores, depth = [], options.max_depths[0]

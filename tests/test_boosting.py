@@ -6,6 +6,9 @@ import re
 
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ebbline.options import ModelOptions
@@ -87,3 +90,38 @@ def test_one_label_and_constant_columns(spark):
     model = boosting.boost(rows, ["a", "b"], 2, dataclasses.replace(OPTIONS, max_iter=2))
     assert all(len(tree.values) == 1 and tree.values[0] > 0 for tree in model.trees)
     assert boosting.Boosted(()).margin() == "0D"
+
+
+def test_a_grid_takes_as_many_passes_as_its_deepest_fit(rows, monkeypatch):
+    """All folds and depths share a pass, and siblings one measurement."""
+    measure, passes = boosting._measure, []
+
+    def counted(here, steps, *rest):
+        passes.append([step.nodes for step in steps])
+        return measure(here, steps, *rest)
+
+    monkeypatch.setattr(boosting, "_measure", counted)
+    boosting.grid_search(rows, COLUMNS, ModelOptions(max_iter=3, max_depths=(1, 3), parallelism=4), 3)
+    assert len(passes) <= 3 * 3 and all(len(nodes) == 2 * 3 + 2 and max(nodes) <= 2 for nodes in passes)
+
+
+def test_default_trees_are_those_of_mllib(rows):
+    """With all rows and columns and a bin a value, chances and predictions equal those of MLlib's booster."""
+    coarse = rows.select(*[F.floor(F.col(c) * 20).cast("double").alias(c) for c in COLUMNS], "label", "fold")
+    options = ModelOptions(max_iter=6, subsampling_rate=1.0, feature_fraction=1.0)
+    found = boosting.boost(coarse, COLUMNS, 3, options).stage().transform(coarse)
+    vectors = VectorAssembler(inputCols=COLUMNS, outputCol="vector").transform(found)
+    learner = GBTClassifier(
+        featuresCol="vector", labelCol="label", maxIter=6, stepSize=options.step_size, maxDepth=3, maxBins=256,
+        predictionCol="predicted",
+    )
+    learner = learner.setRawPredictionCol("raw").setProbabilityCol("chances")
+    both = learner.fit(vectors).transform(vectors).select("probability", vector_to_array("chances")[1], "prediction", "predicted")
+    for chance, wanted, prediction, predicted in both.collect():
+        assert chance == pytest.approx(wanted, rel=1e-9) and prediction == predicted
+
+
+def test_rows_with_missing_values_are_refused(spark):
+    rows = spark.createDataFrame([(1.0, 1), (float("nan"), 0)], "a double, label int")
+    with pytest.raises(Exception, match="must not be null or NaN"):
+        boosting.boost(rows, ["a"], 2, OPTIONS)
