@@ -154,7 +154,9 @@ def _binned(rows: DataFrame, columns: Sequence[str], limits: list[np.ndarray]) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            arrays = batch.columns[:3]
+            arrays, label = batch.columns[:3], batch.column("label")
+            if label.null_count or np.isnan(label.to_numpy()).any():
+                raise ValueError("labels must not be null or NaN")
             for limit, column in zip(limits, batch.columns[3:]):
                 values = column.to_numpy(zero_copy_only=False)
                 if column.null_count or np.isnan(values).any():

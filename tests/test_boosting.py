@@ -122,6 +122,7 @@ def test_default_trees_are_those_of_mllib(rows):
 
 
 def test_rows_with_missing_values_are_refused(spark):
-    rows = spark.createDataFrame([(1.0, 1), (float("nan"), 0)], "a double, label int")
-    with pytest.raises(Exception, match="must not be null or NaN"):
-        boosting.boost(rows, ["a"], 2, OPTIONS)
+    for missing in [(float("nan"), 0), (1.0, None)]:
+        rows = spark.createDataFrame([(1.0, 1), missing], "a double, label int")
+        with pytest.raises(Exception, match="must not be null or NaN"):
+            boosting.boost(rows, ["a"], 2, OPTIONS)
