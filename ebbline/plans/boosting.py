@@ -16,6 +16,8 @@ A finished tree is SQL: nested CASE expressions over the input columns. So is th
 ordinary stage of a pipeline that Spark evaluates, stores and loads.
 
 Rows are written with their margins every ``STAGED_TREES`` trees; in between a pass adds up the trees grown since.
+They are written in blocks, a binary value for the bins of ``BLOCK_ROWS`` rows, so that a pass hands few large values to
+Python and not every cell. Fits of one fold whose trees are equal so far share their margins and sums.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ import random
 import re
 from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,8 @@ from ebbline.options import ModelOptions
 from ebbline.session import delete, ship_package, stage
 
 STAGED_TREES = 5
+# Rows of a block, at least, but for the last of a task.
+BLOCK_ROWS = 32_768
 # Curvature below this is as good as none.
 LEAST_CURVATURE = 1e-16
 # A gain below this share of a node's own term is what rounding leaves of none.
@@ -112,13 +116,18 @@ class Placed:
 
 @dataclass(frozen=True)
 class Step:
-    """What a pass has to know of a fit: trees since the margins were written, and the nodes to be measured."""
+    """What a pass has to know of a fit: trees since the margins were written, and the nodes to be measured.
+
+    ``stored`` is the number of the written margins, ``like`` an earlier fit that has the same trees and rows.
+    """
 
     held: int | None
     number: int
     recent: tuple[Placed, ...]
     growing: Placed | None
     nodes: int
+    stored: int | None = None
+    like: int | None = None
 
 
 def drawn_columns(columns: Sequence[str], options: ModelOptions, tree: int) -> tuple[str, ...]:
@@ -147,29 +156,83 @@ def bin_limits(rows: DataFrame, columns: Sequence[str], bins: int) -> list[np.nd
 
 
 def _binned(rows: DataFrame, columns: Sequence[str], limits: list[np.ndarray]) -> DataFrame:
-    """Row numbers, label, fold and the columns' bins b0, b1, ..., written once.
+    """Row numbers, labels, folds (-1: none) and bins of all columns, written once, a block of rows in a row.
 
     Numbers of rows are written down: the sample of a tree must not change when a task is repeated.
     """
+    kind = _kind(limits)
+
+    def block(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(batches)
+        label = table.column("label")
+        if label.null_count or np.isnan(label.to_numpy()).any():
+            raise ValueError("labels must not be null or NaN")
+        bins = np.empty((len(limits), table.num_rows), kind)
+        for place, (limit, column) in enumerate(zip(limits, table.columns[3:])):
+            values = column.to_numpy()
+            if column.null_count or np.isnan(values).any():
+                raise ValueError("columns to learn from must not be null or NaN")
+            bins[place] = np.searchsorted(limit, values)
+        fold = table.column("fold").fill_null(-1).to_numpy()
+        cells = [table.column("row").to_numpy(), fold, label.to_numpy(), bins]
+        return pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in cells], BLOCK)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
         for batch in batches:
-            arrays, label = batch.columns[:3], batch.column("label")
-            if label.null_count or np.isnan(label.to_numpy()).any():
-                raise ValueError("labels must not be null or NaN")
-            for limit, column in zip(limits, batch.columns[3:]):
-                values = column.to_numpy(zero_copy_only=False)
-                if column.null_count or np.isnan(values).any():
-                    raise ValueError("columns to learn from must not be null or NaN")
-                arrays.append(pa.array(np.searchsorted(limit, values).astype(np.int16)))
-            yield pa.RecordBatch.from_arrays(arrays, schema.names)
+            waiting.append(batch)
+            if sum(b.num_rows for b in waiting) >= BLOCK_ROWS:
+                yield block(waiting)
+                waiting = []
+        if any(b.num_rows for b in waiting):
+            yield block(waiting)
 
     fold = F.col("fold").cast("int") if "fold" in rows.columns else F.lit(None).cast("int")
     parts = rows.sparkSession.sparkContext.defaultParallelism
     numbered = rows.select(fold.alias("fold"), F.col("label").cast("double").alias("label"), *columns).repartition(parts)
-    numbered = numbered.select(F.monotonically_increasing_id().alias("row"), "label", "fold", *columns)
-    schema = T.StructType([*numbered.schema.fields[:3], *[T.StructField(f"b{i}", T.ShortType()) for i in range(len(columns))]])
-    return stage(numbered.mapInArrow(run, schema), "boosting")
+    numbered = numbered.select(F.monotonically_increasing_id().alias("row"), "fold", "label", *columns)
+    return stage(numbered.mapInArrow(run, ", ".join(f"{name} binary" for name in BLOCK)), "boosting")
+
+
+# The columns of a block; margins m0, m1, ... follow when trees have grown.
+BLOCK = ["row", "fold", "label", "bins"]
+
+
+def _kind(limits: Sequence) -> type:
+    """The type of bins' numbers."""
+    return np.uint8 if max(map(len, limits), default=0) < 256 else np.uint16
+
+
+@dataclass(frozen=True)
+class Block:
+    """Rows of a task: their numbers, folds, labels, bins by column and written margins."""
+
+    row: np.ndarray
+    fold: np.ndarray
+    label: np.ndarray
+    bins: list[np.ndarray]
+    stored: list[np.ndarray]
+
+    def margin(self, step: Step) -> np.ndarray:
+        margin = np.zeros(len(self.row)) if step.stored is None else self.stored[step.stored]
+        for tree in step.recent:
+            margin = margin + tree.of_rows(self.bins, len(self.row))
+        return margin
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[Block]:
+    for batch in batches:
+        for cells in zip(*batch.columns):
+            row, fold, label, bins, *stored = (cell.as_buffer() for cell in cells)
+            row = np.frombuffer(row, np.int64)
+            kind = np.uint8 if bins.size == columns * len(row) else np.uint16
+            yield Block(
+                row,
+                np.frombuffer(fold, np.int32),
+                np.frombuffer(label),
+                list(np.frombuffer(bins, kind).reshape(columns, len(row))),
+                [np.frombuffer(margin) for margin in stored],
+            )
 
 
 def _sampled(row: np.ndarray, options: ModelOptions, number: int) -> np.ndarray:
@@ -182,16 +245,6 @@ def _sampled(row: np.ndarray, options: ModelOptions, number: int) -> np.ndarray:
     return z % np.uint64(1_000_000) < np.uint64(int(options.subsampling_rate * 1_000_000))
 
 
-def _margins(batch: pa.RecordBatch, bins: list[np.ndarray], steps: Sequence[Step]) -> Iterator[np.ndarray]:
-    """The rows' margins, fit by fit."""
-    for i, step in enumerate(steps):
-        stored = f"m{i}" in batch.schema.names
-        margin = batch.column(f"m{i}").to_numpy() if stored else np.zeros(batch.num_rows)
-        for tree in step.recent:
-            margin = margin + tree.of_rows(bins, batch.num_rows)
-        yield margin
-
-
 def _weights(label: np.ndarray, margin: np.ndarray, first: bool, options: ModelOptions) -> list[np.ndarray | None]:
     """What rows add to the sums of their node: one, gradient and curvature."""
     if options.columns_per_tree:
@@ -201,34 +254,28 @@ def _weights(label: np.ndarray, margin: np.ndarray, first: bool, options: ModelO
     return [None, sign if first else 4 * sign / (1 + np.exp(np.minimum(2 * sign * margin, 700)))]
 
 
-def _columns_of(batch: pa.RecordBatch, count: int) -> list[np.ndarray]:
-    return [batch.column(f"b{i}").to_numpy() for i in range(count)]
-
-
 def _measure(here: DataFrame, steps: Sequence[Step], sizes: Sequence[int], options: ModelOptions) -> dict:
     """Sums by fit and node, each of shape (bins of all columns, places), in one pass over the rows."""
     places = 3 if options.columns_per_tree else 2
     starts = np.cumsum([0, *sizes]).tolist()
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = [np.zeros((step.nodes, starts[-1], places)) if step.growing else None for step in steps]
-        for batch in batches:
-            bins = _columns_of(batch, len(sizes))
-            label, fold = batch.column("label").to_numpy(), batch.column("fold").to_numpy(zero_copy_only=False)
-            row = batch.column("row").to_numpy()
-            samples = {number: _sampled(row, options, number) for number in {s.number for s in steps if s.growing}}
-            for step, margin, total in zip(steps, _margins(batch, bins, steps), sums):
-                if total is None:
-                    continue
-                node = step.growing.of_rows(bins, batch.num_rows)
+        alone = [step.growing is not None and step.like is None for step in steps]
+        sums = [np.zeros((step.nodes, starts[-1], places)) if mine else None for step, mine in zip(steps, alone)]
+        measured = [(step, total) for step, total in zip(steps, sums) if total is not None]
+        for block in _blocks(batches, len(sizes)):
+            samples = {number: _sampled(block.row, options, number) for number in {s.number for s, _ in measured}}
+            for step, total in measured:
+                node = step.growing.of_rows(block.bins, len(block.row))
                 mine = samples[step.number] & (node >= 0)
                 if step.held is not None:
-                    mine &= fold != step.held
+                    mine &= block.fold != step.held
                 mine = np.flatnonzero(mine)
-                node = node[mine]
-                weights = _weights(label[mine], margin[mine], step.number == 0, options)
-                for column, size, start in zip(bins, sizes, starts):
-                    key = node * size + column[mine]
+                weights = _weights(block.label[mine], block.margin(step)[mine], step.number == 0, options)
+                node = node[mine] if step.nodes > 1 else None
+                for column, size, start in zip(block.bins, sizes, starts):
+                    key = column[mine] if node is None else node * size + column[mine]
+                    key = key.astype(np.intp, copy=False)
                     for place, weight in enumerate(weights):
                         found = np.bincount(key, weight, step.nodes * size).reshape(step.nodes, size)
                         total[:, start : start + size, place] += found
@@ -243,7 +290,10 @@ def _measure(here: DataFrame, steps: Sequence[Step], sizes: Sequence[int], optio
     schema = "fit long, node long, sums binary"
     found = here.mapInArrow(add_up, schema).groupBy("fit", "node").applyInArrow(combine, schema)
     # A row per node that is measured, of the same size whatever the input.
-    return {(r["fit"], r["node"]): np.frombuffer(r["sums"]).reshape(-1, places) for r in found.collect()}
+    sums = {(r["fit"], r["node"]): np.frombuffer(r["sums"]).reshape(-1, places) for r in found.collect()}
+    fits = [i if step.like is None else step.like for i, step in enumerate(steps)]
+    nodes = ((i, fit, node) for i, fit in enumerate(fits) for node in range(steps[i].nodes))
+    return {(i, node): sums[fit, node] for i, fit, node in nodes if (fit, node) in sums}
 
 
 @dataclass
@@ -256,6 +306,7 @@ class Grower:
     options: ModelOptions
     trees: list[Tree] = field(default_factory=list)
     recent: list[Placed] = field(default_factory=list)
+    stored: int | None = None
 
     def __post_init__(self):
         self.starts = np.cumsum([0, *[len(limit) + 1 for limit in self.limits]])
@@ -276,11 +327,16 @@ class Grower:
         """The next pass's part for this fit; nothing to measure when it is done or waits for its margins."""
         number = len(self.trees)
         if self.done or len(self.recent) == STAGED_TREES:
-            return Step(self.fit.held, number, tuple(self.recent), None, 0)
+            return Step(self.fit.held, number, tuple(self.recent), None, 0, self.stored)
         ends = sorted(self._ends())
         values = np.array([self.wanted.index(n) if n in self.wanted else -1 for n in ends], dtype=np.int64)
         growing = Placed(dict(self.splits), {n: i for i, n in enumerate(ends)}, values)
-        return Step(self.fit.held, number, tuple(self.recent), growing, len(self.wanted))
+        return Step(self.fit.held, number, tuple(self.recent), growing, len(self.wanted), self.stored)
+
+    def state(self) -> tuple:
+        """What equal fits have in common: the rows, all trees, and the tree that grows."""
+        growing = tuple(self.splits.items()), tuple(self.wanted), len(self.recent), self.stored
+        return self.fit.held, growing, tuple(tree for tree in self.trees)
 
     def _ends(self) -> list[int]:
         """Nodes without a split, depth first."""
@@ -361,17 +417,41 @@ class Grower:
         self._plant()
 
 
+def _steps(growers: Sequence[Grower]) -> list[Step]:
+    """The next pass's part of each fit. Until a tree reaches the lesser depth, fits of two depths do the same."""
+    first: dict[tuple, int] = {}
+    found = [first.setdefault(grower.state(), i) for i, grower in enumerate(growers)]
+    return [replace(g.step(), like=None if like == i else like) for i, (g, like) in enumerate(zip(growers, found))]
+
+
 def _with_margins(here: DataFrame, steps: Sequence[Step], columns: int) -> DataFrame:
-    """The rows written with the margins of all fits."""
-    kept = [f for f in here.schema if not re.fullmatch(r"m\d+", f.name)]
-    schema = T.StructType([*kept, *[T.StructField(f"m{i}", T.DoubleType()) for i in range(len(steps))]])
+    """The blocks written with the margins of all fits that are like no earlier one."""
+    alone = [step for step in steps if step.like is None]
+    names = [*BLOCK, *[f"m{i}" for i in range(len(alone))]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            margins = [pa.array(margin) for margin in _margins(batch, _columns_of(batch, columns), steps)]
-            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in kept], *margins], schema.names)
+            for place, block in enumerate(_blocks(iter([batch]), columns)):
+                margins = [pa.array([block.margin(step).tobytes()], pa.binary()) for step in alone]
+                kept = [batch.column(name).slice(place, 1) for name in BLOCK]
+                yield pa.RecordBatch.from_arrays([*kept, *margins], names)
+
+    return stage(here.mapInArrow(run, ", ".join(f"{name} binary" for name in names)), "boosting")
+
+
+def _scored(here: DataFrame, steps: Sequence[Step], columns: int) -> DataFrame:
+    """The rows' label, fold and margins m0, m1, ... under all fits, written once."""
+    names = ["label", "fold", *[f"m{i}" for i in range(len(steps))]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(batches, columns):
+            margins: list[np.ndarray] = []
+            for step in steps:
+                margins.append(block.margin(step) if step.like is None else margins[step.like])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (block.label, block.fold, *margins)], names)
 
-    return stage(here.mapInArrow(run, schema), "boosting")
+    margins = ", ".join(f"{name} double" for name in names[2:])
+    return stage(here.mapInArrow(run, f"label double, fold int, {margins}"), "boosting")
 
 
 def _forget(staged: DataFrame) -> None:
@@ -385,7 +465,7 @@ def grow_all(
 ) -> tuple[list[Boosted], DataFrame | None]:
     """Grow ``max_iter`` trees for each of the fits on rows with the given columns, a label, 0 or 1, and a fold.
 
-    With ``score`` also the rows' label, fold and margins m0, m1, ... under the fits.
+    With ``score`` also the rows' label, fold (-1: none) and margins m0, m1, ... under the fits.
     """
     spark = rows.sparkSession
     ship_package(spark)
@@ -394,18 +474,20 @@ def grow_all(
     sizes = [len(limit) + 1 for limit in limits]
     growers = [Grower(fit, columns, limits, options) for fit in fits]
     while not all(grower.done for grower in growers):
-        steps = [grower.step() for grower in growers]
+        steps = _steps(growers)
         if not any(step.growing for step in steps):
             before, here = here, _with_margins(here, steps, len(columns))
             _forget(before)
-            for grower in growers:
+            written = [i for i, step in enumerate(steps) if step.like is None]
+            for i, (grower, step) in enumerate(zip(growers, steps)):
                 grower.recent.clear()
+                grower.stored = written.index(i if step.like is None else step.like)
             continue
         sums = _measure(here, steps, sizes, options)
         for i, (grower, step) in enumerate(zip(growers, steps)):
             if step.growing:
                 grower.take([sums.get((i, node)) for node in range(step.nodes)])
-    scored = _with_margins(here, [grower.step() for grower in growers], len(columns)) if score else None
+    scored = _scored(here, _steps(growers), len(columns)) if score else None
     _forget(here)
     per_margin = 1 if options.columns_per_tree else 2
     return [Boosted(tuple(grower.trees), per_margin) for grower in growers], scored

@@ -105,6 +105,33 @@ def test_a_grid_takes_as_many_passes_as_its_deepest_fit(rows, monkeypatch):
     assert len(passes) <= 3 * 3 and all(len(nodes) == 2 * 3 + 2 and max(nodes) <= 2 for nodes in passes)
 
 
+def test_a_pass_reads_blocks_and_equal_fits_once(rows, monkeypatch):
+    """Rows are staged in blocks, and depths whose trees are equal share sums and margins; trees stay those of one fit."""
+    measure, alike, widths = boosting._measure, [], set()
+
+    def counted(here, steps, *rest):
+        alike.append([step.like is not None for step in steps])
+        widths.add((len(here.columns), here.count()))
+        return measure(here, steps, *rest)
+
+    monkeypatch.setattr(boosting, "_measure", counted)
+    monkeypatch.setattr(boosting, "STAGED_TREES", 2)
+    easy = rows.withColumn("x0", F.floor(F.col("x0") * 2).cast("double")).withColumn("label", F.col("x0").cast("int"))
+    options = ModelOptions(max_iter=5, subsampling_rate=1.0, feature_fraction=1.0)
+    fits = [boosting.Fit(depth, fold) for depth in (2, 3) for fold in (0, None)]
+    together, scored = boosting.grow_all(easy, COLUMNS, fits, options, score=True)
+    # One split is all there is to learn, so that the second depth never does anything else than the first.
+    assert all(like == [False, False, True, True] for like in alike)
+    assert all(blocks < 600 / 8 and columns <= 4 + 2 for columns, blocks in widths)
+    assert together[:2] == together[2:] and scored.count() == 600 and scored.columns[:2] == ["label", "fold"]
+    hard = ModelOptions(max_iter=5)
+    together = boosting.grow_all(rows, COLUMNS, fits, hard)[0]
+    for fit, model in zip(fits, together):
+        alone = boosting.grow_all(rows, COLUMNS, [fit], hard)[0][0]
+        for one, other in zip(model.trees, alone.trees):
+            assert one.leaf == other.leaf and one.values == pytest.approx(other.values, rel=1e-9)
+
+
 def test_default_trees_are_those_of_mllib(rows):
     """With all rows and columns and a bin a value, chances and predictions equal those of MLlib's booster."""
     coarse = rows.select(*[F.floor(F.col(c) * 20).cast("double").alias(c) for c in COLUMNS], "label", "fold")
