@@ -96,7 +96,8 @@ def _logits(states: np.ndarray, to: np.ndarray, bias: np.ndarray) -> np.ndarray:
     """Logits in a range that exponentials bear; rows are shifted only if they have to be."""
     x = states @ to
     x += bias
-    if x.size and (x.max() > 60 or x.min() < -85):
+    # States are within 1, so that logits are within the sums of the weights.
+    if (np.abs(to).sum(0) + np.abs(bias)).max() > 59 and x.size and (x.max() > 60 or x.min() < -85):
         x -= x.max(-1, keepdims=True)
     return x
 
@@ -106,21 +107,29 @@ def steps(
 ) -> tuple[np.ndarray, list]:
     """States after each step of (time, lane) inputs; ``keep`` is 0 where a document starts.
 
-    ``traced`` also returns what backpropagation needs of each step.
+    ``traced`` also returns what backpropagation needs of each step. Within a step lanes are the last axis, so that
+    each gate is contiguous.
     """
     hidden, trace = state.shape[1], []
+    recurrent = np.ascontiguousarray(weights["recurrent"].T)
     states = np.empty((*inputs.shape, hidden), np.float32)
+    state = np.ascontiguousarray(state.T)
     for t, symbols in enumerate(inputs):
-        state = state * keep[t][:, None]
-        given, own = weights["input"][symbols], state @ weights["recurrent"]
+        state = state * keep[t]
+        given, own = np.ascontiguousarray(weights["input"].take(symbols, axis=0).T), recurrent @ state
         with np.errstate(over="ignore"):
-            gates = _sigmoid(given[:, : 2 * hidden] + own[:, : 2 * hidden])
-            update, reset = gates[:, :hidden], gates[:, hidden:]
-            fresh = _tanh(given[:, 2 * hidden :] + reset * own[:, 2 * hidden :])
+            given[: 2 * hidden] += own[: 2 * hidden]
+            gates = _sigmoid(given[: 2 * hidden])
+            update, reset = gates[:hidden], gates[hidden:]
+            fresh = reset * own[2 * hidden :]
+            fresh += given[2 * hidden :]
+            _tanh(fresh)
         if traced:
-            trace.append((state, own[:, 2 * hidden :], update, reset, fresh))
-        state = fresh + update * (state - fresh)
-        states[t] = state
+            trace.append((state, own[2 * hidden :], update, reset, fresh))
+        state = state - fresh
+        state *= update
+        state += fresh
+        states[t] = state.T
     return states, trace
 
 
@@ -150,7 +159,7 @@ def log_likelihoods(weights: Weights, states: np.ndarray, targets: np.ndarray) -
     """Natural log probability of each target after its state; both flat over time and lanes."""
     members = weights["member_bias"].shape[1]
     order, groups = _by_class(targets, members)
-    states, targets = states[order], targets[order]
+    states, targets = states.take(order, axis=0), targets.take(order)
     found = _log_shares(_logits(states, weights["class"], weights["class_bias"]), targets // members)
     for group, rows in groups:
         own = _logits(states[rows], weights["member"][group], weights["member_bias"][group])
@@ -183,7 +192,7 @@ def gradients(
     grads = {name: np.zeros_like(value) for name, value in weights.items()}
     # The softmaxes work on rows in order of the targets' classes, so that a class is one slice.
     order, groups = _by_class(targets.reshape(-1), members)
-    flat, wanted = states.reshape(-1, hidden)[order], targets.reshape(-1)[order]
+    flat, wanted = states.reshape(-1, hidden).take(order, axis=0), targets.reshape(-1)[order]
     weight = used.reshape(-1)[order]
     loss, grads["class"], grads["class_bias"], back = _softmax_part(
         flat, weights["class"], weights["class_bias"], wanted // members, weight
@@ -197,25 +206,24 @@ def gradients(
         back[rows] += own
     in_time = np.empty_like(back)
     in_time[order] = back
-    in_time = in_time.reshape(time, lanes, hidden)
-    carried = np.zeros((lanes, hidden), back.dtype)
-    # Gradients by the sums that enter the gates: update, reset, fresh.
-    to_input = np.empty((time, lanes, 3 * hidden), back.dtype)
+    in_time = np.ascontiguousarray(in_time.reshape(time, lanes, hidden).transpose(0, 2, 1))
+    carried = np.zeros((hidden, lanes), back.dtype)
+    # Gradients by the sums that enter the gates: update, reset, fresh. Lanes are the last axis, as in the trace.
+    to_input, parts = np.empty((time, lanes, 3 * hidden), back.dtype), np.empty((3 * hidden, lanes), back.dtype)
+    d_update, d_reset, d_fresh = (parts[k * hidden : (k + 1) * hidden] for k in range(3))
     for t in range(time - 1, -1, -1):
         before, own, update, reset, fresh = trace[t]
         down = in_time[t] + carried
-        parts = to_input[t]
-        d_update, d_reset, d_fresh = (parts[:, k * hidden : (k + 1) * hidden] for k in range(3))
         np.multiply(down * (1 - update), 1 - fresh * fresh, out=d_fresh)
         np.multiply(down * (before - fresh), update * (1 - update), out=d_update)
         np.multiply(d_fresh * own, reset * (1 - reset), out=d_reset)
-        d_own = parts.copy()
-        d_own[:, 2 * hidden :] *= reset
-        grads["recurrent"] += before.T @ d_own
-        carried = (down * update + d_own @ weights["recurrent"].T) * keep[t][:, None]
+        to_input[t] = parts.T
+        d_fresh *= reset
+        grads["recurrent"] += before @ parts.T
+        carried = (down * update + weights["recurrent"] @ parts) * keep[t]
     # Rows of equal symbols are added up after sorting.
     order, found, starts = _sorted_runs(inputs.reshape(-1))
-    grads["input"][found] = np.add.reduceat(to_input.reshape(-1, 3 * hidden)[order], starts, axis=0)
+    grads["input"][found] = np.add.reduceat(to_input.reshape(-1, 3 * hidden).take(order, axis=0), starts, axis=0)
     return loss, grads, states[-1]
 
 
@@ -292,7 +300,8 @@ def score(weights: Weights, documents: list[np.ndarray], start: int, options: Gr
         keep = 1 - first[place].astype(np.float32)
         states, _ = steps(weights, before[place], keep, state[:active], traced=False)
         state = states[-1]
-        place = place[inside]
-        found = log_likelihoods(weights, states[inside], symbols[place])
-        sums += np.bincount(owner[place], found, len(documents))
+        if not inside.all():
+            place, states = place[inside], states[inside]
+        found = log_likelihoods(weights, states.reshape(-1, options.hidden), symbols[place].reshape(-1))
+        sums += np.bincount(owner[place].reshape(-1), found, len(documents))
     return sums

@@ -30,11 +30,11 @@ import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
-from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -44,11 +44,13 @@ from ebbline.llm.text import plain
 from ebbline.session import stage
 
 END, OTHER = 0, 1
-# A task's counter is handed on and started anew when it holds so many words.
+# A task's counts are handed on and started anew when they are of so many words.
 MOST_COUNTED = 400_000
 # Text that is laid out in lanes at a time: enough to keep all lanes busy next to a long document.
 SLICE_BYTES = 32_000_000
-# Tokens that a learner lays out in lanes at a time.
+# Text that is split at a time: words take several times the memory of their text.
+SPLIT_BYTES = 4_000_000
+# Tokens that a learner lays out in lanes at a time, and that are counted at a time.
 LAID_TOKENS = 1_000_000
 # Average weights of so many learners at a time.
 GROUP = 32
@@ -71,9 +73,16 @@ class LmOptions:
     gru: gru.GruOptions = gru.GruOptions()
 
 
-def split_words(text: str) -> list[bytes]:
-    """Words as UTF-8. On bytes both methods know just the ASCII letters and the six ASCII spaces."""
-    return text.encode().lower().split()
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts in order, and how many each text has.
+
+    Both functions work on bytes and know just the ASCII letters and the six ASCII spaces.
+    """
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words, owners = parts.flatten(), pc.list_parent_indices(parts).to_numpy()
+    # Spaces at either end of a text leave an empty part there.
+    full = pc.greater(pc.binary_length(words), 0)
+    return words.filter(full), np.bincount(owners[full.to_numpy(zero_copy_only=False)], minlength=len(texts))
 
 
 def held_out(options: LmOptions) -> Column:
@@ -81,28 +90,34 @@ def held_out(options: LmOptions) -> Column:
     return F.pmod(F.crc32(key), F.lit(options.folds)) == options.held_out_fold
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[list[str]]:
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Array]:
     for whole in batches:
-        for batch in slices(whole, "text", SLICE_BYTES):
-            yield batch.column("text").to_pylist()
+        for batch in slices(whole, "text", SPLIT_BYTES):
+            yield batch.column("text")
+
+
+COUNTED = pa.schema([("token", pa.string()), ("c", pa.int64())])
 
 
 def count_words(texts: DataFrame) -> DataFrame:
     """(token, c) over the column ``text``."""
 
-    def flushed(counter: Counter) -> pa.RecordBatch:
-        tokens = pa.array([token.decode() for token in counter], pa.string())
-        return pa.RecordBatch.from_arrays([tokens, pa.array(counter.values(), pa.int64())], ["token", "c"])
+    def added(held: pa.Table, waiting: list[pa.Array]) -> pa.Table:
+        found = pc.value_counts(pa.chunked_array(waiting, pa.string()))
+        fresh = pa.table([found.field("values"), found.field("counts")], COUNTED)
+        both = pa.concat_tables([held, fresh]) if held.num_rows else fresh
+        return both.group_by("token").aggregate([("c", "sum")]).rename_columns(COUNTED.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter: Counter = Counter()
+        held, waiting = COUNTED.empty_table(), []
         for texts_ in _texts(batches):
-            for text in texts_:
-                counter.update(split_words(text))
-                if len(counter) > MOST_COUNTED:
-                    yield flushed(counter)
-                    counter = Counter()
-        yield flushed(counter)
+            waiting.append(split_words(texts_)[0])
+            if sum(map(len, waiting)) >= LAID_TOKENS:
+                held, waiting = added(held, waiting), []
+                if held.num_rows > MOST_COUNTED:
+                    yield from held.to_batches()
+                    held = COUNTED.empty_table()
+        yield from added(held, waiting).to_batches()
 
     return texts.select("text").mapInArrow(run, "token string, c long").groupBy("token").agg(F.sum("c").alias("c"))
 
@@ -174,22 +189,36 @@ def most_frequent(counts: DataFrame, documents: int, options: LmOptions) -> Voca
 
 
 class _Coder:
-    """Numbers and symbols of words, and log10(c + 1) by number; -1 is a word that was not broadcast."""
+    """Numbers and symbols of words, and log10(c + 1) by number; the last number is that of words not broadcast."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.number = {word: number for number, (word, _) in enumerate(vocabulary.words)}
+        self.words = pa.array([word for word, _ in vocabulary.words], pa.binary()).cast(pa.string())
         # A table of the symbols alone stays in the processor's cache, which is all that training looks up.
-        self.symbol = {word: OTHER + 1 + number for number, (word, _) in enumerate(vocabulary.words[: vocabulary.symbols])}
+        self.symbol_words = self.words.slice(0, vocabulary.symbols)
         self.logs = np.log10([*[c + 1.0 for _, c in vocabulary.words], 1.0])
         self.symbols = np.full(len(vocabulary.words) + 1, OTHER, np.int32)
         self.symbols[: vocabulary.symbols] = np.arange(vocabulary.symbols) + OTHER + 1
 
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.number.get, words, repeat(-1)), np.int32, len(words))
+    def numbers(self, words: pa.Array) -> np.ndarray:
+        return _places(words, self.words)
+
+    def code(self, texts: pa.Array) -> list[np.ndarray]:
+        """The texts as symbols, each with its end."""
+        words, sizes = split_words(texts)
+        symbols = self.symbols[: len(self.symbol_words) + 1].copy()
+        symbols[-1] = OTHER
+        return with_ends(symbols[_places(words, self.symbol_words)], sizes)
+
+
+def _places(words: pa.Array, known: pa.Array) -> np.ndarray:
+    """Places of words among the known ones; of other words their number."""
+    return pc.fill_null(pc.index_in(words, known), len(known)).to_numpy(zero_copy_only=False)
+
 
-    def code(self, words: list[bytes]) -> np.ndarray:
-        codes = np.fromiter(map(self.symbol.get, words, repeat(OTHER)), np.int32, len(words))
-        return np.append(codes, np.int32(END))
+def with_ends(symbols: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """The symbols of texts of the given sizes, cut, each with its end."""
+    stops = np.cumsum(sizes)
+    return np.split(np.insert(symbols, stops, np.int32(END)), (stops + np.arange(1, len(sizes) + 1))[:-1])
 
 
 WEIGHTS = pa.schema([("part", pa.int64()), ("tokens", pa.int64()), ("weights", pa.binary())])
@@ -233,9 +262,9 @@ def train(learned: DataFrame, vocabulary: Vocabulary, options: LmOptions) -> gru
             coder = once_per_worker("lm", key, lambda: _Coder(shared.value))
             trainer, coded, size = gru.Trainer(start.value, END, settings), [], 0
             for texts in _texts(batches):
-                for text in texts:
-                    coded.append(coder.code(split_words(text)))
-                    size += len(coded[-1])
+                for document in coder.code(texts):
+                    coded.append(document)
+                    size += len(document)
                     if size >= LAID_TOKENS:
                         trainer.learn(coded)
                         coded, size = [], 0
@@ -284,23 +313,26 @@ def _partly_scored(rows: DataFrame, vocabulary: Vocabulary, weights: gru.Weights
         for whole in batches:
             for batch in slices(whole, "text", SLICE_BYTES):
                 coded, out = [], []
-                for text in batch.column("text").to_pylist():
-                    words = split_words(text)
+                for texts in _texts(iter([batch])):
+                    words, sizes = split_words(texts)
                     numbers = coder.numbers(words)
                     symbols, logs = coder.symbols[numbers], coder.logs[numbers]
-                    rare = Counter(words[at] for at in np.flatnonzero(numbers < 0).tolist())
-                    is_other = symbols == OTHER
-                    coded.append(np.append(symbols, np.int32(END)))
-                    out.append(
-                        {
-                            "n_tokens": len(words) + 1,
-                            "n_known": len(words) - sum(rare.values()) + (learned > 0),
-                            "base": float(logs.sum()) + math.log10(learned + 1) - (len(words) + 1) * base_unit,
-                            "model": float(logs[is_other].sum()) - int(is_other.sum()) * other_unit,
-                            "rare": [word.decode() for word in rare],
-                            "times": list(rare.values()),
-                        }
-                    )
+                    unknown = numbers == len(coder.words)
+                    for start, size in zip((np.cumsum(sizes) - sizes).tolist(), sizes.tolist()):
+                        mine = slice(start, start + size)
+                        rare = Counter(words.take(np.flatnonzero(unknown[mine]) + start).to_pylist())
+                        is_other = symbols[mine] == OTHER
+                        out.append(
+                            {
+                                "n_tokens": size + 1,
+                                "n_known": size - sum(rare.values()) + (learned > 0),
+                                "base": float(logs[mine].sum()) + math.log10(learned + 1) - (size + 1) * base_unit,
+                                "model": float(logs[mine][is_other].sum()) - int(is_other.sum()) * other_unit,
+                                "rare": list(rare),
+                                "times": list(rare.values()),
+                            }
+                        )
+                    coded += with_ends(symbols, sizes)
                 for row, value in zip(out, gru.score(model.value, coded, END, options.gru) / math.log(10)):
                     row["model"] += float(value)
                 made = pa.RecordBatch.from_pylist(out, SCORED)

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute_llm import base_scores, model_scores
 from ebbline.llm import gru, lm, queries
@@ -191,3 +192,17 @@ def test_query_on_the_whole_table(spark):
     held = frame.where("held_out").agg({"score": "sum", "base_score": "sum"}).first()
     assert held["sum(score)"] > held["sum(base_score)"]
     frame.unpersist()
+
+
+def test_words_are_split_for_a_whole_slice_at_once():
+    """As bytes.lower and bytes.split do, text by text."""
+    texts = ["", " ", "A b", "\tB\x0b\x0cÉ\r\n", "x\x1cy\x85z\xa0w\u3000v\x00", "  Ünd   ÀB ", "a" * 3000]
+    words, sizes = lm.split_words(pa.array(texts, pa.string()))
+    wanted = [text.encode().lower().split() for text in texts]
+    assert words.cast(pa.binary()).to_pylist() == [word for of_text in wanted for word in of_text]
+    assert sizes.tolist() == [len(of_text) for of_text in wanted]
+    coder = lm._Coder(lm.Vocabulary([(b"b", 3), (b"a", 2), (b"w", 1)], 2, 1, 6, 3))
+    assert coder.numbers(pa.array(["w", "a", "q"])).tolist() == [2, 1, 3]
+    coded = coder.code(pa.array(["", "a w b", "q"]))
+    assert [c.tolist() for c in coded] == [[lm.END], [3, lm.OTHER, 2, lm.END], [lm.OTHER, lm.END]]
+    assert {c.dtype for c in coded} == {np.dtype(np.int32)}
