@@ -2,12 +2,13 @@
 
 Every match of the splitting pattern is encoded on its own. Merges are taken in order of rank from a
 queue whose buckets hold list positions, one bucket per rank; a hierarchical bitmap over the buckets
-finds the next rank by looking for the first set bit of one word per level. A merge changes only its
-neighbours' pairs, so entries that no longer hold are left in the queue and skipped. That makes a
-pre-token of n bytes cost n log n steps at worst, where rescanning after every merge costs n squared.
+finds the next rank by looking for the first set bit of one word per level. Pairs wait in the queue only
+while they rank below their neighbours. A merge changes only its neighbours' pairs, so entries that no
+longer hold are left in the queue and skipped. That makes a pre-token of n bytes cost n log n steps at
+worst, where rescanning after every merge costs n squared.
 
 Texts are encoded row by row in Arrow batches; short pre-tokens are remembered per worker, up to
-``REMEMBERED`` of them. Ids are kept as one binary value per text: unsigned 32-bit, little-endian.
+``REMEMBERED`` of them unless a caller has room for more. Ids are kept as one binary value per text: unsigned 32-bit, little-endian.
 
 Null and empty texts have no ids. Texts and pre-tokens may be of any length. Pairs of equal rank are merged from the
 left. Repeated rows are encoded again. An empty table gives no rows. Other columns pass unread; those that are called
@@ -55,7 +56,7 @@ class RankQueue:
             self.levels.append([0] * words)
             if words <= 1:
                 break
-        self.from_top = self.levels[::-1]
+        self.lowest, self.above, self.from_top = self.levels[0], self.levels[1:], self.levels[:0:-1]
 
     def push(self, rank: int, position: int) -> None:
         buckets = self.buckets
@@ -67,48 +68,55 @@ class RankQueue:
                 heappush(held, position)
             return
         buckets[rank] = position
-        for level in self.levels:
-            word = rank >> BITS
+        word = rank >> BITS
+        before = self.lowest[word]
+        self.lowest[word] = before | SET[rank & MASK]
+        if before:
+            return
+        for level in self.above:
+            rank, word = word, word >> BITS
             before = level[word]
             level[word] = before | SET[rank & MASK]
             if before:
                 return
-            rank = word
 
     def pop(self) -> tuple[int, int]:
-        rank = 0
+        word = 0
         for level in self.from_top:
-            bits = level[rank]
-            rank = rank << BITS | (bits & -bits).bit_length() - 1
-        held = self.buckets[rank]
+            bits = level[word]
+            word = word << BITS | (bits & -bits).bit_length() - 1
+        bits = self.lowest[word]
+        rest = bits & bits - 1
+        rank = word << BITS | (bits ^ rest).bit_length() - 1
+        held = self.buckets.pop(rank)
         if type(held) is not int:
             position = heappop(held)
-            if len(held) == 1:
-                self.buckets[rank] = held[0]
+            self.buckets[rank] = held if len(held) > 1 else held[0]
             return rank, position
-        del self.buckets[rank]
-        index = rank
-        for level in self.levels:
-            word = index >> BITS
-            left = level[word] ^ SET[index & MASK]
-            level[word] = left
-            if left:
-                break
-            index = word
+        self.lowest[word] = rest
+        if not rest:
+            for level in self.above:
+                index, word = word, word >> BITS
+                left = level[word] ^ SET[index & MASK]
+                level[word] = left
+                if left:
+                    break
         return rank, held
 
 
 class Encoder:
-    """Ids of texts and texts of ids, for one vocabulary. ``packed`` remembers short pre-tokens."""
+    """Ids of texts and texts of ids, for one vocabulary. ``remembered`` is how many short pre-tokens are."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, remembered: int | None = None):
         self.ranks = ranks
         self.split = regex.compile(pattern).findall
         self.split_ascii = re.compile(ascii_pattern(pattern), re.ASCII).findall
         self.longest = max(map(len, ranks), default=0)
-        self.queue = RankQueue(max(ranks.values(), default=0) + 1)
+        # Above all ranks: that of a pair that is no piece.
+        self.none = max(ranks.values(), default=0) + 1
+        self.queue = RankQueue(self.none)
         self.starts, self.sizes, self.blob = _vocabulary_bytes(ranks)
-        self.remembered = _Remembered(self)
+        self.remembered = _Remembered(self, remembered or REMEMBERED)
 
     def encode(self, text: str | None) -> bytes:
         if not text:
@@ -128,21 +136,31 @@ class Encoder:
         return b"".join(parts)
 
     def merged(self, piece: bytes) -> list[int]:
-        """Ids of one pre-token."""
+        """Ids of one pre-token.
+
+        Only pairs that rank below their neighbours wait in the queue: the lowest of all is always one of them. A pair
+        is pushed when a merge next to it leaves it so; one that is pushed twice is stale the second time.
+        """
         ranks, longest, queue = self.ranks, self.longest, self.queue
         whole = ranks.get(piece)
         if whole is not None:
             return [whole]
-        size = len(piece)
+        size, none = len(piece), self.none
+        if not size:
+            return []
         # A node of the list is known by its first byte; it ends where the next one starts.
         following, previous = list(range(1, size + 2)), list(range(-1, size))
-        rank_of, push, pop = ranks.get, queue.push, queue.pop
-        pair_rank = [rank_of(piece[node : node + 2], -1) for node in range(size - 1)]
-        pair_rank.append(-1)
-        for node, rank in enumerate(pair_rank):
-            if rank >= 0:
+        rank_of, push, pop, buckets = ranks.get, queue.push, queue.pop, queue.buckets
+        # The rank of the pair that starts at a node; the place after the last node is also that before the first.
+        pair_rank = [rank_of(piece[node : node + 2], none) for node in range(size - 1)]
+        pair_rank += none, none
+        left = none
+        for node in range(size - 1):
+            rank = pair_rank[node]
+            if rank < left and rank <= pair_rank[node + 1]:
                 push(rank, node)
-        while queue.buckets:
+            left = rank
+        while buckets:
             rank, node = pop()
             if pair_rank[node] != rank:
                 continue
@@ -150,24 +168,32 @@ class Encoder:
             after = following[gone]
             following[node] = after
             previous[after] = node
-            pair_rank[gone] = -1
-            # The two pairs that the merged piece is part of.
-            rank = -1
+            pair_rank[gone] = none
+            # The two pairs that the merged piece is part of, then those beside them.
+            own = none
             if after < size:
                 end = following[after]
                 if end - node <= longest:
-                    rank = rank_of(piece[node:end], -1)
-                    if rank >= 0:
-                        push(rank, node)
-            pair_rank[node] = rank
-            before = previous[node]
+                    own = rank_of(piece[node:end], none)
+            pair_rank[node] = own
+            before, left, outer = previous[node], none, none
             if before >= 0:
-                rank = -1
                 if after - before <= longest:
-                    rank = rank_of(piece[before:after], -1)
-                    if rank >= 0:
-                        push(rank, before)
-                pair_rank[before] = rank
+                    left = rank_of(piece[before:after], none)
+                pair_rank[before] = left
+                beyond = previous[before]
+                outer = pair_rank[beyond]
+                if left < outer:
+                    if left <= own:
+                        push(left, before)
+                elif outer < none and outer < pair_rank[previous[beyond]]:
+                    push(outer, beyond)
+            right = pair_rank[after]
+            if own <= right:
+                if own < left:
+                    push(own, node)
+            elif right <= pair_rank[following[after]]:
+                push(right, after)
         ids, node = [], 0
         while node < size:
             ids.append(ranks[piece[node : following[node]]])
@@ -199,17 +225,17 @@ def _vocabulary_bytes(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray,
 class _Remembered(dict):
     """Packed ids by pre-token; computes what is missing and forgets late ones when full."""
 
-    def __init__(self, encoder: Encoder):
+    def __init__(self, encoder: Encoder, most: int):
         super().__init__()
-        self.encoder = encoder
+        self.encoder, self.most = encoder, most
 
     def __missing__(self, token: str) -> bytes:
         ids = self.encoder.merged(token.encode())
         packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(token) <= LONGEST_REMEMBERED:
-            if len(self) >= REMEMBERED:
+            if len(self) >= self.most:
                 # Frequent pre-tokens are met early, so the later half makes room.
-                for late in list(islice(reversed(self), REMEMBERED // 2)):
+                for late in list(islice(reversed(self), self.most // 2)):
                     del self[late]
             self[token] = packed
         return packed
@@ -221,10 +247,10 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines) if piece}
 
 
-def _encoder(df: DataFrame, ranks: dict[bytes, int], pattern: str):
+def _encoder(df: DataFrame, ranks: dict[bytes, int], pattern: str, remembered: int | None = None):
     shared = df.sparkSession.sparkContext.broadcast(ranks)
-    key = hash(frozenset(ranks.items())), pattern
-    return lambda: once_per_worker("bpe", key, lambda: Encoder(shared.value, pattern))
+    key = hash(frozenset(ranks.items())), pattern, remembered
+    return lambda: once_per_worker("bpe", key, lambda: Encoder(shared.value, pattern, remembered))
 
 
 def encode(
@@ -261,10 +287,12 @@ def digests(
     text: str = "text",
     keep: list[str] | None = None,
     with_ids: bool = True,
+    remembered: int | None = None,
 ) -> DataFrame:
     """``keep``, then n_tokens, ids, their SHA-256, and the SHA-256 of the bytes they decode to.
 
     Encoded and decoded in one pass of one worker, so that neither ids nor bytes travel only to be digested.
+    ``remembered`` pre-tokens take some 150 bytes each of a worker's memory; they change no result.
     """
     fields = [
         T.StructField("n_tokens", T.LongType()),
@@ -285,4 +313,4 @@ def digests(
         packed = [pa.array(every, pa.binary())] * with_ids
         return [pa.array(sizes, pa.int64()), *packed, pa.array(ids_digests, pa.string()), pa.array(decoded_digests, pa.string())]
 
-    return with_columns(df, fields, text, _encoder(df, ranks, pattern), make, keep)
+    return with_columns(df, fields, text, _encoder(df, ranks, pattern, remembered), make, keep)

@@ -10,6 +10,8 @@ from ebbline.llm import bpe, centroids, decontam, linededup, lm, neardup, phrase
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"
+# The worker of this query does nothing else, so that it has room for twice as many pre-tokens.
+REMEMBERED = 2 * bpe.REMEMBERED
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,7 +25,7 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe.digests(docs, ranks, public_tokenizers.PATTERN, keep=["doc_id"], with_ids=False)
+    return bpe.digests(docs, ranks, public_tokenizers.PATTERN, keep=["doc_id"], with_ids=False, remembered=REMEMBERED)
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

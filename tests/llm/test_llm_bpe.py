@@ -66,6 +66,52 @@ def test_memory_of_pretokens_is_bounded(ranks, monkeypatch):
     assert "y" * 1000 not in encoder.remembered
 
 
+def test_queue_starts_with_pairs_below_their_neighbours(ranks, monkeypatch):
+    random.seed(8)
+    encoder, pushed, at_first = bpe.Encoder(ranks, public_tokenizers.PATTERN), [], []
+    push, pop = encoder.queue.push, encoder.queue.pop
+    monkeypatch.setattr(encoder.queue, "push", lambda rank, node: (pushed.append(node), push(rank, node)))
+    monkeypatch.setattr(encoder.queue, "pop", lambda: (at_first.append(len(pushed)), pop())[1])
+    piece = bytes(random.choices(b"etaoinsh", k=2000))
+    encoder.merged(piece)
+    pairs = sum(piece[i : i + 2] in ranks for i in range(len(piece) - 1))
+    assert 0 < at_first[0] < pairs / 2
+
+
+def test_merges_go_by_rank_in_any_vocabulary():
+    """Also where a pair that a merge makes ranks below the merge itself."""
+    random.seed(9)
+
+    def by_hand(ranks, piece):
+        parts = [piece[i : i + 1] for i in range(len(piece))]
+        while True:
+            pairs = [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]
+            if not pairs:
+                return [ranks[part] for part in parts]
+            _, at = min(pairs)
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+
+    for _ in range(40):
+        letters = bytes(random.sample(range(256), 3))
+        pieces = {bytes(random.choices(letters, k=random.randrange(2, 7))) for _ in range(50)}
+        pieces = sorted(pieces | {bytes([letter]) for letter in letters})
+        random.shuffle(pieces)
+        ranks = {piece: rank for rank, piece in enumerate(pieces)}
+        encoder = bpe.Encoder(ranks, ".")
+        for _ in range(40):
+            piece = bytes(random.choices(letters, k=random.randrange(1, 40)))
+            # A whole piece of the vocabulary is itself, as in the library.
+            assert encoder.merged(piece) == ([ranks[piece]] if piece in ranks else by_hand(ranks, piece))
+
+
+def test_more_pretokens_are_remembered_where_asked(ranks, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 10)
+    text = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(400))
+    wider, plain = bpe.Encoder(ranks, public_tokenizers.PATTERN, 500), bpe.Encoder(ranks, public_tokenizers.PATTERN)
+    assert wider.encode(text) == plain.encode(text)
+    assert len(plain.remembered) <= 10 < 400 == len(wider.remembered)
+
+
 def test_odd_documents(documents, odd_rows, ranks, library):
     docs = documents(odd_rows)
     encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, ids="ids")
