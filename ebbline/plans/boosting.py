@@ -17,7 +17,7 @@ ordinary stage of a pipeline that Spark evaluates, stores and loads.
 
 Rows are written with their margins every ``STAGED_TREES`` trees; in between a pass adds up the trees grown since.
 They are written in blocks, a binary value for the bins of ``BLOCK_ROWS`` rows, so that a pass hands few large values to
-Python and not every cell. Fits of one fold whose trees are equal so far share their margins and sums.
+Python, one block at a time, and not every cell. Trees since are looked up for the rows that a node is measured on alone. Fits of one fold whose trees are equal so far share their margins and sums.
 """
 
 from __future__ import annotations
@@ -27,13 +27,14 @@ import random
 import re
 from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml.feature import SQLTransformer
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ebbline.functions.cells import double_literal
 from ebbline.operators.metrics import roc_auc
@@ -42,7 +43,9 @@ from ebbline.session import delete, ship_package, stage
 
 STAGED_TREES = 5
 # Rows of a block, at least, but for the last of a task.
-BLOCK_ROWS = 32_768
+BLOCK_ROWS = 131_072
+# Spark's setting for the rows that go to Python at once. A row is a block here, and the next is read during its sums.
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 # Curvature below this is as good as none.
 LEAST_CURVATURE = 1e-16
 # A gain below this share of a node's own term is what rounding leaves of none.
@@ -103,15 +106,21 @@ class Placed:
     ends: dict[int, int]
     values: np.ndarray
 
-    def of_rows(self, bins: list[np.ndarray], rows: int) -> np.ndarray:
+    def of_rows(self, bins: np.ndarray) -> np.ndarray:
+        """The value of every row; ``bins`` are those of one column after the other."""
+        # As few bytes as the numbers need, and no branches: a child's numbers are taken by a mask of all bits or none.
+        kind = np.uint8 if len(self.values) <= 256 else np.uint32
+
         def place(node: int):
             if node not in self.splits:
-                return np.int32(self.ends[node])
+                return kind(self.ends[node])
             column, limit = self.splits[node]
-            return np.where(bins[column] > limit, place(2 * node + 1), place(2 * node))
+            low, high = place(2 * node), place(2 * node + 1)
+            above = (bins[column] > limit).astype(kind, copy=False)
+            return low ^ (above * (low ^ high) if np.ndim(low) + np.ndim(high) == 0 else (low ^ high) & -above)
 
         found = place(1)
-        return self.values[found] if np.ndim(found) else np.full(rows, self.values[found])
+        return self.values.take(found) if np.ndim(found) else np.full(bins.shape[1], self.values[found])
 
 
 @dataclass(frozen=True)
@@ -210,14 +219,19 @@ class Block:
     row: np.ndarray
     fold: np.ndarray
     label: np.ndarray
-    bins: list[np.ndarray]
+    bins: np.ndarray
     stored: list[np.ndarray]
 
     def margin(self, step: Step) -> np.ndarray:
-        margin = np.zeros(len(self.row)) if step.stored is None else self.stored[step.stored]
-        for tree in step.recent:
-            margin = margin + tree.of_rows(self.bins, len(self.row))
-        return margin
+        return _margin(step, self.bins, None if step.stored is None else self.stored[step.stored])
+
+
+def _margin(step: Step, bins: np.ndarray, stored: np.ndarray | None) -> np.ndarray:
+    """The written margins, if any, with the trees since added."""
+    margin = np.zeros(bins.shape[1]) if stored is None else stored
+    for tree in step.recent:
+        margin = margin + tree.of_rows(bins)
+    return margin
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[Block]:
@@ -230,11 +244,22 @@ def _blocks(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[Block]:
                 row,
                 np.frombuffer(fold, np.int32),
                 np.frombuffer(label),
-                list(np.frombuffer(bins, kind).reshape(columns, len(row))),
+                np.frombuffer(bins, kind).reshape(columns, len(row)),
                 [np.frombuffer(margin) for margin in stored],
             )
 
 
+@contextmanager
+def _block_by_block(spark: SparkSession) -> Iterator[None]:
+    """Inside, rows go to Python one by one. The setting is the session's; other jobs get small batches meanwhile."""
+    before = spark.conf.get(BATCH)
+    spark.conf.set(BATCH, "1")
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH, before)
+
+
 def _sampled(row: np.ndarray, options: ModelOptions, number: int) -> np.ndarray:
     """Which rows the tree learns from, by a hash of their number."""
     start = random.Random(f"{options.seed}-{number}-rows").getrandbits(64)
@@ -254,31 +279,40 @@ def _weights(label: np.ndarray, margin: np.ndarray, first: bool, options: ModelO
     return [None, sign if first else 4 * sign / (1 + np.exp(np.minimum(2 * sign * margin, 700)))]
 
 
+def _added(blocks: Iterator[Block], steps: Sequence[Step], sizes: Sequence[int], options: ModelOptions) -> list:
+    """Sums of the blocks by fit, each of shape (nodes, bins of all columns, places); None for fits not measured."""
+    starts = np.cumsum([0, *sizes]).tolist()
+    alone = [step.growing is not None and step.like is None for step in steps]
+    shape = (3 if options.columns_per_tree else 2,)
+    sums = [np.zeros((*shape, step.nodes, starts[-1])) if mine else None for step, mine in zip(steps, alone)]
+    measured = [(step, total) for step, total in zip(steps, sums) if total is not None]
+    for block in blocks:
+        samples = {number: _sampled(block.row, options, number) for number in {step.number for step, _ in measured}}
+        for step, total in measured:
+            node = step.growing.of_rows(block.bins) if step.growing.splits else None
+            mine = samples[step.number] if node is None else samples[step.number] & (node >= 0)
+            if step.held is not None:
+                mine = mine & (block.fold != step.held)
+            # Everything below is done for the rows that count alone.
+            mine = np.flatnonzero(mine)
+            bins = block.bins.take(mine, 1)
+            margin = _margin(step, bins, None if step.stored is None else block.stored[step.stored].take(mine))
+            weights = _weights(block.label.take(mine), margin, step.number == 0, options)
+            node = node.take(mine) if step.nodes > 1 else None
+            for column, size, start in zip(bins, sizes, starts):
+                key = column.astype(np.intp) if node is None else node * size + column
+                for place, weight in enumerate(weights):
+                    found = np.bincount(key, weight, step.nodes * size).reshape(step.nodes, size)
+                    total[place, :, start : start + size] += found
+    return [None if total is None else np.ascontiguousarray(np.moveaxis(total, 0, -1)) for total in sums]
+
+
 def _measure(here: DataFrame, steps: Sequence[Step], sizes: Sequence[int], options: ModelOptions) -> dict:
     """Sums by fit and node, each of shape (bins of all columns, places), in one pass over the rows."""
     places = 3 if options.columns_per_tree else 2
-    starts = np.cumsum([0, *sizes]).tolist()
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        alone = [step.growing is not None and step.like is None for step in steps]
-        sums = [np.zeros((step.nodes, starts[-1], places)) if mine else None for step, mine in zip(steps, alone)]
-        measured = [(step, total) for step, total in zip(steps, sums) if total is not None]
-        for block in _blocks(batches, len(sizes)):
-            samples = {number: _sampled(block.row, options, number) for number in {s.number for s, _ in measured}}
-            for step, total in measured:
-                node = step.growing.of_rows(block.bins, len(block.row))
-                mine = samples[step.number] & (node >= 0)
-                if step.held is not None:
-                    mine &= block.fold != step.held
-                mine = np.flatnonzero(mine)
-                weights = _weights(block.label[mine], block.margin(step)[mine], step.number == 0, options)
-                node = node[mine] if step.nodes > 1 else None
-                for column, size, start in zip(block.bins, sizes, starts):
-                    key = column[mine] if node is None else node * size + column[mine]
-                    key = key.astype(np.intp, copy=False)
-                    for place, weight in enumerate(weights):
-                        found = np.bincount(key, weight, step.nodes * size).reshape(step.nodes, size)
-                        total[:, start : start + size, place] += found
+        sums = _added(_blocks(batches, len(sizes)), steps, sizes, options)
         rows = [(i, n, t[n].tobytes()) for i, t in enumerate(sums) if t is not None for n in range(len(t)) if t[n].any()]
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["fit", "node", "sums"])
@@ -290,7 +324,8 @@ def _measure(here: DataFrame, steps: Sequence[Step], sizes: Sequence[int], optio
     schema = "fit long, node long, sums binary"
     found = here.mapInArrow(add_up, schema).groupBy("fit", "node").applyInArrow(combine, schema)
     # A row per node that is measured, of the same size whatever the input.
-    sums = {(r["fit"], r["node"]): np.frombuffer(r["sums"]).reshape(-1, places) for r in found.collect()}
+    with _block_by_block(here.sparkSession):
+        sums = {(r["fit"], r["node"]): np.frombuffer(r["sums"]).reshape(-1, places) for r in found.collect()}
     fits = [i if step.like is None else step.like for i, step in enumerate(steps)]
     nodes = ((i, fit, node) for i, fit in enumerate(fits) for node in range(steps[i].nodes))
     return {(i, node): sums[fit, node] for i, fit, node in nodes if (fit, node) in sums}
@@ -309,7 +344,12 @@ class Grower:
     stored: int | None = None
 
     def __post_init__(self):
-        self.starts = np.cumsum([0, *[len(limit) + 1 for limit in self.limits]])
+        widths = np.array([len(limit) + 1 for limit in self.limits])
+        self.starts = np.cumsum([0, *widths])
+        # The place of every column's bins among all, or the place after all; and which bins may end a left side.
+        bins = np.arange(widths.max())
+        self.cells = np.where(bins < widths[:, None], self.starts[:-1, None] + bins, self.starts[-1])
+        self.inner = bins < widths[:, None] - 1
         self._plant()
 
     def _plant(self) -> None:
@@ -382,18 +422,17 @@ class Grower:
             allowed = _drawn_at(len(self.columns), self.options, len(self.trees), node)
         weight = sums.shape[1] - 1 if self.options.columns_per_tree else ROWS
         own = total[GRADIENT] ** 2 / total[weight]
-        best, most = None, LEAST_GAIN * own
-        for column in allowed:
-            left = sums[self.starts[column] : self.starts[column + 1] - 1].cumsum(0)
-            right = total - left
-            with np.errstate(divide="ignore", invalid="ignore"):
-                gain = left[:, GRADIENT] ** 2 / left[:, weight] + right[:, GRADIENT] ** 2 / right[:, weight] - own
-            possible = (left[:, ROWS] >= 1) & (right[:, ROWS] >= 1) & (left[:, weight] > 0) & (right[:, weight] > 0)
-            gain = np.where(possible & (gain >= self.options.min_info_gain * total[weight]), gain, -1.0)
-            if len(gain) and gain.max() > most:
-                limit = int(gain.argmax())
-                best, most = (column, limit, left[limit]), gain[limit]
-        return best
+        # All columns at once, each filled up to the widest with bins that hold nothing.
+        left = np.append(sums, np.zeros((1, sums.shape[1])), 0)[self.cells[allowed]].cumsum(1)
+        right = total - left
+        with np.errstate(divide="ignore", invalid="ignore"):
+            gain = left[..., GRADIENT] ** 2 / left[..., weight] + right[..., GRADIENT] ** 2 / right[..., weight] - own
+        possible = (left[..., ROWS] >= 1) & (right[..., ROWS] >= 1) & (left[..., weight] > 0) & (right[..., weight] > 0)
+        gain = np.where(possible & self.inner[allowed] & (gain >= self.options.min_info_gain * total[weight]), gain, -1.0)
+        column, limit = np.unravel_index(gain.argmax(), gain.shape)
+        if not gain[column, limit] > LEAST_GAIN * own:
+            return None
+        return allowed[column], int(limit), left[column, limit]
 
     def _finish(self) -> None:
         ends, options = self._ends(), self.options
@@ -436,7 +475,8 @@ def _with_margins(here: DataFrame, steps: Sequence[Step], columns: int) -> DataF
                 kept = [batch.column(name).slice(place, 1) for name in BLOCK]
                 yield pa.RecordBatch.from_arrays([*kept, *margins], names)
 
-    return stage(here.mapInArrow(run, ", ".join(f"{name} binary" for name in names)), "boosting")
+    with _block_by_block(here.sparkSession):
+        return stage(here.mapInArrow(run, ", ".join(f"{name} binary" for name in names)), "boosting")
 
 
 def _scored(here: DataFrame, steps: Sequence[Step], columns: int) -> DataFrame:
@@ -451,7 +491,8 @@ def _scored(here: DataFrame, steps: Sequence[Step], columns: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in (block.label, block.fold, *margins)], names)
 
     margins = ", ".join(f"{name} double" for name in names[2:])
-    return stage(here.mapInArrow(run, f"label double, fold int, {margins}"), "boosting")
+    with _block_by_block(here.sparkSession):
+        return stage(here.mapInArrow(run, f"label double, fold int, {margins}"), "boosting")
 
 
 def _forget(staged: DataFrame) -> None:

@@ -4,6 +4,7 @@ import dataclasses
 import math
 import re
 
+import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -153,3 +154,59 @@ def test_rows_with_missing_values_are_refused(spark):
         rows = spark.createDataFrame([(1.0, 1), missing], "a double, label int")
         with pytest.raises(Exception, match="must not be null or NaN"):
             boosting.boost(rows, ["a"], 2, OPTIONS)
+
+
+@pytest.mark.parametrize("depth, kind", [(1, np.uint8), (4, np.uint8), (10, np.uint16)])
+def test_rows_find_their_leaves(depth, kind):
+    """Numbers of up to 256 leaves take a byte, more of them four; every row is walked down by hand."""
+    rng = np.random.default_rng(depth)
+    bins = rng.integers(0, np.iinfo(kind).max + 1, (5, 400)).astype(kind)
+    nodes = [1] if depth == 1 else [n for n in range(1, 2**depth) if rng.random() < 0.9 or n < 2 ** (depth - 1)]
+    splits: dict[int, tuple[int, int]] = {}
+    for node in nodes:
+        if node == 1 or node // 2 in splits:
+            splits[node] = int(rng.integers(5)), int(rng.integers(np.iinfo(kind).max))
+    leaves = [n for n in {1, *(2 * n for n in splits), *(2 * n + 1 for n in splits)} if n not in splits]
+    tree = boosting.Placed(splits, {n: i for i, n in enumerate(leaves)}, rng.random(len(leaves)))
+
+    def leaf(row: np.ndarray) -> int:
+        node = 1
+        while node in splits:
+            column, limit = splits[node]
+            node = 2 * node + int(row[column] > limit)
+        return tree.ends[node]
+
+    assert tree.of_rows(bins).tolist() == [tree.values[leaf(row)] for row in bins.T]
+    assert boosting.Placed({}, {1: 0}, np.array([3.0])).of_rows(bins).tolist() == [3.0] * 400
+
+
+def test_sums_are_those_of_the_rows():
+    """Rows of the other folds that the tree drew, by node, column and bin; trees since the margins were written count."""
+    rng, n, sizes = np.random.default_rng(3), 500, [4, 7]
+    bins = np.stack([rng.integers(0, size, n) for size in sizes]).astype(np.uint8)
+    label, fold = rng.integers(0, 2, n).astype(float), rng.integers(-1, 3, n).astype(np.int32)
+    block = boosting.Block(np.arange(n), fold, label, bins, [rng.normal(size=n), rng.normal(size=n)])
+    since = boosting.Placed({1: (1, 3)}, {2: 0, 3: 1}, np.array([0.5, -0.25]))
+    growing = boosting.Placed({1: (0, 1)}, {2: 0, 3: 1}, np.array([1, 0]))
+    steps = [boosting.Step(held, 7, (since,), growing, 2, 1) for held in (0, None)]
+    options = ModelOptions(subsampling_rate=0.5)
+    for step, found in zip(steps, boosting._added(iter([block, block]), steps, sizes, options)):
+        wanted, drawn = np.zeros((2, sum(sizes), 2)), boosting._sampled(block.row, options, 7)
+        for i in range(n):
+            if drawn[i] and fold[i] != step.held:
+                margin = block.stored[1][i] + (0.5 if bins[1, i] <= 3 else -0.25)
+                sign, node = 2 * label[i] - 1, 1 if bins[0, i] <= 1 else 0
+                for place in (bins[0, i], sizes[0] + bins[1, i]):
+                    wanted[node, place] += 2, 2 * 4 * sign / (1 + math.exp(2 * sign * margin))
+        assert found == pytest.approx(wanted, rel=1e-9)
+
+
+def test_python_gets_a_block_at_a_time(spark):
+    before = spark.conf.get(boosting.BATCH)
+    with pytest.raises(ZeroDivisionError), boosting._block_by_block(spark):
+        sizes = spark.range(8).coalesce(1).mapInArrow(lambda batches: batches, "id long").mapInPandas(
+            lambda frames: (frame.assign(id=len(frame)) for frame in frames), "id long"
+        )
+        assert {r["id"] for r in sizes.collect()} == {1}
+        1 / 0
+    assert spark.conf.get(boosting.BATCH) == before
