@@ -5,7 +5,7 @@ that number, all columns in one pass; every wanted rank then lies in one known p
 these parts are counted by the following bits. After ``len(SHIFTS)`` passes at most a part is a single value,
 whatever the values are. Parts of few rows are counted value by value at once, which ends the search earlier.
 
-Counts are combined before they move. Per pass the driver gets a row per part in use: at most 4,094 for each
+Tasks count in numpy; counts are combined before they move. Per pass the driver gets a row per part in use: at most 4,094 for each
 column at first, then at most 8,192 for each part looked at.
 """
 
@@ -13,18 +13,21 @@ from __future__ import annotations
 
 import math
 import struct
-import sys
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from ebbline.functions.cells import double_literal, missing
+from ebbline.session import ship_package
 
 # Bits of the number that a pass leaves open: sign and exponent first, then thirteen bits a time.
 SHIFTS = (52, 39, 26, 13, 0)
 # Parts of at most so many rows are counted value by value.
 COUNTED_ROWS = 4_096
+# Rows that a task counts at a time, at least, but for the last.
+BATCH_ROWS = 131_072
 
 
 def _value(code: int) -> float:
@@ -33,28 +36,22 @@ def _value(code: int) -> float:
     return -size if code < 0 else size
 
 
+def _codes(values: np.ndarray) -> np.ndarray:
+    """The numbers of doubles: their bits, those of their size negated where they are negative."""
+    bits = np.abs(values).view(np.int64)
+    return np.where(values < 0, -bits, bits)
+
+
 def _with_code(df: DataFrame) -> DataFrame:
-    """Add ``code``, the number of the double ``value``: its bits, those of its size negated where it is negative.
+    """Add ``code``, the number of the double ``value``."""
+    ship_package(df.sparkSession)
 
-    Powers of two are exact, and so are products and quotients by them; the logarithm may be off by one.
-    """
-    smallest = double_literal(2.0**-1022)
-    return (
-        df.withColumn("size", F.abs("value"))
-        .withColumn("guess", F.expr("greatest(-1022D, least(1023D, floor(log2(size))))"))
-        .withColumn("step", F.expr("pow(2D, coalesce(guess, -1022D))"))
-        .withColumn("off", F.expr("IF(size < step AND guess > -1022D, -1, IF(size / step >= 2D, 1, 0))"))
-        .withColumn("power", F.expr("CASE off WHEN -1 THEN step / 2D WHEN 1 THEN step * 2D ELSE step END"))
-        .withColumn(
-            "bits",
-            F.expr(
-                f"IF(size < {smallest}, CAST(size * pow(2D, 537D) * pow(2D, 537D) AS BIGINT),"
-                " CAST(guess + off + 1023D AS BIGINT) * 4503599627370496L"
-                " + CAST((size / power - 1D) * 4503599627370496D AS BIGINT))"
-            ),
-        )
-        .withColumn("code", F.expr("IF(value < 0D, -bits, bits)"))
-    )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = _codes(batch.column("value").to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(codes)], [*batch.schema.names, "code"])
+
+    return df.mapInArrow(run, T.StructType([*df.schema, T.StructField("code", T.LongType())]))
 
 
 @dataclass
@@ -67,19 +64,42 @@ class _Wanted:
     below: int = 0
 
 
-def _count(df: DataFrame, entries: dict[tuple, str], shift: int) -> dict[tuple, list[tuple[int, int]]]:
-    """One pass: rows by part for each of the entries, SQL for a double or null, in order of the parts."""
-    cells = [f"CASE WHEN ({cell}) IS NOT NULL THEN struct({i} AS place, {cell} AS value) END" for i, cell in enumerate(entries.values())]
-    values = df.selectExpr(f"inline(array_compact(array({', '.join(cells)})))")
-    found = (
-        _with_code(values)
-        .groupBy("place", F.shiftright("code", shift).alias("part"))
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
-    keys = list(entries)
-    parts: dict[tuple, list[tuple[int, int]]] = {key: [] for key in keys}
-    for row in found.collect():
-        parts[keys[row["place"]]].append((row["part"], row["rows"]))
+def _count(df: DataFrame, entries: Sequence[tuple], above: int, shift: int) -> dict[tuple, list[tuple[int, int]]]:
+    """One pass: rows by part for each of the entries, in order of the parts.
+
+    An entry is a column, or a column and one of the parts by the bits from ``above`` on, whose values alone count.
+    Missing values do not. Tasks count ``BATCH_ROWS`` rows at a time, so that few counts move.
+    """
+    ship_package(df.sparkSession)
+    names = list(dict.fromkeys(column for column, *_ in entries))
+    numbers = df.selectExpr(*[f"CAST({name} AS DOUBLE) AS c{i}" for i, name in enumerate(names)])
+
+    def counted(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+        codes = {}
+        for i, name in enumerate(names):
+            values = np.concatenate([batch.column(i).to_numpy(zero_copy_only=False) for batch in batches])
+            codes[name] = _codes(values[np.isfinite(values)])
+        found = []
+        for place, (name, *part) in enumerate(entries):
+            own = codes[name][codes[name] >> above == part[0]] if part else codes[name]
+            parts, rows = np.unique(own >> shift, return_counts=True)
+            found.append((np.full(len(parts), place, np.int32), parts, rows))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(cells)) for cells in zip(*found)], ["place", "part", "rows"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            waiting.append(batch)
+            if sum(b.num_rows for b in waiting) >= BATCH_ROWS:
+                yield counted(waiting)
+                waiting = []
+        if waiting:
+            yield counted(waiting)
+
+    counts = numbers.mapInArrow(run, "place int, part long, rows long").groupBy("place", "part").agg(F.sum("rows").alias("rows"))
+    parts: dict[tuple, list[tuple[int, int]]] = {key: [] for key in entries}
+    for row in counts.collect():
+        parts[entries[row["place"]]].append((row["part"], row["rows"]))
     return {key: sorted(own) for key, own in parts.items()}
 
 
@@ -90,8 +110,7 @@ def exact_quantiles(
 
     ``df`` is read at most ``len(SHIFTS)`` times, so stage it if it is costly to compute.
     """
-    present = {(c,): f"CASE WHEN NOT {missing(f'CAST({c} AS DOUBLE)')} THEN CAST({c} AS DOUBLE) END" for c in columns}
-    parts = _count(df, present, SHIFTS[0])
+    parts = _count(df, [(c,) for c in dict.fromkeys(columns)], SHIFTS[0], SHIFTS[0])
     totals = {c: sum(rows for _, rows in parts[c,]) for c in columns}
     ranks = {(c, p): p * (totals[c] - 1) for c in columns for p in probabilities if totals[c]}
     wanted = {(c, at): _Wanted(c, at) for (c, _), rank in ranks.items() for at in (math.floor(rank), math.ceil(rank))}
@@ -108,15 +127,9 @@ def exact_quantiles(
         if shift == 0:
             break
         # Several ranks may lie in one part, which is counted once.
-        ranges = dict.fromkeys((want.column, want.part) for want in wanted.values())
-        inside = {}
-        for c, part in ranges:
-            # The lowest part begins with minus infinity, which is a missing value.
-            low, high = max(_value(part << shift), -sys.float_info.max), _value((part + 1 << shift) - 1)
-            cell = f"CAST({c} AS DOUBLE)"
-            inside[c, part] = f"CASE WHEN {cell} BETWEEN {double_literal(low)} AND {double_literal(high)} THEN {cell} END"
-        shift = 0 if most <= COUNTED_ROWS else next(s for s in SHIFTS if s < shift)
-        parts = _count(df, inside, shift)
+        inside = list(dict.fromkeys((want.column, want.part) for want in wanted.values()))
+        above, shift = shift, 0 if most <= COUNTED_ROWS else next(s for s in SHIFTS if s < shift)
+        parts = _count(df, inside, above, shift)
         listed = {key: parts[want.column, want.part] for key, want in wanted.items()}
 
     result: dict[tuple[str, float], float | None] = {(c, p): None for c in columns for p in probabilities}

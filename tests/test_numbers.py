@@ -82,6 +82,24 @@ def test_few_rows_take_two_passes(spark, monkeypatch):
     assert found["x", 0.25] == 7.0 and found["y", 0.5] == (499**2 + 500**2) / 2 and count == 2
 
 
+def test_counting_makes_no_rows_of_cells(spark, monkeypatch):
+    """A pass reads a row as it is, however many columns and parts are counted; parts do not depend on the batches."""
+    cells = [f"CAST(xxhash64(id, {i}) AS DOUBLE) AS x{i}" for i in range(4)]
+    df = stage(spark.range(0, 3000, 1, 3).selectExpr(*cells), "cells")
+    plans, agg = [], type(df.groupBy()).agg
+
+    def seen(self, *columns):
+        found = agg(self, *columns)
+        plans.append(found._jdf.queryExecution().optimizedPlan().toString())
+        return found
+
+    monkeypatch.setattr(type(df.groupBy()), "agg", seen)
+    whole = quantiles.exact_quantiles(df, df.columns, PROBABILITIES)
+    assert plans and not any("Generate" in plan for plan in plans)
+    monkeypatch.setattr(quantiles, "BATCH_ROWS", 1)
+    assert quantiles.exact_quantiles(df, df.columns, PROBABILITIES) == whole
+
+
 def test_codes_keep_the_order_of_doubles(spark):
     rng = random.Random(4)
     tiny, most = 5e-324, 1.7976931348623157e308
