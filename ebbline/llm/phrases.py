@@ -9,12 +9,12 @@ texts that keeps 64-bit hashes, not phrases:
    more runs through and loses none;
 3. the phrases behind the hashes that reached the threshold are gathered.
 
-Then the exact count. Candidates are cut by hash into blocks of at most ``TRIE_PHRASES`` phrases or so and
-``TRIE_BYTES`` of text. A block becomes a trie over its words' numbers in two arrays: from state s the digit d
-leads to base[s] + d if check holds s there. ``TRIES`` of them are broadcast at a time, so that what a task holds
-is bounded and a pass over the texts is made for every one and a half million candidates. In every task numpy moves
-all positions of a text on at the same time, level by level; the states that accept are counted, and the tasks'
-counts are summed.
+Then the exact count. Candidates are cut by the hash of their first two words into blocks of at most ``TRIE_PHRASES``
+phrases or so and ``TRIE_BYTES`` of text. A block becomes a trie over its words' numbers in two arrays: from state s the
+digit d leads to base[s] + d if check holds s there. One pass over the texts sends every run that may hold a candidate to
+the block of its first two words, equal runs of a slice once with their number, so that the texts are read once
+however many candidates there are, and a task holds one trie. There numpy moves many runs on at the same time, level by
+level; the states that accept are counted.
 
 Counts are per language. Scores are exact decimals. A phrase inside a longer candidate that is at least half as
 frequent goes. The best of each language are found in parts first, so that no task ranks all of them.
@@ -26,33 +26,35 @@ rows. Other columns are not looked at.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from ebbline.llm.arrow import slices
+from ebbline.llm.arrow import map_arrow, slices
 from ebbline.session import stage
 
-# What ends a piece, besides the line feed, and what a piece's end is turned into. A full stop
-# cannot be a word then, so that it can stand for the end.
+# What ends a piece, and what bytes are turned into: ends of pieces into line feeds, tabs into blanks, and
+# ASCII letters into small ones. Only ASCII is touched: every byte of another character is above it.
 ENDS = b".,;:!?\x0b\x0c\r\n"
-END = b"."
-TO_LINES = bytes(10 if value in ENDS else value for value in range(256))
+LINE, BLANK = b"\n", b" "
+TO_LINES = bytes(10 if value in ENDS else 32 if value == 9 else bytes([value]).lower()[0] for value in range(256))
 LONGEST = 3
 # Bits that tell the tasks which runs are frequent, a power of two.
 FILTER_BITS = 1 << 25
-# A block of candidates: so many phrases and bytes of text, on average; and blocks that share a pass over the texts.
-TRIE_PHRASES = 250_000
+# A block of candidates: so many phrases and bytes of text, on average; and the least number of blocks, so that those of
+# a small table are dealt out as well.
+TRIE_PHRASES = 100_000
 TRIE_BYTES = 8_000_000
-TRIES = 6
-# Phrases whose counts travel in one row.
-CHUNK = 8_192
+TRIES = 64
+# Runs that a trie counts at a time, or more.
+COUNTED_RUNS = 262_144
 # Bytes of text that a task splits at a time.
 SLICE_BYTES = 6_000_000
 # Parts of a language whose best are found before they meet.
@@ -75,19 +77,29 @@ class Tokens:
 
 
 def tokens(batch: pa.RecordBatch) -> Iterator[Tokens]:
-    """Per language the words of the batch's texts, lower-cased."""
+    """Per language the words of the batch's texts, lower-cased; nothing where there are none."""
     by_lang: dict[str, list[bytes]] = {}
     for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
         by_lang.setdefault(lang, []).append(text)
     for lang, texts in by_lang.items():
-        # Only ASCII letters and signs are touched: every byte of another character is above them.
-        lines = b"\n".join(texts).lower().translate(TO_LINES)
-        # Blanks and tabs are all the white space that is left.
-        found = lines.replace(b"\n", b" " + END + b" ").split()
-        coded = pa.array(found, pa.binary()).dictionary_encode()
-        numbers = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        ends = pc.equal(coded.dictionary, pa.scalar(END, pa.binary())).to_numpy(zero_copy_only=False)
-        yield Tokens(lang, coded.dictionary, np.where(ends, -1, np.arange(len(ends)))[numbers])
+        lines = LINE.join(texts).translate(TO_LINES)
+        signs = np.frombuffer(lines, np.uint8)
+        line = signs == LINE[0]
+        inside = ~(line | (signs == BLANK[0]))
+        starts, lasts = inside.copy(), inside.copy()
+        starts[1:] &= ~inside[:-1]
+        lasts[:-1] &= ~inside[1:]
+        lengths = np.flatnonzero(lasts) + 1 - np.flatnonzero(starts)
+        if not len(lengths):
+            continue
+        # Words follow each other without anything between them, so that no object is made per word.
+        offsets = np.append(0, lengths.cumsum()).astype(np.int32)
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(lines.translate(None, LINE + BLANK))]
+        coded = pa.Array.from_buffers(pa.binary(), len(lengths), buffers).dictionary_encode()
+        ends = line[np.flatnonzero(line | starts)]
+        at = np.full(len(ends), -1)
+        at[~ends] = coded.indices.to_numpy(zero_copy_only=False)
+        yield Tokens(lang, coded.dictionary, at)
 
 
 def _each(docs: DataFrame, make: Callable[[Tokens], pa.RecordBatch | None], kind: str) -> DataFrame:
@@ -97,16 +109,20 @@ def _each(docs: DataFrame, make: Callable[[Tokens], pa.RecordBatch | None], kind
         for whole in batches:
             for batch in slices(whole, "text", SLICE_BYTES):
                 for part in tokens(batch):
-                    if len(part.at):
-                        yield make(part)
+                    yield make(part)
 
     return docs.mapInArrow(run, kind)
 
 
+def _listed(words: pa.Array) -> list[bytes]:
+    """Much faster than ``to_pylist``."""
+    return words.to_numpy(zero_copy_only=False).tolist()
+
+
 def word_hashes(part: Tokens) -> np.ndarray:
     """Of every distinct word; the same as Spark's xxhash64(lang, word), read as unsigned."""
     seed, digest = xxhash.xxh64_intdigest(part.lang.encode(), 42), xxhash.xxh64_intdigest
-    return np.array([digest(word, seed) for word in part.words.to_pylist()], np.uint64)
+    return np.fromiter(map(digest, _listed(part.words), repeat(seed)), np.uint64, len(part.words))
 
 
 def run_hashes(hashes: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
@@ -184,11 +200,12 @@ def frequent_runs(docs: DataFrame, shorter: np.ndarray, size: int, least: int) -
 
 
 def gather(docs: DataFrame, marked: dict[int, np.ndarray]) -> DataFrame:
-    """(lang, phrase, size, key) of the distinct runs whose hash is marked, by size."""
+    """(lang, phrase, size, key, pair) of the distinct runs whose hash is marked, by size; pair: hash of the first two words."""
     sent = docs.sparkSession.sparkContext.broadcast(marked)
 
     def make(part: Tokens) -> pa.RecordBatch:
         hashes, columns = word_hashes(part), []
+        pairs = run_hashes(hashes, part.at, 2)
         for size, bitmap in sent.value.items():
             keys = run_hashes(hashes, part.at, size)
             places = np.flatnonzero(_inside(part.at, size) & _held(bitmap, keys))
@@ -198,19 +215,15 @@ def gather(docs: DataFrame, marked: dict[int, np.ndarray]) -> DataFrame:
                 _, first, runs = np.unique(runs * len(hashes) + part.at[places + step], return_index=True, return_inverse=True)
             texts = [part.words.take(pa.array(part.at[places[first] + step])).cast(pa.string()) for step in range(size)]
             phrases = pc.binary_join_element_wise(*texts, " ")
-            columns.append((phrases, np.full(len(first), size, np.int32), keys[places[first]].view(np.int64)))
-        phrases = pa.chunked_array([phrase for phrase, _, _ in columns]).combine_chunks()
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([part.lang] * len(phrases), pa.string()),
-                phrases,
-                pa.array(np.concatenate([size for _, size, _ in columns])),
-                pa.array(np.concatenate([key for _, _, key in columns])),
-            ],
-            ["lang", "phrase", "size", "key"],
-        )
+            found = places[first]
+            columns.append((phrases, np.full(len(first), size, np.int32), keys[found].view(np.int64), pairs[found].view(np.int64)))
+        phrases, *numbers = zip(*columns)
+        phrases = pa.chunked_array(phrases).combine_chunks()
+        langs = pa.array([part.lang] * len(phrases), pa.string())
+        numbers = [pa.array(np.concatenate(cells)) for cells in numbers]
+        return pa.RecordBatch.from_arrays([langs, phrases, *numbers], ["lang", "phrase", "size", "key", "pair"])
 
-    return _each(docs, make, "lang string, phrase string, size int, key long").distinct()
+    return _each(docs, make, "lang string, phrase string, size int, key long, pair long").distinct()
 
 
 @dataclass(frozen=True)
@@ -249,18 +262,23 @@ class Trie:
         end[at] = state
         return end
 
-    def count(self, part: Tokens, start: np.ndarray) -> np.ndarray:
-        """How often each phrase occurs, overlaps included; they begin at some of the positions ``start``."""
+    def count(self, part: Tokens, start: np.ndarray, times: np.ndarray | None = None) -> np.ndarray:
+        """How often each phrase occurs, overlaps included; they begin at some of the positions ``start``.
+
+        What begins there counts once, or so many ``times``.
+        """
         numbers, at = self.numbers(part), part.at
         total = np.zeros(len(self.phrases), np.int64)
         # All positions take their first word at once; those that are still in the trie then their next.
         state = self.first[numbers[at[start]]]
+        times = np.ones(len(start), np.int64) if times is None else times
         for step in range(1, LONGEST):
             alive = (state >= 0) & (start + step < len(at))
-            start = start[alive]
+            start, times = start[alive], times[alive]
             state = self.advance(state[alive], numbers[at[start + step]])
-            ended = self.accept[state[state >= 0]]
-            total += np.bincount(ended[ended >= 0], minlength=len(total))
+            ended = np.flatnonzero(state >= 0)
+            phrase = self.accept[state[ended]]
+            np.add.at(total, phrase[phrase >= 0], times[ended][phrase >= 0])
         return total
 
 
@@ -381,76 +399,124 @@ def _within_group(counts: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts)
 
 
-def _counted(docs: DataFrame, tries: list[Broadcast], pairs: Broadcast) -> DataFrame:
-    """(id, f) of the tries' phrases in all texts; ``pairs`` marks the runs of two words that begin one.
+# What a row of a block holds, pickled: its trie, which comes first, or runs of words.
+TRIE, RUNS = 0, 1
+OF_BLOCK = "block int, kind int, data binary"
 
-    A task hands on its counts in chunks of ``CHUNK`` phrases, which are added up chunk by chunk.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = [np.zeros(len(trie.value.phrases), np.int64) for trie in tries]
-        for whole in batches:
-            for batch in slices(whole, "text", SLICE_BYTES):
-                for part in tokens(batch):
-                    if not len(part.at):
-                        continue
-                    marked = _held(pairs.value, run_hashes(word_hashes(part), part.at, 2))
-                    start = np.flatnonzero(marked & _inside(part.at, 2))
-                    for trie, total in zip(tries, totals):
-                        total += trie.value.count(part, start)
-        for number, total in enumerate(totals):
-            for chunk, first in enumerate(range(0, len(total), CHUNK)):
-                counts = total[first : first + CHUNK]
-                if counts.any():
-                    columns = [pa.array([number], pa.int32()), pa.array([chunk], pa.int32()), pa.array([counts.tobytes()])]
-                    yield pa.RecordBatch.from_arrays(columns, ["trie", "chunk", "counts"])
-
-    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, total = None, None
-        for batch in batches:
-            for trie, chunk, counts in zip(*[column.to_pylist() for column in batch.columns]):
-                if here != (trie, chunk):
-                    if here:
-                        yield named(*here, total)
-                    here, total = (trie, chunk), 0
-                total = total + np.frombuffer(counts, np.int64)
-        if here:
-            yield named(*here, total)
-
-    def named(trie: int, chunk: int, total: np.ndarray) -> pa.RecordBatch:
-        ids = tries[trie].value.phrases[chunk * CHUNK : (chunk + 1) * CHUNK]
-        return pa.RecordBatch.from_arrays([pa.array(ids[total > 0]), pa.array(total[total > 0])], ["id", "f"])
-
-    parts = docs.mapInArrow(run, "trie int, chunk int, counts binary").repartition("trie", "chunk")
-    return parts.sortWithinPartitions("trie", "chunk").mapInArrow(added, "id long, f long")
-
-
-def count_phrases(docs: DataFrame, candidates: DataFrame, pairs: np.ndarray) -> DataFrame:
-    """(lang, phrase, size, f): exact counts of the candidates, ``TRIES`` blocks of them in a pass.
-
-    ``pairs`` marks the hashes of the runs of two words that all candidates begin with.
+def _block_of(pairs: np.ndarray, blocks: int) -> np.ndarray:
+    """The block of a hash of two words; the same as in ``count_phrases``."""
+    return ((pairs >> np.uint64(11)) % np.uint64(blocks)).astype(np.int32)
+
+
+def dealt_runs(part: Tokens, marked: dict[int, np.ndarray], blocks: int) -> pa.RecordBatch:
+    """The runs that may hold a candidate, by the block of their first two words: equal ones once, with their number.
+
+    A run is as long as ``marked`` has its hashes, by size. It begins where its first two words are marked.
+    """
+    hashes = word_hashes(part)
+    pairs = run_hashes(hashes, part.at, 2)
+    places = np.flatnonzero(_inside(part.at, 2) & _held(marked[2], pairs))
+    columns = [part.at[places], part.at[places + 1]]
+    alive = np.ones(len(places), bool)
+    for size in range(3, LONGEST + 1):
+        known = np.zeros(len(part.at), bool)
+        held = _inside(part.at, size) & _held(marked[size], run_hashes(hashes, part.at, size))
+        known[: len(held)] = held
+        alive &= known[places]
+        # The last word that there is stands for one that is not, which is not looked at.
+        columns.append(np.where(alive, part.at[np.minimum(places + size - 1, len(part.at) - 1)], -1))
+    runs, first, times = columns[0], np.arange(len(places)), np.ones(len(places), np.int64)
+    for column in columns[1:]:
+        code = runs * (len(hashes) + 1) + column + 1
+        _, first, runs, times = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
+    # Words of a run, and -1 to end it.
+    at = np.stack([*[column[first] for column in columns], np.full(len(first), -1)], 1)
+    block = _block_of(pairs[places[first]], blocks)
+    order = np.argsort(block, kind="stable")
+    block, at, times = block[order], at[order], times[order]
+    starts = np.flatnonzero(np.diff(block, prepend=-1))
+    data = []
+    for start, end in zip(starts, [*starts[1:], len(block)]):
+        used, own = np.unique(at[start:end].ravel(), return_inverse=True)
+        words = BLANK.join(_listed(part.words.take(pa.array(used[1:]))))
+        kind = np.int16 if len(used) < 2**15 else np.int32
+        most = np.uint16 if times[start:end].max() < 2**16 else np.int64
+        data.append(pickle.dumps((part.lang, words, (own - 1).astype(kind), times[start:end].astype(most))))
+    cells = [pa.array(block[starts]), pa.array(np.full(len(starts), RUNS, np.int32)), pa.array(data, pa.binary())]
+    return pa.RecordBatch.from_arrays(cells, ["block", "kind", "data"])
+
+
+def _trie_row(candidates: pa.Table) -> pa.Table:
+    """The trie of one block's (id, lang, phrase)."""
+    data = pickle.dumps(build_trie(candidates.select(["id", "lang", "phrase"])))
+    cells = [candidates.column("block").slice(0, 1), pa.array([TRIE], pa.int32()), pa.array([data], pa.binary())]
+    return pa.table(dict(zip(("block", "kind", "data"), cells)))
+
+
+class _Count:
+    """The counts of one block's phrases. Runs wait, by language, until there are many."""
+
+    def __init__(self, trie: Trie):
+        self.trie = trie
+        self.total = np.zeros(len(trie.phrases), np.int64)
+        self.waiting: dict[str, list[tuple]] = {}
+
+    def take(self, lang: str, words: bytes, at: np.ndarray, times: np.ndarray) -> None:
+        waiting = self.waiting.setdefault(lang, [])
+        waiting.append((pa.array(words.split(BLANK), pa.binary()), at.astype(np.int64), times.astype(np.int64)))
+        if sum(len(times) for _, _, times in waiting) >= COUNTED_RUNS:
+            self.settle(lang)
+
+    def settle(self, lang: str) -> None:
+        words, ats, times = zip(*self.waiting.pop(lang))
+        # Each has words of its own, which follow those before.
+        before = np.cumsum([0, *map(len, words)])
+        at = np.concatenate([np.where(at < 0, -1, at + first) for at, first in zip(ats, before)])
+        part, start = Tokens(lang, pa.concat_arrays(words), at), np.arange(0, len(at), LONGEST + 1)
+        self.total += self.trie.count(part, start, np.concatenate(times))
+
+    def found(self) -> pa.RecordBatch:
+        for lang in list(self.waiting):
+            self.settle(lang)
+        some = self.total > 0
+        return pa.RecordBatch.from_arrays([pa.array(self.trie.phrases[some]), pa.array(self.total[some])], ["id", "f"])
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, f) of the phrases of all blocks; rows ``OF_BLOCK`` come block by block, the trie first."""
+    here, count = None, None
+    for batch in batches:
+        for block, kind, data in zip(batch.column("block").to_pylist(), batch.column("kind").to_pylist(), batch.column("data")):
+            if kind == TRIE:
+                if count is not None:
+                    yield count.found()
+                here, count = block, _Count(pickle.loads(data.as_buffer()))
+            elif block == here:  # A block of runs that only seemed to hold a candidate has no trie.
+                count.take(*pickle.loads(data.as_buffer()))
+    if count is not None:
+        yield count.found()
+
+
+def count_phrases(docs: DataFrame, candidates: DataFrame, marked: dict[int, np.ndarray]) -> DataFrame:
+    """(lang, phrase, size, f): exact counts of the candidates (lang, phrase, size, pair), in one pass over the texts.
+
+    ``marked`` marks, by size, the hashes of all candidates.
     """
-    spark = docs.sparkSession
     size = F.octet_length("phrase") + F.octet_length("lang")
     rows, length = candidates.agg(F.count(F.lit(1)), F.sum(size.cast("long"))).first()
-    blocks = max(-(-rows // TRIE_PHRASES), -(-(length or 0) // TRIE_BYTES))
-    block = F.pmod(F.xxhash64("lang", "phrase", F.lit(7)), F.lit(max(1, blocks)))
+    blocks = max(TRIES, -(-rows // TRIE_PHRASES), -(-(length or 0) // TRIE_BYTES))
+    block = F.pmod(F.shiftrightunsigned("pair", 11), F.lit(blocks)).cast("int")
     numbered = stage(
         candidates.select(F.monotonically_increasing_id().alias("id"), "lang", "phrase", "size", block.alias("block")),
         "phrase-candidates",
     )
-    counted, marks = spark.createDataFrame([], "id long, f long"), spark.sparkContext.broadcast(pairs)
-    for first in range(0, blocks, TRIES):
-        tries = []
-        for number in range(first, min(first + TRIES, blocks)):
-            # Phrases are distinct, so that hashes deal them out evenly. A block at a time is on the driver.
-            found = numbered.where(F.col("block") == number).select("id", "lang", "phrase").toArrow()
-            if found.num_rows:
-                tries.append(spark.sparkContext.broadcast(build_trie(found)))
-        counted = counted.unionByName(stage(_counted(docs, tries, marks), "phrase-counts"))
-        for trie in tries:
-            trie.destroy()
-    marks.destroy()
+    sent = docs.sparkSession.sparkContext.broadcast(marked)  # two bitmaps of FILTER_BITS bits
+    tries = numbered.select("id", "lang", "phrase", "block").groupBy("block").applyInArrow(_trie_row, OF_BLOCK)
+    runs = _each(docs, lambda part: dealt_runs(part, sent.value, blocks), OF_BLOCK)
+    parts = tries.unionByName(runs).repartition("block").sortWithinPartitions("block", "kind")
+    counted = stage(map_arrow(parts, _counted, "id long, f long"), "phrase-counts")
+    sent.destroy()
     return numbered.join(counted, "id").select("lang", "phrase", "size", "f")
 
 
@@ -468,7 +534,7 @@ def mine(docs: DataFrame, least: int = 10, text: str = "text", lang: str = "lang
         marked[size] = shorter = bitmap_of(found)
         keys = found.withColumn("size", F.lit(size)) if keys is None else keys.unionByName(found.withColumn("size", F.lit(size)))
     candidates = stage(gather(docs, marked).join(keys, ["key", "size"], "left_semi"), "phrase-gathered")
-    return words, stage(count_phrases(docs, candidates, marked[2]).where(F.col("f") >= least), "phrases")
+    return words, stage(count_phrases(docs, candidates, marked).where(F.col("f") >= least), "phrases")
 
 
 def scored(words: DataFrame, phrases: DataFrame) -> DataFrame:

@@ -115,3 +115,57 @@ def test_tries_count_all_occurrences(vocabulary, count):
         for k in (2, 3):
             expected.update(" ".join(w[i : i + k]) for i in range(len(w) - k + 1))
     assert counts == {i: expected[phrase] if lang == "a" else 0 for i, lang, phrase in rows}
+
+
+def test_one_pass_counts_any_number_of_blocks(spark, monkeypatch):
+    """The texts are read five times: for words, runs of two and three, candidates and counts."""
+    rows, reads, counted = prose(4, 60) + ODD, [], []
+    each, stage = phrases._each, phrases.stage
+    monkeypatch.setattr(phrases, "_each", lambda *args: reads.append(args[2]) or each(*args))
+    monkeypatch.setattr(phrases, "stage", lambda df, label: counted.append(label) or stage(df, label))
+    monkeypatch.setattr(phrases, "TRIE_PHRASES", 7)
+    monkeypatch.setattr(phrases, "TRIES", 2)
+    # Tasks build the tries; the driver has none.
+    monkeypatch.setattr(phrases, "build_trie", lambda *_: pytest.fail("built on the driver"))
+    assert found(phrases.best_phrases(frame(spark, rows), least=2)) == collocations(rows, least=2)
+    assert len(reads) == 5 and counted.count("phrase-counts") == 1
+
+
+def all_marked():
+    return {size: np.full(4, np.uint64(2**64 - 1)) for size in (2, 3)}
+
+
+def test_runs_are_dealt_by_their_first_two_words():
+    text = " ".join(random.Random(5).choice(["a", "b", "c", "é."]) for _ in range(500)) + " a b"
+    part = next(phrases.tokens(pa.record_batch({"lang": ["x"], "text": [text]})))
+    got, of = Counter(), {}
+    for block, kind, data in zip(*[c.to_pylist() for c in phrases.dealt_runs(part, all_marked(), 5).columns]):
+        lang, words, at, times = phrases.pickle.loads(data)
+        words = words.split(b" ")
+        assert lang == "x" and kind == phrases.RUNS
+        for row, count in zip(at.reshape(-1, 4).tolist(), times.tolist()):
+            run = tuple(words[i].decode() for i in row if i >= 0)
+            got[run] += count
+            assert of.setdefault(run[:2], block) == block
+    expected = Counter()
+    for piece in text.split("."):
+        w = piece.split()
+        expected.update(tuple(w[i : i + 3]) for i in range(len(w) - 1))
+    assert got == expected and len(set(of.values())) > 1
+
+
+def test_blocks_are_the_same_in_tasks_and_columns(spark):
+    pairs = [0, 1, -1, 2**62, -(2**63), 2**63 - 1, 123456789012345]
+    expr = "CAST(pmod(shiftrightunsigned(pair, 11), 7) AS INT) AS block"
+    sent = [r["block"] for r in spark.createDataFrame([(p,) for p in pairs], "pair long").coalesce(1).selectExpr(expr).collect()]
+    assert sent == phrases._block_of(np.array(pairs, np.int64).view(np.uint64), 7).tolist()
+
+
+def test_words_and_pieces():
+    texts = ["One\ttwo  THREE.four", "", "É\x1cx, y\r\nz ", "..", "last"]
+    [part] = phrases.tokens(pa.record_batch({"lang": ["x"] * 5, "text": texts}))
+    words = [None if i < 0 else part.words[i].as_py().decode() for i in part.at.tolist()]
+    end = [None]
+    expected = ["one", "two", "three", *end, "four", *end, *end, "É\x1cx", *end, "y", *end, *end, "z", *end, *end, *end, *end, "last"]
+    assert words == expected
+    assert list(phrases.tokens(pa.record_batch({"lang": ["x"], "text": [" .\t"]}))) == []
